@@ -100,3 +100,47 @@ SELECT count(*) AS n_test, CAST(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0
 register("confusion_counted", f"""WITH {counted_sql('lang')}
 SELECT label_id, class_id AS pred_id, count(*) AS n FROM pred GROUP BY 1, 2""")
 register("last_step_predict", f"WITH {counted_sql('quality', 'last_step')} SELECT * FROM pred")
+
+
+# ---------------------------------------------------------------- step 2 ---
+
+STOP_WORDS = ("the", "and", "of", "de", "la", "le", "el", "der", "die", "und")
+
+
+def doc_tok_sql(table: str = "documents", key: str = "doc_id", keep: str = "",
+                seq_len: int | None = None) -> str:
+    cut = f"[1:{seq_len}]" if seq_len else ""
+    k = f"{keep}, " if keep else ""
+    return (f"SELECT {key}, {k}CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS word "
+            f"FROM (SELECT {key}, {k}{tokens_sql('text')}{cut} AS toks FROM {table})")
+
+
+VOCAB_CTE = f"""dtok AS ({doc_tok_sql()}),
+counts AS (SELECT word, count(*) AS freq FROM dtok GROUP BY word),
+vocab AS (SELECT word, freq, row_number() OVER (ORDER BY freq DESC, word) - 1 AS idx FROM counts)"""
+
+register("tokens_clean", doc_tok_sql())
+register("word_counts", f"SELECT word, count(*) AS freq FROM ({doc_tok_sql()}) GROUP BY word")
+register("min_count_words",
+         f"SELECT word, count(*) AS freq FROM ({doc_tok_sql()}) GROUP BY word HAVING count(*) >= 2")
+register("token_total", f"SELECT count(*) AS token_total FROM ({doc_tok_sql()})")
+register("vocab_size", f"SELECT count(DISTINCT word) AS vocab_size FROM ({doc_tok_sql()})")
+register("vocab_index", f"WITH {VOCAB_CTE} SELECT word, freq, idx FROM vocab")
+_stop = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
+register("stop_words_removed", f"""
+SELECT doc_id, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS word
+FROM (SELECT doc_id, list_filter({tokens_sql('text')}, lambda x: NOT list_contains({_stop}, x)) AS toks
+      FROM documents)""")
+register("word_bigrams", f"""
+SELECT doc_id, CAST(unnest(range(greatest(len(toks) - 1, 0))) AS INTEGER) AS pos,
+       unnest(list_transform(range(greatest(len(toks) - 1, 0)),
+                             lambda i: toks[i + 1] || ' ' || toks[i + 2])) AS ngram
+FROM (SELECT doc_id, {tokens_sql('text')} AS toks FROM documents)""")
+register("joined_tokens", f"SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS joined FROM documents")
+CONV_TOK = doc_tok_sql("conversations", "conv_id", "turn")
+register("lookup_default", f"""WITH {VOCAB_CTE}, ctok AS ({CONV_TOK})
+SELECT c.conv_id, c.turn, c.pos, c.word, coalesce(v.idx, 0) AS idx,
+       CAST(v.idx IS NOT NULL AS INTEGER) AS known
+FROM ctok c LEFT JOIN vocab v ON c.word = v.word""")
+register("unknown_words", f"""WITH {VOCAB_CTE}, ctok AS ({CONV_TOK})
+SELECT word, count(*) AS n FROM ctok WHERE word NOT IN (SELECT word FROM vocab) GROUP BY word""")

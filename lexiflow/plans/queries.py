@@ -69,3 +69,89 @@ def confusion_counted(spark, sf_dir):
 @register("last_step_predict")
 def last_step_predict(spark, sf_dir):
     return counted_predictions(spark, sf_dir, "quality", reduction="last_step")
+
+
+# ---------------------------------------------------------------- step 2 ---
+
+from ..functions import text as T  # noqa: E402
+from ..operators import tokens as TK  # noqa: E402
+from ..operators import vocab as V  # noqa: E402
+
+# Fixed example stop-word list for P06 (the reference's own list is empty).
+STOP_WORDS = ("the", "and", "of", "de", "la", "le", "el", "der", "die", "und")
+MIN_COUNT = 2
+
+
+def doc_tokens(spark: SparkSession, sf_dir: str, max_pos: int | None = None) -> DataFrame:
+    return TK.tokenize(TB.table(spark, sf_dir, "documents"), max_pos=max_pos)
+
+
+def doc_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W01 over the cleaned tokens of all documents."""
+    return V.build_vocab(doc_tokens(spark, sf_dir))
+
+
+@register("tokens_clean")
+def tokens_clean(spark, sf_dir):
+    return doc_tokens(spark, sf_dir)
+
+
+@register("word_counts")
+def word_counts(spark, sf_dir):
+    return V.word_counts(doc_tokens(spark, sf_dir))
+
+
+@register("min_count_words")
+def min_count_words(spark, sf_dir):
+    return V.min_count(V.word_counts(doc_tokens(spark, sf_dir)), MIN_COUNT)
+
+
+@register("token_total")
+def token_total(spark, sf_dir):
+    return V.token_total(doc_tokens(spark, sf_dir))
+
+
+@register("vocab_size")
+def vocab_size(spark, sf_dir):
+    return V.vocab_size(doc_tokens(spark, sf_dir))
+
+
+@register("vocab_index")
+def vocab_index(spark, sf_dir):
+    return doc_vocab(spark, sf_dir)
+
+
+@register("stop_words_removed")
+def stop_words_removed(spark, sf_dir):
+    d = TB.table(spark, sf_dir, "documents")
+    kept = T.remove_words(T.tokens_of("text"), STOP_WORDS)
+    return (d.select("doc_id", F.posexplode(kept).alias("pos", "word"))
+             .withColumn("pos", F.col("pos").cast("int")))
+
+
+@register("word_bigrams")
+def word_bigrams(spark, sf_dir):
+    d = TK.with_tokens(TB.table(spark, sf_dir, "documents"))
+    return TK.ngrams(d, 2)
+
+
+@register("joined_tokens")
+def joined_tokens(spark, sf_dir):
+    d = TK.with_tokens(TB.table(spark, sf_dir, "documents"))
+    return TK.join_tokens(d).select("doc_id", "joined")
+
+
+def _conversation_tokens(spark, sf_dir):
+    c = TB.table(spark, sf_dir, "conversations")
+    return TK.tokenize(c, key="conv_id", keep=("turn",))
+
+
+@register("lookup_default")
+def lookup_default(spark, sf_dir):
+    return (V.lookup_or_default(_conversation_tokens(spark, sf_dir), doc_vocab(spark, sf_dir))
+             .select("conv_id", "turn", "pos", "word", "idx", "known"))
+
+
+@register("unknown_words")
+def unknown_words(spark, sf_dir):
+    return V.unknown_words(_conversation_tokens(spark, sf_dir), doc_vocab(spark, sf_dir))
