@@ -54,7 +54,7 @@ def id_label(class_id: str | Column, classes: Sequence[str]) -> Column:
     """Class id back to its label (null when out of range)."""
     arr = F.array(*[F.lit(str(c)) for c in classes])
     cid = _col(class_id)
-    return F.when((cid >= 0) & (cid < len(classes)), F.element_at(arr, cid + 1))
+    return F.when((cid >= 0) & (cid < len(classes)), F.try_element_at(arr, cid + 1))
 
 
 def join_words(words: str | Column, sep: str = " ") -> Column:

@@ -107,7 +107,7 @@ def draw(requests: DataFrame, transitions: DataFrame, seed: int = 12345,
     pick = F.filter("choices", lambda x: x["cum"] > F.col("_r"))
     return (j.withColumn("_r", r)
              .select(*requests.columns, F.col("_r").alias("r"),
-                     F.element_at(pick, 1)["next_ch"].alias("drawn")))
+                     F.try_element_at(pick, F.lit(1))["next_ch"].alias("drawn")))
 
 
 def seed_rows(df: DataFrame, key: str = "doc_id", seed: int = 12345) -> DataFrame:
@@ -115,7 +115,7 @@ def seed_rows(df: DataFrame, key: str = "doc_id", seed: int = 12345) -> DataFram
     chars = F.array(*[F.lit(c) for c in CHARSET])
     idx = T.hash_bucket(key, seed, len(CHARSET))
     return df.select(key, idx.cast("int").alias("char_id"),
-                     F.element_at(chars, (idx + 1).cast("int")).alias("seed_ch"))
+                     F.try_element_at(chars, (idx + 1).cast("int")).alias("seed_ch"))
 
 
 def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
@@ -141,10 +141,10 @@ def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
 
     def step(acc, i):
         cur = acc["last"]
-        entry = F.element_at(F.col("_m"), cur)
+        entry = F.try_element_at(F.col("_m"), cur)
         h = F.conv(F.substring(F.md5(F.concat(prefix, i.cast("string"))), 1, 8), 16, 10).cast("long")
         r = F.pmod(h, entry["total"])
-        nxt = F.element_at(F.filter(entry["choices"], lambda x: x["cum"] > r), 1)["next_ch"]
+        nxt = F.try_element_at(F.filter(entry["choices"], lambda x: x["cum"] > r), F.lit(1))["next_ch"]
         go = acc["live"] & entry.isNotNull()
         return F.struct(
             F.when(go, F.concat(acc["text"], nxt)).otherwise(acc["text"]).alias("text"),

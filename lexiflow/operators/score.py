@@ -96,7 +96,7 @@ def score(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_i
     if reduction == "last_step":
         steps = docs.select(*keys, F.size(toks).alias("_n"), toks.alias("_t")).where("_n > 0")
         steps = steps.select(*keys, (F.col("_n") - 1).cast("int").alias("pos"),
-                             F.element_at("_t", -1).alias("word"))
+                             F.try_element_at("_t", F.lit(-1)).alias("word"))
     else:
         steps = docs.select(*keys, F.posexplode(toks).alias("pos", "word"))
     reduced = reduce_steps(step_scores(steps, model, num_classes), num_classes, keys, reduction)

@@ -43,7 +43,7 @@ def split_label(df: DataFrame, classes: Sequence[str], line: str = "line",
     words = T.split_words(line)
     parts = df.select(
         key,
-        F.element_at(words, 1).alias("label"),
+        F.try_element_at(words, F.lit(1)).alias("label"),
         F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))).alias("rest"),
         F.size(words).alias("n"))
     parts = parts.withColumn("label_id", T.label_id("label", classes))

@@ -144,3 +144,64 @@ SELECT c.conv_id, c.turn, c.pos, c.word, coalesce(v.idx, 0) AS idx,
 FROM ctok c LEFT JOIN vocab v ON c.word = v.word""")
 register("unknown_words", f"""WITH {VOCAB_CTE}, ctok AS ({CONV_TOK})
 SELECT word, count(*) AS n FROM ctok WHERE word NOT IN (SELECT word FROM vocab) GROUP BY word""")
+
+
+# ---------------------------------------------------------------- step 3 ---
+
+LINE_CLASSES = ("de", "en")
+_lines = f"""parts AS (
+  SELECT doc_id, w[1] AS label, w[2:] AS rest, len(w) AS n,
+         {label_id_sql('w[1]', LINE_CLASSES)} AS label_id
+  FROM (SELECT doc_id, {words_sql("concat_ws(' ', lang, text)")} AS w FROM documents)),
+tagged AS (SELECT *, CASE WHEN n = 0 THEN 'empty' WHEN label_id < 0 THEN 'unknown_label'
+                          WHEN n = 1 THEN 'label_only' END AS reason FROM parts)"""
+register("split_label", f"""WITH {_lines}
+SELECT doc_id, label, label_id,
+       CASE WHEN label_id >= 0 AND label_id < 2 THEN ['de', 'en'][label_id + 1] END AS label_name,
+       array_to_string(rest, ' ') AS text
+FROM tagged WHERE reason IS NULL""")
+register("split_rejected", f"WITH {_lines} SELECT doc_id, reason FROM tagged WHERE reason IS NOT NULL")
+
+
+def examples_sql(source: str, with_label: bool, seq_len: int = SEQ_LEN) -> str:
+    """CTEs ending in ``ex(doc_id, [label_id,] n_tokens, ids, known)``."""
+    lab = "label_id, " if with_label else ""
+    return f"""{VOCAB_CTE},
+src AS ({source}),
+tk AS (SELECT doc_id, {lab}n_tokens, CAST(unnest(range(len(toks))) AS INTEGER) AS pos,
+              unnest(toks) AS word
+       FROM (SELECT doc_id, {lab}CAST(len(t) AS INTEGER) AS n_tokens, t[1:{seq_len}] AS toks
+             FROM (SELECT doc_id, {lab}{tokens_sql('text')} AS t FROM src))),
+ex AS (SELECT tk.doc_id, {'tk.label_id, ' if with_label else ''}tk.n_tokens,
+              list(coalesce(v.idx, 0) ORDER BY tk.pos) AS ids,
+              list(CAST(v.idx IS NOT NULL AS INTEGER) ORDER BY tk.pos) AS known
+       FROM tk LEFT JOIN vocab v ON tk.word = v.word
+       GROUP BY ALL)"""
+
+
+def _mask_sql(seq_len: int = SEQ_LEN) -> str:
+    return f"list_transform(range({seq_len}), lambda i: CAST(i < least(n_tokens, {seq_len}) AS INTEGER))"
+
+
+register("encoded_padded", f"""WITH {examples_sql('SELECT doc_id, text FROM documents', False)}
+SELECT doc_id, n_tokens, n_tokens > {SEQ_LEN} AS truncated,
+       array_to_string(list_concat(ids, CAST(repeat([0], {SEQ_LEN} - len(ids)) AS BIGINT[])), ',') AS features,
+       array_to_string({_mask_sql()}, ',') AS feature_mask,
+       array_to_string(list_concat(known, CAST(repeat([0], {SEQ_LEN} - len(known)) AS INTEGER[])), ',') AS known,
+       CAST(least(n_tokens, {SEQ_LEN}) - 1 AS INTEGER) AS label_step
+FROM ex""")
+_QSRC = labelled_sql("quality")
+register("label_steps", f"""WITH {examples_sql(_QSRC, True)}
+SELECT doc_id, label_id, n_tokens, CAST(least(n_tokens, {SEQ_LEN}) - 1 AS INTEGER) AS label_step,
+       n_tokens > {SEQ_LEN} AS truncated FROM ex""")
+register("example_cells", f"""WITH {examples_sql(_QSRC, True)},
+e AS (SELECT *, CAST(least(n_tokens, {SEQ_LEN}) - 1 AS INTEGER) AS label_step FROM ex)
+SELECT doc_id, 'features' AS tensor, 0 AS i, CAST(unnest(range(len(ids))) AS INTEGER) AS j,
+       CAST(unnest(ids) AS DOUBLE) AS value FROM e
+UNION ALL
+SELECT doc_id, 'feature_mask', 0, CAST(unnest(range(least(n_tokens, {SEQ_LEN}))) AS INTEGER), 1.0 FROM e
+UNION ALL
+SELECT doc_id, 'labels', label_id, label_step, 1.0 FROM e
+UNION ALL
+SELECT doc_id, 'label_mask', 0, label_step, 1.0 FROM e""")
+ORACLE["example_cells"] = f"SELECT * FROM ({ORACLE['example_cells']}) WHERE value <> 0"

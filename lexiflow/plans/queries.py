@@ -155,3 +155,54 @@ def lookup_default(spark, sf_dir):
 @register("unknown_words")
 def unknown_words(spark, sf_dir):
     return V.unknown_words(_conversation_tokens(spark, sf_dir), doc_vocab(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- step 3 ---
+
+from ..operators import examples as EX  # noqa: E402
+
+LINE_CLASSES = ("de", "en")   # two classes as in the reference; es/fr lines are rejected
+
+
+def _label_lines(spark, sf_dir):
+    d = TB.table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.concat_ws(" ", "lang", "text").alias("line"))
+
+
+@register("split_label")
+def split_label(spark, sf_dir):
+    labelled, _ = TK.split_label(_label_lines(spark, sf_dir), LINE_CLASSES)
+    return labelled.select("doc_id", "label", "label_id",
+                           T.id_label("label_id", LINE_CLASSES).alias("label_name"), "text")
+
+
+@register("split_rejected")
+def split_rejected(spark, sf_dir):
+    _, rejected = TK.split_label(_label_lines(spark, sf_dir), LINE_CLASSES)
+    return rejected
+
+
+@register("encoded_padded")
+def encoded_padded(spark, sf_dir):
+    d = TB.table(spark, sf_dir, "documents")
+    ex = EX.build_examples(d, doc_vocab(spark, sf_dir), label=None)
+    return ex.select("doc_id", "n_tokens", "truncated",
+                     T.array_text("features").alias("features"),
+                     T.array_text("feature_mask").alias("feature_mask"),
+                     T.array_text("known").alias("known"), "label_step")
+
+
+def _quality_examples(spark, sf_dir):
+    lab = TB.labelled_flag(spark, sf_dir, "quality")
+    return EX.build_examples(lab, doc_vocab(spark, sf_dir))
+
+
+@register("label_steps")
+def label_steps(spark, sf_dir):
+    return _quality_examples(spark, sf_dir).select("doc_id", "label_id", "n_tokens",
+                                                   "label_step", "truncated")
+
+
+@register("example_cells")
+def example_cells(spark, sf_dir):
+    return EX.to_cells(_quality_examples(spark, sf_dir))
