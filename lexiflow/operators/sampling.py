@@ -138,21 +138,24 @@ def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
                 .withColumn("_one", F.lit(1)))
     base = seeds.withColumn("_one", F.lit(1)).join(F.broadcast(model), "_one").drop("_one")
     prefix = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"), F.lit(":"))
-
-    def step(acc, i):
-        cur = acc["last"]
-        entry = F.try_element_at(F.col("_m"), cur)
-        h = F.conv(F.substring(F.md5(F.concat(prefix, i.cast("string"))), 1, 8), 16, 10).cast("long")
-        r = F.pmod(h, entry["total"])
-        nxt = F.try_element_at(F.filter(entry["choices"], lambda x: x["cum"] > r), F.lit(1))["next_ch"]
-        go = acc["live"] & entry.isNotNull()
-        return F.struct(
-            F.when(go, F.concat(acc["text"], nxt)).otherwise(acc["text"]).alias("text"),
-            F.when(go, nxt).otherwise(cur).alias("last"),
-            go.alias("live"))
-
-    init = F.struct(F.col(start).alias("text"),
-                    F.substring(F.col(start), -1, 1).alias("last"),
-                    F.lit(True).alias("live"))
-    out = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)
+    # The hash of every step is computed once per row, up front.
+    hashes = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.conv(
+        F.substring(F.md5(F.concat(prefix, i.cast("string"))), 1, 8), 16, 10).cast("long"))
+
+    def let(value, body):
+        """Evaluate ``value`` once and pass it to ``body`` (single-element transform)."""
+        return F.transform(F.array(value), body)[0]
+
+    def step(acc, h):
+        def with_entry(e):
+            pick = F.filter(e["choices"], lambda x: x["cum"] > F.pmod(h, e["total"]))
+            return let(F.try_element_at(pick, F.lit(1))["next_ch"], lambda nxt: F.struct(
+                F.concat(acc["text"], F.coalesce(nxt, F.lit(""))).alias("text"),
+                F.coalesce(nxt, acc["last"]).alias("last")))
+        # A character without successors yields a null entry: the text stops
+        # growing and stays put for the remaining steps.
+        return let(F.try_element_at(F.col("_m"), acc["last"]), with_entry)
+
+    init = F.struct(F.col(start).alias("text"), F.substring(F.col(start), -1, 1).alias("last"))
+    out = F.aggregate(hashes, init, step)
     return base.select(key, out["text"].alias("generated"))

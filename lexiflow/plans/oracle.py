@@ -205,3 +205,79 @@ SELECT doc_id, 'labels', label_id, label_step, 1.0 FROM e
 UNION ALL
 SELECT doc_id, 'label_mask', 0, label_step, 1.0 FROM e""")
 ORACLE["example_cells"] = f"SELECT * FROM ({ORACLE['example_cells']}) WHERE value <> 0"
+
+
+# ---------------------------------------------------------------- step 4 ---
+
+_TOKID = f"""{VOCAB_CTE},
+tid AS (SELECT d.doc_id, d.pos, d.word, v.idx FROM dtok d JOIN vocab v ON d.word = v.word)"""
+register("token_json", f"""WITH {_TOKID}
+SELECT doc_id, to_json(list(CAST(to_json({{'word': word, 'index': idx}}) AS VARCHAR) ORDER BY pos)) AS json
+FROM tid GROUP BY doc_id""")
+register("token_json_roundtrip", f"WITH {VOCAB_CTE} SELECT word, CAST(idx AS DOUBLE) AS index FROM vocab")
+
+# ---------------------------------------------------------------- step 5 ---
+
+from ..conf import CHUNK_LEN, GEN_STEPS  # noqa: E402
+from ..functions.charset import CHARSET  # noqa: E402
+
+_OUTSIDE = r"""'[^a-zA-Z0-9!&()?\-''",.:; \n\t]'"""
+
+
+def _sql_char(c: str) -> str:
+    return {"\n": "chr(10)", "\t": "chr(9)", "'": "''''"}.get(c, f"'{c}'")
+
+
+_CHARSET_LIST = "[" + ", ".join(_sql_char(c) for c in CHARSET) + "]"
+_CHAR_CTE = f"""filt AS (SELECT doc_id, regexp_replace(text, {_OUTSIDE}, '', 'g') AS text FROM documents),
+chunks AS (SELECT doc_id, CAST(c AS INTEGER) AS chunk, substr(text, CAST(c * {CHUNK_LEN} + 1 AS BIGINT), {CHUNK_LEN}) AS text
+           FROM filt, unnest(range(greatest(0, (length(text) - 1) // {CHUNK_LEN}))) AS u(c)),
+pairs AS (SELECT doc_id, chunk, CAST(i AS INTEGER) AS pos, substr(text, CAST(i + 1 AS BIGINT), 1) AS ch,
+                 substr(text, CAST(i + 2 AS BIGINT), 1) AS next_ch
+          FROM chunks, unnest(range(greatest(0, length(text) - 2))) AS u(i)),
+trans AS (SELECT ch, next_ch, count(*) AS n FROM pairs GROUP BY ch, next_ch),
+cdf AS (SELECT ch, next_ch, n,
+               CAST(sum(n) OVER (PARTITION BY ch ORDER BY next_ch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum,
+               CAST(sum(n) OVER (PARTITION BY ch) AS BIGINT) AS total FROM trans),
+cdf2 AS (SELECT *, cum - n AS prev FROM cdf)"""
+
+register("charset_filtered", f"WITH {_CHAR_CTE} SELECT doc_id, text FROM filt")
+register("chunks", f"WITH {_CHAR_CTE} SELECT doc_id, chunk, text FROM chunks")
+register("char_ids", f"""WITH {_CHAR_CTE},
+cs AS (SELECT CAST(unnest(range(77)) AS INTEGER) AS char_id, unnest({_CHARSET_LIST}) AS ch),
+chars AS (SELECT doc_id, chunk, CAST(i AS INTEGER) AS pos, substr(text, CAST(i + 1 AS BIGINT), 1) AS ch
+          FROM chunks, unnest(range(length(text))) AS u(i))
+SELECT c.doc_id, c.chunk, c.pos, c.ch, s.char_id FROM chars c JOIN cs s ON c.ch = s.ch""")
+register("char_pairs", f"WITH {_CHAR_CTE} SELECT doc_id, chunk, pos, ch, next_ch FROM pairs")
+register("one_hot_chars", f"""WITH {_CHAR_CTE},
+cs AS (SELECT CAST(unnest(range(77)) AS INTEGER) AS char_id, unnest({_CHARSET_LIST}) AS ch)
+SELECT p.doc_id, p.chunk, 'features' AS tensor, a.char_id, p.pos, 1.0 AS value
+FROM pairs p JOIN cs a ON p.ch = a.ch JOIN cs b ON p.next_ch = b.ch
+UNION ALL
+SELECT p.doc_id, p.chunk, 'labels', b.char_id, p.pos, 1.0
+FROM pairs p JOIN cs a ON p.ch = a.ch JOIN cs b ON p.next_ch = b.ch""")
+register("transitions", f"WITH {_CHAR_CTE} SELECT ch, next_ch, n FROM trans")
+register("transition_cdf", f"WITH {_CHAR_CTE} SELECT ch, next_ch, n, cum, total FROM cdf")
+register("draws", f"""WITH {_CHAR_CTE},
+req AS (SELECT doc_id, chunk, CAST(doc_id AS VARCHAR) || ':' || CAST(chunk AS VARCHAR) AS req_id,
+               substr(text, -1, 1) AS ch FROM chunks),
+rq AS (SELECT q.*, CAST({hash_sql('q.req_id', 12345, 1 << 40)} % t.total AS BIGINT) AS r
+       FROM req q JOIN (SELECT DISTINCT ch, total FROM cdf) t ON q.ch = t.ch)
+SELECT rq.doc_id, rq.chunk, rq.req_id, rq.ch, rq.r, c.next_ch AS drawn
+FROM rq JOIN cdf2 c ON c.ch = rq.ch AND rq.r >= c.prev AND rq.r < c.cum""")
+_SEEDS = f"""seeds AS (SELECT doc_id, CAST({hash_sql('doc_id', 12345, 77)} AS INTEGER) AS char_id FROM documents),
+seeds2 AS (SELECT doc_id, char_id, {_CHARSET_LIST}[char_id + 1] AS seed_ch FROM seeds)"""
+register("seed_chars", f"WITH {_SEEDS} SELECT doc_id, char_id, seed_ch FROM seeds2")
+_GEN_CTE = (_CHAR_CTE.replace("cdf2 AS (", "cdf2 AS MATERIALIZED (")
+            + ",\n" + _SEEDS.replace("seeds2 AS (", "seeds2 AS MATERIALIZED ("))
+register("generated_text", f"""WITH RECURSIVE {_GEN_CTE},
+gen(doc_id, step, last, txt) AS (
+  SELECT doc_id, 0, seed_ch, seed_ch FROM seeds2
+  UNION ALL
+  SELECT g.doc_id, g.step + 1, c.next_ch, g.txt || c.next_ch
+  FROM gen g JOIN cdf2 c ON c.ch = g.last
+   AND {hash_sql("CAST(g.doc_id AS VARCHAR) || ':' || CAST(g.step + 1 AS VARCHAR)", 12345, 1 << 40)} % c.total >= c.prev
+   AND {hash_sql("CAST(g.doc_id AS VARCHAR) || ':' || CAST(g.step + 1 AS VARCHAR)", 12345, 1 << 40)} % c.total < c.cum
+  WHERE g.step < {GEN_STEPS})
+SELECT doc_id, txt AS generated FROM gen
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY step DESC) = 1""")

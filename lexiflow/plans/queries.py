@@ -206,3 +206,106 @@ def label_steps(spark, sf_dir):
 @register("example_cells")
 def example_cells(spark, sf_dir):
     return EX.to_cells(_quality_examples(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- step 4 ---
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+
+
+def _doc_token_ids(spark, sf_dir):
+    """All cleaned tokens of all documents with their vocabulary ids."""
+    return V.lookup(doc_tokens(spark, sf_dir), doc_vocab(spark, sf_dir))
+
+
+@register("token_json")
+def token_json(spark, sf_dir):
+    return FS.token_json_lines(_doc_token_ids(spark, sf_dir))
+
+
+@register("token_json_roundtrip")
+def token_json_roundtrip(spark, sf_dir):
+    """S04 write -> S03 read -> W06 first match per word."""
+    path = scratch_path(spark, "token-json")
+    FS.write_token_json(_doc_token_ids(spark, sf_dir), path)
+    return V.first_match(FS.read_token_json(spark, path))
+
+
+# ---------------------------------------------------------------- step 5 ---
+
+from ..conf import CHUNK_LEN, GEN_STEPS  # noqa: E402
+from ..operators import chars as CH  # noqa: E402
+
+
+def _filtered(spark, sf_dir):
+    return CH.filter_charset(TB.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _chunks(spark, sf_dir):
+    return CH.chunk_text(_filtered(spark, sf_dir), CHUNK_LEN)
+
+
+def _pairs(spark, sf_dir):
+    return CH.char_pairs(_chunks(spark, sf_dir))
+
+
+def _transitions(spark, sf_dir):
+    return CH.transitions(_pairs(spark, sf_dir))
+
+
+@register("charset_filtered")
+def charset_filtered(spark, sf_dir):
+    return _filtered(spark, sf_dir)
+
+
+@register("chunks")
+def chunks(spark, sf_dir):
+    return _chunks(spark, sf_dir)
+
+
+@register("char_ids")
+def char_ids(spark, sf_dir):
+    return (CH.encode_chars(CH.explode_chars(_chunks(spark, sf_dir)))
+              .select("doc_id", "chunk", "pos", "ch", "char_id"))
+
+
+@register("char_pairs")
+def char_pairs(spark, sf_dir):
+    return _pairs(spark, sf_dir)
+
+
+@register("one_hot_chars")
+def one_hot_chars(spark, sf_dir):
+    return CH.one_hot_chars(_pairs(spark, sf_dir))
+
+
+@register("transitions")
+def transitions(spark, sf_dir):
+    return _transitions(spark, sf_dir)
+
+
+@register("transition_cdf")
+def transition_cdf(spark, sf_dir):
+    return R.cumulate(_transitions(spark, sf_dir))
+
+
+@register("draws")
+def draws(spark, sf_dir):
+    """One draw per chunk, from the distribution of its last character."""
+    req = _chunks(spark, sf_dir).select(
+        "doc_id", "chunk",
+        F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk").cast("string")).alias("req_id"),
+        F.substring("text", -1, 1).alias("ch"))
+    return R.draw(req, _transitions(spark, sf_dir), key="req_id")
+
+
+@register("seed_chars")
+def seed_chars(spark, sf_dir):
+    return R.seed_rows(TB.table(spark, sf_dir, "documents").select("doc_id"))
+
+
+@register("generated_text")
+def generated_text(spark, sf_dir):
+    seeds = R.seed_rows(TB.table(spark, sf_dir, "documents").select("doc_id"))
+    return R.generate(seeds, _transitions(spark, sf_dir), steps=GEN_STEPS)
