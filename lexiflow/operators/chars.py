@@ -56,11 +56,11 @@ def char_pairs(chunks: DataFrame, keys: tuple[str, ...] = ("doc_id", "chunk"),
     (the reference loop) pairs stop one short: ``n - 2`` pairs for ``n``
     characters, none below 3 characters.
     """
-    a = chars_of(text)
-    n = F.size(a)
-    k = F.greatest(F.lit(0), n - (2 if drop_last_pair else 1))
+    arr = chunks.select(*keys, chars_of(text).alias("_a"))
+    a = F.col("_a")
+    k = F.greatest(F.lit(0), F.size(a) - (2 if drop_last_pair else 1))
     zipped = F.arrays_zip(F.slice(a, 1, k).alias("ch"), F.slice(a, 2, k).alias("next_ch"))
-    return (chunks.select(*keys, F.posexplode(zipped).alias("pos", "_p"))
+    return (arr.select(*keys, F.posexplode(zipped).alias("pos", "_p"))
                   .select(*keys, F.col("pos").cast("int").alias("pos"),
                           F.col("_p.ch").alias("ch"), F.col("_p.next_ch").alias("next_ch")))
 

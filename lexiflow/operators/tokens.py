@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.charset import chars_of
 
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens",
@@ -94,15 +95,19 @@ def match_dictionary(docs: DataFrame, dictionary: DataFrame, min_len: int = 2,
     dic = (dictionary.select(F.col(word).alias("word"))
                      .where(F.length("word").between(min_len, max_len))
                      .distinct())
-    t = F.col(text)
-    n = F.length(t)
+    # Code points are split once per row; each candidate is then an O(length)
+    # slice of that array (substring on the text would rescan it from the
+    # start for every candidate, quadratic in the text length).
+    arr = docs.select(key, chars_of(text).alias("_c"))
+    arr = arr.select(key, "_c", F.size("_c").alias("_n"))
+    n = F.col("_n")
     starts = F.when(n >= min_len, F.sequence(F.lit(0), n - min_len)).otherwise(
         F.array().cast("array<int>"))
     lens = F.sequence(F.lit(min_len), F.lit(max_len))
-    # Substrings are cut inside the row, so exploded rows never carry the text.
     cands = F.flatten(F.transform(starts, lambda s: F.transform(
         F.filter(lens, lambda ln: s + ln <= n),
-        lambda ln: F.struct(s.cast("int").alias("start"), t.substr(s + 1, ln).alias("word")))))
+        lambda ln: F.struct(s.cast("int").alias("start"),
+                            F.array_join(F.slice("_c", s + 1, ln), "").alias("word")))))
     cands = F.filter(cands, lambda c: ~c["word"].rlike(r"[ \t\n\f\r]"))
-    cand = docs.select(key, F.inline(cands))
+    cand = arr.select(key, F.inline(cands))
     return cand.join(dic, "word", "left_semi").select(key, "start", "word")

@@ -281,3 +281,23 @@ gen(doc_id, step, last, txt) AS (
   WHERE g.step < {GEN_STEPS})
 SELECT doc_id, txt AS generated FROM gen
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY step DESC) = 1""")
+
+
+# ---------------------------------------------------------------- step 6 ---
+
+register("dictionary_matches", f"""WITH ctok AS ({CONV_TOK}),
+dict AS (SELECT DISTINCT word FROM ctok WHERE length(word) BETWEEN 2 AND 4),
+d AS (SELECT doc_id, lower(text) AS t FROM documents),
+cand AS (SELECT doc_id, CAST(s AS INTEGER) AS start, substr(t, CAST(s + 1 AS BIGINT), l) AS word
+         FROM d, unnest(range(greatest(length(t) - 1, 0))) AS u(s), unnest([2, 3, 4]) AS v(l)
+         WHERE s + l <= length(t))
+SELECT doc_id, start, word FROM cand WHERE word IN (SELECT word FROM dict)""")
+register("hash_split", f"SELECT doc_id, {split_sql('text')} AS is_train FROM documents")
+register("split_check", f"""WITH a AS (SELECT doc_id, text, lang FROM documents),
+tr AS (SELECT * FROM a WHERE {split_sql('text')}),
+te AS (SELECT * FROM a WHERE NOT {split_sql('text')})
+SELECT (SELECT count(*) FROM a) AS n_all, (SELECT count(*) FROM tr) AS n_train,
+       (SELECT count(*) FROM te) AS n_test,
+       (SELECT count(*) FROM (SELECT * FROM tr INTERSECT SELECT * FROM te)) AS n_overlap,
+       (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL (SELECT * FROM tr UNION ALL SELECT * FROM te))) AS n_missing,
+       (SELECT count(*) FROM ((SELECT * FROM tr UNION ALL SELECT * FROM te) EXCEPT ALL SELECT * FROM a)) AS n_extra""")

@@ -309,3 +309,30 @@ def seed_chars(spark, sf_dir):
 def generated_text(spark, sf_dir):
     seeds = R.seed_rows(TB.table(spark, sf_dir, "documents").select("doc_id"))
     return R.generate(seeds, _transitions(spark, sf_dir), steps=GEN_STEPS)
+
+
+# ---------------------------------------------------------------- step 6 ---
+
+DICT_MIN, DICT_MAX = 2, 4
+
+
+@register("dictionary_matches")
+def dictionary_matches(spark, sf_dir):
+    """P20: words of the conversations vocabulary found anywhere in the
+    lower-cased document text (index-mode style: overlapping matches)."""
+    dic = _conversation_tokens(spark, sf_dir).select("word")
+    docs = TB.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    return TK.match_dictionary(docs, dic, DICT_MIN, DICT_MAX)
+
+
+@register("hash_split")
+def hash_split(spark, sf_dir):
+    d = TB.table(spark, sf_dir, "documents")
+    return d.select("doc_id", R.split_flag("text").alias("is_train"))
+
+
+@register("split_check")
+def split_check(spark, sf_dir):
+    d = TB.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    train, test = R.hash_split(d)
+    return R.check_split(train, test, d)
