@@ -114,3 +114,16 @@ def hash_bucket(key: str | Column, seed: int | str, modulus: int) -> Column:
 def array_text(a: str | Column, sep: str = ",") -> Column:
     """Arrays as delimited text (for stable comparison with other engines)."""
     return F.array_join(_col(a).cast("array<string>"), sep)
+
+
+def _sql_literal(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def tokens_sql(text: str = "text", normalize: bool = True) -> str:
+    """P01 + P02 as Spark SQL text (for ``SQLTransformer`` stages)."""
+    words = f"filter(split({text}, {_sql_literal(BLANKS)}), x -> x != '')"
+    if not normalize:
+        return words
+    clean = f"lower(regexp_replace(x, {_sql_literal(STRIP_CHARS)}, ''))"
+    return f"filter(transform({words}, x -> {clean}), x -> x != '')"

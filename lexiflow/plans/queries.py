@@ -336,3 +336,35 @@ def split_check(spark, sf_dir):
     d = TB.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train, test = R.hash_split(d)
     return R.check_split(train, test, d)
+
+
+# ---------------------------------------------------------------- step 7 ---
+
+from ..conf import TrainConf  # noqa: E402
+
+
+def _lang_split(spark, sf_dir):
+    lab = TB.labelled_lang(spark, sf_dir).withColumn("_train", R.split_flag("text"))
+    return lab.where("_train").drop("_train"), lab.where(~F.col("_train")).drop("_train")
+
+
+@register("train_linear")
+def train_linear(spark, sf_dir):
+    train, test = _lang_split(spark, sf_dir)
+    model = TR.train_linear(train, TrainConf(classes=TB.LANGS))
+    return TR.predict_pipeline(model, test)
+
+
+@register("train_embedded")
+def train_embedded(spark, sf_dir):
+    train, test = _lang_split(spark, sf_dir)
+    model = TR.train_embedded(train, len(TB.LANGS), TrainConf(classes=TB.LANGS))
+    return TR.predict_pipeline(model, test)
+
+
+@register("train_averaged")
+def train_averaged(spark, sf_dir):
+    train, test = _lang_split(spark, sf_dir)
+    conf = TrainConf(classes=TB.LANGS)
+    w = TR.train_averaged(train, len(TB.LANGS), conf)
+    return TR.predict_averaged(w, test, conf)
