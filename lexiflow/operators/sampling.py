@@ -104,10 +104,15 @@ def draw(requests: DataFrame, transitions: DataFrame, seed: int = 12345,
     cdf = cdf_table(transitions, ctx)
     j = requests.join(cdf, ctx)
     r = draw_value(key, seed, "total")
-    pick = F.filter("choices", lambda x: x["cum"] > F.col("_r"))
     return (j.withColumn("_r", r)
              .select(*requests.columns, F.col("_r").alias("r"),
-                     F.try_element_at(pick, F.lit(1))["next_ch"].alias("drawn")))
+                     pick_choice("choices", F.col("_r")).alias("drawn")))
+
+
+def pick_choice(choices: str | Column, r: Column) -> Column:
+    """First choice whose running total exceeds ``r`` (null if none)."""
+    c = F.col(choices) if isinstance(choices, str) else choices
+    return F.try_element_at(F.filter(c, lambda x: x["cum"] > r), F.lit(1))["next_ch"]
 
 
 def seed_rows(df: DataFrame, key: str = "doc_id", seed: int = 12345) -> DataFrame:

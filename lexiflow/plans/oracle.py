@@ -301,3 +301,17 @@ SELECT (SELECT count(*) FROM a) AS n_all, (SELECT count(*) FROM tr) AS n_train,
        (SELECT count(*) FROM (SELECT * FROM tr INTERSECT SELECT * FROM te)) AS n_overlap,
        (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL (SELECT * FROM tr UNION ALL SELECT * FROM te))) AS n_missing,
        (SELECT count(*) FROM ((SELECT * FROM tr UNION ALL SELECT * FROM te) EXCEPT ALL SELECT * FROM a)) AS n_extra""")
+
+
+# ---------------------------------------------------------------- step 8 ---
+
+# Same model as predict_lang; every document of the stream is scored.
+register("score_stream", "WITH " + counted_sql("lang").replace(
+    'test_tok AS (SELECT doc_id, label_id, pos, word FROM tok WHERE NOT is_train)',
+    'test_tok AS (SELECT doc_id, label_id, pos, word FROM tok)') + " SELECT * FROM pred")
+
+register("mean_scores", "WITH " + counted_sql("quality") + """
+SELECT doc_id, class_id, score AS mean_score FROM longf""")
+register("token_class_model", "WITH " + counted_sql("lang") + """
+SELECT word, CAST(unnest(range(4)) AS INTEGER) AS class_id, CAST(unnest([n0, n1, n2, n3]) AS BIGINT) AS n,
+       n_word FROM model""")

@@ -368,3 +368,45 @@ def train_averaged(spark, sf_dir):
     conf = TrainConf(classes=TB.LANGS)
     w = TR.train_averaged(train, len(TB.LANGS), conf)
     return TR.predict_averaged(w, test, conf)
+
+
+# ---------------------------------------------------------------- step 8 ---
+
+from ..session import cut_lineage  # noqa: E402
+from ..streaming.score_stream import score_stream as _score_stream  # noqa: E402
+
+
+@register("score_stream")
+def score_stream(spark, sf_dir):
+    """Documents arrive as a file stream and are scored per micro-batch
+    by the counted model trained on the train side of ``lang``."""
+    k = len(TB.LANGS)
+    lab = TB.labelled_lang(spark, sf_dir).withColumn("_train", R.split_flag("text"))
+    model = cut_lineage(TR.train_counted(lab.where("_train"), k))
+    schema = TB.table(spark, sf_dir, "documents").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+                   .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    out = scratch_path(spark, "scored")
+    prep = lambda df: df.select("doc_id", "text", T.label_id("lang", TB.LANGS).alias("label_id"))
+    q = _score_stream(stream, model, k, out, scratch_path(spark, "stream-ckpt"), prepare=prep)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "label_id", "class_id", "mean_score")
+
+
+@register("mean_scores")
+def mean_scores(spark, sf_dir):
+    """A06 long form: mean class scores of every held-out document, all classes."""
+    k = len(TB.BINARY)
+    lab = TB.labelled_flag(spark, sf_dir, "quality").withColumn("_train", R.split_flag("text"))
+    model = TR.train_counted(lab.where("_train"), k)
+    test = lab.where(~F.col("_train"))
+    toks = F.slice(T.tokens_of("text"), 1, SEQ_LEN)
+    steps = test.select("doc_id", F.posexplode(toks).alias("pos", "word"))
+    return S.mean_scores(S.reduce_steps(S.step_scores(steps, model, k), k, ["doc_id"]))
+
+
+@register("token_class_model")
+def token_class_model(spark, sf_dir):
+    """A09 long form: ``(word, class_id, n, n_word)`` of the lang model."""
+    train, _ = _lang_split(spark, sf_dir)
+    return TR.model_long(TR.train_counted(train, len(TB.LANGS)))
