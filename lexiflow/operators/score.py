@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..conf import SEQ_LEN
 from ..functions import text as T
+from ..session import sized_join
 
 DIGITS = 6   # scores are rounded before ranking or comparing
 
@@ -37,7 +38,7 @@ def step_scores(tokens: DataFrame, model: DataFrame, num_classes: int,
                 word: str = "word") -> DataFrame:
     """Per token, the K class scores (uniform 1/K for unseen words)."""
     m = model.select(F.col("word").alias(word), "n_word", "n")
-    return (tokens.join(m, word, "left")
+    return (sized_join(tokens, m, word, "left")
                   .withColumn("scores", _score_array(num_classes))
                   .drop("n_word", "n"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.charset import chars_of
+from ..session import cut_lineage, sized_join
 
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens",
@@ -95,10 +96,19 @@ def match_dictionary(docs: DataFrame, dictionary: DataFrame, min_len: int = 2,
     dic = (dictionary.select(F.col(word).alias("word"))
                      .where(F.length("word").between(min_len, max_len))
                      .distinct())
-    # Code points are split once per row; each candidate is then an O(length)
-    # slice of that array (substring on the text would rescan it from the
-    # start for every candidate, quadratic in the text length).
-    arr = docs.select(key, chars_of(text).alias("_c"))
+    blank = r"[ \t\n\f\r]"
+    astral = F.col(text).rlike(r"[\x{10000}-\x{10FFFF}]")
+    parts = []
+    # Fast path (every character in the Basic Multilingual Plane, one UTF-16
+    # unit each): a zero-width lookahead matches at every offset, so element
+    # i of regexp_extract_all is the window starting at offset i.  One native
+    # regex pass per length, exploded by a codegen'd posexplode.
+    bmp = docs.where(~astral)
+    for ln in range(min_len, max_len + 1):
+        win = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{ln}}}))"), 1)
+        parts.append(bmp.select(key, F.posexplode(win).alias("start", "word")))
+    # Texts with characters outside the BMP: code-point array and slices.
+    arr = docs.where(astral).select(key, chars_of(text).alias("_c"))
     arr = arr.select(key, "_c", F.size("_c").alias("_n"))
     n = F.col("_n")
     starts = F.when(n >= min_len, F.sequence(F.lit(0), n - min_len)).otherwise(
@@ -106,8 +116,11 @@ def match_dictionary(docs: DataFrame, dictionary: DataFrame, min_len: int = 2,
     lens = F.sequence(F.lit(min_len), F.lit(max_len))
     cands = F.flatten(F.transform(starts, lambda s: F.transform(
         F.filter(lens, lambda ln: s + ln <= n),
-        lambda ln: F.struct(s.cast("int").alias("start"),
-                            F.array_join(F.slice("_c", s + 1, ln), "").alias("word")))))
-    cands = F.filter(cands, lambda c: ~c["word"].rlike(r"[ \t\n\f\r]"))
-    cand = arr.select(key, F.inline(cands))
-    return cand.join(dic, "word", "left_semi").select(key, "start", "word")
+        lambda ln: F.struct(s.alias("start"), F.array_join(F.slice("_c", s + 1, ln), "").alias("word")))))
+    parts.append(arr.select(key, F.inline(cands)))
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
+    # Dictionary words hold no blank, so such windows are dropped before the join.
+    cand = cand.where(~F.col("word").rlike(blank)).select(key, F.col("start").cast("int").alias("start"), "word")
+    return sized_join(cand, cut_lineage(dic), "word", "left_semi").select(key, "start", "word")

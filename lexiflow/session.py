@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "lexiflow",
@@ -75,3 +76,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, fixes the partitioning."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Largest lookup table (rows) that is broadcast to every task.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a large table with a lookup table whose size is checked first.
+
+    ``small`` should be materialised (checkpointed or read from files) so the
+    count is cheap.  Up to ``max_rows`` rows it is broadcast; beyond that the
+    join is a sort-merge join on the key (AQE splits skewed key partitions).
+    The large side is never broadcast, whatever the static estimate says.
+    """
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small.hint("merge"), on, how)

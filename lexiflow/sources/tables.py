@@ -13,8 +13,23 @@ LANGS = ("de", "en", "es", "fr")      # class list of documents.lang
 BINARY = ("0", "1")                   # class list of labels.quality / labels.toxic
 
 
+def widen(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster has cores.
+
+    A large table is read in many splits and is returned untouched (no
+    shuffle).  A table stored as a few large row groups would otherwise put
+    all per-row text work (tokenising, exploding) into a handful of tasks; it
+    is hash-partitioned on ``key`` instead, which also co-partitions tables
+    that share the key (documents and labels on ``doc_id``).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key or df.columns[0])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return widen(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def labelled_lang(spark: SparkSession, sf_dir: str) -> DataFrame:

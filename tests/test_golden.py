@@ -36,3 +36,18 @@ def test_cleaning_contract(spark):
               "doc_id long, text string")
     words = [r.word for r in TK.tokenize(df).orderBy("pos").collect()]
     assert words == ["hello", "world", "x", "y", "ab", "cd", "ef", "gh", "q", "z"]
+
+
+def test_dictionary_match_both_paths(spark):
+    from lexiflow.operators.tokens import match_dictionary
+    docs = rows(spark, [(0, "ab abc xab"), (1, "😀ab c😀abc")], "doc_id long, text string")
+    dic = rows(spark, [("ab",), ("abc",), ("bc",), ("b c",)], "word string")
+    got = sorted((r.doc_id, r.start, r.word) for r in match_dictionary(docs, dic, 2, 4).collect())
+    want = []
+    for d, t in [(0, "ab abc xab"), (1, "😀ab c😀abc")]:
+        for s in range(len(t)):
+            for ln in (2, 3, 4):
+                w = t[s:s + ln]
+                if len(w) == ln and w in {"ab", "abc", "bc"}:
+                    want.append((d, s, w))
+    assert got == sorted(want)
