@@ -129,17 +129,17 @@ def _softmax_rows(z):
 
 
 def _example_matrix(slot_lists, k_slots):
-    """Per example: unique slots and L2-normalised counts."""
+    """Per example: its distinct slots with value 1 (word presence).
+
+    Unscaled presence keeps gradients of order one per feature; with plain SGD
+    (no adaptive updater) and averaging over partitions, scaled-down values
+    such as normalised term frequencies barely move the weights.
+    """
     import numpy as np
     out = []
     for s in slot_lists:
-        s = np.asarray(s, dtype=np.int64)
-        if s.size == 0:
-            out.append((s, np.zeros(0)))
-            continue
-        u, c = np.unique(s, return_counts=True)
-        v = c / np.sqrt((c * c).sum())
-        out.append((u, v))
+        u = np.unique(np.asarray(s, dtype=np.int64))
+        out.append((u, np.ones(u.size)))
     return out
 
 
