@@ -88,16 +88,22 @@ def to_cells(examples: DataFrame, key: str = "doc_id", label: str = "label_id")
 
     ``(doc_id, tensor, i, j, value)`` with tensors ``features`` (0, step, id),
     ``feature_mask`` (0, step, 1), ``labels`` (class, label step, 1) and
-    ``label_mask`` (0, label step, 1).  Built as one array per row and exploded
-    once, so the examples are read a single time.
+    ``label_mask`` (0, label step, 1).  Steps come from a native ``posexplode``
+    of the feature array (each step yields its feature and mask cell, zeros
+    dropped by a filter); the two label cells are one small ``inline`` per row.
     """
-    cell = lambda t, i, j, v: F.struct(F.lit(t).alias("tensor"), i.cast("int").alias("i"),
-                                       j.cast("int").alias("j"), v.cast("double").alias("value"))
-    feats = F.filter(F.transform("features", lambda x, j: cell("features", F.lit(0), j, x)),
-                     lambda c: c["value"] != 0)
-    mask = F.filter(F.transform("feature_mask", lambda x, j: cell("feature_mask", F.lit(0), j, x)),
-                    lambda c: c["value"] != 0)
+    def cell(t, i, j, v):
+        return F.struct(F.lit(t).alias("tensor"), F.lit(i).cast("int").alias("i") if isinstance(i, int)
+                        else i.cast("int").alias("i"), j.cast("int").alias("j"),
+                        v.cast("double").alias("value"))
+
+    steps = examples.select(key, F.least("n_tokens", F.lit(SEQ_LEN)).alias("_k"),
+                            F.posexplode("features").alias("_j", "_v"))
+    step_cells = (steps.select(key, F.inline(F.array(
+                      cell("features", 0, F.col("_j"), F.col("_v")),
+                      cell("feature_mask", 0, F.col("_j"), (F.col("_j") < F.col("_k")).cast("double")))))
+                  .where(F.col("value") != 0))
     step = F.col("label_step")
-    ends = F.array(cell("labels", F.col(label), step, F.lit(1.0)),
-                   cell("label_mask", F.lit(0), step, F.lit(1.0)))
-    return examples.select(key, F.inline(F.concat(feats, mask, ends)))
+    ends = examples.select(key, F.inline(F.array(cell("labels", F.col(label), step, F.lit(1.0)),
+                                                 cell("label_mask", 0, step, F.lit(1.0)))))
+    return step_cells.unionByName(ends)
