@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..conf import GEN_STEPS, SPLIT_FRACTION, SPLIT_SEED
 from ..functions import text as T
 from ..functions.charset import CHARSET
+from ..session import cut_lineage, sized_join
 
 SPLIT_BUCKETS = 100
 
@@ -101,8 +102,10 @@ def draw(requests: DataFrame, transitions: DataFrame, seed: int = 12345,
     Equi join on the context, inequality inside the (bounded) choice array, so
     no per-request group or shuffle of the requests is needed beyond the join.
     """
-    cdf = cdf_table(transitions, ctx)
-    j = requests.join(cdf, ctx)
+    # One row per context (at most 77 for the character set): checked, then
+    # broadcast, so a hot context character never lands on one join partition.
+    cdf = cut_lineage(cdf_table(transitions, ctx))
+    j = sized_join(requests, cdf, ctx)
     r = draw_value(key, seed, "total")
     return (j.withColumn("_r", r)
              .select(*requests.columns, F.col("_r").alias("r"),
@@ -152,11 +155,14 @@ def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
         return F.transform(F.array(value), body)[0]
 
     def step(acc, h):
-        def with_entry(e):
-            pick = F.filter(e["choices"], lambda x: x["cum"] > F.pmod(h, e["total"]))
-            return let(F.try_element_at(pick, F.lit(1))["next_ch"], lambda nxt: F.struct(
+        def with_draw(e, r):
+            return let(pick_choice(e["choices"], r), lambda nxt: F.struct(
                 F.concat(acc["text"], F.coalesce(nxt, F.lit(""))).alias("text"),
                 F.coalesce(nxt, acc["last"]).alias("last")))
+
+        def with_entry(e):
+            # the draw is bound once per step, not once per candidate
+            return let(F.pmod(h, e["total"]), lambda r: with_draw(e, r))
         # A character without successors yields a null entry: the text stops
         # growing and stays put for the remaining steps.
         return let(F.try_element_at(F.col("_m"), acc["last"]), with_entry)
