@@ -136,15 +136,20 @@ def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
 
     The transition table has at most 77 x 77 rows (its keys come from the
     fixed character set), so it is folded into one map and attached to every
-    seed row by a broadcast join on a constant key; the loop itself is an
-    ``aggregate`` over ``sequence(1, steps)`` evaluated in the JVM, with no
-    Python worker and no per-step shuffle.
+    seed row by a size-checked broadcast join on the seed character; the loop
+    itself is an ``aggregate`` over ``sequence(1, steps)`` evaluated in the
+    JVM, with no Python worker and no per-step shuffle.
     """
     cdf = cdf_table(transitions)
-    model = (cdf.agg(F.map_from_entries(F.collect_list(
-                 F.struct("ch", F.struct("total", "choices")))).alias("_m"))
-                .withColumn("_one", F.lit(1)))
-    base = seeds.withColumn("_one", F.lit(1)).join(F.broadcast(model), "_one").drop("_one")
+    # One row per context character (at most 77, keys of the fixed set), each
+    # carrying the whole chain as a map; the window spans that bounded table.
+    chain = F.map_from_entries(F.collect_list(F.struct("ch", F.struct("total", "choices")))
+                               .over(Window.partitionBy()))
+    model = cut_lineage(cdf.select(F.col("ch").alias("_start"), chain.alias("_m")))
+    # Equi join on the seed's last character; a seed whose character has no
+    # successor keeps its text (left join, null chain).
+    base = sized_join(seeds.withColumn("_start", F.substring(F.col(start), -1, 1)), model,
+                      "_start", "left")
     prefix = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"), F.lit(":"))
     # The hash of every step is computed once per row, up front.
     hashes = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.conv(
