@@ -78,7 +78,10 @@ def train_embedded(labelled: DataFrame, num_classes: int, conf: TrainConf = Trai
 
     ``Word2Vec`` averages word vectors, so word order is lost.  Its training
     is split over ``partitions`` tasks (Spark's default of one would put the
-    whole corpus in one task).
+    whole corpus in one task).  Spark ML keeps the Word2Vec vocabulary on the
+    driver and broadcasts the vectors (vocabulary x ``dim``), so on large
+    corpora raise ``conf.text.min_count`` (default 1, as the reference) to
+    bound it.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import MultilayerPerceptronClassifier
@@ -87,7 +90,8 @@ def train_embedded(labelled: DataFrame, num_classes: int, conf: TrainConf = Trai
     parts = partitions or int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stages = [_token_stage(conf.seq_len),
               Word2Vec(inputCol="tokens", outputCol="features", vectorSize=dim, seed=conf.net_seed,
-                       maxSentenceLength=conf.seq_len, numPartitions=parts, minCount=1),
+                       maxSentenceLength=conf.seq_len, numPartitions=parts,
+                       minCount=conf.text.min_count),
               MultilayerPerceptronClassifier(featuresCol="features", labelCol=label,
                                              layers=[dim, conf.hidden, num_classes],
                                              seed=conf.net_seed, maxIter=conf.epochs,
