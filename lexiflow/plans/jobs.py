@@ -47,3 +47,16 @@ def train_job(labelled: DataFrame, out_dir: str, classes: Sequence[str],
     S.confusion(preds).write.mode("overwrite").parquet(f"{out}/confusion")
     row = S.accuracy(preds).collect()[0]
     return row.asDict()
+
+
+def train_job_from_lines(spark, path: str, out_dir: str, classes: Sequence[str],
+                         conf: TrainConf = TrainConf()) -> dict:
+    """T06 from a labelled text file (``<label> <word> <word> ...`` per line).
+
+    S01 -> P03/P04 (bad lines to ``rejected_lines``) -> ``train_job``.
+    """
+    from ..operators import tokens as TK
+    lines = FS.read_lines(spark, path).withColumnRenamed("text", "line")
+    labelled, rejected = TK.split_label(lines, classes)
+    rejected.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/rejected_lines")
+    return train_job(labelled.select("doc_id", "label", "text"), out_dir, classes, conf)

@@ -88,3 +88,20 @@ def test_layout_independence(spark):
                         sorted(map(tuple, voc.collect()))))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_train_job_from_lines(spark, tmp_out):
+    import os
+    p = os.path.join(tmp_out, "data.txt")
+    lines = []
+    for i in range(120):
+        lab = "a" if i % 2 else "b"
+        words = "apple pear plum" if lab == "a" else "stone rock sand"
+        lines.append(f"{lab} {words} filler{i % 7} common")
+    lines += ["a", "z unknown label", ""]
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    res = jobs.train_job_from_lines(spark, p, os.path.join(tmp_out, "out"), ["a", "b"])
+    assert res["n_test"] > 0 and res["accuracy"] == 1.0
+    rej = {r.reason for r in spark.read.parquet(os.path.join(tmp_out, "out", "rejected_lines")).collect()}
+    assert rej == {"label_only", "unknown_label", "empty"}
