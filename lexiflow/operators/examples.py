@@ -27,7 +27,7 @@ def gather(looked: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> Dat
 
     ``collect_list`` order is not trusted; the structs are sorted on ``pos``.
     """
-    seq = F.array_sort(F.collect_list(F.struct("pos", *fields)))
+    seq = F.sort_array(F.collect_list(F.struct("pos", *fields)))
     return looked.groupBy(*keys).agg(seq.alias("_seq"))
 
 

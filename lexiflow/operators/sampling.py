@@ -82,7 +82,7 @@ def cdf_table(transitions: DataFrame, ctx: str = "ch", choice: str = "next_ch",
     c = cumulate(transitions, ctx, choice, n)
     return (c.groupBy(ctx)
              .agg(F.max("total").alias("total"),
-                  F.array_sort(F.collect_list(F.struct(F.col("cum"), F.col(choice).alias("next_ch"))))
+                  F.sort_array(F.collect_list(F.struct(F.col("cum"), F.col(choice).alias("next_ch"))))
                    .alias("choices")))
 
 
