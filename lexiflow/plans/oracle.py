@@ -94,6 +94,7 @@ def register(name: str, sql: str) -> None:
 
 register("predict_lang", f"WITH {counted_sql('lang')} SELECT * FROM pred")
 register("predict_quality", f"WITH {counted_sql('quality')} SELECT * FROM pred")
+register("predict_toxic", f"WITH {counted_sql('toxic')} SELECT * FROM pred")
 register("accuracy_counted", f"""WITH {counted_sql('lang')}
 SELECT count(*) AS n_test, CAST(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
        round(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0 END) / count(*), 6) AS accuracy FROM pred""")

@@ -57,6 +57,12 @@ def predict_quality(spark, sf_dir):
     return counted_predictions(spark, sf_dir, "quality")
 
 
+@register("predict_toxic")
+def predict_toxic(spark, sf_dir):
+    """Correctness fixture: ``toxic`` carries no signal the counted model sees."""
+    return counted_predictions(spark, sf_dir, "toxic")
+
+
 @register("accuracy_counted")
 def accuracy_counted(spark, sf_dir):
     return S.accuracy(counted_predictions(spark, sf_dir, "lang"))
