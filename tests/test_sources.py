@@ -77,3 +77,17 @@ def test_model_store(spark, tmp_out):
     FS.save_model(pm, p2)
     loaded = FS.load_model(spark, p2, pipeline=True)
     assert TR.predict_pipeline(loaded, docs).count() == 20
+
+
+def test_bucketed_lookup_has_no_shuffle(spark):
+    from lexiflow.session import scratch_path
+    docs = rows(spark, [(i, f"w{i % 31} w{i % 7} shared") for i in range(300)], "doc_id long, text string")
+    toks = TK.tokenize(docs)
+    vocab = V.build_vocab(toks)
+    bt = FS.save_bucketed(toks, "tok_bucketed", "word", 8, scratch_path(spark, "tok-b"))
+    bv = FS.save_bucketed(vocab, "vocab_bucketed", "word", 8, scratch_path(spark, "voc-b"))
+    joined = bt.join(bv.select("word", "idx").hint("merge"), "word")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = sorted(map(tuple, V.lookup(toks, vocab).select("doc_id", "pos", "word", "idx").collect()))
+    assert sorted(map(tuple, joined.select("doc_id", "pos", "word", "idx").collect())) == want
