@@ -51,3 +51,22 @@ def test_dictionary_match_both_paths(spark):
                 if len(w) == ln and w in {"ab", "abc", "bc"}:
                     want.append((d, s, w))
     assert got == sorted(want)
+
+
+def test_stop_words_list_and_table(spark):
+    df = rows(spark, [(0, "the cat and the dog")], "doc_id long, text string")
+    toks = TK.tokenize(df)
+    by_list = [r.word for r in TK.remove_stop_words(toks, ["the", "and"]).orderBy("pos").collect()]
+    stop = rows(spark, [("the",), ("and",)], "w string")
+    by_table = [r.word for r in TK.remove_stop_words(toks, stop).orderBy("pos").collect()]
+    assert by_list == by_table == ["cat", "dog"]
+
+
+def test_ngrams_short_texts(spark):
+    from pyspark.sql import functions as F
+    from lexiflow.functions import text as T
+    df = rows(spark, [(0, "a b c d"), (1, "a b"), (2, "")], "doc_id long, text string")
+    g = TK.ngrams(TK.with_tokens(df), 3).groupBy("doc_id").agg(F.collect_list("ngram").alias("g"))
+    got = {r.doc_id: sorted(r.g) for r in g.collect()}
+    assert got == {0: ["a b c", "b c d"]}
+    assert df.select(F.size(T.word_ngrams(T.tokens_of("text"), 3))).collect()[2][0] == 0

@@ -91,3 +91,13 @@ def test_bucketed_lookup_has_no_shuffle(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     want = sorted(map(tuple, V.lookup(toks, vocab).select("doc_id", "pos", "word", "idx").collect()))
     assert sorted(map(tuple, joined.select("doc_id", "pos", "word", "idx").collect())) == want
+
+
+def test_read_nested_token_json(spark, tmp_out):
+    p = os.path.join(tmp_out, "pip.txt")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write('["{\\"word\\":\\"中国\\",\\"index\\":0.0}","{\\"word\\":\\"是\\",\\"index\\":1.0}"]\n')
+        f.write('["{\\"word\\":\\"我\\",\\"index\\":9.0}"]\n')
+    back = FS.read_token_json(spark, p)
+    got = sorted((r.word, r["index"], r.item_no) for r in back.collect())
+    assert got == [("中国", 0.0, 0), ("我", 9.0, 0), ("是", 1.0, 1)]
