@@ -213,7 +213,7 @@ ORACLE["example_cells"] = f"SELECT * FROM ({ORACLE['example_cells']}) WHERE valu
 _TOKID = f"""{VOCAB_CTE},
 tid AS (SELECT d.doc_id, d.pos, d.word, v.idx FROM dtok d JOIN vocab v ON d.word = v.word)"""
 register("token_json", f"""WITH {_TOKID}
-SELECT doc_id, to_json(list(CAST(to_json({{'word': word, 'index': idx}}) AS VARCHAR) ORDER BY pos)) AS json
+SELECT doc_id, CAST(to_json(list(CAST(to_json({{'word': word, 'index': idx}}) AS VARCHAR) ORDER BY pos)) AS VARCHAR) AS json
 FROM tid GROUP BY doc_id""")
 register("token_json_roundtrip", f"WITH {VOCAB_CTE} SELECT word, CAST(idx AS DOUBLE) AS index FROM vocab")
 
@@ -252,7 +252,7 @@ SELECT c.doc_id, c.chunk, c.pos, c.ch, s.char_id FROM chars c JOIN cs s ON c.ch
 register("char_pairs", f"WITH {_CHAR_CTE} SELECT doc_id, chunk, pos, ch, next_ch FROM pairs")
 register("one_hot_chars", f"""WITH {_CHAR_CTE},
 cs AS (SELECT CAST(unnest(range(77)) AS INTEGER) AS char_id, unnest({_CHARSET_LIST}) AS ch)
-SELECT p.doc_id, p.chunk, 'features' AS tensor, a.char_id, p.pos, 1.0 AS value
+SELECT p.doc_id, p.chunk, 'features' AS tensor, a.char_id, p.pos, CAST(1.0 AS DOUBLE) AS value
 FROM pairs p JOIN cs a ON p.ch = a.ch JOIN cs b ON p.next_ch = b.ch
 UNION ALL
 SELECT p.doc_id, p.chunk, 'labels', b.char_id, p.pos, 1.0
