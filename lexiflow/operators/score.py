@@ -116,3 +116,13 @@ def confusion(predictions: DataFrame, label: str = "label_id", pred: str = "clas
     """Long-form confusion counts ``(label_id, pred_id, n)``."""
     return (predictions.groupBy(F.col(label).alias("label_id"), F.col(pred).alias("pred_id"))
                        .agg(F.count(F.lit(1)).alias("n")))
+
+
+def score_segments(matches: DataFrame, model: DataFrame, num_classes: int,
+                   key: str = "doc_id", reduction: str = "mean") -> DataFrame:
+    """T05 for unspaced text: the dictionary matches of P20 ``(key, start,
+    word)`` are the steps (in start order), then J06 -> A06 -> W02 as for
+    blank-separated text.  Texts without any match get no prediction."""
+    steps = matches.select(key, F.col("start").alias("pos"), "word")
+    reduced = reduce_steps(step_scores(steps, model, num_classes), num_classes, [key], reduction)
+    return predict(reduced, [key])

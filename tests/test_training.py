@@ -105,3 +105,17 @@ def test_train_job_from_lines(spark, tmp_out):
     assert res["n_test"] > 0 and res["accuracy"] == 1.0
     rej = {r.reason for r in spark.read.parquet(os.path.join(tmp_out, "out", "rejected_lines")).collect()}
     assert rej == {"label_only", "unknown_label", "empty"}
+
+
+def test_score_unspaced_text(spark):
+    from lexiflow.operators import tokens as TK
+    from lexiflow.operators import train as TR2
+    lab = rows(spark, [(i, "中国 人 生活" if i % 2 else "今天 天气 好", i % 2) for i in range(20)],
+               "doc_id long, text string, label_id int")
+    model = TR2.train_counted(lab, 2)
+    dic = TK.tokenize(lab).select("word")
+    queries = rows(spark, [(100, "我是中国人"), (101, "今天天气很好"), (102, "没有")],
+                   "doc_id long, text string")
+    matches = TK.match_dictionary(queries, dic, 1, 2)
+    got = {r.doc_id: r.class_id for r in S.score_segments(matches, model, 2).collect()}
+    assert got == {100: 1, 101: 0}
