@@ -101,3 +101,24 @@ def test_read_nested_token_json(spark, tmp_out):
     back = FS.read_token_json(spark, p)
     got = sorted((r.word, r["index"], r.item_no) for r in back.collect())
     assert got == [("中国", 0.0, 0), ("我", 9.0, 0), ("是", 1.0, 1)]
+
+
+def test_widen_only_narrow_scans(spark, tmp_out):
+    from lexiflow.sources.tables import widen
+    target = spark.sparkContext.defaultParallelism * 2
+    narrow = rows(spark, [(i, "x") for i in range(50)], "doc_id long, text string").coalesce(1)
+    w = widen(narrow, "doc_id")
+    assert w.rdd.getNumPartitions() == target
+    p = os.path.join(tmp_out, "wide")
+    rows(spark, [(i, "x") for i in range(400)], "doc_id long, text string") \
+        .repartition(target + 4).write.parquet(p)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")   # one split per small file
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        wide = spark.read.parquet(p)
+        assert wide.rdd.getNumPartitions() >= target
+        assert widen(wide) is wide      # left untouched: no shuffle added
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
