@@ -9,18 +9,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import itq, simhash
 from .common import table
 from .packing import pack, token_pieces
 from .records import read_records, write_records
 from .token_counts import count_tokens
+from .topk import top_k
 from .transducer import build_lexicon, encode
 
 
+def op2_itq_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    # Not finite: no integer, so the row takes no part.
+    part = lambda x: F.when(F.abs(x.cast("double")) < float("inf"), F.floor(x.cast("double") * 1024))
+    whole = rows.select("vec_id", F.transform("embedding", part).alias("embedding"))
+    return top_k(whole.where("vec_id % 100 = 0"), whole, k=10)
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, tau=4)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -40,4 +58,5 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op6_token_counts, op8_bpe_transducer, op9_binary_records)}
+    f.__name__: f for f in (op2_itq_embedding_dedup, op3_best_fit_packing, op4_exact_top_k, op5_simhash_dedup,
+                                       op6_token_counts, op8_bpe_transducer, op9_binary_records)}

@@ -1,3 +1,41 @@
 """DuckDB SQL of the training-data queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+# Cosines of all pairs of a label; components by walking the links.
+OP2 = """
+with recursive v as (
+  select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, x -> x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+walk as (
+  select vec_id as a, vec_id as b from v
+  union select w.a, l.b from walk w join links l on l.a = w.b),
+low as (select a, min(b) as component_id from walk group by a),
+n as (select a, count(*) as n from links group by a)
+select e.vec_id, coalesce(n.n, 0) as n_links, coalesce(low.component_id, e.vec_id) as component_id,
+  e.vec_id = coalesce(low.component_id, e.vec_id) as kept
+from embeddings e left join low on low.a = e.vec_id left join n on n.a = e.vec_id
+"""
+
+# Integer scores of every query against every other row.
+OP4 = """
+with v as (
+  select vec_id, list_transform(embedding, x -> floor(x::double * 1024)::bigint) as e from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_itq_embedding_dedup": OP2, "op4_exact_top_k": OP4}
