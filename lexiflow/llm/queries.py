@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import itq, simhash
+from . import itq, quality, simhash
 from .common import table
+from .line_dedup import dedup_lines
 from .packing import pack, token_pieces
 from .records import read_records, write_records
 from .token_counts import count_tokens
@@ -18,6 +19,10 @@ from .topk import top_k
 from .transducer import build_lexicon, encode
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_itq_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -43,6 +48,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -58,5 +68,6 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_itq_embedding_dedup, op3_best_fit_packing, op4_exact_top_k, op5_simhash_dedup,
-                                       op6_token_counts, op8_bpe_transducer, op9_binary_records)}
+    f.__name__: f for f in (
+        op1_line_dedup, op2_itq_embedding_dedup, op3_best_fit_packing, op4_exact_top_k, op5_simhash_dedup,
+        op6_token_counts, op7_quality_ftrl, op8_bpe_transducer, op9_binary_records)}

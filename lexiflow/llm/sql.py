@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
+# Chunks of lines that end at local minima of a rolling hash of two lines; the
+# first occurrence of each chunk of two lines or more stays.
+OP1 = """
+with l as (
+  select doc_id, unnest(string_split(text, chr(10))) as line,
+    generate_subscripts(string_split(text, chr(10)), 1) - 1 as i
+  from documents where text is not null),
+h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as h, count(*) over (partition by doc_id) as n from l),
+r as (select *, (h + 31 * coalesce(lag(h) over w, 0)) % 1000003 as r from h window w as (partition by doc_id order by i)),
+e as (
+  select *, i between 1 and n - 3 and r < lag(r) over w and r < lead(r) over w as last_line
+  from r window w as (partition by doc_id order by i)),
+c as (
+  select *, coalesce(sum(last_line::int) over (
+    partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as chunk from e),
+b as (
+  select doc_id, chunk, min(i) as start, count(*) as lines, string_agg(line, chr(10) order by i) as body
+  from c group by doc_id, chunk),
+k as (select *, lines < 2 or row_number() over (partition by body order by doc_id, start) = 1 as stays from b),
+t as (
+  select doc_id, coalesce(string_agg(body, chr(10) order by start) filter (where stays), '') as text,
+    coalesce(sum(lines) filter (where not stays), 0)::int as removed_lines
+  from k group by doc_id)
+select d.doc_id, t.text, d.lang, d.source, length(t.text)::bigint as n_chars, coalesce(t.removed_lines, 0) as removed_lines
+from documents d left join t using (doc_id)
+"""
+
 # Cosines of all pairs of a label; components by walking the links.
 OP2 = """
 with recursive v as (
-  select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
   where label is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (
   select a.vec_id as a, b.vec_id as b from v a join v b
     on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
@@ -26,16 +53,17 @@ from embeddings e left join low on low.a = e.vec_id left join n on n.a = e.vec_i
 # Integer scores of every query against every other row.
 OP4 = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(x::double * 1024)::bigint) as e from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as e from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
 scored as (
   select q.vec_id as query_id, c.vec_id,
-    list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::bigint as score
+    list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint as score
   from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
 ranked as (
   select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op2_itq_embedding_dedup": OP2, "op4_exact_top_k": OP4}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1, "op2_itq_embedding_dedup": OP2, "op4_exact_top_k": OP4}
