@@ -146,8 +146,20 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
     stay rows of their own (a null key is not held out); an empty table gives an
     empty result; further columns are not read.
     """
-    spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(weights)           # of a fixed size
+    out = _scored(docs.select(f"`{key}`", f"`{text}`"), weights, [key], text)
+    return out.select(f"`{key}`", held_out(key).alias("held_out"), F.col("__score").alias("score"),
+                      (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accept(docs: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns.
+    Nulls, empty tables and repeated rows: as in ``score``."""
+    return _scored(docs, weights, docs.columns, text).where(F.col("__score") >= least).drop("__score")
+
+
+def _scored(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(weights)   # of a fixed size
+    fields = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
 
     def make(texts: pa.Array) -> dict[str, object]:
         w = shared.value
@@ -155,8 +167,6 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
         total = np.concatenate(([0.0], np.cumsum(w[grams])))
         stop = np.cumsum(counts)
         mean = (total[stop] - total[stop - counts]) / np.maximum(counts, 1)
-        return {"score": pa.array(sigmoid(mean * SCALE + w[-1]))}
+        return {"__score": pa.array(sigmoid(mean * SCALE + w[-1]))}
 
-    out = map_texts(docs, [key], text, f"`{key}` {kind}, score double", make)
-    return out.select(f"`{key}`", held_out(key).alias("held_out"), "score",
-                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return map_texts(docs, keep, text, ", ".join([*fields, "__score double"]), make)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import itq, quality, simhash
+from . import html_extract, itq, quality, simhash
 from .common import table
 from .line_dedup import dedup_lines
 from .packing import pack, token_pieces
@@ -19,6 +19,12 @@ from .topk import top_k
 from .transducer import build_lexicon, encode
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Each document's pieces of at most 2048 ids and where they are packed; the ids by their checksum."""
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), width=2048)
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), width=2048)
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -28,8 +34,7 @@ def op2_itq_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packed(table(spark, sf_dir, "documents"))
 
 
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +72,13 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_html_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_itq_embedding_dedup, op3_best_fit_packing, op4_exact_top_k, op5_simhash_dedup,
-        op6_token_counts, op7_quality_ftrl, op8_bpe_transducer, op9_binary_records)}
+        op6_token_counts, op7_quality_ftrl, op8_bpe_transducer, op9_binary_records,
+        op10_html_trees)}

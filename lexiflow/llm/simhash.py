@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import Links, compare_buckets
@@ -48,15 +48,15 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp)``: fingerprints as signed longs; null texts have no words."""
-    kind = docs.schema[key].dataType.simpleString()
+def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 4, text: str = "text") -> DataFrame:
+    """``(*keep, fp)``: fingerprints as signed longs; null texts have no words."""
+    fields = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
 
     def make(texts: pa.Array) -> dict[str, object]:
         fp = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
         return {"fp": pa.array(fp.view(np.int64))}
 
-    return map_texts(docs, [key], text, f"`{key}` {kind}, fp bigint", make)
+    return map_texts(docs, keep, text, ", ".join([*fields, "fp bigint"]), make)
 
 
 def ring(tau: int) -> list[tuple[int, int]]:
@@ -140,12 +140,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, tau: int = 4, key: str =
     (then null); repeated rows stay; an empty table gives an empty result;
     further columns are not read.
     """
-    found = cut_lineage(fingerprints(docs, shingle, key, text).withColumnRenamed(key, "k"))
-    nodes = cut_lineage(found.groupBy("fp").agg(F.min("k").alias("low")))
+    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
+    found = cut_lineage(fingerprints(rows, ["k"], shingle, "t"))
+    named = _components(found, tau, F.col("k")).withColumnRenamed("low", "component_id")
+    return found.join(named, "fp").select(
+        F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(found: DataFrame, tau: int, smallest: Column) -> DataFrame:
+    """``(fp, low)``: the minimum of ``smallest`` over each fingerprint's component."""
+    nodes = cut_lineage(found.groupBy("fp").agg(F.min(smallest).alias("low")))
     roots = components(links(nodes.select("fp"), tau))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
-    low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(low, "root").select("fp", "component_id")
-    return found.join(named, "fp").select(
-        F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    low = named.groupBy("root").agg(F.min("low").alias("low"))
+    return named.select("fp", "root").join(low, "root").select("fp", "low")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, tau: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest
+    (key, hash of the text), where null keys come first; of rows that repeat
+    each other in key and text, one.  Otherwise as ``near_duplicates``."""
+    rows = docs.withColumn("__h", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    ids = rows.select(F.col(f"`{key}`").alias("k"), F.col("__h").alias("h"), F.col(f"`{text}`").alias("t"))
+    found = cut_lineage(fingerprints(ids, ["k", "h"], shingle, "t"))
+    first = _components(found, tau, F.struct("k", "h")).groupBy("low").agg(F.count(F.lit(1)).alias("n"))
+    first = first.select(F.col("low.k").alias("__k"), F.col("low.h").alias("__g"))
+    return (rows.dropDuplicates([key, "__h"])
+            .join(first, F.col(f"`{key}`").eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__g")), "left_semi")
+            .drop("__h"))
