@@ -193,7 +193,7 @@ class Bpe:
         """
         odd = pc.match_substring(texts, "<|")
         if self.lower:
-            odd = pc.or_(odd, pc.match_substring_regex(texts, r"[ΣİK\x02]"))
+            odd = pc.or_(odd, pc.match_substring_regex(texts, r"[ΣİK\x02\x0b\x{85}" + _OTHER_BLANKS + "]"))
             odd = pc.or_(odd, pc.match_substring_regex(texts, _newer_class()))
             normal = [t.isascii() or unicodedata.is_normalized("NFC", t) for t in texts.to_pylist()]
             odd = pc.or_(odd, pc.invert(pa.array(normal, pa.bool_())))
@@ -245,11 +245,11 @@ class Bpe:
 
 
 # White space that Unicode knows beside blank, line break and ASCII's.
-_OTHER_BLANKS = r"\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_OTHER_BLANKS = r"\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 _WHITE = " \t\n\x0b\x0c\r\x85" + "".join(
-    chr(c) for c in [0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+    chr(c) for c in [0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 
 
 @functools.cache

@@ -11,6 +11,7 @@ UNSEEN = set("head title script style noscript template svg math iframe object s
 RAW = set("script style textarea title noscript template iframe".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
              "strong sub sup time tt u var wbr img br input button select textarea".split())
+QUIET = INLINE | UNSEEN                               # these break no block
 ITEMS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("html body article main section div aside nav header footer form table ul ol dl td th blockquote".split())
@@ -38,7 +39,7 @@ class Page:
 
     def _open(self, tag: str, raw: str) -> None:
         stack = self._stack
-        if tag not in INLINE and tag not in VOID:    # a block ends an open paragraph, with what is in it
+        if tag not in QUIET and tag not in VOID:    # a block ends an open paragraph, with what is in it
             self._end("p", SCOPES)
         if tag in ITEMS:
             for name in ITEMS[tag]:
@@ -56,7 +57,7 @@ class Page:
         self.words.append(tuple(words))
         self.given.append(given)
         self.own.append(0)
-        if tag not in INLINE:
+        if tag not in QUIET:
             self.events.append(None)
         if tag == "br":
             self.events.append((stack[-1], " "))
@@ -69,7 +70,7 @@ class Page:
         for i in range(len(stack) - 1, 0, -1):
             name = self.tag[stack[i]]
             if name == tag:
-                if any(self.tag[s] not in INLINE for s in stack[i:]):
+                if any(self.tag[s] not in QUIET for s in stack[i:]):
                     self.events.append(None)
                 del stack[i:]
                 return

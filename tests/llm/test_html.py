@@ -1,0 +1,135 @@
+"""HTML extraction: the parser, the trees, decoding, and held-out pages."""
+
+import pickle
+import random
+from itertools import product
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lexiflow.llm import html_extract as H
+from lexiflow.llm.html_dom import Page
+from lexiflow.llm.trees import Boosted
+from tests.conftest import SF01
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return [r.html for r in spark.read.parquet(f"{SF01}/pages.parquet").orderBy("page_id").collect()]
+
+
+@pytest.fixture(scope="module")
+def model(given):
+    return H.fit(given[:120])
+
+
+def plain_text(html):
+    """Everything that the parser sees, outside the head."""
+    page = Page(html)
+    return page.text([t not in H.UNSEEN and not hidden(page, i) for i, t in enumerate(page.tag)])
+
+
+def hidden(page, i):
+    while i > 0:
+        if page.tag[i] in H.UNSEEN:
+            return True
+        i = page.parent[i]
+    return False
+
+
+@pytest.mark.parametrize("html, text", [
+    ("", ""), ("plain &amp; simple", "plain & simple"), ("<p>a<p>b", "a\nb"), ("<p>a <b>b<br>c</b>\n\t d</p>e", "a b c d\ne"),
+    ("<ul><li>a<li>b</ul>c", "a\nb\nc"), ("<div>a<!-- x > y -->b</div", "ab"), ("a<script>var x='</p>';</script>b", "ab"),
+    ("<style>p{}</style><p title='a > b'>t &eacute;&#8364;&nbsp;x", "t é€ x"), ("<p>1 < 2 &am", "1 < 2 &am"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("x</div></p>y<div", "xy"), ("<p><b>a<br><p>b</article>c", "a\nbc"),
+    ("<script>never ends", ""), ("<a title=\"open>x</a>", "x"), ("<P CLASS=x>A</P>", "A"), ("a<b", "a")])
+def test_parsing(html, text):
+    assert plain_text(html) == text
+
+
+def test_deep_and_long_pages():
+    assert plain_text("<div>" * 3000 + "x" + "</div>" * 3000) == "x"
+    assert plain_text("<p>word </p>" * 20_000).count("\n") == 19_999
+    H.main_texts(["<div>" * 3000 + "x"], None)
+
+
+def test_decoding_is_the_best_consistent_choice():
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        n = int(rng.integers(2, 9))
+        parent = np.array([0, *(int(rng.integers(0, i)) for i in range(1, n))])
+        depth = np.zeros(n, int)
+        for i in range(1, n):
+            depth[i] = depth[parent[i]] + 1
+        odds = rng.normal(0, 2, n).clip(-5, 5)
+        best = max(sum(odds[i] for i in range(1, n) if keep[i]) for keep in product([0, 1], repeat=n)
+                   if keep[0] and all(not keep[i] or keep[parent[i]] for i in range(1, n)))
+        kept = H.decode(odds, parent, depth)
+        assert all(kept[parent[i]] for i in range(1, n) if kept[i])
+        assert abs(odds[1:][kept[1:]].sum() - best) < 1e-9
+
+
+def test_trees_learn_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 16, (3000, 5)).astype(np.uint8)
+    x[:, 4] &= 1
+    y = ((x[:, 0] > 7) ^ (x[:, 4] > 0)).astype(float)
+    found = Boosted(trees=20, depth=3).fit(x[:2000], y[:2000]).predict(x[2000:]) > 0
+    assert (found == (y[2000:] > 0)).mean() > 0.97
+
+
+def test_held_out_pages(given, model):
+    right = 0
+    for html, text in zip(given[120:], H.main_texts(given[120:], model), strict=True):
+        page = Page(html)
+        right += text == page.text(H._inside(page).tolist())
+    assert right >= 0.98 * len(given[120:])
+
+
+def test_held_out_variants(given, model):
+    rng, right, total = random.Random(11), 0, 0
+    for html in given[120:220]:
+        page = Page(html)
+        texts = [t for t in page.text(H._inside(page).tolist()).split("\n") if t]
+        if texts:
+            made = H.variant(texts[:8], ["Home news sport", "Nicht für alle"], rng)
+            own = Page(made)
+            right += H.main_texts([made], model) == [own.text(H._given(own).tolist())]
+            total += 1
+    assert right >= 0.9 * total
+
+
+def test_parts_that_are_not_the_article(model):
+    html = ("<html><body><header>Site name</header><nav><a href=/>Home</a></nav><div class=cookie-notice><p>We use cookies."
+            "</p></div><article><h1>Title</h1><p>Long enough text of the article itself, with words.</p><p>And some more of "
+            "it &mdash; the end.</p></article><aside class=sidebar><p>Other things to read</p></aside>"
+            "<form><input>Subscribe now</form><footer>&copy; us</footer></body></html>")
+    assert H.main_texts([html], model) == [
+        "Title\nLong enough text of the article itself, with words.\nAnd some more of it — the end."]
+
+
+def test_the_query_rows(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    rows = H.extract(pages, H.train(pages)).collect()
+    assert len(rows) == pages.count()
+    htmls = {r.page_id: r.html for r in pages.collect()}
+    right = 0
+    for r in rows:
+        page = Page(htmls[r.page_id])
+        right += r.text == page.text(H._inside(page).tolist())
+        assert r.n_chars == len(r.text)
+    assert right >= 0.98 * len(rows)
+
+
+def test_edge_rows(spark):
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "just text"), (3, "u", "just text"), (None, "u", "<p>" + "word " * 30_000),
+            (4, "u", "<nav>menu</nav><p>text")]
+    pages = spark.createDataFrame([(*r, "x", 7) for r in rows],
+                                  "page_id long, url string, html string, text string, n_chars int")
+    assert pickle.loads(H.train(pages)) is None      # no article to learn from: names alone decide
+    got = {(r.page_id, r.text[:9], r.n_chars) for r in H.extract(pages, H.train(pages)).collect()}
+    assert got == {(1, "", 0), (2, "", 0), (3, "just text", 9), (None, "word word", 149_999), (4, "text", 4)}
+    none = pages.where("1 = 0")
+    assert H.extract(none, H.train(none)).count() == 0
+    assert H.extract(pages, H.train(pages)).where(F.col("page_id") == 3).count() == 2

@@ -1,0 +1,87 @@
+"""The pipeline against a plain version of its stages, and the registration."""
+
+import re
+
+import corpus_pipeline
+import public_tokenizers
+import pyarrow as pa
+import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
+from lexiflow.llm import quality
+from lexiflow.llm.encode import encoder
+from tests.conftest import SF001
+
+from .test_dups import plain_fingerprint, roots
+from .test_tokens import check_packing
+
+
+def plain_line_dedup(docs):
+    """docs: {doc_id: text}; chunks by the rule, the first occurrence stays."""
+    import hashlib
+    seen, out = set(), {}
+    for i in sorted(docs):
+        if docs[i] is None:
+            out[i] = None
+            continue
+        lines = docs[i].split("\n")
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        r = [(b + 31 * a) % 1_000_003 for a, b in zip([0, *h], h)]  # noqa: B905
+        ends = [j for j in range(1, len(lines) - 2) if r[j] < r[j - 1] and r[j] < r[j + 1]]
+        kept = []
+        for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(lines) - 1], strict=True):
+            body = "\n".join(lines[a:b + 1])
+            if b == a or body not in seen:
+                kept.append(body)
+            if b > a:
+                seen.add(body)
+        out[i] = "\n".join(kept)
+    return out
+
+
+def test_stages_equal_a_plain_version(spark):
+    docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    good = quality.score(docs, quality.train(docs, labels)).where("predicted = 1")
+    texts = {r.doc_id: texts[r.doc_id] for r in good.collect()}
+    texts = plain_line_dedup(texts)
+    ids = sorted(texts)
+    fps = [plain_fingerprint(texts[i]) for i in ids]
+    groups = roots(len(ids), [(a, b) for a in range(len(ids)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4])
+    left = [(ids[i], texts[ids[i]]) for i, g in enumerate(groups) if i == g]
+    assert 0 < len(left) < docs.count()
+    places = check_packing(corpus_pipeline.run(spark, SF001).collect(), left, 2048)
+    n = encoder(public_tokenizers.path("word_bpe_49k.json")).encode(pa.array([t for _, t in left]))[1].sum() + len(left)
+    assert len(places) <= 1.02 * n / 2048 + 2
+
+
+def test_stages_pass_all_columns_and_odd_rows(spark, edge, nothing):
+    for docs in (edge, nothing):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF001)
+            assert out.columns == docs.columns
+            assert [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+            out.collect()
+        corpus_pipeline.STAGES[-1][1](spark, docs, SF001).collect()
+
+
+def test_clean_documents_stay(spark):
+    docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
+    kept = corpus_pipeline.quality_filter(spark, docs, SF001)
+    good = labels.where("quality = 1").join(docs, "doc_id")
+    assert good.join(kept, "doc_id", "left_anti").count() <= 0.02 * good.count()
+    bad = labels.where("quality = 0").join(kept, "doc_id")
+    assert bad.count() <= 0.1 * labels.where("quality = 0").count()
+
+
+def test_registration():
+    names = entry.queries()
+    numbers = {int(m[1]) for m in map(re.compile(r"op(\d+)_").match, names) if m}
+    assert numbers == set(range(1, 11)) and "pipeline" in names
+    assert set(entry.oracle_sql()) <= set(names)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_filter", "line_dedup", "simhash_dedup", "best_fit_packing"]
+
+
+def test_entry_queries_run_on_the_smallest_tables(spark):
+    for name in ("op1_line_dedup", "op2_itq_embedding_dedup", "op4_exact_top_k", "op6_token_counts"):
+        assert entry.queries()[name](spark, SF001).agg(F.count(F.lit(1))).first()[0] > 0
