@@ -11,14 +11,16 @@ from .common import cut_lineage
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction.  Large: neighbours above a node move to its smallest
     neighbour.  Small: a node and its smaller neighbours move to the smallest.
-    The minimum is a partial aggregate and the way back a join, so that a node
-    with very many links is neither collected nor bound to one task."""
+    The minimum is a partial aggregate and the way back a join that AQE can
+    split, so that a node with very many links is neither collected nor bound to
+    one task."""
     if large:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    met = both.join(low, "a")
+    # Dealt out anew, so that the join has shuffles of its own, whose skewed partitions AQE splits.
+    met = both.join(low.hint("rebalance"), "a")
     if large:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

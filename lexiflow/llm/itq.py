@@ -155,7 +155,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, key: str = "vec_id
              .select("l", "v", "low", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
                      F.coalesce("root", "node").alias("root")))
     low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.join(low, "root").select("l", "v", "n_links", "component_id")
+    # The small side is dealt out anew: then AQE can split the partition of a large component.
+    named = named.join(low.hint("rebalance"), "root").select("l", "v", "n_links", "component_id")
     linked = given.where("ok").join(named, ["l", "v"]).select("k", "n_links", "component_id")
     alone = given.where(~F.col("ok")).select("k", F.lit(0).cast("long").alias("n_links"), F.col("k").alias("component_id"))
     out = linked.unionByName(alone)

@@ -154,7 +154,8 @@ def _components(found: DataFrame, tau: int, smallest: Column) -> DataFrame:
     named = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     low = named.groupBy("root").agg(F.min("low").alias("low"))
-    return named.select("fp", "root").join(low, "root").select("fp", "low")
+    # The small side is dealt out anew: then AQE can split the partition of a large component.
+    return named.select("fp", "root").join(low.hint("rebalance"), "root").select("fp", "low")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, tau: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
