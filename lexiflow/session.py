@@ -6,12 +6,11 @@ DataFrames out.  The helpers only read settings from the active session.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "lexiflow",
@@ -19,22 +18,23 @@ def build_session(master: str | None = None, app: str = "lexiflow",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings this library is tuned for.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; locally the
-    default is ``local[8]``.  AQE stays on so joins switch between broadcast and
-    sort-merge on runtime sizes and skewed join partitions are split.
+    The master is set only where it is given; otherwise spark-submit or the
+    cluster's own settings decide.  AQE stays on, so that joins pick broadcast or
+    sort-merge by run-time bytes and skewed join partitions are split.
+    Checkpoints whose table is no longer referenced are deleted by Spark.
     """
     b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or "local[8]")
+    if master:
+        b = b.master(master)
     conf = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -49,8 +49,9 @@ def build_session(master: str | None = None, app: str = "lexiflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only a local
-    master without that setting (tests, laptops) gets a fresh temporary folder.
+    Read from ``spark.checkpoint.dir`` (the cluster names it).  Where that is
+    unset, a folder inside the warehouse, which all executors share as well;
+    never a machine's own temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,10 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; a cluster run needs a shared folder")
-        configured = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -78,19 +76,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Largest lookup table (rows) that is broadcast to every task.
-BROADCAST_ROWS = 1_000_000
-
-
-def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a large table with a lookup table whose size is checked first.
-
-    ``small`` should be materialised (checkpointed or read from files) so the
-    count is cheap.  Up to ``max_rows`` rows it is broadcast; beyond that the
-    join is a sort-merge join on the key (AQE splits skewed key partitions).
-    The large side is never broadcast, whatever the static estimate says.
-    """
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small.hint("merge"), on, how)
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new path under the shared folder, removed when the block ends."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -20,13 +20,13 @@ from ..operators import score as S
 def score_stream(stream: DataFrame, model: DataFrame, num_classes: int, out_path: str,
                  checkpoint: str, key: str = "doc_id", keep: Sequence[str] = ("label_id",),
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, classes: Sequence[str] | None = None) -> StreamingQuery:
     """Start the scoring stream; with ``available_now`` it stops when the input
-    present at start has been processed."""
+    present at start has been processed.  ``classes`` adds the label."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = prepare(df) if prepare else df
-        preds = S.score(rows, model, num_classes, key=key, keep=keep)
+        preds = S.score(rows, model, num_classes, key=key, keep=keep, classes=classes)
         preds.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

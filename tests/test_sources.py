@@ -10,6 +10,8 @@ from lexiflow.operators import vocab as V
 from lexiflow.sources import files as FS
 from lexiflow.sources.files import rows
 
+from .conftest import SF001
+
 
 def test_read_lines(spark, tmp_out):
     p = os.path.join(tmp_out, "lines.txt")
@@ -72,7 +74,7 @@ def test_model_store(spark, tmp_out):
     p = os.path.join(tmp_out, "m")
     FS.save_model(m, p)
     assert FS.load_model(spark, p).count() == m.count()
-    pm = TR.train_linear(docs, TrainConf(epochs=3))
+    pm = TR.train_linear(docs, 2, TrainConf(epochs=3))
     p2 = os.path.join(tmp_out, "pm")
     FS.save_model(pm, p2)
     loaded = FS.load_model(spark, p2, pipeline=True)
@@ -103,22 +105,36 @@ def test_read_nested_token_json(spark, tmp_out):
     assert got == [("中国", 0.0, 0), ("我", 9.0, 0), ("是", 1.0, 1)]
 
 
-def test_widen_only_narrow_scans(spark, tmp_out):
-    from lexiflow.sources.tables import widen
-    target = spark.sparkContext.defaultParallelism * 2
-    narrow = rows(spark, [(i, "x") for i in range(50)], "doc_id long, text string").coalesce(1)
-    w = widen(narrow, "doc_id")
-    assert w.rdd.getNumPartitions() == target
-    p = os.path.join(tmp_out, "wide")
-    rows(spark, [(i, "x") for i in range(400)], "doc_id long, text string") \
-        .repartition(target + 4).write.parquet(p)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")   # one split per small file
-    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+def test_scans_are_shuffled_only_where_asked(spark):
+    from lexiflow.sources.tables import SCAN_PARTITIONS, table
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(table(spark, SF001, "conversations"))
+    wide = table(spark, SF001, "conversations", partitions=6)
+    assert "Exchange" in plan(wide) and wide.rdd.getNumPartitions() == 6
+    spark.conf.set(SCAN_PARTITIONS, "5")
     try:
-        wide = spark.read.parquet(p)
-        assert wide.rdd.getNumPartitions() >= target
-        assert widen(wide) is wide      # left untouched: no shuffle added
+        assert table(spark, SF001, "documents").rdd.getNumPartitions() == 5
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset(SCAN_PARTITIONS)
+
+
+def test_tsv_with_a_key(spark, tmp_out):
+    p = os.path.join(tmp_out, "k.tsv")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("a\tx\nb\ty\n")
+    assert [tuple(r) for r in FS.read_labelled_tsv(spark, p, key="id").collect()] == [(0, "a", "x"), (1, "b", "y")]
+
+
+def test_scratch_is_removed(spark):
+    from lexiflow.session import scratch
+    with scratch(spark, "t") as path:
+        rows(spark, [(1,)], "a int").write.parquet(path)
+        assert spark.read.parquet(path).count() == 1
+    assert not os.path.exists(path.removeprefix("file:").replace("//", "/"))
+
+
+def test_session_takes_the_master_from_outside(spark):
+    from lexiflow.session import build_session, checkpoint_root
+    assert build_session().sparkContext.master == "local[4]"
+    assert spark.conf.get("spark.checkpoint.dir").removeprefix("file://") in checkpoint_root(spark)
+    assert spark.conf.get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
