@@ -17,54 +17,52 @@ BATCH_SIZE = 36
 EPOCHS = 10
 AVERAGING_FREQUENCY = 5
 HIDDEN_SIZE = 256
-LEARNING_RATE = 0.1
 L2 = 5e-4
 NET_SEED = 1234
 CHUNK_LEN = 1000
-CHAR_BATCH = 8
 GEN_SAMPLES = 4
 GEN_STEPS = 300
 
 
 @dataclass(frozen=True)
 class TextConf:
-    """Tokenizer settings: min count, n-gram size, cleaning, stop words."""
+    """Tokenizer settings: they drive the vocabulary and the encoding of texts
+    (``operators.examples``) and the words a model is trained on (T06)."""
 
-    min_count: int = 1
-    ngram: int = 1
-    normalize: bool = True
-    use_unknown: bool = True
+    min_count: int = 1                  # words seen less often are unknown
+    ngram: int = 1                      # n-grams of words in place of words
+    normalize: bool = True              # cleaning and lower case
+    use_unknown: bool = True            # unknown words get an id; else they are dropped
     unknown_id: int = 0
     stop_words: tuple[str, ...] = ()
-    seq_len: int = SEQ_LEN
+    seq_len: int = SEQ_LEN              # width of encoded examples
 
 
 @dataclass(frozen=True)
 class TrainConf:
     """Classifier settings shared by the training operators."""
 
+    model: str = "counted"              # or "linear"
     classes: tuple[str, ...] = DEFAULT_CLASSES
-    seq_len: int = SEQ_LEN
     train_fraction: float = SPLIT_FRACTION
     seed: int = SPLIT_SEED
     split_key: str = "text"
     epochs: int = EPOCHS
+    averaging: int = AVERAGING_FREQUENCY
     batch_size: int = BATCH_SIZE
     hidden: int = HIDDEN_SIZE
-    learning_rate: float = LEARNING_RATE
     l2: float = L2
     net_seed: int = NET_SEED
-    slots: int = 2 ** 18
-    reduction: str = "mean"          # or "last_step"
+    reduction: str = "mean"             # or "last_step" (counted model)
     text: TextConf = field(default_factory=TextConf)
 
 
 @dataclass(frozen=True)
 class CharConf:
-    """Character-model settings."""
+    """Character-model settings: they drive chunks, pairs and generation."""
 
     chunk_len: int = CHUNK_LEN
-    drop_last_pair: bool = True
+    keep_tail: bool = True              # False: the loop's bounds, which lose each text's end
     samples: int = GEN_SAMPLES
     steps: int = GEN_STEPS
     seed: int = 12345

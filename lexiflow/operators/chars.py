@@ -1,6 +1,6 @@
 """Character-level preparation.
 
-chunks -> characters -> next-character pairs -> transition counts.  All of it
+texts -> chunks and characters; texts -> next-character pairs -> transition counts.  All of it
 is per-row array work (no shuffle) until the counts; the only join is with the
 77-row character table, which is a fixed-size broadcast.
 """
@@ -20,15 +20,17 @@ def filter_charset(df: DataFrame, text: str = "text", out: str = "text") -> Data
 
 
 def chunk_text(df: DataFrame, length: int = CHUNK_LEN, key: str = "doc_id",
-               text: str = "text") -> DataFrame:
+               text: str = "text", keep_tail: bool = True) -> DataFrame:
     """Consecutive ``length``-character chunks ``(key, chunk, text)``.
 
-    As the reference loop (``start + length < len``): the tail is dropped and
-    so is a last chunk that ends exactly at the end, ``floor((len-1)/length)``
-    chunks per row.  The substrings are cut inside the row before exploding.
+    The last chunk of a text is as long as what is left, so the chunks of a
+    text add up to it; empty texts have none.  Without ``keep_tail`` the bounds
+    are those of the loop ``start + length < len``, which is meant for one long
+    text: ``floor((len-1)/length)`` chunks of full length.  The substrings are
+    cut inside the row before exploding.
     """
     n = F.length(text)
-    count = F.floor((n - 1) / length).cast("int")
+    count = (F.ceil(n / length) if keep_tail else F.floor((n - 1) / length)).cast("int")
     idx = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     t = F.col(text)
     pieces = F.transform(idx, lambda c: F.struct(c.alias("chunk"), t.substr(c * length + 1, F.lit(length)).alias("text")))
@@ -48,24 +50,24 @@ def encode_chars(chars: DataFrame, ch: str = "ch") -> DataFrame:
     return chars.join(F.broadcast(table), ch)
 
 
-def char_pairs(chunks: DataFrame, keys: tuple[str, ...] = ("doc_id", "chunk"),
-               text: str = "text", drop_last_pair: bool = True) -> DataFrame:
+def char_pairs(texts: DataFrame, keys: tuple[str, ...] = ("doc_id",),
+               text: str = "text", keep_tail: bool = True) -> DataFrame:
     """``keys + (pos, ch, next_ch)`` for consecutive characters.
 
-    Zipped inside the row (no window, no shuffle).  With ``drop_last_pair``
-    (the reference loop) pairs stop one short: ``n - 2`` pairs for ``n``
-    characters, none below 3 characters.
+    ``n - 1`` pairs for ``n`` characters; taken over whole texts, so no pair is
+    lost at a chunk's edge.  Without ``keep_tail`` pairs stop one short, as the
+    loop over chunks does.  Zipped inside the row (no window, no shuffle).
     """
-    arr = chunks.select(*keys, chars_of(text).alias("_a"))
+    arr = texts.select(*keys, chars_of(text).alias("_a"))
     a = F.col("_a")
-    k = F.greatest(F.lit(0), F.size(a) - (2 if drop_last_pair else 1))
+    k = F.greatest(F.lit(0), F.size(a) - (1 if keep_tail else 2))
     zipped = F.arrays_zip(F.slice(a, 1, k).alias("ch"), F.slice(a, 2, k).alias("next_ch"))
     return (arr.select(*keys, F.posexplode(zipped).alias("pos", "_p"))
                   .select(*keys, F.col("pos").cast("int").alias("pos"),
                           F.col("_p.ch").alias("ch"), F.col("_p.next_ch").alias("next_ch")))
 
 
-def one_hot_chars(pairs: DataFrame, keys: tuple[str, ...] = ("doc_id", "chunk")) -> DataFrame:
+def one_hot_chars(pairs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Sparse one-hot cells ``keys + (tensor, char_id, pos, value)``.
 
     ``features`` marks the input character at each step, ``labels`` the

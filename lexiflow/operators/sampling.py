@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..conf import GEN_STEPS, SPLIT_FRACTION, SPLIT_SEED
 from ..functions import text as T
 from ..functions.charset import CHARSET
-from ..session import cut_lineage, sized_join
+from ..session import cut_lineage
 
 SPLIT_BUCKETS = 100
 
@@ -31,24 +31,22 @@ def hash_split(df: DataFrame, fraction: float = SPLIT_FRACTION, seed: int = SPLI
             flagged.where(~F.col("_train")).drop("_train"))
 
 
-def random_split(df: DataFrame, fraction: float = SPLIT_FRACTION, seed: int = SPLIT_SEED):
-    """R01 legacy mode: Spark's ``randomSplit`` (depends on the layout)."""
-    return df.randomSplit([fraction, 1.0 - fraction], seed)
-
-
 def check_split(train: DataFrame, test: DataFrame, whole: DataFrame) -> DataFrame:
     """One row of counts; ``n_overlap``, ``n_missing`` and ``n_extra`` must be 0.
 
-    Rows are tagged by origin and grouped by their full value once: ``n_overlap``
-    counts distinct rows on both sides (``intersect``), ``n_missing`` rows of
-    ``whole`` absent from train + test and ``n_extra`` the reverse (multiset
-    differences, as ``exceptAll``).
+    Rows are tagged by origin and grouped by a digest of their full value
+    (SHA-256, taken in the scan, so that no text is shuffled): ``n_overlap``
+    counts distinct rows on both sides, ``n_missing`` rows of ``whole`` absent
+    from train + test and ``n_extra`` the reverse (multiset differences).
     """
-    cols = whole.columns
-    tagged = (whole.select(*cols, F.lit(0).alias("_src"))
-              .unionByName(train.select(*cols, F.lit(1).alias("_src")))
-              .unionByName(test.select(*cols, F.lit(2).alias("_src"))))
-    per_row = tagged.groupBy(*cols).agg(*[
+    cols = sorted(whole.columns)
+
+    def digests(df: DataFrame, src: int) -> DataFrame:
+        return df.select(F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256).alias("_row"),
+                         F.lit(src).alias("_src"))
+
+    tagged = digests(whole, 0).unionByName(digests(train, 1)).unionByName(digests(test, 2))
+    per_row = tagged.groupBy("_row").agg(*[
         F.sum((F.col("_src") == s).cast("long")).alias(f"_c{s}") for s in range(3)])
     both = F.col("_c1") + F.col("_c2")
     return per_row.agg(
@@ -98,14 +96,12 @@ def draw(requests: DataFrame, transitions: DataFrame, seed: int = 12345,
          key: str = "req_id", ctx: str = "ch") -> DataFrame:
     """R02 + J07: for each request, the first choice whose running total exceeds
     the draw ``r`` (``r < cum``), i.e. inverse-CDF sampling with integer counts.
+    A request whose context has no transition keeps its row, with nulls.
 
     Equi join on the context, inequality inside the (bounded) choice array, so
     no per-request group or shuffle of the requests is needed beyond the join.
     """
-    # One row per context (at most 77 for the character set): checked, then
-    # broadcast, so a hot context character never lands on one join partition.
-    cdf = cut_lineage(cdf_table(transitions, ctx))
-    j = sized_join(requests, cdf, ctx)
+    j = requests.join(cdf_table(transitions, ctx), ctx, "left")
     r = draw_value(key, seed, "total")
     return (j.withColumn("_r", r)
              .select(*requests.columns, F.col("_r").alias("r"),
@@ -126,52 +122,66 @@ def seed_rows(df: DataFrame, key: str = "doc_id", seed: int = 12345) -> DataFram
                      F.try_element_at(chars, (idx + 1).cast("int")).alias("seed_ch"))
 
 
+def sample_seeds(seeds: DataFrame, samples: int, key: str = "doc_id") -> DataFrame:
+    """Each seed ``samples`` times, with ``sample`` 0, 1 ... beside it."""
+    return seeds.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+
+
 def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
-             seed: int = 12345, key: str = "doc_id", start: str = "seed_ch") -> DataFrame:
-    """Extend each seed text by ``steps`` characters (order-1 Markov chain).
+             seed: int = 12345, key: str | Column = "doc_id", start: str = "seed_ch") -> DataFrame:
+    """Extend each seed text by ``steps`` characters (order-1 Markov chain);
+    ``seeds`` with a column ``generated``.
 
     Step ``i`` draws ``md5('<seed>:<key>:<i>')`` modulo the total of the current
     character and takes the first next character whose running count exceeds
-    it.  Generation stops early at a character with no recorded successor.
-
-    The transition table has at most 77 x 77 rows (its keys come from the
-    fixed character set), so it is folded into one map and attached to every
-    seed row by a size-checked broadcast join on the seed character; the loop
-    itself is an ``aggregate`` over ``sequence(1, steps)`` evaluated in the
-    JVM, with no Python worker and no per-step shuffle.
+    it.  The text may be of any length: it goes on from its last character, and
+    stops early at a character with no recorded successor.
+
+    The counts fold into one row, an array by context, which a join on a
+    constant key attaches to the seeds; ``transitions`` must be over the fixed
+    character set (at most 77 x 77 rows), else the job fails.  The loop is an
+    ``aggregate`` over the steps' hashes in the JVM, with no Python worker and
+    no per-step shuffle: a context's entry is found by its character's id, the
+    choice by a filter of its at most 77 running totals.
     """
-    cdf = cdf_table(transitions)
-    # One row per context character (at most 77, keys of the fixed set), each
-    # carrying the whole chain as a map; the window spans that bounded table.
-    chain = F.map_from_entries(F.collect_list(F.struct("ch", F.struct("total", "choices")))
-                               .over(Window.partitionBy()))
-    model = cut_lineage(cdf.select(F.col("ch").alias("_start"), chain.alias("_m")))
-    # Equi join on the seed's last character; a seed whose character has no
-    # successor keeps its text (left join, null chain).
-    base = sized_join(seeds.withColumn("_start", F.substring(F.col(start), -1, 1)), model,
-                      "_start", "left")
-    prefix = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"), F.lit(":"))
+    chars = F.array(*[F.lit(c) for c in CHARSET])
+    known = transitions.where(F.assert_true(
+        F.array_contains(chars, F.col("ch")) & F.array_contains(chars, F.col("next_ch")),
+        F.lit("transitions must be over the character set")).isNull())
+    cdf = cdf_table(known).select(F.array_position(chars, F.col("ch")).cast("int").alias("id"), "total", "choices")
+    entry = F.struct("total", F.transform("choices", lambda x: x["cum"]).alias("cums"),
+                     F.transform("choices", lambda x: x["next_ch"]).alias("nexts"))
+    # One row of a fixed size (at most 77 x 77 choices).  The join's key is 0
+    # everywhere, but not a literal, so that it stays an equi join.
+    model = cdf.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("id", entry))).alias("_of"),
+                              F.least(F.min("total"), F.lit(0)).cast("int").alias("_zero"))
+    ids = F.sequence(F.lit(1), F.lit(len(CHARSET)))
+    model = model.select("_zero", F.transform(ids, lambda i: F.try_element_at("_of", i)).alias("_m"))
+    zero = F.least(F.length(F.coalesce(start, F.lit(""))), F.lit(0))
+    base = seeds.withColumn("_zero", zero).join(F.broadcast(model), "_zero")
+    of = F.col(key) if isinstance(key, str) else key
+    prefix = F.concat(F.lit(f"{seed}:"), F.coalesce(of.cast("string"), F.lit("")), F.lit(":"))
     # The hash of every step is computed once per row, up front.
     hashes = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.conv(
         F.substring(F.md5(F.concat(prefix, i.cast("string"))), 1, 8), 16, 10).cast("long"))
+    base = base.withColumn("_h", hashes)
 
     def let(value, body):
         """Evaluate ``value`` once and pass it to ``body`` (single-element transform)."""
         return F.transform(F.array(value), body)[0]
 
     def step(acc, h):
-        def with_draw(e, r):
-            return let(pick_choice(e["choices"], r), lambda nxt: F.struct(
-                F.concat(acc["text"], F.coalesce(nxt, F.lit(""))).alias("text"),
-                F.coalesce(nxt, acc["last"]).alias("last")))
-
-        def with_entry(e):
-            # the draw is bound once per step, not once per candidate
-            return let(F.pmod(h, e["total"]), lambda r: with_draw(e, r))
-        # A character without successors yields a null entry: the text stops
-        # growing and stays put for the remaining steps.
-        return let(F.try_element_at(F.col("_m"), acc["last"]), with_entry)
+        def choose(e):
+            def pick(r):
+                at = F.size(F.filter(e["cums"], lambda c: c <= r))
+                return F.get(e["nexts"], at)
+            return let(F.pmod(h, e["total"]), pick)
+        def grow(nxt):
+            return F.struct(F.concat(acc["text"], F.coalesce(nxt, F.lit(""))).alias("text"),
+                            F.coalesce(nxt, acc["last"]).alias("last"))
+        place = F.array_position(chars, acc["last"]).cast("int")
+        return let(let(F.get(F.col("_m"), place - 1), choose), grow)
 
     init = F.struct(F.col(start).alias("text"), F.substring(F.col(start), -1, 1).alias("last"))
-    out = F.aggregate(hashes, init, step)
-    return base.select(key, out["text"].alias("generated"))
+    out = F.aggregate("_h", init, step)
+    return base.select(*seeds.columns, out["text"].alias("generated"))

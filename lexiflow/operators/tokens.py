@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..conf import TextConf
 from ..functions import text as T
-from ..functions.charset import chars_of
-from ..session import cut_lineage, sized_join
 
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens",
@@ -18,18 +17,24 @@ def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens",
     return df.withColumn(out, T.tokens_of(text, normalize))
 
 
+def with_words(df: DataFrame, conf: TextConf = TextConf(), text: str = "text", out: str = "words") -> DataFrame:
+    """The array of words that the settings ask for.
+
+    N-grams are a projection of their own, so that the tokens are not computed
+    anew for each of them; explode the array with an ``_outer`` generator, since
+    for the others Spark infers a filter that would compute it again.
+    """
+    df = df.withColumn(out, T.kept_tokens(text, conf))
+    return df if conf.ngram <= 1 else df.withColumn(out, T.word_ngrams(out, conf.ngram))
+
+
 def tokenize(df: DataFrame, text: str = "text", key: str = "doc_id",
-             normalize: bool = True, keep: Sequence[str] = (),
-             max_pos: int | None = None) -> DataFrame:
+             normalize: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Long form ``(key, pos int, word)``.
 
-    The array is filtered before ``posexplode`` so positions are dense; the
-    optional ``max_pos`` cut happens inside the row (``slice``), before any
-    shuffle sees the tokens.
+    The array is filtered before ``posexplode`` so positions are dense.
     """
     toks = T.tokens_of(text, normalize)
-    if max_pos is not None:
-        toks = F.slice(toks, 1, max_pos)
     return (df.select(key, *keep, F.posexplode(toks).alias("pos", "word"))
               .withColumn("pos", F.col("pos").cast("int")))
 
@@ -81,46 +86,46 @@ def join_tokens(df: DataFrame, tokens: str = "tokens", out: str = "joined") -> D
     return df.withColumn(out, T.join_words(tokens))
 
 
-def match_dictionary(docs: DataFrame, dictionary: DataFrame, min_len: int = 2,
-                     max_len: int = 4, text: str = "text", key: str = "doc_id",
-                     word: str = "word") -> DataFrame:
+# Characters of the window that is read at every start offset.
+WINDOW = 24
+
+
+def match_dictionary(docs: DataFrame, dictionary: DataFrame, text: str = "text", key: str = "doc_id",
+                     word: str = "word", window: int = WINDOW) -> DataFrame:
     """P20: every dictionary word found in a text, with its start offset.
 
-    Re-aim of index-mode segmentation: each start offset and each length in
-    ``[min_len, max_len]`` gives one candidate substring; an equi join keeps the
-    ones in the dictionary.  Candidates holding a blank can never match and are
-    dropped before the join.  Rows are characters x lengths, so the operator is
-    linear in the text; AQE decides broadcast or sort-merge on the runtime size
-    of the dictionary.
+    Re-aim of index-mode segmentation, ``(key, start, word)``, for words of any
+    length.  Texts are scanned once: each start offset gives a window of at most
+    ``window`` characters.  Its first one and two characters are looked up among
+    the dictionary's beginnings, which name the lengths that such words have;
+    only these substrings are made and looked up.  A word longer than a window
+    is found by its first ``window`` characters and then compared in full with
+    the texts that have them.  Words with a blank never match; nulls neither.
+    Characters are code points.
     """
-    dic = (dictionary.select(F.col(word).alias("word"))
-                     .where(F.length("word").between(min_len, max_len))
-                     .distinct())
     blank = r"[ \t\n\f\r]"
-    astral = F.col(text).rlike(r"[\x{10000}-\x{10FFFF}]")
-    parts = []
-    # Fast path (every character in the Basic Multilingual Plane, one UTF-16
-    # unit each): a zero-width lookahead matches at every offset, so element
-    # i of regexp_extract_all is the window starting at offset i.  One native
-    # regex pass per length, exploded by a codegen'd posexplode.
-    bmp = docs.where(~astral)
-    for ln in range(min_len, max_len + 1):
-        win = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{ln}}}))"), 1)
-        parts.append(bmp.select(key, F.posexplode(win).alias("start", "word")))
-    # Texts with characters outside the BMP: code-point array and slices.
-    arr = docs.where(astral).select(key, chars_of(text).alias("_c"))
-    arr = arr.select(key, "_c", F.size("_c").alias("_n"))
-    n = F.col("_n")
-    starts = F.when(n >= min_len, F.sequence(F.lit(0), n - min_len)).otherwise(
-        F.array().cast("array<int>"))
-    lens = F.sequence(F.lit(min_len), F.lit(max_len))
-    cands = F.flatten(F.transform(starts, lambda s: F.transform(
-        F.filter(lens, lambda ln: s + ln <= n),
-        lambda ln: F.struct(s.alias("start"), F.array_join(F.slice("_c", s + 1, ln), "").alias("word")))))
-    parts.append(arr.select(key, F.inline(cands)))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # Dictionary words hold no blank, so such windows are dropped before the join.
-    cand = cand.where(~F.col("word").rlike(blank)).select(key, F.col("start").cast("int").alias("start"), "word")
-    return sized_join(cand, cut_lineage(dic), "word", "left_semi").select(key, "start", "word")
+    dic = (dictionary.select(F.col(word).alias("word")).where(F.length("word") > 0)
+           .where(~F.col("word").rlike(blank)).distinct())
+    n = F.length("word")
+    begin = (dic.select(F.substring("word", 1, 2).alias("begin"), F.least(n, F.lit(window)).alias("n"))
+             .groupBy("begin").agg(F.collect_set("n").alias("lengths")))
+    t = F.col(text)
+    # A zero-width lookahead matches at every offset, one native regex pass; texts
+    # with characters of two UTF-16 units are cut from their code points.
+    fast = F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{1,{window}}}))"), 1)
+    slow = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.substring(t, i, F.lit(window)))
+    windows = F.when(t.rlike(r"[\x{10000}-\x{10FFFF}]"), slow).otherwise(fast)
+    at = docs.select(key, F.posexplode(windows).alias("start", "window"))
+    first, two = F.substring("window", 1, 1), F.substring("window", 1, 2)
+    starts = F.when(F.length("window") > 1, F.array(first, two)).otherwise(F.array(first))
+    at = at.where(~first.rlike(blank)).select(key, F.col("start").cast("int").alias("start"), "window",
+                                              F.explode(starts).alias("begin"))
+    cand = (at.join(begin, "begin").select(key, "start", F.length("window").alias("_have"), "window",
+                                           F.explode("lengths").alias("_n")).where("_n <= _have")
+            .select(key, "start", F.substring(F.col("window"), F.lit(1), F.col("_n")).alias("word")))
+    short = cand.join(dic.where(n <= window), "word", "left_semi").select(key, "start", "word")
+    long = dic.where(n > window).select(F.col("word").alias("_w"), F.substring("word", 1, window).alias("word"))
+    found = cand.where(n == window).join(long, "word").select(key, "start", "_w")
+    whole = found.join(docs.select(key, t.alias("_t")).distinct(), key)
+    whole = whole.where(F.substring(F.col("_t"), F.col("start") + 1, F.length("_w")) == F.col("_w"))
+    return short.unionByName(whole.select(key, "start", F.col("_w").alias("word")))

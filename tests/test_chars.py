@@ -1,7 +1,11 @@
 """Character chunks, pairs, transitions, draws and generation."""
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lexiflow.conf import CharConf
 from lexiflow.functions.charset import CHARSET
 from lexiflow.operators import chars as CH
 from lexiflow.operators import sampling as R
@@ -14,25 +18,37 @@ def test_charset_is_fixed():
 
 def test_chunk_edges(spark):
     L = 10
-    lengths = [L - 1, L, L + 1, 2 * L, 2 * L + 1]
-    df = rows(spark, [(i, "x" * n) for i, n in enumerate(lengths)], "doc_id long, text string")
-    got = {r.doc_id: r["count"] for r in CH.chunk_text(df, L).groupBy("doc_id").count().collect()}
-    assert [got.get(i, 0) for i in range(5)] == [0, 0, 1, 1, 2]
-    assert all(len(r.text) == L for r in CH.chunk_text(df, L).collect())
+    lengths = [0, L - 1, L, L + 1, 2 * L, 2 * L + 1]
+    df = rows(spark, [(i, "x" * n) for i, n in enumerate(lengths)] + [(9, None)], "doc_id long, text string")
+    got = {r.doc_id: r.n for r in CH.chunk_text(df, L).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert [got.get(i, 0) for i in range(6)] == [0, 1, 1, 2, 2, 3] and 9 not in got
+    # the loop's bounds: full chunks only, and none that ends at the end
+    exact = CH.chunk_text(df, L, keep_tail=False)
+    got = {r.doc_id: r.n for r in exact.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert [got.get(i, 0) for i in range(6)] == [0, 0, 0, 1, 1, 2]
+    assert all(len(r.text) == L for r in exact.collect())
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="ab \n😀é", max_size=30), max_size=6), st.integers(1, 9))
+def test_chunks_add_up_to_the_text(spark, texts, length):
+    df = rows(spark, list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in sorted(CH.chunk_text(df, length).collect(), key=lambda r: r.chunk):
+        got[r.doc_id] = got.get(r.doc_id, "") + r.text
+    assert got == {i: t for i, t in enumerate(texts) if t}
 
 
 def test_pair_edges(spark):
-    df = rows(spark, [(i, 0, "abc"[:n]) for i, n in enumerate([0, 1, 2, 3])],
-              "doc_id long, chunk int, text string")
-    got = {r.doc_id: r["count"] for r in CH.char_pairs(df).groupBy("doc_id").count().collect()}
-    assert [got.get(i, 0) for i in range(4)] == [0, 0, 0, 1]
-    r = CH.char_pairs(df).collect()[0]
-    assert (r.pos, r.ch, r.next_ch) == (0, "a", "b")
+    df = rows(spark, [(i, "abc"[:n]) for i, n in enumerate([0, 1, 2, 3])], "doc_id long, text string")
+    got = sorted((r.doc_id, r.pos, r.ch, r.next_ch) for r in CH.char_pairs(df).collect())
+    assert got == [(2, 0, "a", "b"), (3, 0, "a", "b"), (3, 1, "b", "c")]
+    assert [tuple(r) for r in CH.char_pairs(df, keep_tail=False).collect()] == [(3, 0, "a", "b")]
 
 
 def test_non_bmp_code_points(spark):
-    df = rows(spark, [(0, 0, "a😀bc")], "doc_id long, chunk int, text string")
-    pairs = [(r.ch, r.next_ch) for r in CH.char_pairs(df, drop_last_pair=False).orderBy("pos").collect()]
+    df = rows(spark, [(0, "a😀bc")], "doc_id long, text string")
+    pairs = [(r.ch, r.next_ch) for r in CH.char_pairs(df).orderBy("pos").collect()]
     assert pairs == [("a", "😀"), ("😀", "b"), ("b", "c")]
 
 
@@ -61,8 +77,30 @@ def test_draw_edges(spark):
     assert picks == ["b", "b", "c", "d"]
 
 
+def test_draw_keeps_requests_without_a_transition(spark):
+    t = rows(spark, [("a", "b", 2)], "ch string, next_ch string, n long")
+    req = rows(spark, [("1", "a"), ("2", "z"), ("3", None)], "req_id string, ch string")
+    got = {r.req_id: (r.r is None, r.drawn) for r in R.draw(req, t).collect()}
+    assert got == {"1": (False, "b"), "2": (True, None), "3": (True, None)}
+
+
 def test_generation_stops_without_successor(spark):
     t = rows(spark, [("a", "b", 1)], "ch string, next_ch string, n long")
-    seeds = rows(spark, [(0, "a"), (1, "z")], "doc_id long, seed_ch string")
+    seeds = rows(spark, [(0, "a"), (1, "z"), (2, "xya"), (3, "")], "doc_id long, seed_ch string")
     got = {r.doc_id: r.generated for r in R.generate(seeds, t, steps=5).collect()}
-    assert got == {0: "ab", 1: "z"}
+    assert got == {0: "ab", 1: "z", 2: "xyab", 3: ""}
+
+
+def test_samples_of_a_prefix_differ_and_repeat(spark):
+    t = rows(spark, [(a, b, 1) for a in "abcd" for b in "abcd"], "ch string, next_ch string, n long")
+    seeds = R.sample_seeds(rows(spark, [(0, "ab")], "doc_id long, p string"), CharConf().samples)
+    key = F.concat_ws("/", F.col("doc_id").cast("string"), F.col("sample").cast("string"))
+    runs = [{r.sample: r.generated for r in R.generate(seeds, t, 30, key=key, start="p").collect()} for _ in range(2)]
+    assert runs[0] == runs[1] and len(set(runs[0].values())) == CharConf().samples == 4
+    assert all(x.startswith("ab") and len(x) == 32 for x in runs[0].values())
+
+
+def test_generation_refuses_other_characters(spark):
+    t = rows(spark, [("a", "é", 1)], "ch string, next_ch string, n long")
+    with pytest.raises(Exception, match="character set"):
+        R.generate(rows(spark, [(0, "a")], "doc_id long, seed_ch string"), t, 3).collect()

@@ -4,6 +4,7 @@ from lexiflow.operators import tokens as TK
 from lexiflow.operators import vocab as V
 from lexiflow.sources.files import rows
 
+# Fixed input: the three test lines.
 LINES = ["我 是 中国 人。", "中国 是 个 好 地方。", "中国 人 生活 在 中国。"]
 
 
@@ -38,19 +39,18 @@ def test_cleaning_contract(spark):
     assert words == ["hello", "world", "x", "y", "ab", "cd", "ef", "gh", "q", "z"]
 
 
-def test_dictionary_match_both_paths(spark):
+def test_dictionary_match_of_all_lengths(spark):
     from lexiflow.operators.tokens import match_dictionary
-    docs = rows(spark, [(0, "ab abc xab"), (1, "😀ab c😀abc")], "doc_id long, text string")
-    dic = rows(spark, [("ab",), ("abc",), ("bc",), ("b c",)], "word string")
-    got = sorted((r.doc_id, r.start, r.word) for r in match_dictionary(docs, dic, 2, 4).collect())
-    want = []
-    for d, t in [(0, "ab abc xab"), (1, "😀ab c😀abc")]:
-        for s in range(len(t)):
-            for ln in (2, 3, 4):
-                w = t[s:s + ln]
-                if len(w) == ln and w in {"ab", "abc", "bc"}:
-                    want.append((d, s, w))
-    assert got == sorted(want)
+    texts = [(0, "ab abc xab"), (1, "😀ab c😀abc"), (2, "zz" * 30 + "a"), (3, ""), (4, None), (4, "x\nab")]
+    words = ["ab", "abc", "bc", "b c", "c", "😀a", "zz" * 20, "zz" * 29 + "za", "z" * 7, "", None, "ab"]
+    docs = rows(spark, texts, "doc_id long, text string")
+    dic = rows(spark, [(w,) for w in words], "word string")
+    known = {w for w in words if w and " " not in w}
+    want = sorted({(d, s, t[s:s + n]) for d, t in texts if t for s in range(len(t)) for n in range(1, 70)
+                   if s + n <= len(t) and t[s:s + n] in known})
+    for window in (2, 8, 24):
+        got = sorted((r.doc_id, r.start, r.word) for r in match_dictionary(docs, dic, window=window).collect())
+        assert got == want
 
 
 def test_stop_words_list_and_table(spark):
