@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..conf import SEQ_LEN
+from ..conf import SEQ_LEN, TextConf
 
 # The blank class used to split words and the characters the
 # cleaning step removes (ASCII digits and . : , " ' ( ) [ ] | / ? ! ;).
@@ -51,6 +51,17 @@ def tokens_of(text: str | Column, normalize: bool = True) -> Column:
     return split_words(F.lower(F.regexp_replace(_col(text), STRIP_CHARS, "")))
 
 
+def kept_tokens(text: str | Column, conf: TextConf) -> Column:
+    """The tokens that ``conf`` asks for, stop words removed (before n-grams)."""
+    return remove_words(tokens_of(text, conf.normalize), conf.stop_words)
+
+
+def word_count(text: str | Column, conf: TextConf) -> Column:
+    """How many words (or n-grams) ``conf`` gives; 0 for a null text."""
+    n = F.size(kept_tokens(text, conf)) - F.lit(conf.ngram - 1)
+    return F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("int")
+
+
 def label_id(label: str | Column, classes: Sequence[str]) -> Column:
     """0-based position in the class list, -1 when absent."""
     arr = F.array(*[F.lit(str(c)) for c in classes])
@@ -111,10 +122,12 @@ def last_step(n: str | Column, length: int = SEQ_LEN) -> Column:
 def hash_bucket(key: str | Column, seed: int | str, modulus: int) -> Column:
     """Layout-independent pseudo-random bucket of a key.
 
-    First 32 bits of ``md5('<seed>:<key>')`` modulo ``modulus``.  The same value
-    is computable in SQL engines (``('0x'||substr(md5(..),1,8))::ubigint``).
+    First 32 bits of ``md5('<seed>:<key>')`` modulo ``modulus``; a null key is an
+    empty one, so it has a bucket too.  The same value is computable in SQL
+    engines (``('0x'||substr(md5(..),1,8))::ubigint``).
     """
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), _col(key).cast("string"))), 1, 8), 16, 10)
+    text = F.coalesce(_col(key).cast("string"), F.lit(""))
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text)), 1, 8), 16, 10)
     return F.pmod(h.cast("long"), F.lit(int(modulus)))
 
 

@@ -17,8 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..conf import SEQ_LEN
+from ..conf import TextConf
 from ..functions import text as T
+from . import tokens as TK
 from . import vocab as V
 
 
@@ -41,26 +42,36 @@ def encode(tokens: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",
                     F.transform("_seq", lambda x: x["known"]).alias("known"))
 
 
-def build_examples(docs: DataFrame, vocab: DataFrame, seq_len: int = SEQ_LEN,
-                   key: str = "doc_id", label: str | None = "label_id",
-                   text: str = "text", normalize: bool = True,
-                   unknown_id: int = 0) -> DataFrame:
+def build_vocab(docs: DataFrame, conf: TextConf = TextConf(), text: str = "text") -> DataFrame:
+    """W01 over the words that ``conf`` asks for, from its minimum count on."""
+    words = TK.with_words(docs, conf, text, "_words").select(F.explode_outer("_words").alias("word"))
+    return V.build_vocab(words.where("word is not null"), conf.min_count)
+
+
+def build_examples(docs: DataFrame, vocab: DataFrame, conf: TextConf = TextConf(),
+                   key: str = "doc_id", label: str | None = "label_id", text: str = "text") -> DataFrame:
     """P01/P02 -> J02 -> A05 -> P09-P12 in one select after one groupBy.
 
-    Documents without a token produce no example (see ``rejects``).
+    ``n_tokens`` counts the words before unknown ones are dropped (which they
+    are with ``conf.use_unknown`` off).  Documents without a word, or whose first
+    ``conf.seq_len`` words are all unknown and dropped, produce no example (see
+    ``rejects``).
     """
+    seq_len, unknown_id = conf.seq_len, conf.unknown_id
     keys = [key, "n_tokens"] + ([label] if label else [])
     # Token array and its size are computed once per document, in a projection
     # below the explode; exploded rows carry neither the text nor the array.
     lab = [F.col(label)] if label else []
-    arr = docs.select(key, *lab, T.tokens_of(text, normalize).alias("_toks"))
+    arr = TK.with_words(docs, conf, text, "_toks").select(key, *lab, "_toks")
     arr = arr.select(key, *lab, F.size("_toks").cast("int").alias("n_tokens"),
                      F.slice("_toks", 1, seq_len).alias("_head"))
-    exploded = arr.select(*keys, F.posexplode("_head").alias("pos", "word"))
+    exploded = arr.select(*keys, F.posexplode_outer("_head").alias("pos", "word")).where("word is not null")
+    if not conf.use_unknown:
+        exploded = exploded.join(vocab.select("word"), "word", "left_semi")
     enc = encode(exploded, vocab, keys, unknown_id)
-    n = F.col("n_tokens")
+    n = F.col("n_tokens") if conf.use_unknown else F.size("ids")
     out = enc.select(
-        key, n.alias("n_tokens"), (n > seq_len).alias("truncated"),
+        key, F.col("n_tokens"), (F.col("n_tokens") > seq_len).alias("truncated"),
         T.pad_ids("ids", seq_len, unknown_id).alias("features"),
         T.step_mask(n, seq_len).alias("feature_mask"),
         F.concat(F.col("known"), F.array_repeat(F.lit(0), F.lit(seq_len) - F.size("known"))).alias("known"),
@@ -73,13 +84,13 @@ def rejects(docs: DataFrame, classes: Sequence[str] | None = None, key: str = "d
             label: str = "label", text: str = "text", normalize: bool = True) -> DataFrame:
     """Rows that cannot become examples: ``(key, reason)``.
 
-    ``empty`` when no token survives tokenising; ``unknown_label`` when the
-    label is not in ``classes``.
+    ``empty`` when no token survives tokenising (a null text has none);
+    ``unknown_label`` when the label is null or not in ``classes``.
     """
-    n = F.size(T.tokens_of(text, normalize))
-    reason = F.when(n == 0, F.lit("empty"))
+    n = F.coalesce(F.size(T.tokens_of(text, normalize)), F.lit(0))
+    reason = F.when(n <= 0, F.lit("empty"))
     if classes is not None:
-        reason = reason.when(T.label_id(label, classes) < 0, F.lit("unknown_label"))
+        reason = reason.when(F.coalesce(T.label_id(label, classes), F.lit(-1)) < 0, F.lit("unknown_label"))
     return docs.select(key, reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
@@ -97,11 +108,10 @@ def to_cells(examples: DataFrame, key: str = "doc_id", label: str = "label_id")
                         else i.cast("int").alias("i"), j.cast("int").alias("j"),
                         v.cast("double").alias("value"))
 
-    steps = examples.select(key, F.least("n_tokens", F.lit(SEQ_LEN)).alias("_k"),
-                            F.posexplode("features").alias("_j", "_v"))
+    steps = examples.select(key, F.posexplode(F.arrays_zip("features", "feature_mask")).alias("_j", "_s"))
     step_cells = (steps.select(key, F.inline(F.array(
-                      cell("features", 0, F.col("_j"), F.col("_v")),
-                      cell("feature_mask", 0, F.col("_j"), (F.col("_j") < F.col("_k")).cast("double")))))
+                      cell("features", 0, F.col("_j"), F.col("_s.features")),
+                      cell("feature_mask", 0, F.col("_j"), F.col("_s.feature_mask")))))
                   .where(F.col("value") != 0))
     step = F.col("label_step")
     ends = examples.select(key, F.inline(F.array(cell("labels", F.col(label), step, F.lit(1.0)),

@@ -14,9 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..conf import SEQ_LEN
 from ..functions import text as T
-from ..session import sized_join
 
 DIGITS = 6   # scores are rounded before ranking or comparing
 
@@ -36,23 +34,25 @@ def _score_array(k: int) -> Column:
 
 def step_scores(tokens: DataFrame, model: DataFrame, num_classes: int,
                 word: str = "word") -> DataFrame:
-    """Per token, the K class scores (uniform 1/K for unseen words)."""
+    """Per row, the K class scores of its word (uniform 1/K for unseen words)."""
     m = model.select(F.col("word").alias(word), "n_word", "n")
-    return (sized_join(tokens, m, word, "left")
+    return (tokens.join(m, word, "left")
                   .withColumn("scores", _score_array(num_classes))
                   .drop("n_word", "n"))
 
 
 def reduce_steps(steps: DataFrame, num_classes: int, keys: Sequence[str],
-                 reduction: str = "mean") -> DataFrame:
+                 reduction: str = "mean", times: str | None = None) -> DataFrame:
     """Per document, one score per class -> ``keys + [scores]``.
 
-    ``mean`` averages the valid steps; ``last_step`` keeps the step with the
-    largest position (the one that carries the label in training).
+    ``mean`` averages the steps, each counted ``times`` times (a column; once
+    if not given); ``last_step`` keeps the step with the largest position (the
+    one that carries the label in training).
     """
     if reduction == "mean":
-        sums = [F.sum(F.col("scores")[c]) for c in range(num_classes)]
-        agg = steps.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[
+        n = F.col(times) if times else F.lit(1)
+        sums = [F.sum(F.col("scores")[c] * n) for c in range(num_classes)]
+        agg = steps.groupBy(*keys).agg(F.sum(n).alias("_n"), *[
             s.alias(f"_s{c}") for c, s in enumerate(sums)])
         means = F.array(*[F.round(F.col(f"_s{c}") / F.col("_n"), DIGITS)
                           for c in range(num_classes)])
@@ -83,25 +83,41 @@ def predict(reduced: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
                           best["score"].alias("mean_score"))
 
 
-def score(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
-          keep: Sequence[str] = ("label_id",), text: str = "text",
-          seq_len: int = SEQ_LEN, normalize: bool = True,
-          reduction: str = "mean") -> DataFrame:
-    """Tokenise -> look up -> reduce over steps -> argmax, whole table.
+def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
+                   keep: Sequence[str] = ("label_id",), words: str | Column = "words",
+                   reduction: str = "mean") -> DataFrame:
+    """J06 + A06/W05 of an array of words: ``key + keep + [scores]``.
 
-    Only the first ``seq_len`` tokens count (D5); with ``last_step`` only the
-    last of them is exploded, so the join sees one row per document.
+    For the mean, a document's words are counted first, so the lookup sees one
+    row per distinct word of a document; for the last step it sees one row per
+    document.  Rows without a word have no result (see ``examples.rejects``).
     """
-    toks = F.slice(T.tokens_of(text, normalize), 1, seq_len)
     keys = [key, *keep]
+    words = F.col(words) if isinstance(words, str) else words
     if reduction == "last_step":
-        steps = docs.select(*keys, F.size(toks).alias("_n"), toks.alias("_t")).where("_n > 0")
-        steps = steps.select(*keys, (F.col("_n") - 1).cast("int").alias("pos"),
+        steps = docs.select(*keys, F.size(words).alias("_n"), words.alias("_t")).where("_n > 0")
+        steps = steps.select(*keys, (F.col("_n") - 1).alias("pos"),
                              F.try_element_at("_t", F.lit(-1)).alias("word"))
-    else:
-        steps = docs.select(*keys, F.posexplode(toks).alias("pos", "word"))
-    reduced = reduce_steps(step_scores(steps, model, num_classes), num_classes, keys, reduction)
-    return predict(reduced, keys)
+        return reduce_steps(step_scores(steps, model, num_classes), num_classes, keys, reduction)
+    rows = docs.select(*keys, F.explode_outer(words).alias("word")).where("word is not null")
+    rows = rows.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n_here"))
+    return reduce_steps(step_scores(rows, model, num_classes), num_classes, keys, reduction, "n_here")
+
+
+def score_words(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
+                keep: Sequence[str] = ("label_id",), words: str | Column = "words",
+                reduction: str = "mean", classes: Sequence[str] | None = None) -> DataFrame:
+    """T05 on an array of words: look up -> reduce over steps -> argmax.  With
+    ``classes`` the winning class's label is added (P05)."""
+    found = predict(reduced_scores(docs, model, num_classes, key, keep, words, reduction), [key, *keep])
+    return found if classes is None else found.withColumn("label", T.id_label("class_id", classes))
+
+
+def score(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
+          keep: Sequence[str] = ("label_id",), text: str = "text", normalize: bool = True,
+          reduction: str = "mean", classes: Sequence[str] | None = None) -> DataFrame:
+    """Every token of every text, as ``score_words``."""
+    return score_words(docs, model, num_classes, key, keep, T.tokens_of(text, normalize), reduction, classes)
 
 
 def accuracy(predictions: DataFrame, label: str = "label_id", pred: str = "class_id") -> DataFrame:
@@ -119,10 +135,17 @@ def confusion(predictions: DataFrame, label: str = "label_id", pred: str = "clas
 
 
 def score_segments(matches: DataFrame, model: DataFrame, num_classes: int,
-                   key: str = "doc_id", reduction: str = "mean") -> DataFrame:
+                   key: str = "doc_id", reduction: str = "mean",
+                   classes: Sequence[str] | None = None) -> DataFrame:
     """T05 for unspaced text: the dictionary matches of P20 ``(key, start,
-    word)`` are the steps (in start order), then J06 -> A06 -> W02 as for
-    blank-separated text.  Texts without any match get no prediction."""
-    steps = matches.select(key, F.col("start").alias("pos"), "word")
-    reduced = reduce_steps(step_scores(steps, model, num_classes), num_classes, [key], reduction)
-    return predict(reduced, [key])
+    word)`` are the steps (in start order; of matches that start together, the
+    longest is the last), then J06 -> A06 -> W02 (-> P05) as for blank-separated
+    text.  Texts without any match get no prediction."""
+    if reduction == "mean":
+        words = matches.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n_here"))
+        reduced = reduce_steps(step_scores(words, model, num_classes), num_classes, [key], reduction, "n_here")
+    else:
+        steps = matches.select(key, F.struct("start", F.length("word").alias("n")).alias("pos"), "word")
+        reduced = reduce_steps(step_scores(steps, model, num_classes), num_classes, [key], reduction)
+    found = predict(reduced, [key])
+    return found if classes is None else found.withColumn("label", T.id_label("class_id", classes))

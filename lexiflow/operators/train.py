@@ -1,8 +1,7 @@
-"""Training operators.
+"""Training operators.
 
-The reference trains a recurrent network; these are the table-level re-aims:
-counted token x class statistics (T01), Spark ML pipelines (T02, T03) and
-parameter averaging of per-partition SGD (T04).  None of them models word
+Table-level re-aims of a recurrent classifier: counted token x class
+statistics (T01) and Spark ML pipelines (T02, T03).  None of them models word
 order the way a recurrent net does.
 """
 
@@ -13,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..conf import SEQ_LEN, TrainConf
+from ..conf import TrainConf
 from ..functions import text as T
 
 
@@ -36,223 +35,64 @@ def model_long(model: DataFrame) -> DataFrame:
                  .select("word", F.col("class_id").cast("int").alias("class_id"), "n", "n_word"))
 
 
+def known_labels(labelled: DataFrame, num_classes: int, label: str = "label_id") -> DataFrame:
+    """Rows whose label is in the class list; the others are rejects."""
+    return labelled.where(F.col(label).between(0, num_classes - 1))
+
+
 def train_counted(labelled: DataFrame, num_classes: int, text: str = "text",
-                  label: str = "label_id", seq_len: int = SEQ_LEN,
-                  normalize: bool = True) -> DataFrame:
-    """Counted model from labelled text; first ``seq_len`` tokens each."""
-    toks = F.slice(T.tokens_of(text, normalize), 1, seq_len)
-    steps = labelled.select(F.col(label).alias("label_id"), F.explode(toks).alias("word"))
+                  label: str = "label_id", normalize: bool = True) -> DataFrame:
+    """Counted model from every token of the rows with a known label."""
+    steps = known_labels(labelled, num_classes, label).select(
+        F.col(label).alias("label_id"), F.explode(T.tokens_of(text, normalize)).alias("word"))
     return fit_token_class(steps, num_classes)
 
 
 # --------------------------------------------------------------- T02, T03 ---
 
-def _token_stage(seq_len: int, text: str = "text"):
-    from pyspark.ml.feature import SQLTransformer
-    return SQLTransformer(statement=(
-        f"SELECT *, slice({T.tokens_sql(text)}, 1, {seq_len}) AS tokens FROM __THIS__"))
+def _hashed_words(num_features: int, text: str = "text") -> list:
+    """Tokens of the whole text and their counts in ``num_features`` slots, so
+    that no vocabulary is gathered on the driver."""
+    from pyspark.ml.feature import HashingTF, SQLTransformer
+    return [SQLTransformer(statement=f"SELECT *, {T.tokens_sql(text)} AS tokens FROM __THIS__"),
+            HashingTF(inputCol="tokens", outputCol="counts", numFeatures=num_features)]
 
 
-def train_linear(labelled: DataFrame, conf: TrainConf = TrainConf(), label: str = "label_id",
-                 num_features: int = 2 ** 18):
-    """Tokens -> hashed term counts -> multinomial logistic regression
-    (L2 ``conf.l2``, ``conf.epochs`` iterations).  Returns a ``PipelineModel``.
-
-    ``HashingTF`` keeps the feature space fixed, so no vocabulary is gathered
-    on the driver (``CountVectorizer`` would be).
-    """
+def train_linear(labelled: DataFrame, num_classes: int, conf: TrainConf = TrainConf(),
+                 label: str = "label_id", num_features: int = 2 ** 18):
+    """Hashed term counts -> multinomial logistic regression (L2 ``conf.l2``,
+    ``conf.epochs`` iterations) over the rows with a known label.  Returns a
+    ``PipelineModel``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF
-    stages = [_token_stage(conf.seq_len),
-              HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features),
-              LogisticRegression(featuresCol="features", labelCol=label, regParam=conf.l2,
+    stages = [*_hashed_words(num_features),
+              LogisticRegression(featuresCol="counts", labelCol=label, regParam=conf.l2,
                                  maxIter=conf.epochs, family="multinomial")]
-    return Pipeline(stages=stages).fit(labelled.withColumn(label, F.col(label).cast("double")))
+    rows = known_labels(labelled, num_classes, label)
+    return Pipeline(stages=stages).fit(rows.withColumn(label, F.col(label).cast("double")))
 
 
 def train_embedded(labelled: DataFrame, num_classes: int, conf: TrainConf = TrainConf(),
-                   label: str = "label_id", dim: int | None = None,
-                   partitions: int | None = None):
-    """Tokens -> Word2Vec document vectors -> one hidden layer -> softmax.
+                   label: str = "label_id", num_features: int | None = None):
+    """A document vector -> one hidden layer -> softmax.
 
-    ``Word2Vec`` averages word vectors, so word order is lost.  Its training
-    is split over ``partitions`` tasks (Spark's default of one would put the
-    whole corpus in one task).  Spark ML keeps the Word2Vec vocabulary on the
-    driver and broadcasts the vectors (vocabulary x ``dim``), so on large
-    corpora raise ``conf.text.min_count`` (default 1, as the reference) to
-    bound it.
+    The vector has a fixed number of hashed word slots (four times
+    ``conf.hidden``), scaled to unit length, in place of learned word vectors:
+    those would need the whole vocabulary on the driver.  Word order is lost.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.feature import Word2Vec
-    dim = dim or conf.hidden
-    parts = partitions or int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stages = [_token_stage(conf.seq_len),
-              Word2Vec(inputCol="tokens", outputCol="features", vectorSize=dim, seed=conf.net_seed,
-                       maxSentenceLength=conf.seq_len, numPartitions=parts,
-                       minCount=conf.text.min_count),
-              MultilayerPerceptronClassifier(featuresCol="features", labelCol=label,
-                                             layers=[dim, conf.hidden, num_classes],
-                                             seed=conf.net_seed, maxIter=conf.epochs,
+    from pyspark.ml.feature import Normalizer
+    width = num_features or 4 * conf.hidden
+    stages = [*_hashed_words(width), Normalizer(inputCol="counts", outputCol="vector"),
+              MultilayerPerceptronClassifier(featuresCol="vector", labelCol=label,
+                                             layers=[width, conf.hidden, num_classes],
+                                             seed=conf.net_seed, maxIter=conf.epochs * conf.averaging,
                                              blockSize=conf.batch_size)]
-    return Pipeline(stages=stages).fit(labelled.withColumn(label, F.col(label).cast("double")))
+    rows = known_labels(labelled, num_classes, label)
+    return Pipeline(stages=stages).fit(rows.withColumn(label, F.col(label).cast("double")))
 
 
 def predict_pipeline(model, docs: DataFrame, keep: Sequence[str] = ("doc_id", "label_id")) -> DataFrame:
     """Predictions of a fitted pipeline: ``keep + (class_id int)``."""
     return model.transform(docs).select(*keep, F.col("prediction").cast("int").alias("class_id"))
-
-
-# -------------------------------------------------------------- T04, A11 ---
-
-def hashed_slots(df: DataFrame, slots: int, text: str = "text", seq_len: int = SEQ_LEN,
-                 out: str = "slots") -> DataFrame:
-    """Feature slots of the first ``seq_len`` tokens: ``pmod(xxhash64(word), slots)``."""
-    toks = F.slice(T.tokens_of(text), 1, seq_len)
-    return df.withColumn(out, F.transform(toks, lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("int")))
-
-
-def average_models(partials: DataFrame, total: int) -> DataFrame:
-    """Weighted mean of per-partition parameter changes.
-
-    ``partials`` is ``(slot, class_id, wdelta, n)``: the change a partition of
-    ``n`` examples made to one parameter.  A partition that did not touch a
-    parameter changed it by 0, so the sum is divided by the examples of the
-    whole round, never by the touching partitions' own count.
-    """
-    return (partials.groupBy("slot", "class_id")
-                    .agg((F.sum(F.col("wdelta") * F.col("n")) / F.lit(float(total))).alias("delta")))
-
-
-def _softmax_rows(z):
-    import numpy as np
-    z = z - z.max(axis=1, keepdims=True)
-    e = np.exp(z)
-    return e / e.sum(axis=1, keepdims=True)
-
-
-def _example_matrix(slot_lists, k_slots):
-    """Per example: its distinct slots with value 1 (word presence).
-
-    Unscaled presence keeps gradients of order one per feature; with plain SGD
-    (no adaptive updater) and averaging over partitions, scaled-down values
-    such as normalised term frequencies barely move the weights.
-    """
-    import numpy as np
-    out = []
-    for s in slot_lists:
-        u = np.unique(np.asarray(s, dtype=np.int64))
-        out.append((u, np.ones(u.size)))
-    return out
-
-
-def _local_sgd(weights_bc, num_classes, batch, lr, l2, slots):
-    """mapInPandas body: SGD over one partition's examples, emits changes."""
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        w0 = weights_bc.value
-        w = w0.copy()
-        bias_row = slots               # last row holds the bias
-        touched = set()
-        n = 0
-        pending = []
-
-        def step(rows):
-            grad_rows: dict[int, np.ndarray] = {}
-            gb = np.zeros(num_classes)
-            for (u, v), y in rows:
-                z = (v[:, None] * w[u]).sum(axis=0) + w[bias_row] if u.size else w[bias_row].copy()
-                p = _softmax_rows(z[None, :])[0]
-                p[y] -= 1.0
-                for j, val in zip(u.tolist(), v.tolist()):
-                    g = grad_rows.get(j)
-                    grad_rows[j] = val * p if g is None else g + val * p
-                gb += p
-            m = float(len(rows))
-            for j, g in grad_rows.items():
-                w[j] -= lr * (g / m + l2 * w[j])
-                touched.add(j)
-            w[bias_row] -= lr * gb / m
-            touched.add(bias_row)
-
-        for pdf in batches:
-            feats = _example_matrix(pdf["slots"], slots)
-            for item in zip(feats, pdf["label_id"].astype(int).tolist()):
-                pending.append(item)
-                n += 1
-                if len(pending) == batch:
-                    step(pending)
-                    pending = []
-        if pending:
-            step(pending)
-        if n == 0:
-            return
-        idx = np.fromiter(sorted(touched), dtype=np.int64)
-        d = (w[idx] - w0[idx])
-        yield pd.DataFrame({
-            "slot": np.repeat(idx, num_classes).astype(np.int32),
-            "class_id": np.tile(np.arange(num_classes), idx.size).astype(np.int32),
-            "wdelta": d.reshape(-1),
-            "n": np.full(idx.size * num_classes, n, dtype=np.int64)})
-    return run
-
-
-def train_averaged(labelled: DataFrame, num_classes: int, conf: TrainConf = TrainConf(),
-                   label: str = "label_id", slots: int | None = None):
-    """Parameter averaging of per-partition SGD (batch ``conf.batch_size``).
-
-    Each epoch broadcasts the weights (``slots + 1`` rows x K, a fixed size set
-    by configuration, never by the data), runs mini-batch SGD inside every
-    partition with ``mapInPandas``, and averages the partitions' changes with
-    A11 (a partitioned ``groupBy``).  Weights are averaged once per epoch,
-    not every 5 batches as in the reference.  Returns the weight matrix
-    (numpy, last row = bias).
-    """
-    import numpy as np
-    from ..session import cut_lineage
-    slots = slots or conf.slots
-    spark = labelled.sparkSession
-    data = hashed_slots(labelled, slots, seq_len=conf.seq_len).select(
-        F.col(label).cast("int").alias("label_id"), "slots")
-    data = cut_lineage(data)          # several passes over the same rows
-    total = data.count()
-    w = np.zeros((slots + 1, num_classes))
-    for _ in range(conf.epochs):
-        bc = spark.sparkContext.broadcast(w)
-        partials = data.mapInPandas(
-            _local_sgd(bc, num_classes, conf.batch_size, conf.learning_rate, conf.l2, slots),
-            "slot int, class_id int, wdelta double, n long")
-        upd = average_models(partials, total).toPandas()   # at most (slots+1) x K rows
-        if len(upd):
-            w[upd["slot"].to_numpy(), upd["class_id"].to_numpy()] += upd["delta"].to_numpy()
-        bc.unpersist()
-    return w
-
-
-def predict_averaged(weights, docs: DataFrame, conf: TrainConf = TrainConf(),
-                     keep: Sequence[str] = ("doc_id", "label_id")) -> DataFrame:
-    """Scores of the averaged model, argmax per document (ties to lowest id)."""
-    import numpy as np
-    import pandas as pd
-    slots = weights.shape[0] - 1
-    bc = docs.sparkSession.sparkContext.broadcast(weights)
-    data = hashed_slots(docs, slots, seq_len=conf.seq_len).select(*keep, "slots")
-
-    def run(batches):
-        w = bc.value
-        for pdf in batches:
-            feats = _example_matrix(pdf["slots"], slots)
-            preds = []
-            for u, v in feats:
-                z = (v[:, None] * w[u]).sum(axis=0) + w[slots] if u.size else w[slots]
-                preds.append(int(np.argmax(z)))
-            out = pdf[list(keep)].copy()
-            out["class_id"] = np.asarray(preds, dtype=np.int32)
-            yield out
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in data.schema.fields
-                       if f.name in keep) + ", class_id int"
-    return data.mapInPandas(run, schema)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, sized_join
+from ..session import cut_lineage
 
 _ROW_BITS = (1 << 33) - 1   # low bits of monotonically_increasing_id = row in partition
 
@@ -71,15 +71,15 @@ def build_vocab(tokens: DataFrame, min_n: int = 1, word: str = "word") -> DataFr
 
 
 def lookup(tokens: DataFrame, vocab: DataFrame, word: str = "word") -> DataFrame:
-    """Inner equi join on the word (size-checked broadcast, else sort-merge)."""
-    return sized_join(tokens, vocab.select(F.col("word").alias(word), "idx"), word)
+    """Inner equi join on the word; AQE picks its form by run-time bytes."""
+    return tokens.join(vocab.select(F.col("word").alias(word), "idx"), word)
 
 
 def lookup_or_default(tokens: DataFrame, vocab: DataFrame, unknown_id: int = 0,
                       word: str = "word") -> DataFrame:
     """Left join; unknown words get ``unknown_id`` and ``known`` = 0."""
     v = vocab.select(F.col("word").alias(word), F.col("idx").alias("_idx"))
-    return (sized_join(tokens, v, word, "left")
+    return (tokens.join(v, word, "left")
                   .withColumn("known", F.col("_idx").isNotNull().cast("int"))
                   .withColumn("idx", F.coalesce(F.col("_idx"), F.lit(unknown_id).cast("long")))
                   .drop("_idx"))
@@ -88,7 +88,7 @@ def lookup_or_default(tokens: DataFrame, vocab: DataFrame, unknown_id: int = 0,
 def unknown_words(tokens: DataFrame, vocab: DataFrame, word: str = "word") -> DataFrame:
     """Words absent from the vocabulary with their counts."""
     v = vocab.select(F.col("word").alias(word))
-    return (sized_join(tokens, v, word, "left_anti")
+    return (tokens.join(v, word, "left_anti")
                   .groupBy(word).agg(F.count(F.lit(1)).alias("n")))
 
 

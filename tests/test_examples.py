@@ -1,8 +1,9 @@
 """Padding, masks, truncation, unknown words and rejects (edge fixtures)."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from lexiflow.conf import SEQ_LEN
+from lexiflow.conf import SEQ_LEN, TextConf
 from lexiflow.operators import examples as EX
 from lexiflow.operators import tokens as TK
 from lexiflow.operators import vocab as V
@@ -64,3 +65,59 @@ def test_cells_match_examples(spark):
     assert got[(0, "feature_mask")] == 3 and got[(1, "feature_mask")] == 5
     assert got[(0, "labels")] == 1 and got[(0, "label_mask")] == 1
     assert cells.where(F.col("value") == 0).count() == 0
+
+
+def test_cells_of_a_wider_example(spark):
+    docs = _docs(spark, [900])
+    ex = EX.build_examples(docs, V.build_vocab(TK.tokenize(docs)), TextConf(seq_len=1000))
+    per = {r.tensor: r.n for r in EX.to_cells(ex).groupBy("tensor").agg(F.count("*").alias("n")).collect()}
+    assert per["feature_mask"] == 900 == sum(ex.collect()[0].feature_mask)
+
+
+@pytest.mark.parametrize("conf, words, ids", [
+    (TextConf(), {"the": 3, "Cat": 0, "cat": 2, "sat": 1, "dog": 1}, [0, 1, 3]),
+    (TextConf(min_count=2), {"the": 3, "cat": 2}, [0, 1, 9]),
+    (TextConf(normalize=False), {"the": 2, "The": 1, "Cat": 1, "cat.": 1, "sat": 1, "dog": 1}, None),
+    (TextConf(stop_words=("the",)), {"cat": 2, "sat": 1, "dog": 1}, [0, 2]),
+    (TextConf(ngram=2), {"the cat": 2, "cat sat": 1, "the dog": 1}, [0, 1]),
+    (TextConf(min_count=2, use_unknown=False), {"the": 3, "cat": 2}, [0, 1])])
+def test_each_setting_drives_vocabulary_and_encoding(spark, conf, words, ids):
+    docs = rows(spark, [(0, "the Cat sat", 0), (1, "The cat.", 0), (2, "the dog", 1)],
+                "doc_id long, text string, label_id int")
+    conf = TextConf(**{**conf.__dict__, "unknown_id": 9, "seq_len": 6})
+    vocab = EX.build_vocab(docs, conf)
+    assert {r.word: r.freq for r in vocab.collect()} == {w: n for w, n in words.items() if n}
+    if ids is not None:
+        r = EX.build_examples(docs, vocab, conf).where("doc_id = 0").collect()[0]
+        assert r.features == ids + [9] * (6 - len(ids)) and sum(r.feature_mask) == len(ids)
+        assert r.known == [int(i != 9) for i in r.features[:len(ids)]] + [0] * (6 - len(ids))
+
+
+def test_rejects_cover_nulls(spark):
+    docs = rows(spark, [(0, None, "a"), (1, "x", None), (2, "x", "a"), (3, "x", "q")],
+                "doc_id long, text string, label string")
+    got = {r.doc_id: r.reason for r in EX.rejects(docs, ["a", "b"]).collect()}
+    assert got == {0: "empty", 1: "unknown_label", 3: "unknown_label"}
+
+
+def test_lookups_without_broadcast(spark):
+    """Sort-merge joins give the same rows as broadcasts, hot words included."""
+    docs = rows(spark, [(i, "hot " * 50 + f"w{i % 7}") for i in range(60)], "doc_id long, text string")
+    toks = TK.tokenize(docs)
+    vocab = V.build_vocab(toks).where("word <> 'w3'")
+
+    def all_rows():
+        return (sorted(map(tuple, V.lookup(toks, vocab).collect())),
+                sorted(map(tuple, V.lookup_or_default(toks, vocab).collect())),
+                sorted(map(tuple, V.unknown_words(toks, vocab).collect())))
+
+    want, old = all_rows(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set(adaptive, "-1")
+    try:
+        assert "SortMergeJoin" in V.lookup(toks, vocab)._jdf.queryExecution().executedPlan().toString()
+        assert all_rows() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset(adaptive)
