@@ -1,15 +1,20 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
 Views ``documents``, ``labels``, ``conversations`` ... are registered by the
-checker.  Column names and types follow the Spark side.
+checker.  Column names and types follow the Spark side; nothing is imported from
+the code under test, so fixed values are stated here again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from ..conf import SEQ_LEN
-from ..sources.tables import BINARY, LANGS
+# Class lists, example width, chunk length, generated length.
+LANGS = ("de", "en", "es", "fr")
+BINARY = ("0", "1")
+SEQ_LEN = 663
+CHUNK_LEN = 1000
+GEN_STEPS = 300
 
 ORACLE: dict[str, str] = {}
 
@@ -37,7 +42,7 @@ def tokens_sql(text: str, normalize: bool = True) -> str:
 
 
 def hash_sql(key: str, seed, modulus: int) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::UBIGINT % {modulus})"
+    return f"(('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '')), 1, 8))::UBIGINT % {modulus})"
 
 
 def split_sql(key: str = "text", fraction: float = 0.7, seed: int = 11) -> str:
@@ -56,9 +61,10 @@ def labelled_sql(target: str) -> str:
             f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 
 
-def counted_sql(target: str, reduction: str = "mean", seq_len: int = SEQ_LEN) -> str:
+def counted_sql(target: str, reduction: str = "mean") -> str:
     """CTEs ending in ``pred(doc_id, label_id, class_id, mean_score)``."""
-    k = len(LANGS if target == "lang" else BINARY)
+    classes = LANGS if target == "lang" else BINARY
+    k, names = len(classes), "[" + ", ".join(f"'{c}'" for c in classes) + "]"
     per_class = ", ".join(f"sum(CASE WHEN label_id = {c} THEN 1 ELSE 0 END) AS n{c}" for c in range(k))
     scores = ", ".join(
         f"(coalesce(m.n{c}, 0) + 1)::DOUBLE / (coalesce(m.n_word, 0) + {k}) AS s{c}" for c in range(k))
@@ -71,8 +77,8 @@ def counted_sql(target: str, reduction: str = "mean", seq_len: int = SEQ_LEN) ->
                     "(PARTITION BY doc_id) AS mp FROM tok WHERE NOT is_train) WHERE pos = mp")
     mlist = ", ".join(f"m{c}" for c in range(k))
     return f"""
-lab AS ({labelled_sql(target)}),
-sp AS (SELECT doc_id, label_id, {tokens_sql('text')}[1:{seq_len}] AS toks,
+lab AS (SELECT * FROM ({labelled_sql(target)}) WHERE label_id BETWEEN 0 AND {k - 1}),
+sp AS (SELECT doc_id, label_id, {tokens_sql('text')} AS toks,
               {split_sql('text')} AS is_train FROM lab),
 tok AS (SELECT doc_id, label_id, is_train, CAST(unnest(range(len(toks))) AS INTEGER) AS pos,
                unnest(toks) AS word FROM sp),
@@ -83,7 +89,7 @@ steps AS (SELECT t.doc_id, t.label_id, t.pos, {scores}
 red AS (SELECT doc_id, label_id, {red} FROM steps GROUP BY doc_id, label_id),
 longf AS (SELECT doc_id, label_id, CAST(unnest(range({k})) AS INTEGER) AS class_id,
                  unnest([{mlist}]) AS score FROM red),
-pred AS (SELECT doc_id, label_id, class_id, score AS mean_score FROM (
+pred AS (SELECT doc_id, label_id, class_id, score AS mean_score, {names}[class_id + 1] AS label FROM (
            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class_id) AS rn
            FROM longf) WHERE rn = 1)"""
 
@@ -95,6 +101,12 @@ def register(name: str, sql: str) -> None:
 register("predict_lang", f"WITH {counted_sql('lang')} SELECT * FROM pred")
 register("predict_quality", f"WITH {counted_sql('quality')} SELECT * FROM pred")
 register("predict_toxic", f"WITH {counted_sql('toxic')} SELECT * FROM pred")
+register("predict_rejected", f"""
+SELECT doc_id, reason FROM (
+  SELECT d.doc_id, CASE WHEN len({tokens_sql("coalesce(d.text, '')")}) = 0 THEN 'empty'
+                        WHEN l.quality IS NULL OR l.quality NOT IN (0, 1) THEN 'unknown_label' END AS reason
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE NOT {split_sql('d.text')})
+WHERE reason IS NOT NULL""")
 register("accuracy_counted", f"""WITH {counted_sql('lang')}
 SELECT count(*) AS n_test, CAST(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
        round(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0 END) / count(*), 6) AS accuracy FROM pred""")
@@ -108,12 +120,10 @@ register("last_step_predict", f"WITH {counted_sql('quality', 'last_step')} SELEC
 STOP_WORDS = ("the", "and", "of", "de", "la", "le", "el", "der", "die", "und")
 
 
-def doc_tok_sql(table: str = "documents", key: str = "doc_id", keep: str = "",
-                seq_len: int | None = None) -> str:
-    cut = f"[1:{seq_len}]" if seq_len else ""
+def doc_tok_sql(table: str = "documents", key: str = "doc_id", keep: str = "") -> str:
     k = f"{keep}, " if keep else ""
     return (f"SELECT {key}, {k}CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS word "
-            f"FROM (SELECT {key}, {k}{tokens_sql('text')}{cut} AS toks FROM {table})")
+            f"FROM (SELECT {key}, {k}{tokens_sql('text')} AS toks FROM {table})")
 
 
 VOCAB_CTE = f"""dtok AS ({doc_tok_sql()}),
@@ -137,6 +147,12 @@ SELECT doc_id, CAST(unnest(range(greatest(len(toks) - 1, 0))) AS INTEGER) AS pos
        unnest(list_transform(range(greatest(len(toks) - 1, 0)),
                              lambda i: toks[i + 1] || ' ' || toks[i + 2])) AS ngram
 FROM (SELECT doc_id, {tokens_sql('text')} AS toks FROM documents)""")
+register("configured_vocab", f"""
+WITH kept AS (SELECT list_filter({tokens_sql('text')}, lambda x: NOT list_contains({_stop}, x)) AS toks FROM documents),
+pairs AS (SELECT unnest(list_transform(range(greatest(len(toks) - 1, 0)),
+                                       lambda i: toks[i + 1] || ' ' || toks[i + 2])) AS word FROM kept),
+counts AS (SELECT word, count(*) AS freq FROM pairs GROUP BY word HAVING count(*) >= 2)
+SELECT word, freq, row_number() OVER (ORDER BY freq DESC, word) - 1 AS idx FROM counts""")
 register("joined_tokens", f"SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS joined FROM documents")
 CONV_TOK = doc_tok_sql("conversations", "conv_id", "turn")
 register("lookup_default", f"""WITH {VOCAB_CTE}, ctok AS ({CONV_TOK})
@@ -217,10 +233,22 @@ SELECT doc_id, CAST(to_json(list(CAST(to_json({{'word': word, 'index': idx}}) AS
 FROM tid GROUP BY doc_id""")
 register("token_json_roundtrip", f"WITH {VOCAB_CTE} SELECT word, CAST(idx AS DOUBLE) AS index FROM vocab")
 
+register("first_match_conflicts", f"""SELECT word, CAST(pos AS DOUBLE) AS index FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY doc_id, pos) AS rn FROM ({doc_tok_sql()})) WHERE rn = 1""")
+register("lines_roundtrip", """
+SELECT text, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS text FROM documents) GROUP BY text""")
+register("tsv_roundtrip", f"""
+SELECT lang AS label, joined AS text
+FROM (SELECT lang, array_to_string({tokens_sql('text')}, ' ') AS joined FROM documents) WHERE length(joined) > 0""")
+register("examples_roundtrip", f"""WITH {examples_sql(_QSRC, True)}
+SELECT doc_id, label_id, n_tokens, CAST(list_sum(ids) AS BIGINT) AS id_sum,
+       CAST(least(n_tokens, {SEQ_LEN}) AS BIGINT) AS mask_sum FROM ex""")
+
 # ---------------------------------------------------------------- step 5 ---
 
-from ..conf import CHUNK_LEN, GEN_STEPS  # noqa: E402
-from ..functions.charset import CHARSET  # noqa: E402
+# A-z, A-Z, 0-9 and 15 marks, in the order of their ids.
+CHARSET = [*"abcdefghijklmnopqrstuvwxyz", *"ABCDEFGHIJKLMNOPQRSTUVWXYZ", *"0123456789",
+           *"!&()?-'\",.:; ", "\n", "\t"]
 
 _OUTSIDE = r"""'[^a-zA-Z0-9!&()?\-''",.:; \n\t]'"""
 
@@ -232,10 +260,10 @@ def _sql_char(c: str) -> str:
 _CHARSET_LIST = "[" + ", ".join(_sql_char(c) for c in CHARSET) + "]"
 _CHAR_CTE = f"""filt AS (SELECT doc_id, regexp_replace(text, {_OUTSIDE}, '', 'g') AS text FROM documents),
 chunks AS (SELECT doc_id, CAST(c AS INTEGER) AS chunk, substr(text, CAST(c * {CHUNK_LEN} + 1 AS BIGINT), {CHUNK_LEN}) AS text
-           FROM filt, unnest(range(greatest(0, (length(text) - 1) // {CHUNK_LEN}))) AS u(c)),
-pairs AS (SELECT doc_id, chunk, CAST(i AS INTEGER) AS pos, substr(text, CAST(i + 1 AS BIGINT), 1) AS ch,
-                 substr(text, CAST(i + 2 AS BIGINT), 1) AS next_ch
-          FROM chunks, unnest(range(greatest(0, length(text) - 2))) AS u(i)),
+           FROM filt, unnest(range((length(text) + {CHUNK_LEN - 1}) // {CHUNK_LEN})) AS u(c)),
+pairs AS (SELECT doc_id, CAST(unnest(range(greatest(0, length(text) - 1))) AS INTEGER) AS pos,
+                 unnest(string_split(text[:-2], '')) AS ch, unnest(string_split(text[2:], '')) AS next_ch
+          FROM filt WHERE length(text) > 1),
 trans AS (SELECT ch, next_ch, count(*) AS n FROM pairs GROUP BY ch, next_ch),
 cdf AS (SELECT ch, next_ch, n,
                CAST(sum(n) OVER (PARTITION BY ch ORDER BY next_ch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum,
@@ -249,13 +277,13 @@ cs AS (SELECT CAST(unnest(range(77)) AS INTEGER) AS char_id, unnest({_CHARSET_LI
 chars AS (SELECT doc_id, chunk, CAST(i AS INTEGER) AS pos, substr(text, CAST(i + 1 AS BIGINT), 1) AS ch
           FROM chunks, unnest(range(length(text))) AS u(i))
 SELECT c.doc_id, c.chunk, c.pos, c.ch, s.char_id FROM chars c JOIN cs s ON c.ch = s.ch""")
-register("char_pairs", f"WITH {_CHAR_CTE} SELECT doc_id, chunk, pos, ch, next_ch FROM pairs")
+register("char_pairs", f"WITH {_CHAR_CTE} SELECT doc_id, pos, ch, next_ch FROM pairs")
 register("one_hot_chars", f"""WITH {_CHAR_CTE},
 cs AS (SELECT CAST(unnest(range(77)) AS INTEGER) AS char_id, unnest({_CHARSET_LIST}) AS ch)
-SELECT p.doc_id, p.chunk, 'features' AS tensor, a.char_id, p.pos, CAST(1.0 AS DOUBLE) AS value
+SELECT p.doc_id, 'features' AS tensor, a.char_id, p.pos, CAST(1.0 AS DOUBLE) AS value
 FROM pairs p JOIN cs a ON p.ch = a.ch JOIN cs b ON p.next_ch = b.ch
 UNION ALL
-SELECT p.doc_id, p.chunk, 'labels', b.char_id, p.pos, 1.0
+SELECT p.doc_id, 'labels', b.char_id, p.pos, 1.0
 FROM pairs p JOIN cs a ON p.ch = a.ch JOIN cs b ON p.next_ch = b.ch""")
 register("transitions", f"WITH {_CHAR_CTE} SELECT ch, next_ch, n FROM trans")
 register("transition_cdf", f"WITH {_CHAR_CTE} SELECT ch, next_ch, n, cum, total FROM cdf")
@@ -263,9 +291,9 @@ register("draws", f"""WITH {_CHAR_CTE},
 req AS (SELECT doc_id, chunk, CAST(doc_id AS VARCHAR) || ':' || CAST(chunk AS VARCHAR) AS req_id,
                substr(text, -1, 1) AS ch FROM chunks),
 rq AS (SELECT q.*, CAST({hash_sql('q.req_id', 12345, 1 << 40)} % t.total AS BIGINT) AS r
-       FROM req q JOIN (SELECT DISTINCT ch, total FROM cdf) t ON q.ch = t.ch)
+       FROM req q LEFT JOIN (SELECT DISTINCT ch, total FROM cdf) t ON q.ch = t.ch)
 SELECT rq.doc_id, rq.chunk, rq.req_id, rq.ch, rq.r, c.next_ch AS drawn
-FROM rq JOIN cdf2 c ON c.ch = rq.ch AND rq.r >= c.prev AND rq.r < c.cum""")
+FROM rq LEFT JOIN cdf2 c ON c.ch = rq.ch AND rq.r >= c.prev AND rq.r < c.cum""")
 _SEEDS = f"""seeds AS (SELECT doc_id, CAST({hash_sql('doc_id', 12345, 77)} AS INTEGER) AS char_id FROM documents),
 seeds2 AS (SELECT doc_id, char_id, {_CHARSET_LIST}[char_id + 1] AS seed_ch FROM seeds)"""
 register("seed_chars", f"WITH {_SEEDS} SELECT doc_id, char_id, seed_ch FROM seeds2")
@@ -284,15 +312,44 @@ SELECT doc_id, txt AS generated FROM gen
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY step DESC) = 1""")
 
 
+_PREFIX = f"""pre AS (
+  SELECT conv_id, s AS sample, prefix, CAST(conv_id AS VARCHAR) || '/' || CAST(s AS VARCHAR) AS key
+  FROM (SELECT conv_id, substr(regexp_replace(text, {_OUTSIDE}, '', 'g'), 1, 10) AS prefix
+        FROM conversations WHERE turn = 0), unnest(range(4)) AS u(s)
+  WHERE length(prefix) > 0)"""
+_DRAWN = hash_sql("g.key || ':' || CAST(g.step + 1 AS VARCHAR)", 12345, 1 << 40)
+register("generated_samples", f"""WITH RECURSIVE {_CHAR_CTE.replace("cdf2 AS (", "cdf2 AS MATERIALIZED (")}, {_PREFIX},
+gen(conv_id, sample, prefix, key, step, last, txt) AS (
+  SELECT conv_id, sample, prefix, key, 0, substr(prefix, -1, 1), prefix FROM pre
+  UNION ALL
+  SELECT g.conv_id, g.sample, g.prefix, g.key, g.step + 1, c.next_ch, g.txt || c.next_ch
+  FROM gen g JOIN cdf2 c ON c.ch = g.last AND {_DRAWN} % c.total >= c.prev AND {_DRAWN} % c.total < c.cum
+  WHERE g.step < 40)
+SELECT conv_id, prefix, CAST(sample AS INTEGER) AS sample, txt AS generated FROM gen
+QUALIFY row_number() OVER (PARTITION BY conv_id, sample ORDER BY step DESC) = 1""")
+
+
 # ---------------------------------------------------------------- step 6 ---
 
-register("dictionary_matches", f"""WITH ctok AS ({CONV_TOK}),
-dict AS (SELECT DISTINCT word FROM ctok WHERE length(word) BETWEEN 2 AND 4),
-d AS (SELECT doc_id, lower(text) AS t FROM documents),
-cand AS (SELECT doc_id, CAST(s AS INTEGER) AS start, substr(t, CAST(s + 1 AS BIGINT), l) AS word
-         FROM d, unnest(range(greatest(length(t) - 1, 0))) AS u(s), unnest([2, 3, 4]) AS v(l)
-         WHERE s + l <= length(t))
-SELECT doc_id, start, word FROM cand WHERE word IN (SELECT word FROM dict)""")
+# At every offset the next 64 characters (more than the longest word has), and of
+# these every beginning of a length that the dictionary has.
+_MATCHES = f"""ctok AS ({CONV_TOK}),
+dict AS (SELECT DISTINCT word FROM ctok),
+lens AS (SELECT DISTINCT length(word) AS l FROM dict),
+d AS (SELECT doc_id, unnest(string_split(lower(text), '')) AS c, CAST(unnest(range(length(text))) AS INTEGER) AS start
+      FROM documents),
+w AS (SELECT doc_id, start, string_agg(c, '') OVER (
+        PARTITION BY doc_id ORDER BY start ROWS BETWEEN CURRENT ROW AND 63 FOLLOWING) AS w FROM d),
+cand AS (SELECT doc_id, start, substr(w, 1, l) AS word FROM w, lens WHERE l <= length(w)),
+hits AS (SELECT doc_id, start, word FROM cand WHERE word IN (SELECT word FROM dict))"""
+register("dictionary_matches", f"WITH {_MATCHES} SELECT doc_id, start, word FROM hits")
+register("score_unspaced", f"""WITH {counted_sql('lang')}, {_MATCHES},
+hs AS (SELECT h.doc_id, coalesce(m.n0, 0) AS n0, coalesce(m.n1, 0) AS n1, coalesce(m.n2, 0) AS n2,
+              coalesce(m.n3, 0) AS n3, coalesce(m.n_word, 0) AS n_word FROM hits h LEFT JOIN model m ON h.word = m.word),
+hm AS (SELECT doc_id, [{', '.join(f"round(sum((n{c} + 1)::DOUBLE / (n_word + 4)) / count(*), 6)" for c in range(4))}] AS m
+       FROM hs GROUP BY doc_id)
+SELECT doc_id, CAST(list_position(m, list_max(m)) - 1 AS INTEGER) AS class_id, list_max(m) AS mean_score,
+       ['de', 'en', 'es', 'fr'][list_position(m, list_max(m))] AS label FROM hm""")
 register("hash_split", f"SELECT doc_id, {split_sql('text')} AS is_train FROM documents")
 register("split_check", f"""WITH a AS (SELECT doc_id, text, lang FROM documents),
 tr AS (SELECT * FROM a WHERE {split_sql('text')}),
@@ -304,6 +361,32 @@ SELECT (SELECT count(*) FROM a) AS n_all, (SELECT count(*) FROM tr) AS n_train,
        (SELECT count(*) FROM ((SELECT * FROM tr UNION ALL SELECT * FROM te) EXCEPT ALL SELECT * FROM a)) AS n_extra""")
 
 
+# ---------------------------------------------------------------- step 7 ---
+
+# Held-out rows and the most frequent label's; that a trained model beats it is stated, not computed.
+_BEATS = f"""WITH lab AS (SELECT * FROM ({labelled_sql('lang')}) WHERE label_id >= 0 AND NOT {split_sql('text')}),
+per AS (SELECT label_id, count(*) AS n FROM lab GROUP BY label_id)
+SELECT CAST(sum(n) AS BIGINT) AS n_test, max(n) AS n_majority, true AS beats_majority FROM per"""
+register("train_linear", _BEATS)
+register("train_embedded", _BEATS)
+
+_JOB = f"""WITH src AS (SELECT doc_id, text, len({tokens_sql("coalesce(text, '')")}) AS n, {label_id_sql('lang', LINE_CLASSES)} AS label_id
+  FROM documents),
+ok AS (SELECT doc_id, text, label_id, {split_sql('text')} AS is_train, {tokens_sql('text')} AS toks FROM src
+       WHERE n > 0 AND label_id >= 0),
+tok AS (SELECT doc_id, label_id, is_train, unnest(toks) AS word FROM ok),
+model AS (SELECT word, count(*) AS n_word, count(*) FILTER (label_id = 0) AS n0, count(*) FILTER (label_id = 1) AS n1
+          FROM tok WHERE is_train GROUP BY word),
+sc AS (SELECT t.doc_id, t.label_id,
+              round(sum((coalesce(m.n0, 0) + 1)::DOUBLE / (coalesce(m.n_word, 0) + 2)) / count(*), 6) AS s0,
+              round(sum((coalesce(m.n1, 0) + 1)::DOUBLE / (coalesce(m.n_word, 0) + 2)) / count(*), 6) AS s1
+       FROM tok t LEFT JOIN model m ON t.word = m.word WHERE NOT is_train GROUP BY ALL)
+SELECT count(*) AS n_test, count(*) FILTER (label_id = CASE WHEN s1 > s0 THEN 1 ELSE 0 END) AS n_correct,
+       round(count(*) FILTER (label_id = CASE WHEN s1 > s0 THEN 1 ELSE 0 END) / count(*), 6) AS accuracy,
+       (SELECT count(*) FROM src WHERE n = 0 OR label_id < 0) AS n_rejected FROM sc"""
+register("train_job", _JOB)
+
+
 # ---------------------------------------------------------------- step 8 ---
 
 # Same model as predict_lang; every document of the stream is scored.
@@ -316,3 +399,4 @@ SELECT doc_id, class_id, score AS mean_score FROM longf""")
 register("token_class_model", "WITH " + counted_sql("lang") + """
 SELECT word, CAST(unnest(range(4)) AS INTEGER) AS class_id, CAST(unnest([n0, n1, n2, n3]) AS BIGINT) AS n,
        n_word FROM model""")
+register("model_roundtrip", ORACLE["token_class_model"])

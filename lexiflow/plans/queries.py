@@ -11,12 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..conf import SEQ_LEN
+from ..conf import CharConf, TextConf, TrainConf
+from ..functions import text as T
+from ..operators import chars as CH
+from ..operators import examples as EX
 from ..operators import sampling as R
 from ..operators import score as S
+from ..operators import tokens as TK
 from ..operators import train as TR
-from ..session import cut_lineage
+from ..operators import vocab as V
+from ..session import cut_lineage, scratch_path
+from ..sources import files as FS
 from ..sources import tables as TB
+from ..streaming.score_stream import score_stream as _score_stream
+from . import jobs as JB
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -39,12 +47,13 @@ def _labelled(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
 
 def counted_predictions(spark: SparkSession, sf_dir: str, target: str = "lang",
                         reduction: str = "mean") -> DataFrame:
-    """J05 -> P01 -> R01 -> T01 -> J06 -> A06 -> W02 on the held-out side."""
-    k = len(TB.classes_for(target))
+    """J05 -> P01 -> R01 -> T01 -> J06 -> A06 -> W02 -> P05 on the held-out side;
+    rows with a label outside the class list take no part (see ``predict_rejected``)."""
+    classes = TB.classes_for(target)
     lab = _labelled(spark, sf_dir, target).withColumn("_train", R.split_flag("text"))
-    model = cut_lineage(TR.train_counted(lab.where("_train"), k))
-    test = lab.where(~F.col("_train"))
-    return S.score(test, model, k, keep=("label_id",), reduction=reduction)
+    lab = TR.known_labels(lab, len(classes))
+    model = TR.train_counted(lab.where("_train"), len(classes))
+    return S.score(lab.where(~F.col("_train")), model, len(classes), reduction=reduction, classes=classes)
 
 
 @register("predict_lang")
@@ -63,6 +72,16 @@ def predict_toxic(spark, sf_dir):
     return counted_predictions(spark, sf_dir, "toxic")
 
 
+@register("predict_rejected")
+def predict_rejected(spark, sf_dir):
+    """Held-out rows that ``predict_quality``'s job cannot score, with the reason:
+    with the predictions they are all held-out rows."""
+    d = TB.table(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = d.join(TB.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    held = lab.where(~R.split_flag("text"))
+    return EX.rejects(held, TB.BINARY, label="quality")
+
+
 @register("accuracy_counted")
 def accuracy_counted(spark, sf_dir):
     return S.accuracy(counted_predictions(spark, sf_dir, "lang"))
@@ -80,17 +99,13 @@ def last_step_predict(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 2 ---
 
-from ..functions import text as T  # noqa: E402
-from ..operators import tokens as TK  # noqa: E402
-from ..operators import vocab as V  # noqa: E402
-
 # Fixed example stop-word list for P06 (the reference's own list is empty).
 STOP_WORDS = ("the", "and", "of", "de", "la", "le", "el", "der", "die", "und")
 MIN_COUNT = 2
 
 
-def doc_tokens(spark: SparkSession, sf_dir: str, max_pos: int | None = None) -> DataFrame:
-    return TK.tokenize(TB.table(spark, sf_dir, "documents"), max_pos=max_pos)
+def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TK.tokenize(TB.table(spark, sf_dir, "documents"))
 
 
 def doc_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,9 +179,15 @@ def unknown_words(spark, sf_dir):
     return V.unknown_words(_conversation_tokens(spark, sf_dir), doc_vocab(spark, sf_dir))
 
 
-# ---------------------------------------------------------------- step 3 ---
+@register("configured_vocab")
+def configured_vocab(spark, sf_dir):
+    """The vocabulary that settings ask for: bigrams of the words that are
+    no stop words, from two occurrences on."""
+    conf = TextConf(min_count=MIN_COUNT, ngram=2, stop_words=STOP_WORDS)
+    return EX.build_vocab(TB.table(spark, sf_dir, "documents"), conf)
 
-from ..operators import examples as EX  # noqa: E402
+
+# ---------------------------------------------------------------- step 3 ---
 
 LINE_CLASSES = ("de", "en")   # two classes as in the reference; es/fr lines are rejected
 
@@ -217,9 +238,6 @@ def example_cells(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 4 ---
 
-from ..session import scratch_path  # noqa: E402
-from ..sources import files as FS  # noqa: E402
-
 
 def _doc_token_ids(spark, sf_dir):
     """All cleaned tokens of all documents with their vocabulary ids."""
@@ -239,10 +257,71 @@ def token_json_roundtrip(spark, sf_dir):
     return V.first_match(FS.read_token_json(spark, path))
 
 
+@register("first_match_conflicts")
+def first_match_conflicts(spark, sf_dir):
+    """W06 where a word has several indexes: every document's words carry their
+    position there, and the first in (doc_id, pos) order counts."""
+    toks = doc_tokens(spark, sf_dir)
+    items = toks.select(F.col("doc_id").alias("line_no"), F.col("pos").alias("item_no"), "word",
+                        F.col("pos").cast("double").alias("index"))
+    return V.first_match(items)
+
+
+@register("lines_roundtrip")
+def lines_roundtrip(spark, sf_dir):
+    """The lines of all documents written as text and read back, counted."""
+    path = scratch_path(spark, "lines")
+    d = TB.table(spark, sf_dir, "documents")
+    d.where("text is not null").select("text").write.text(path)
+    return FS.read_lines(spark, path).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("tsv_roundtrip")
+def tsv_roundtrip(spark, sf_dir):
+    """Label and cleaned text of every document, tab-separated, and back."""
+    path = scratch_path(spark, "tsv")
+    d = TK.join_tokens(TK.with_tokens(TB.table(spark, sf_dir, "documents"))).where("length(joined) > 0")
+    d.select(F.concat_ws("\t", "lang", "joined").alias("line")).write.text(path)
+    return FS.read_labelled_tsv(spark, path)
+
+
+@register("examples_roundtrip")
+def examples_roundtrip(spark, sf_dir):
+    """Encoded examples stored and loaded; ids and mask as sums."""
+    path = scratch_path(spark, "examples")
+    FS.save_examples(_quality_examples(spark, sf_dir), path)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    return FS.load_examples(spark, path).select(
+        "doc_id", "label_id", "n_tokens", total("features").alias("id_sum"),
+        total(F.col("feature_mask").cast("array<bigint>")).alias("mask_sum"))
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """The counted model saved, loaded and listed."""
+    path = scratch_path(spark, "model")
+    train, _ = _lang_split(spark, sf_dir)
+    FS.save_model(TR.train_counted(train, len(TB.LANGS)), path)
+    return TR.model_long(FS.load_model(spark, path))
+
+
+@register("train_job")
+def train_job(spark, sf_dir):
+    """Train, evaluate and save; the accuracy and the rows by where they went."""
+    path = scratch_path(spark, "job")
+    d = TB.table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"), "text")
+    JB.train_job(d, path, LINE_CLASSES, TrainConf(classes=LINE_CLASSES))
+    right = (F.col("label_id") == F.col("class_id")).cast("long").alias("right")
+    rows = spark.read.parquet(f"{path}/predictions").select(right).unionByName(
+        spark.read.parquet(f"{path}/rejected").select(F.lit(None).cast("long").alias("right")))
+    n, hits = F.count("right"), F.coalesce(F.sum("right"), F.lit(0))
+    return rows.agg(n.alias("n_test"), hits.cast("long").alias("n_correct"),
+                    F.round(hits / n, S.DIGITS).alias("accuracy"), (F.count(F.lit(1)) - n).alias("n_rejected"))
+
+
 # ---------------------------------------------------------------- step 5 ---
 
-from ..conf import CHUNK_LEN, GEN_STEPS  # noqa: E402
-from ..operators import chars as CH  # noqa: E402
+CHARS = CharConf()
 
 
 def _filtered(spark, sf_dir):
@@ -250,11 +329,11 @@ def _filtered(spark, sf_dir):
 
 
 def _chunks(spark, sf_dir):
-    return CH.chunk_text(_filtered(spark, sf_dir), CHUNK_LEN)
+    return CH.chunk_text(_filtered(spark, sf_dir), CHARS.chunk_len, keep_tail=CHARS.keep_tail)
 
 
 def _pairs(spark, sf_dir):
-    return CH.char_pairs(_chunks(spark, sf_dir))
+    return CH.char_pairs(_filtered(spark, sf_dir), keep_tail=CHARS.keep_tail)
 
 
 def _transitions(spark, sf_dir):
@@ -315,21 +394,41 @@ def seed_chars(spark, sf_dir):
 @register("generated_text")
 def generated_text(spark, sf_dir):
     seeds = R.seed_rows(TB.table(spark, sf_dir, "documents").select("doc_id"))
-    return R.generate(seeds, _transitions(spark, sf_dir), steps=GEN_STEPS)
+    return R.generate(seeds, _transitions(spark, sf_dir), CHARS.steps, CHARS.seed).select("doc_id", "generated")
+
+
+@register("generated_samples")
+def generated_samples(spark, sf_dir):
+    """R04 with a prefix of several characters and several samples a prefix: the
+    first ten characters of each conversation's first turn, 40 characters on."""
+    c = TB.table(spark, sf_dir, "conversations").where("turn = 0")
+    prefix = F.substring(CH.keep_charset("text"), 1, 10)
+    seeds = R.sample_seeds(c.select("conv_id", prefix.alias("prefix")).where("length(prefix) > 0"), CHARS.samples)
+    key = F.concat_ws("/", F.col("conv_id").cast("string"), F.col("sample").cast("string"))
+    return R.generate(seeds, _transitions(spark, sf_dir), 40, CHARS.seed, key=key, start="prefix")
 
 
 # ---------------------------------------------------------------- step 6 ---
 
-DICT_MIN, DICT_MAX = 2, 4
+def _matches(spark, sf_dir):
+    dic = _conversation_tokens(spark, sf_dir).select("word")
+    docs = TB.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    return TK.match_dictionary(docs, dic)
 
 
 @register("dictionary_matches")
 def dictionary_matches(spark, sf_dir):
-    """P20: words of the conversations vocabulary found anywhere in the
-    lower-cased document text (index-mode style: overlapping matches)."""
-    dic = _conversation_tokens(spark, sf_dir).select("word")
-    docs = TB.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
-    return TK.match_dictionary(docs, dic, DICT_MIN, DICT_MAX)
+    """P20: words of the conversations vocabulary, of any length, found anywhere
+    in the lower-cased document text (index-mode style: overlapping matches)."""
+    return _matches(spark, sf_dir)
+
+
+@register("score_unspaced")
+def score_unspaced(spark, sf_dir):
+    """P20 -> J06 -> A06 -> W02 -> P05: texts scored by their dictionary matches."""
+    train, _ = _lang_split(spark, sf_dir)
+    model = TR.train_counted(train, len(TB.LANGS))
+    return S.score_segments(_matches(spark, sf_dir), model, len(TB.LANGS), classes=TB.LANGS)
 
 
 @register("hash_split")
@@ -347,57 +446,52 @@ def split_check(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 7 ---
 
-from ..conf import TrainConf  # noqa: E402
-
-
 def _lang_split(spark, sf_dir):
     lab = TB.labelled_lang(spark, sf_dir).withColumn("_train", R.split_flag("text"))
+    lab = TR.known_labels(lab, len(TB.LANGS))
     return lab.where("_train").drop("_train"), lab.where(~F.col("_train")).drop("_train")
 
 
+def _against_majority(predictions: DataFrame) -> DataFrame:
+    """One row: held-out rows, those of the most frequent label, and whether more
+    than these were predicted right."""
+    per = predictions.groupBy("label_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("label_id") == F.col("class_id")).cast("long")).alias("right"))
+    return per.agg(F.sum("n").alias("n_test"), F.max("n").alias("n_majority"),
+                   (F.sum("right") > F.max("n")).alias("beats_majority"))
+
+
 @register("train_linear")
 def train_linear(spark, sf_dir):
     train, test = _lang_split(spark, sf_dir)
-    model = TR.train_linear(train, TrainConf(classes=TB.LANGS))
-    return TR.predict_pipeline(model, test)
+    model = TR.train_linear(train, len(TB.LANGS), TrainConf(classes=TB.LANGS))
+    return _against_majority(TR.predict_pipeline(model, test))
 
 
 @register("train_embedded")
 def train_embedded(spark, sf_dir):
     train, test = _lang_split(spark, sf_dir)
     model = TR.train_embedded(train, len(TB.LANGS), TrainConf(classes=TB.LANGS))
-    return TR.predict_pipeline(model, test)
-
-
-@register("train_averaged")
-def train_averaged(spark, sf_dir):
-    train, test = _lang_split(spark, sf_dir)
-    conf = TrainConf(classes=TB.LANGS)
-    w = TR.train_averaged(train, len(TB.LANGS), conf)
-    return TR.predict_averaged(w, test, conf)
+    return _against_majority(TR.predict_pipeline(model, test))
 
 
 # ---------------------------------------------------------------- step 8 ---
 
-from ..session import cut_lineage  # noqa: E402
-from ..streaming.score_stream import score_stream as _score_stream  # noqa: E402
-
-
 @register("score_stream")
 def score_stream(spark, sf_dir):
     """Documents arrive as a file stream and are scored per micro-batch
     by the counted model trained on the train side of ``lang``."""
-    k = len(TB.LANGS)
-    lab = TB.labelled_lang(spark, sf_dir).withColumn("_train", R.split_flag("text"))
-    model = cut_lineage(TR.train_counted(lab.where("_train"), k))
+    train, _ = _lang_split(spark, sf_dir)
+    model = cut_lineage(TR.train_counted(train, len(TB.LANGS)))      # every batch looks it up
     schema = TB.table(spark, sf_dir, "documents").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-                   .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                   .option("maxFilesPerTrigger", 64).parquet(f"{sf_dir.rstrip('/')}/documents.parquet*"))
     out = scratch_path(spark, "scored")
     prep = lambda df: df.select("doc_id", "text", T.label_id("lang", TB.LANGS).alias("label_id"))
-    q = _score_stream(stream, model, k, out, scratch_path(spark, "stream-ckpt"), prepare=prep)
+    q = _score_stream(stream, model, len(TB.LANGS), out, scratch_path(spark, "stream-ckpt"), prepare=prep,
+                      classes=TB.LANGS)
     q.awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "label_id", "class_id", "mean_score")
+    return spark.read.parquet(out).select("doc_id", "label_id", "class_id", "mean_score", "label")
 
 
 @register("mean_scores")
@@ -405,11 +499,9 @@ def mean_scores(spark, sf_dir):
     """A06 long form: mean class scores of every held-out document, all classes."""
     k = len(TB.BINARY)
     lab = TB.labelled_flag(spark, sf_dir, "quality").withColumn("_train", R.split_flag("text"))
-    model = cut_lineage(TR.train_counted(lab.where("_train"), k))
+    model = TR.train_counted(lab.where("_train"), k)
     test = lab.where(~F.col("_train"))
-    toks = F.slice(T.tokens_of("text"), 1, SEQ_LEN)
-    steps = test.select("doc_id", F.posexplode(toks).alias("pos", "word"))
-    return S.mean_scores(S.reduce_steps(S.step_scores(steps, model, k), k, ["doc_id"]))
+    return S.mean_scores(S.reduced_scores(test, model, k, keep=(), words=T.tokens_of("text")))
 
 
 @register("token_class_model")

@@ -11,11 +11,15 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from lexiflow.session import build_session, checkpoint_root
-    s = build_session(master="local[4]", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "8g"})
-    checkpoint_root(s)      # local run: a temporary folder when unset
+def spark(tmp_path_factory):
+    from lexiflow.session import build_session
+    from scripts.plan_audit import EVENT_LOG
+    folder = tmp_path_factory.mktemp("shared")
+    (folder / "events").mkdir()
+    s = build_session(master="local[4]", shuffle_partitions=8, extra={
+        "spark.driver.memory": "8g", "spark.checkpoint.dir": f"file://{folder}/checkpoints",
+        "spark.sql.warehouse.dir": f"file://{folder}/warehouse",
+        **EVENT_LOG, "spark.eventLog.dir": f"file://{folder}/events"})
     yield s
     s.stop()
 

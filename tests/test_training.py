@@ -1,15 +1,16 @@
 """Training beats the majority rate on held-out rows; scoring rules."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from lexiflow.conf import TrainConf
+from lexiflow.conf import TextConf, TrainConf
 from lexiflow.operators import sampling as R
 from lexiflow.operators import score as S
 from lexiflow.plans import jobs, queries as Q
 from lexiflow.sources import tables as TB
 from lexiflow.sources.files import rows
 
-from .conftest import SF01
+from .conftest import SF001, SF01
 
 
 def _majority(preds):
@@ -33,26 +34,50 @@ def test_counted_quality_beats_majority(spark):
     assert correct > _majority(preds)
 
 
-def test_linear_beats_majority(spark):
-    preds = Q.REGISTRY["train_linear"](spark, SF01).cache()
-    correct, _ = _acc(preds)
-    assert correct > _majority(preds)
+@pytest.mark.parametrize("name", ["train_linear", "train_embedded"])
+def test_pipelines_beat_majority(spark, name):
+    r = Q.REGISTRY[name](spark, SF01).collect()[0]
+    assert r.beats_majority and 0 < r.n_majority < r.n_test
 
 
-def test_averaged_beats_majority(spark):
-    train, test = Q._lang_split(spark, SF01)
-    conf = TrainConf(classes=TB.LANGS)
-    w = Q.TR.train_averaged(train, 4, conf)
-    preds = Q.TR.predict_averaged(w, test, conf).cache()
-    correct, _ = _acc(preds)
-    assert correct > _majority(preds)
+def test_every_token_counts(spark):
+    """A long text: its last token decides the last step, all of them the mean."""
+    lab = rows(spark, [(i, "left left" if i % 2 else "right right", i % 2) for i in range(10)],
+               "doc_id long, text string, label_id int")
+    model = Q.TR.train_counted(lab, 2)
+    docs = rows(spark, [(0, "right " * 1999 + "left", 0), (1, "left " * 900 + "right " * 1100, 0)],
+                "doc_id long, text string, label_id int")
+    last = {r.doc_id: r.class_id for r in S.score(docs, model, 2, reduction="last_step").collect()}
+    mean = {r.doc_id: r.class_id for r in S.score(docs, model, 2).collect()}
+    assert last == {0: 1, 1: 0} and mean == {0: 0, 1: 0}
+    long = rows(spark, [(0, "pad " * 1000 + "rare", 1)], "doc_id long, text string, label_id int")
+    assert Q.TR.train_counted(long, 2).where("word = 'rare'").count() == 1
+
+
+def test_unknown_labels_train_nothing(spark):
+    lab = rows(spark, [(0, "a b", 0), (1, "b c", 1), (2, "c d", -1), (3, "d", None), (4, None, 0), (5, "e", 7)],
+               "doc_id long, text string, label_id int")
+    got = {r.word: (r.n_word, r.n) for r in Q.TR.train_counted(lab, 2).collect()}
+    assert got == {"a": (1, [1, 0]), "b": (2, [1, 1]), "c": (1, [0, 1])}
+    assert Q.TR.predict_pipeline(Q.TR.train_linear(lab.where("text is not null"), 2), lab.where("doc_id < 2")).count() == 2
+
 
+def test_scoring_without_broadcast(spark):
+    want = sorted(map(tuple, Q.counted_predictions(spark, SF001, "quality").collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, Q.counted_predictions(spark, SF001, "quality").collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
-def test_average_models_divides_by_round_total(spark):
-    parts = rows(spark, [(1, 0, 0.5, 10), (1, 0, 1.0, 30), (2, 0, 2.0, 10)],
-                 "slot int, class_id int, wdelta double, n long")
-    got = {r.slot: r.delta for r in Q.TR.average_models(parts, 40).collect()}
-    assert got == {1: (0.5 * 10 + 1.0 * 30) / 40, 2: 2.0 * 10 / 40}
+
+def test_predictions_and_rejects_are_all_rows(spark):
+    held = Q.TB.table(spark, SF01, "documents").where(~R.split_flag("text")).count()
+    preds = Q.counted_predictions(spark, SF01, "quality").count()
+    assert preds + Q.REGISTRY["predict_rejected"](spark, SF01).count() == held
 
 
 def test_ties_go_to_lowest_class(spark):
@@ -62,14 +87,33 @@ def test_ties_go_to_lowest_class(spark):
     assert got == {0: 0, 1: 1, 2: 2}
 
 
-def test_train_job(spark, tmp_out):
+@pytest.mark.parametrize("model", ["counted", "linear"])
+def test_train_job(spark, tmp_out, model):
     d = TB.table(spark, SF01, "documents").select("doc_id", F.col("lang").alias("label"), "text")
-    res = jobs.train_job(d, tmp_out, TB.LANGS)
+    odd = rows(spark, [(-1, "de", None), (-2, None, "x"), (-3, "zz", "x"), (-4, "de", "123")],
+               "doc_id long, label string, text string")
+    d = d.unionByName(odd)
+    res = jobs.train_job(d, tmp_out, TB.LANGS, TrainConf(model=model))
     assert res["n_test"] > 0 and res["accuracy"] > 0.9
-    assert spark.read.parquet(f"{tmp_out}/model").count() > 0
+    preds = spark.read.parquet(f"{tmp_out}/predictions")
+    gone = spark.read.parquet(f"{tmp_out}/rejected")
+    assert {r.doc_id for r in gone.where("doc_id < 0").collect()} == {-1, -2, -3, -4}
+    train = d.where(R.split_flag("text")).join(gone, "doc_id", "left_anti").count()
+    assert train + preds.count() + gone.count() == d.count()
+    assert set(preds.columns) >= {"class_id", "label"}
     assert spark.read.parquet(f"{tmp_out}/confusion").count() >= 4
 
 
+def test_train_job_uses_the_text_settings(spark, tmp_out):
+    d = rows(spark, [(i, "ab"[i % 2], f"the {'x y' if i % 2 else 'y x'} w{chr(97 + i % 20)}{chr(97 + i // 20)}")
+             for i in range(60)],
+             "doc_id long, label string, text string")
+    conf = TrainConf(split_key="doc_id", text=TextConf(ngram=2, stop_words=("the",), min_count=2))
+    res = jobs.train_job(d, tmp_out, ["a", "b"], conf)
+    assert {r.word for r in spark.read.parquet(f"{tmp_out}/model").collect()} == {"x y", "y x"}
+    assert res["accuracy"] == 1.0            # only the order of the two words tells the label
+
+
 def test_split_disjoint_and_complete(spark):
     d = TB.table(spark, SF01, "documents")
     train, test = R.hash_split(d)
@@ -78,6 +122,15 @@ def test_split_disjoint_and_complete(spark):
     assert r.n_train + r.n_test == r.n_all
 
 
+def test_split_keeps_null_keys_and_check_finds_faults(spark):
+    d = rows(spark, [(1, "a"), (2, None), (2, None), (3, "b"), (None, "c")], "doc_id long, text string")
+    train, test = R.hash_split(d)
+    assert train.count() + test.count() == 5
+    one = d.where("doc_id = 1")
+    r = R.check_split(train.unionByName(one), test.unionByName(one).where("doc_id <> 3"), d).collect()[0]
+    assert r.n_overlap == 1 and r.n_extra >= 1 and r.n_all == 5
+
+
 def test_layout_independence(spark):
     results = []
     for parts in (1, 4, 8):
@@ -116,6 +169,6 @@ def test_score_unspaced_text(spark):
     dic = TK.tokenize(lab).select("word")
     queries = rows(spark, [(100, "我是中国人"), (101, "今天天气很好"), (102, "没有")],
                    "doc_id long, text string")
-    matches = TK.match_dictionary(queries, dic, 1, 2)
-    got = {r.doc_id: r.class_id for r in S.score_segments(matches, model, 2).collect()}
-    assert got == {100: 1, 101: 0}
+    matches = TK.match_dictionary(queries, dic)
+    got = {r.doc_id: (r.class_id, r.label) for r in S.score_segments(matches, model, 2, classes=["x", "y"]).collect()}
+    assert got == {100: (1, "y"), 101: (0, "x")}
