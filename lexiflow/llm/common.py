@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-__all__ = ["blocks_of_hot_keys", "by_bytes", "cut_lineage", "map_texts", "small_batches", "table"]
+__all__ = ["blocks_of_hot_keys", "bounded_sample", "by_bytes", "cut_lineage", "map_texts", "small_batches", "table"]
 
 # Rows of one Arrow batch and bytes of text that a task works on at a time.  A
 # single longer text is still taken whole, by itself.
 BATCH_ROWS = 512
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 6 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,20 @@ def by_bytes(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> It
         yield batch.slice(start)
 
 
+def regrouped(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches joined, and cut by ``by_bytes``, to about ``limit`` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= limit:
+            yield from by_bytes(pa.concat_batches(held), column, 2 * limit)
+            held, size = [], 0
+    if held:
+        yield from by_bytes(pa.concat_batches(held), column, 2 * limit)
+
+
 def map_texts(df: DataFrame, keep: Sequence[str], text: str, schema: str,
               make: Callable[[pa.Array], dict[str, object]]) -> DataFrame:
     """``make(texts)`` on bounded batches of a text column (null: empty).
@@ -55,19 +69,29 @@ def map_texts(df: DataFrame, keep: Sequence[str], text: str, schema: str,
     names = [*keep, "__text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_bytes(batch, "__text"):
-                new = make(pa.compute.fill_null(part.column("__text"), ""))
-                cols = [part.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(
-                    cols + [v if isinstance(v, pa.Array) else pa.array(v) for v in new.values()],
-                    names=[*keep, *new])
+        for part in regrouped(batches, "__text"):
+            new = make(pa.compute.fill_null(part.column("__text"), ""))
+            cols = [part.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays(
+                cols + [v if isinstance(v, pa.Array) else pa.array(v) for v in new.values()],
+                names=[*keep, *new])
 
     rows = df.select(*[F.col(f"`{k}`") for k in keep],
                      F.col(f"`{text}`").cast("string").alias("__text")).toDF(*names)
     return rows.mapInArrow(run, schema)
 
 
+def bounded_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """At most ``rows`` rows, the same however the table is dealt: all if there
+    are no more, else those whose hash of the columns ``by`` is below a share of
+    its range, six standard deviations short of ``rows`` in the mean.  No task
+    sees more than the sample."""
+    total = df.count()
+    share = 1.0 if total <= rows else max(1.0, rows - 6 * rows**0.5) / total
+    low = F.pmod(F.xxhash64(*by), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    return df.where(low).limit(rows)
+
+
 def blocks_of_hot_keys(rows: DataFrame, keys: Sequence[str], spread: str, size: int) -> DataFrame:
     """Split the rows of frequent keys into pairs of blocks of about ``size`` rows.
 

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import Bpe, gather, load
-from .common import by_bytes, map_texts, small_batches
+from .common import cut_lineage, map_texts, regrouped, small_batches
 from .encode import as_binary
 
-# Words in the lexicon at most: the bound on what the driver compiles.
+# Words in the lexicon at most: the bound on what the driver gets and compiles.
 LEXICON = 65_536
 
 
@@ -34,11 +34,10 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_bytes(batch, "t"):
-                words, codes, _ = load(path).pieces(pa.compute.fill_null(part.column(0), ""))
-                n = np.bincount(codes, minlength=len(words)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n)], names=["word", "n"])
+        for part in regrouped(batches, "t"):
+            words, codes, _ = load(path).pieces(pa.compute.fill_null(part.column(0), ""))
+            n = np.bincount(codes, minlength=len(words)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n)], names=["word", "n"])
 
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(run, "word string, n bigint")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
@@ -144,12 +143,24 @@ class Lexicon:
 
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", words: int = LEXICON) -> str:
-    """Count all words, compile the ``words`` most frequent ones (ties: in byte
-    order) and hand the file to the executors; returns its name there."""
+    """Count all words, compile the most frequent ones and hand the file to the
+    executors; returns its name there.
+
+    Counts fall into classes, eight to each doubling; the lexicon has the words
+    of as many of the highest classes as together have at most ``words`` words.
+    So the driver gets the classes' sizes and then just these words.
+    """
     spark = docs.sparkSession
     bpe = load(path)
-    top = [r.word for r in word_counts(docs, path, text).orderBy(F.desc("n"), "word").limit(words).collect()
-           if r.word and r.word not in bpe.special]
+    counts = word_counts(docs, path, text).where(F.length("word") > 0)
+    counts = cut_lineage(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int")))
+    least, total = 1 << 30, 0
+    for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("class")).collect():
+        total += r.n
+        if total > words:
+            break
+        least = r["class"]
+    top = [r.word for r in counts.where(F.col("class") >= least).collect() if r.word not in bpe.special]
     encoded = [w.encode("utf-8") for w in top]
     ids, n = bpe.merge(encoded)
     stop = np.cumsum(n)

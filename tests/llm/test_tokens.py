@@ -99,6 +99,9 @@ def test_transducer_round_trip(spark, edge, words):
 def test_transducer_on_the_table_and_decoding_of_ids(spark, nothing):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     name = transducer.build_lexicon(docs, WORD, words=2000)
+    counts = transducer.word_counts(docs, WORD).where("length(word) > 0")
+    assert {r.word: r.n for r in counts.collect()} == Counter(
+        w for r in docs.collect() for w in load(WORD).split(load(WORD).normal(r.text or "")))
     rows = transducer.decode(transducer.encode(docs, WORD, name), WORD).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in rows:
