@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..conf import TextConf
 from ..functions import text as T
+from ..session import stored
 
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens",
@@ -101,14 +102,16 @@ def match_dictionary(docs: DataFrame, dictionary: DataFrame, text: str = "text",
     only these substrings are made and looked up.  A word longer than a window
     is found by its first ``window`` characters and then compared in full with
     the texts that have them.  Words with a blank never match; nulls neither.
-    Characters are code points.
+    Characters are code points.  The dictionary is stored first.
     """
     blank = r"[ \t\n\f\r]"
     dic = (dictionary.select(F.col(word).alias("word")).where(F.length("word") > 0)
            .where(~F.col("word").rlike(blank)).distinct())
+    dic = stored(dic, "dictionary")
     n = F.length("word")
     begin = (dic.select(F.substring("word", 1, 2).alias("begin"), F.least(n, F.lit(window)).alias("n"))
              .groupBy("begin").agg(F.collect_set("n").alias("lengths")))
+    begin = stored(begin, "beginnings")
     t = F.col(text)
     # A zero-width lookahead matches at every offset, one native regex pass; texts
     # with characters of two UTF-16 units are cut from their code points.

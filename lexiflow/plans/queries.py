@@ -20,7 +20,7 @@ from ..operators import score as S
 from ..operators import tokens as TK
 from ..operators import train as TR
 from ..operators import vocab as V
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path, stored
 from ..sources import files as FS
 from ..sources import tables as TB
 from ..streaming.score_stream import score_stream as _score_stream
@@ -52,7 +52,7 @@ def counted_predictions(spark: SparkSession, sf_dir: str, target: str = "lang",
     classes = TB.classes_for(target)
     lab = _labelled(spark, sf_dir, target).withColumn("_train", R.split_flag("text"))
     lab = TR.known_labels(lab, len(classes))
-    model = TR.train_counted(lab.where("_train"), len(classes))
+    model = stored(TR.train_counted(lab.where("_train"), len(classes)), "model")
     return S.score(lab.where(~F.col("_train")), model, len(classes), reduction=reduction, classes=classes)
 
 
@@ -109,8 +109,8 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W01 over the cleaned tokens of all documents."""
-    return V.build_vocab(doc_tokens(spark, sf_dir))
+    """W01 over the cleaned tokens of all documents, stored for lookups."""
+    return stored(V.build_vocab(doc_tokens(spark, sf_dir)), "vocab")
 
 
 @register("tokens_clean")
@@ -140,7 +140,7 @@ def vocab_size(spark, sf_dir):
 
 @register("vocab_index")
 def vocab_index(spark, sf_dir):
-    return doc_vocab(spark, sf_dir)
+    return V.build_vocab(doc_tokens(spark, sf_dir))
 
 
 @register("stop_words_removed")
@@ -427,7 +427,7 @@ def dictionary_matches(spark, sf_dir):
 def score_unspaced(spark, sf_dir):
     """P20 -> J06 -> A06 -> W02 -> P05: texts scored by their dictionary matches."""
     train, _ = _lang_split(spark, sf_dir)
-    model = TR.train_counted(train, len(TB.LANGS))
+    model = stored(TR.train_counted(train, len(TB.LANGS)), "model")
     return S.score_segments(_matches(spark, sf_dir), model, len(TB.LANGS), classes=TB.LANGS)
 
 
@@ -482,7 +482,7 @@ def score_stream(spark, sf_dir):
     """Documents arrive as a file stream and are scored per micro-batch
     by the counted model trained on the train side of ``lang``."""
     train, _ = _lang_split(spark, sf_dir)
-    model = cut_lineage(TR.train_counted(train, len(TB.LANGS)))      # every batch looks it up
+    model = stored(TR.train_counted(train, len(TB.LANGS)), "model")      # every batch looks it up
     schema = TB.table(spark, sf_dir, "documents").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
                    .option("maxFilesPerTrigger", 64).parquet(f"{sf_dir.rstrip('/')}/documents.parquet*"))
@@ -499,7 +499,7 @@ def mean_scores(spark, sf_dir):
     """A06 long form: mean class scores of every held-out document, all classes."""
     k = len(TB.BINARY)
     lab = TB.labelled_flag(spark, sf_dir, "quality").withColumn("_train", R.split_flag("text"))
-    model = TR.train_counted(lab.where("_train"), k)
+    model = stored(TR.train_counted(lab.where("_train"), k), "model")
     test = lab.where(~F.col("_train"))
     return S.mean_scores(S.reduced_scores(test, model, k, keep=(), words=T.tokens_of("text")))
 

@@ -76,6 +76,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: a lookup table whose
+    bytes the planner knows, so it picks the join's form before the large side
+    is shuffled; and a lost executor does not compute it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     """A new path under the shared folder, removed when the block ends."""
