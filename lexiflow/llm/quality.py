@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import bounded_sample, map_texts
 
 # Slots of the hashed n-grams (a power of two), and labelled rows learned from at most.
 SLOTS, ROWS = 1 << 18, 8192
@@ -91,15 +91,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           rows: int = ROWS, slots: int = SLOTS) -> np.ndarray:
     """Weights from a bounded sample of the labelled rows that are not held out.
 
-    The sample is the ``rows`` keys whose hashes are smallest, so it does not
-    depend on how the tables are dealt.  Rows with a null key, and labels other
+    The sample is chosen by the keys' hashes, so it does not depend on how the
+    tables are dealt.  Rows with a null key, and labels other
     than 0 and 1, are left out; of labels that contradict each other for a key,
     the smaller counts.  Without labelled rows all weights are zero.
     """
     spark = docs.sparkSession
     some = (labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y"))
             .where(F.col("k").isNotNull() & F.col("y").isin(0, 1) & ~held_out("k"))
-            .groupBy("k").agg(F.min("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(rows))
+            .groupBy("k").agg(F.min("y").alias("y")))
+    some = bounded_sample(some, rows, "k")
     given = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     given = given.join(F.broadcast(some), "k")               # at most ``rows`` keys
 
