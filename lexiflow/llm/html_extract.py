@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import bounded_sample, map_texts
 from .html_dom import INLINE, UNSEEN, Page
 from .trees import Boosted
 
 # Pages learned from at most, and variants made of each.
-PAGES, VARIANTS = 250, 5
+PAGES, VARIANTS = 300, 5
 BUCKETS = 192
 
 # Names that tell the parts of pages, for the labels to learn from.
@@ -219,17 +219,17 @@ def fit(htmls: list[str], variants: int = VARIANTS) -> Boosted | None:
 
 
 def train(pages: DataFrame, html: str = "html", rows: int = PAGES) -> bytes:
-    """The model from at most ``rows`` pages, those of the smallest hashes, fitted
-    by one task.  Null and empty pages, and pages without an article or main
+    """The model from at most ``rows`` pages, chosen by their hashes, fitted by
+    one task.  Null and empty pages, and pages without an article or main
     element, teach nothing; without any other the model is empty."""
     some = pages.select(F.col(f"`{html}`").cast("string").alias("h")).where("length(h) > 0")
-    some = some.withColumn("x", F.xxhash64("h")).orderBy("x", "h").limit(rows)
+    some = bounded_sample(some, rows, "h")
 
     def learn(batches):
         htmls = [h for batch in batches for h in batch.column("h").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(htmls))], pa.binary())], names=["model"])
 
-    found = some.select("h").repartition(1).sortWithinPartitions("h").mapInArrow(learn, "model binary").collect()
+    found = some.repartition(1).sortWithinPartitions("h").mapInArrow(learn, "model binary").collect()
     return bytes(found[0].model) if found else pickle.dumps(None)
 
 
