@@ -34,7 +34,7 @@ def byte_letters() -> list[str]:
     return letters
 
 
-# The split patterns of the two files that are read here.
+# Fixed value: the split pattern that byte-level files imply.
 GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -193,7 +193,7 @@ class Bpe:
         """
         odd = pc.match_substring(texts, "<|")
         if self.lower:
-            odd = pc.or_(odd, pc.match_substring_regex(texts, r"[ΣİK\x02\x0b\x{85}" + _OTHER_BLANKS + "]"))
+            odd = pc.or_(odd, pc.match_substring_regex(texts, r"[Σİ\x02\x0b\x{85}" + _OTHER_BLANKS + "]"))
             odd = pc.or_(odd, pc.match_substring_regex(texts, _newer_class()))
             normal = [t.isascii() or unicodedata.is_normalized("NFC", t) for t in texts.to_pylist()]
             odd = pc.or_(odd, pc.invert(pa.array(normal, pa.bool_())))
@@ -209,9 +209,8 @@ class Bpe:
         marked = pc.replace_substring_regex(plain, self.marks, "\\0\x02")
         parts = pc.split_pattern(marked, "\x02")
         coded = parts.flatten().dictionary_encode()
-        strings = coded.dictionary.to_pylist()
-        if self.lower:
-            strings = [p.strip(_WHITE) for p in strings]
+        strings = coded.dictionary
+        strings = (pc.utf8_trim(strings, characters=_WHITE) if self.lower else strings).to_pylist()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         counts = np.zeros(len(texts), np.int64)
         counts[rows] = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
@@ -244,10 +243,8 @@ class Bpe:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-# White space that Unicode knows beside blank, line break and ASCII's.
+# White space that Unicode knows beside blank, line break and ASCII's, for RE2; all white space.
 _OTHER_BLANKS = r"\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-
-
 _WHITE = " \t\n\x0b\x0c\r\x85" + "".join(
     chr(c) for c in [0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 

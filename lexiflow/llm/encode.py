@@ -16,7 +16,7 @@ from .bpe import Bpe, gather, load
 
 # Pre-tokens that one worker's memo holds at most; beyond that, new ones are
 # merged again when they come again.
-MEMO = 200_000
+MEMO = 300_000
 
 
 class Encoder:
@@ -36,14 +36,15 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces, codes, counts = self.bpe.pieces(texts)
-        known, fresh = self.memo, {}
-        new = [p for p in pieces if p not in known]
+        raw = list(map(self.memo.get, pieces))
+        new = [i for i, ids in enumerate(raw) if ids is None]
         if new:
-            fresh = dict(zip(new, self._merge(new), strict=True))
-            if len(known) + len(fresh) <= self.limit:
-                known.update(fresh)
-                fresh = {}
-        raw = [known[p] if p in known else fresh[p] for p in pieces]
+            words = [pieces[i] for i in new]
+            merged = self._merge(words)
+            for i, ids in zip(new, merged, strict=True):
+                raw[i] = ids
+            if len(self.memo) + len(new) <= self.limit:
+                self.memo.update(zip(words, merged, strict=True))
         size = np.fromiter(map(len, raw), np.int64, len(raw)) // self.wide.itemsize
         total = np.concatenate(([0], np.cumsum(size[codes])))
         stop = np.cumsum(counts)

@@ -34,14 +34,16 @@ class Counter:
 
     def count(self, texts: pa.Array) -> np.ndarray:
         pieces, codes, counts = self.bpe.pieces(texts)
-        known, fresh = self.memo, {}
-        new = [p for p in pieces if p not in known]
+        found = list(map(self.memo.get, pieces))
+        new = [i for i, n in enumerate(found) if n is None]
         if new:
-            fresh = dict(zip(new, self._count(new), strict=True))
-            if len(known) + len(fresh) <= self.limit:
-                known.update(fresh)
-                fresh = {}
-        n = np.fromiter((known[p] if p in known else fresh[p] for p in pieces), np.int64, len(pieces))
+            words = [pieces[i] for i in new]
+            counted = self._count(words)
+            for i, n in zip(new, counted, strict=True):
+                found[i] = n
+            if len(self.memo) + len(new) <= self.limit:
+                self.memo.update(zip(words, counted, strict=True))
+        n = np.array(found, np.int64)
         total = np.concatenate(([0], np.cumsum(n[codes])))
         stop = np.cumsum(counts)
         return total[stop] - total[stop - counts]
