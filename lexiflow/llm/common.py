@@ -16,7 +16,7 @@ __all__ = ["blocks_of_hot_keys", "bounded_sample", "by_bytes", "cut_lineage", "m
 # Rows of one Arrow batch and bytes of text that a task works on at a time.  A
 # single longer text is still taken whole, by itself.
 BATCH_ROWS = 512
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,17 +44,17 @@ def by_bytes(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> It
 
 
 def regrouped(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches joined, and cut by ``by_bytes``, to about ``limit`` bytes of text."""
+    """Batches joined, then cut by ``by_bytes``, to at most about ``limit`` bytes of text."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         held.append(batch)
         size += batch.column(column).nbytes
         if size >= limit:
-            yield from by_bytes(pa.concat_batches(held), column, 2 * limit)
+            yield from by_bytes(pa.concat_batches(held), column, limit)
             held, size = [], 0
     if held:
-        yield from by_bytes(pa.concat_batches(held), column, 2 * limit)
+        yield from by_bytes(pa.concat_batches(held), column, limit)
 
 
 def map_texts(df: DataFrame, keep: Sequence[str], text: str, schema: str,

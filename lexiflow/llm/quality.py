@@ -43,7 +43,7 @@ def ngrams(texts: pa.Array, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]
     word = np.array([zlib.crc32(w.encode("utf-8")) for w in words], np.uint32)
     shape = np.array([_shape(w) if w else 0 for w in words], np.uint32)
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    text = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
     there = shape[code] > 0 if len(code) else np.zeros(0, bool)
     code, text = code[there], text[there]
     w, s = word[code], shape[code].copy()
