@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import Links, compare_buckets
-from .common import cut_lineage, small_batches
+from .common import bounded_sample, cut_lineage, small_batches
 from .components import components
 
 # Distinct vectors that the rotation is learned on at most; rows of a bucket
 # that one task compares with each other at most, twice.
-SAMPLE, BLOCK = 16_384, 1024
+SAMPLE, BLOCK = 16_384, 512
 BITS = 64
 
 
@@ -77,7 +77,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, key: str = "vec_id
     given = given.withColumn("ok", usable("v") & F.col("l").isNotNull())
     nodes = cut_lineage(given.where("ok").groupBy("l", "v").agg(F.min("k").alias("low"), F.count(F.lit(1)).alias("m"))
                         .withColumn("node", F.monotonically_increasing_id()))
-    drawn = nodes.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toPandas()["v"]
+    drawn = bounded_sample(nodes.select("v"), sample, "v").sort("v").toPandas()["v"]
     by_dim: dict[int, list] = {}
     for v in drawn:
         by_dim.setdefault(len(v), []).append(np.asarray(v, np.float64))
