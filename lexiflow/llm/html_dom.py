@@ -53,7 +53,7 @@ class Page:
                 given = value.strip("\"'")
         self.tag.append(tag)
         self.parent.append(stack[-1])
-        self.depth.append(min(self.depth[stack[-1]] + 1, 200))
+        self.depth.append(self.depth[stack[-1]] + 1)
         self.words.append(tuple(words))
         self.given.append(given)
         self.own.append(0)

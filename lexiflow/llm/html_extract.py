@@ -39,6 +39,12 @@ INSIDE_NAMES = "article content main post entry story body text page".split()
 _OUTSIDE, _INSIDE = set(OUTSIDE_NAMES), set(INSIDE_NAMES)
 
 
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """The elements of each depth from 1 on, in page order; one sort, however deep the pages are."""
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.cumsum(np.bincount(depth)))[1:-1] if len(depth) else []
+
+
 def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(features, parent, depth)`` of all elements of all pages in a row."""
     sizes = np.array([len(p.tag) for p in pages])
@@ -70,7 +76,7 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     named = np.concatenate([named, np.zeros_like(named)], 1)
     text, nodes, links = own.copy(), np.ones(n), np.where(link, own, 0.0)
     anchors = link.astype(float)
-    levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max(initial=0)) + 1)]
+    levels = _levels(depth)
     for at in levels:                                # from the page down
         above[at] = above[parent[at]] | marks[parent[at]]
         named[at, 4:] = named[parent[at], 4:] | named[parent[at], :4]
@@ -105,7 +111,7 @@ def decode(odds: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.ndarra
     Dropping an element costs all below it; keeping it gains its log odds and
     what its children gain, where that is positive."""
     value = np.clip(odds, -6, 6)
-    levels = [np.flatnonzero(depth == d) for d in range(1, int(depth.max(initial=0)) + 1)]
+    levels = _levels(depth)
     for at in reversed(levels):
         np.add.at(value, parent[at], np.maximum(value[at], 0))
     kept = depth == 0

@@ -54,6 +54,23 @@ def test_deep_and_long_pages():
     H.main_texts(["<div>" * 3000 + "x"], None)
 
 
+def test_text_below_any_depth_comes_out():
+    for tag in ("div", "span", "font"):
+        for depth in (199, 200, 201, 202, 260, 3000):
+            assert H.main_texts([f"<{tag}>" * depth + "x", "<p>y"], None) == ["x", "y"]
+    words = [f"w{i}" for i in range(3000)]
+    deep = "".join(f"<div>{w}" for w in words)
+    assert H.main_texts([deep], None) == ["\n".join(words)]
+    parent, depth = np.maximum(np.arange(300) - 1, 0), np.arange(300)
+    assert H.decode(np.full(300, 3.0), parent, depth).all()
+    odds = np.where(np.arange(300) < 250, 3.0, -3.0)
+    assert H.decode(odds, parent, depth).tolist() == (odds > 0).tolist()
+    x, parent, depth = H.features([Page(deep)])
+    assert depth.tolist() == list(range(3001)) and parent[1:].tolist() == list(range(3000))
+    assert x[1:3000, 2].tolist() == [min(31, int(np.log2(sum(map(len, words[i:])) + 1))) for i in range(2999)]
+    assert x[:, 3].tolist() == [int(np.log2(3001 - i)) for i in range(3001)]
+
+
 def test_decoding_is_the_best_consistent_choice():
     rng = np.random.default_rng(5)
     for _ in range(40):
