@@ -75,11 +75,16 @@ def _rust(path: str) -> tiktoken.Encoding:
 
 def ids_of(text: str, path: str) -> np.ndarray:
     """Ids of a text; special tokens' strings in it are those tokens.  Texts on
-    which the split patterns' Unicode versions may differ go to the library."""
+    which the split patterns' Unicode versions may differ go to the library, and
+    so do those whose runs of white space (of some 700,000 and more) are too long
+    for the merger's split, which gives up on them with a ValueError."""
     bpe = load(path)
-    if bpe.rare(text):
-        return np.array(bpe.library.encode(text, add_special_tokens=False).ids, np.uint32)
-    return _rust(path).encode_to_numpy(text, allowed_special="all").astype(np.uint32)
+    if not bpe.rare(text):
+        try:
+            return _rust(path).encode_to_numpy(text, allowed_special="all").astype(np.uint32)
+        except ValueError:
+            pass
+    return np.array(bpe.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def _open(uri: str) -> tuple[pa.fs.FileSystem, str]:

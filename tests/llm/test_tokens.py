@@ -183,6 +183,16 @@ def test_packing_of_lengths(spark):
         packing.pack(spark.createDataFrame([(1, 11)], "id long, length long"), width=10).collect()
 
 
+def test_long_white_space_is_encoded_as_by_the_library(spark, tmp_out):
+    texts = [" " * 2_000_000 + "x", "a\n" + "\n" * 2_000_000, "\t " * 600_000 + "<|endoftext|>é", "short"]
+    want = library(texts, BYTE)
+    assert [records.ids_of(t, BYTE).tolist() for t in texts] == want
+    folder = f"file://{tmp_out}/white"
+    records.write_records(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folder, BYTE, end_id=2)
+    rows = records.read_records(spark, folder).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {i: [*x, 2] for i, x in enumerate(want)}
+
+
 def test_frames_show_damage():
     data = records.frame(b"payload")
     assert records.unframe(data) == b"payload"
