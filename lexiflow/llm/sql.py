@@ -65,5 +65,41 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
 
+# Shares of all kept terms in every group, then all pairs of a language's sources.
+OP12 = r"""
+with d as (
+  select row_number() over () as id, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source
+  from documents),
+w as (select id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as raw from d),
+t as (
+  select id, lang, source, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from w),
+kept as (select lang, term, count(*) as q_n from t group by lang, term having count(distinct id) >= 30),
+seen as (select lang, source, term, count(*) as n from t semi join kept using (lang, term) group by lang, source, term),
+groups as (select distinct lang, source from d),
+cells as (
+  select g.lang, g.source, k.term, coalesce(s.n, 0) as n, k.q_n
+  from groups g join kept k using (lang) left join seen s using (lang, source, term)),
+sums as (
+  select *, sum(n) over (partition by lang, source) as total, sum(q_n) over (partition by lang, source) as q_total,
+    count(*) over (partition by lang, source) as v from cells),
+shares as (
+  select lang, source, term, n, 1 + ((1000000000::hugeint * (n + 5)) // (total + 5 * v)) as p,
+    1 + ((1000000000::hugeint * (q_n + 5)) // (q_total + 5 * v)) as q from sums),
+diffs as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join diffs f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, p - q as value from shares where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from ranked where part = 'pair' or rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
-    "op1_line_dedup": OP1, "op2_itq_embedding_dedup": OP2, "op4_exact_top_k": OP4}
+    "op1_line_dedup": OP1, "op2_itq_embedding_dedup": OP2, "op4_exact_top_k": OP4,
+    "op12_source_divergence": OP12}

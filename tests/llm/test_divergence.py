@@ -1,0 +1,103 @@
+"""Term counts and the audit of sources against plain versions."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from lexiflow.llm import divergence as D
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_terms(text):
+    return [t.translate(LOWER) for t in TERM.findall(text or "")]
+
+
+def plain_audit(rows, min_docs, top):
+    rows = [(t or "", lang or "", s or "") for t, lang, s in rows]
+    docs, count, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for t, lang, s in rows:
+        groups[lang].add(s)
+        for w in plain_terms(t):
+            count[lang, s][w] += 1
+        for w in set(plain_terms(t)):
+            docs[lang][w] += 1
+    out = set()
+    for lang, sources in groups.items():
+        kept = sorted(w for w, n in docs[lang].items() if n >= min_docs)
+
+        def shares(c, kept=kept):
+            total = sum(c[w] for w in kept)
+            return {w: 1 + 10**9 * (c[w] + 5) // (total + 5 * len(kept)) for w in kept}
+
+        q = shares(sum((count[lang, s] for s in sources), Counter()))
+        p = {s: shares(count[lang, s]) for s in sources}
+        for s in sources:
+            pairs = [(-sum(abs(p[s][w] - p[o][w]) for w in kept), o.encode()) for o in sources if o != s]
+            terms = [(q[w] - p[s][w], w.encode()) for w in kept if count[lang, s][w] and p[s][w] > q[w]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out |= {(lang, s, part, item.decode(), -v, i + 1) for i, (v, item) in enumerate(found)}
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abAB Zz.éß中\x00\x7f@[`{", max_size=80), st.integers(0, 2)), max_size=8))
+def test_runs_of_any_texts(rows):
+    data, start, length, row = D.find_terms(pa.array([t for t, _ in rows], pa.string()))
+    group = np.array([g for _, g in rows], np.int64)
+    got = {}
+    for which, n, docs in D.count_runs(data, start, length, row, group[row]):
+        for i, a, b in zip(which.tolist(), n.tolist(), docs.tolist(), strict=True):
+            got[int(group[row[i]]), data[start[i]:start[i] + length[i]].tobytes().decode()] = (a, b)
+    want = defaultdict(lambda: (0, 0))
+    for t, g in rows:
+        for w, n in Counter(plain_terms(t)).items():
+            want[g, w] = (want[g, w][0] + n, want[g, w][1] + 1)
+    assert got == want
+
+
+def test_a_slice_of_an_array_and_nulls():
+    texts = pa.array(["drop", "Öl aB", None, "", "b"])[1:]
+    data, start, length, row = D.find_terms(texts)
+    assert [data[s:s + n].tobytes().decode() for s, n in zip(start, length, strict=True)] == ["Öl", "ab", "b"]
+    assert row.tolist() == [0, 0, 3]
+    assert [len(x) for x in D.find_terms(pa.array([], pa.string()))] == [0, 0, 0, 0]
+
+
+def test_radix_order_is_stable():
+    rng = np.random.default_rng(1)
+    words = [rng.integers(0, 1 << 63, 500, dtype=np.uint64) >> np.uint64(s) for s in (61, 3)]
+    words[1][::3] = words[1][0]
+    assert D.radix_order(words).tolist() == np.lexsort((words[1], words[0])).tolist()
+
+
+ROWS = ([("the Cat sat", "en", "a"), ("the dog, the DOG", "en", "b"), (None, "en", "empty"), ("the cat", "en", None),
+         ("x" * 100_000 + " the", "en", "a"), ("le chat", "fr", "a"), ("le chien", "fr", "b"), (None, None, None)]
+        + [("the cat", "en", "a")] * 40 + [("Éa 中文字符中文字符中文字符 internationalisations", "de", f"s{i % 7}") for i in range(20)])
+KIND = T.StructType([T.StructField(c, T.StringType()) for c in ("text", "lang", "source")])
+
+
+@pytest.mark.parametrize(("min_docs", "top", "block", "tile"), [(2, 50, 8192, 256), (1, 2, 2, 2), (30, 1, 1, 3), (10**6, 5, 8192, 1)])
+def test_against_the_plain_version(spark, min_docs, top, block, tile):
+    docs = spark.createDataFrame(ROWS, KIND)
+    for c in ("term", "n", "docs", "tile", "block", "p", "value", "rank", "item", "floor", "other", "v", "total"):
+        docs = docs.selectExpr("*", f"'x' as `{c}`")
+    got = D.audit(docs, min_docs, top, term_block=block, source_tile=tile)
+    assert {tuple(r) for r in got.select("lang", "source", "part", "item", "value", "rank").collect()} == plain_audit(ROWS, min_docs, top)
+
+
+def test_shares_are_exact_beyond_64_bits(spark):
+    n, total, v = 3 * 10**17 + 1, 10**18 + 7, 10**6
+    got = spark.range(1).selectExpr(f"{n}L as n", f"{total}L as t", f"{v}L as v").select(D._share("n", "t", "v")).collect()[0][0]
+    assert got == 1 + 10**9 * (n + 5) // (total + 5 * v)
+
+
+def test_empty_table(spark):
+    assert D.audit(spark.createDataFrame([], KIND)).count() == 0
