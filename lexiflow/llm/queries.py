@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import divergence, html_extract, itq, quality, simhash
+from . import conversation_repair, divergence, html_extract, itq, quality, simhash
 from .common import table
 from .line_dedup import dedup_lines
 from .packing import pack, token_pieces
@@ -81,8 +81,32 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top=50)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut short, repeated or given to the user, by a checksum of where they stand."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = conversations.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"))
+    case = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    rows = rows.withColumn("case", case.cast("int")).where(F.col("case") != 0)
+    text = (F.when(F.col("case") == 1, F.lit("")).when(F.col("case") == 2, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text")))
+    role = F.when(F.col("case") == 4, F.lit("user")).otherwise(F.col("role"))
+    twice = F.explode(F.when(F.col("case") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), twice.alias("copy")).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversation_repair.summarise(conversation_repair.repair(damaged(rows)))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    found = every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(F.col("id").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_itq_embedding_dedup, op3_best_fit_packing, op4_exact_top_k, op5_simhash_dedup,
         op6_token_counts, op7_quality_ftrl, op8_bpe_transducer, op9_binary_records,
-        op10_html_trees, op12_source_divergence)}
+        op10_html_trees, op12_source_divergence,
+        op13_conversation_repair)}
