@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import conversation_repair, divergence, html_extract, itq, quality, simhash
+from . import conversation_repair, divergence, histogram_packing, html_extract, itq, quality, simhash
 from .common import table
 from .line_dedup import dedup_lines
 from .packing import pack, token_pieces
@@ -77,6 +77,12 @@ def op10_html_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.train(pages))
 
 
+def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = histogram_packing.pack(table(spark, sf_dir, "documents"), path, end_id=1, width=2048)
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top=50)
 
@@ -108,5 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_itq_embedding_dedup, op3_best_fit_packing, op4_exact_top_k, op5_simhash_dedup,
         op6_token_counts, op7_quality_ftrl, op8_bpe_transducer, op9_binary_records,
-        op10_html_trees, op12_source_divergence,
+        op10_html_trees, op11_nnls_packing, op12_source_divergence,
         op13_conversation_repair)}
