@@ -243,14 +243,15 @@ def _between(parts: pd.DataFrame, p: int, q: int | None) -> pd.DataFrame:
 
 
 def _states(tables: DataFrame) -> DataFrame:
-    """``(conv, block, p, q, ends)``: the states around every block, and whether a
-    conversation ends with it.
+    """``(conv, block, p, q, ends)`` of the conversations of several blocks: the states
+    around every block, and whether a conversation ends with it.
 
     Blocks of one conversation in one partition are combined first, then these:
     a task sees the blocks of one partition, or one table for each partition.
     """
     kind = tables.schema["conv"].dataType.simpleString()
-    tables = tables.withColumn("part", F.shiftright("block", 33 - BLOCK_BITS))
+    several = tables.groupBy("conv").agg(F.count(F.lit(1)).alias("blocks")).where("blocks > 1")
+    tables = _match(tables, several, "conv").withColumn("part", F.shiftright("block", 33 - BLOCK_BITS))
 
     def up(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values("block")
@@ -301,10 +302,20 @@ def operations(codes: str, copies: Sequence[int], p: int, q: int, ends: bool) ->
 _OPERATIONS = "array<struct<pos:int,nth:int,edit:string,role:string,copies:bigint,again:boolean>>"
 
 
+def _end(codes: str) -> int:
+    """The last state of a conversation of these rows."""
+    tables = [row_table(c) for c in codes.replace("-", "")]
+    return last_state(forward(tables, 0, len(tables), EMPTY)[0])
+
+
 def _block_edits(codes: pd.Series, copies: pd.Series, p: pd.Series, q: pd.Series, ends: pd.Series) -> pd.Series:
+    """``ends`` null: the block is a whole conversation."""
     names = ("pos", "nth", "edit", "role", "copies", "again")
-    return pd.Series([[dict(zip(names, op)) for op in operations(c, n, int(a), int(b), bool(e))]  # noqa: B905
-                      for c, n, a, b, e in zip(codes, copies, p, q, ends)])  # noqa: B905
+    out = []
+    for c, n, a, b, e in zip(codes, copies, p, q, ends):  # noqa: B905
+        states = (EMPTY, _end(c), True) if e is None or e != e else (int(a), int(b), bool(e))
+        out.append([dict(zip(names, op)) for op in operations(c, n, *states)])  # noqa: B905
+    return pd.Series(out)
 
 
 def repair(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -334,7 +345,7 @@ def repair(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", r
     table_of, edits_of = F.pandas_udf(_block_tables, "array<bigint>"), F.pandas_udf(_block_edits, _OPERATIONS)
     states = _states(blocks.select("conv", "block", table_of("codes").alias("table")))
     copies = F.transform("rows", lambda r: r["copies"])
-    ops = _match(blocks, states, "conv", "block").withColumn("ops", edits_of("codes", copies, "p", "q", "ends"))
+    ops = _match(blocks, states, "conv", "block", how="left").withColumn("ops", edits_of("codes", copies, "p", "q", "ends"))
     ops = ops.select("conv", F.explode(F.transform("ops", lambda op: F.struct(
         op.alias("op"), F.get("rows", op["pos"]).alias("row")))).alias("one"))
     own, op = F.col("one.row"), F.col("one.op")
