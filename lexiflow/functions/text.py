@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..conf import SEQ_LEN, TextConf
@@ -131,6 +131,27 @@ def hash_bucket(key: str | Column, seed: int | str, modulus: int) -> Column:
     return F.pmod(h.cast("long"), F.lit(int(modulus)))
 
 
+ROW_HASH = ("_h1", "_h2")
+
+
+def row_hash(value: str | Column) -> list[Column]:
+    """128 bits that tell rows of one key apart by what they hold, the same
+    whenever and wherever they are computed."""
+    return [F.xxhash64(_col(value)).alias("_h1"), F.xxhash64(F.lit("2"), _col(value)).alias("_h2")]
+
+
+# Copies of a row that one array stands for.
+REPEAT_BLOCK = 1 << 16
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Every row ``times`` times, that column dropped; a long run goes block by block."""
+    n, size = F.col(times), F.lit(REPEAT_BLOCK)
+    blocks = F.transform(F.sequence(F.lit(1), F.ceil(n / size)), lambda i: F.least(size, n - (i - 1) * size))
+    df = df.withColumn(times, F.explode(F.when(n > 1, blocks).otherwise(F.array(n))))
+    return df.withColumn(times, F.explode(F.array_repeat(F.lit(True), F.col(times).cast("int")))).drop(times)
+
+
 def array_text(a: str | Column, sep: str = ",") -> Column:
     """Arrays as delimited text (for stable comparison with other engines)."""
     return F.array_join(_col(a).cast("array<string>"), sep)

@@ -55,20 +55,27 @@ def build_examples(docs: DataFrame, vocab: DataFrame, conf: TextConf = TextConf(
     ``n_tokens`` counts the words before unknown ones are dropped (which they
     are with ``conf.use_unknown`` off).  Documents without a word, or whose first
     ``conf.seq_len`` words are all unknown and dropped, produce no example (see
-    ``rejects``).
+    ``rejects``).  One example a row, whatever its key: rows of equal or null key
+    are told apart by two hashes of their words, copies encoded once and repeated.
     """
     seq_len, unknown_id = conf.seq_len, conf.unknown_id
-    keys = [key, "n_tokens"] + ([label] if label else [])
+    keys = [key, "n_tokens", *T.ROW_HASH] + ([label] if label else [])
     # Token array and its size are computed once per document, in a projection
     # below the explode; exploded rows carry neither the text nor the array.
     lab = [F.col(label)] if label else []
     arr = TK.with_words(docs, conf, text, "_toks").select(key, *lab, "_toks")
     arr = arr.select(key, *lab, F.size("_toks").cast("int").alias("n_tokens"),
                      F.slice("_toks", 1, seq_len).alias("_head"))
+    arr = arr.select("*", *T.row_hash("_head"))
     exploded = arr.select(*keys, F.posexplode_outer("_head").alias("pos", "word")).where("word is not null")
     if not conf.use_unknown:
         exploded = exploded.join(vocab.select("word"), "word", "left_semi")
-    enc = encode(exploded, vocab, keys, unknown_id)
+    looked = V.lookup_or_default(exploded, vocab, unknown_id)
+    # Each position is there once for every copy of the row.
+    seq = F.sort_array(F.collect_set(F.struct("pos", "idx", "known")))
+    enc = looked.groupBy(*keys).agg(seq.alias("_seq"), F.count(F.lit(1)).alias("_copies"))
+    enc = enc.withColumn("_copies", (F.col("_copies") / F.size("_seq")).cast("long")).withColumns({
+        "ids": F.transform("_seq", lambda x: x["idx"]), "known": F.transform("_seq", lambda x: x["known"])})
     n = F.col("n_tokens") if conf.use_unknown else F.size("ids")
     out = enc.select(
         key, F.col("n_tokens"), (F.col("n_tokens") > seq_len).alias("truncated"),
@@ -76,8 +83,8 @@ def build_examples(docs: DataFrame, vocab: DataFrame, conf: TextConf = TextConf(
         T.step_mask(n, seq_len).alias("feature_mask"),
         F.concat(F.col("known"), F.array_repeat(F.lit(0), F.lit(seq_len) - F.size("known"))).alias("known"),
         *([F.col(label)] if label else []),
-        T.last_step(n, seq_len).alias("label_step"))
-    return out
+        T.last_step(n, seq_len).alias("label_step"), "_copies")
+    return T.repeated(out, "_copies")
 
 
 def rejects(docs: DataFrame, classes: Sequence[str] | None = None, key: str = "doc_id",

@@ -41,22 +41,24 @@ def step_scores(tokens: DataFrame, model: DataFrame, num_classes: int,
                   .drop("n_word", "n"))
 
 
-def reduce_steps(steps: DataFrame, num_classes: int, keys: Sequence[str],
-                 reduction: str = "mean", times: str | None = None) -> DataFrame:
+def reduce_steps(steps: DataFrame, num_classes: int, keys: Sequence[str], reduction: str = "mean",
+                 times: str | None = None, copies: str | None = None) -> DataFrame:
     """Per document, one score per class -> ``keys + [scores]``.
 
     ``mean`` averages the steps, each counted ``times`` times (a column; once
     if not given); ``last_step`` keeps the step with the largest position (the
-    one that carries the label in training).
+    one that carries the label in training).  With ``copies`` the sum of that
+    column is kept beside the mean; documents without a step have none.
     """
     if reduction == "mean":
         n = F.col(times) if times else F.lit(1)
         sums = [F.sum(F.col("scores")[c] * n) for c in range(num_classes)]
         agg = steps.groupBy(*keys).agg(F.sum(n).alias("_n"), *[
-            s.alias(f"_s{c}") for c, s in enumerate(sums)])
+            s.alias(f"_s{c}") for c, s in enumerate(sums)], *([F.sum(copies).alias(copies)] if copies else []))
+        agg = agg.where("_n > 0") if copies else agg
         means = F.array(*[F.round(F.col(f"_s{c}") / F.col("_n"), DIGITS)
                           for c in range(num_classes)])
-        return agg.select(*keys, means.alias("scores"))
+        return agg.select(*keys, means.alias("scores"), *([copies] if copies else []))
     if reduction == "last_step":
         agg = steps.groupBy(*keys).agg(F.max_by("scores", "pos").alias("_last"))
         return agg.select(*keys, F.transform("_last", lambda x: F.round(x, DIGITS)).alias("scores"))
@@ -88,6 +90,9 @@ def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str
                    reduction: str = "mean") -> DataFrame:
     """J06 + A06/W05 of an array of words: ``key + keep + [scores]``.
 
+    One result a row, whatever its key: rows of equal or null key are told apart
+    by two hashes of their words, and copies of a row are scored once, then
+    repeated.  (A running row number would change when a lost task is run again.)
     For the mean, a document's words are counted first, so the lookup sees one
     row per distinct word of a document; for the last step it sees one row per
     document.  Rows without a word have no result (see ``examples.rejects``).
@@ -96,12 +101,21 @@ def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str
     words = F.col(words) if isinstance(words, str) else words
     if reduction == "last_step":
         steps = docs.select(*keys, F.size(words).alias("_n"), words.alias("_t")).where("_n > 0")
-        steps = steps.select(*keys, (F.col("_n") - 1).alias("pos"),
-                             F.try_element_at("_t", F.lit(-1)).alias("word"))
-        return reduce_steps(step_scores(steps, model, num_classes), num_classes, keys, reduction)
-    rows = docs.select(*keys, F.explode_outer(words).alias("word")).where("word is not null")
-    rows = rows.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n_here"))
-    return reduce_steps(step_scores(rows, model, num_classes), num_classes, keys, reduction, "n_here")
+        steps = step_scores(steps.select(*keys, F.try_element_at("_t", F.lit(-1)).alias("word")), model, num_classes)
+        return steps.select(*keys, F.transform("scores", lambda x: F.round(x, DIGITS)).alias("scores"))
+    if reduction != "mean":
+        raise ValueError(f"unknown reduction {reduction!r}")
+    rows = docs.select(*keys, words.alias("_w"))
+    # One more word, null, counts the copies of the row.
+    every = F.concat("_w", F.array(F.lit(None).cast("string")))
+    rows = rows.select(*keys, *T.row_hash("_w"), every.alias("_w"))
+    keys = [*keys, *T.ROW_HASH]
+    rows = rows.select(*keys, F.explode_outer("_w").alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("_here"))
+    none = F.col("word").isNull()
+    rows = rows.withColumn("_copies", F.when(none, F.col("_here"))).withColumn(
+        "_here", F.when(none, F.lit(0)).otherwise(F.col("_here")))
+    found = reduce_steps(step_scores(rows, model, num_classes), num_classes, keys, "mean", "_here", "_copies")
+    return T.repeated(found.drop(*T.ROW_HASH), "_copies")
 
 
 def score_words(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",

@@ -112,6 +112,9 @@ SELECT count(*) AS n_test, CAST(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0
        round(sum(CASE WHEN label_id = class_id THEN 1 ELSE 0 END) / count(*), 6) AS accuracy FROM pred""")
 register("confusion_counted", f"""WITH {counted_sql('lang')}
 SELECT label_id, class_id AS pred_id, count(*) AS n FROM pred GROUP BY 1, 2""")
+register("predict_repeated_keys", f"""WITH {counted_sql('lang')}
+SELECT CASE WHEN d.source <> 'src0' THEN d.source END AS source_key, p.label_id, p.class_id, p.mean_score, p.label
+FROM pred p JOIN documents d ON p.doc_id = d.doc_id""")
 register("last_step_predict", f"WITH {counted_sql('quality', 'last_step')} SELECT * FROM pred")
 
 
@@ -207,6 +210,9 @@ SELECT doc_id, n_tokens, n_tokens > {SEQ_LEN} AS truncated,
        array_to_string(list_concat(known, CAST(repeat([0], {SEQ_LEN} - len(known)) AS INTEGER[])), ',') AS known,
        CAST(least(n_tokens, {SEQ_LEN}) - 1 AS INTEGER) AS label_step
 FROM ex""")
+register("examples_repeated_keys", f"""WITH e AS ({ORACLE["encoded_padded"]})
+SELECT CASE WHEN d.source <> 'src0' THEN d.source END AS source_key, e.n_tokens, e.truncated, e.features, e.known, e.label_step
+FROM e JOIN documents d ON e.doc_id = d.doc_id""")
 _QSRC = labelled_sql("quality")
 register("label_steps", f"""WITH {examples_sql(_QSRC, True)}
 SELECT doc_id, label_id, n_tokens, CAST(least(n_tokens, {SEQ_LEN}) - 1 AS INTEGER) AS label_step,
@@ -313,20 +319,21 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY step DESC) = 1""")
 
 
 _PREFIX = f"""pre AS (
-  SELECT conv_id, s AS sample, prefix, CAST(conv_id AS VARCHAR) || '/' || CAST(s AS VARCHAR) AS key
-  FROM (SELECT conv_id, substr(regexp_replace(text, {_OUTSIDE}, '', 'g'), 1, 10) AS prefix
-        FROM conversations WHERE turn = 0), unnest(range(4)) AS u(s)
+  SELECT conv_id, turn, s AS sample, prefix,
+         CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) || '/' || CAST(s AS VARCHAR) AS key
+  FROM (SELECT conv_id, turn, regexp_replace(text, {_OUTSIDE}, '', 'g') AS prefix FROM conversations), unnest(range(4)) AS u(s)
   WHERE length(prefix) > 0)"""
 _DRAWN = hash_sql("g.key || ':' || CAST(g.step + 1 AS VARCHAR)", 12345, 1 << 40)
 register("generated_samples", f"""WITH RECURSIVE {_CHAR_CTE.replace("cdf2 AS (", "cdf2 AS MATERIALIZED (")}, {_PREFIX},
-gen(conv_id, sample, prefix, key, step, last, txt) AS (
-  SELECT conv_id, sample, prefix, key, 0, substr(prefix, -1, 1), prefix FROM pre
+gen(conv_id, turn, sample, key, step, last, txt) AS (
+  SELECT conv_id, turn, sample, key, 0, substr(prefix, -1, 1), '' FROM pre
   UNION ALL
-  SELECT g.conv_id, g.sample, g.prefix, g.key, g.step + 1, c.next_ch, g.txt || c.next_ch
+  SELECT g.conv_id, g.turn, g.sample, g.key, g.step + 1, c.next_ch, g.txt || c.next_ch
   FROM gen g JOIN cdf2 c ON c.ch = g.last AND {_DRAWN} % c.total >= c.prev AND {_DRAWN} % c.total < c.cum
-  WHERE g.step < 40)
-SELECT conv_id, prefix, CAST(sample AS INTEGER) AS sample, txt AS generated FROM gen
-QUALIFY row_number() OVER (PARTITION BY conv_id, sample ORDER BY step DESC) = 1""")
+  WHERE g.step < {GEN_STEPS}),
+longest AS (SELECT * FROM gen QUALIFY row_number() OVER (PARTITION BY key ORDER BY step DESC) = 1)
+SELECT p.conv_id, p.turn, p.prefix, CAST(p.sample AS INTEGER) AS sample, p.prefix || l.txt AS generated
+FROM pre p JOIN longest l ON p.key = l.key""")
 
 
 # ---------------------------------------------------------------- step 6 ---

@@ -92,6 +92,20 @@ def confusion_counted(spark, sf_dir):
     return S.confusion(counted_predictions(spark, sf_dir, "lang"))
 
 
+def _repeated_keys(rows: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with ``source_key`` for a key: that of many rows, and null for those of src0."""
+    d = TB.table(rows.sparkSession, sf_dir, "documents").select("doc_id", "source")
+    return rows.join(d, "doc_id").withColumn("source_key", F.when(F.col("source") != "src0", F.col("source"))).drop("source")
+
+
+@register("predict_repeated_keys")
+def predict_repeated_keys(spark, sf_dir):
+    """T05 under a key that is no key: one prediction a row all the same."""
+    train, test = _lang_split(spark, sf_dir)
+    model = stored(TR.train_counted(train, len(TB.LANGS)), "model")
+    return S.score(_repeated_keys(test, sf_dir), model, len(TB.LANGS), key="source_key", classes=TB.LANGS)
+
+
 @register("last_step_predict")
 def last_step_predict(spark, sf_dir):
     return counted_predictions(spark, sf_dir, "quality", reduction="last_step")
@@ -220,6 +234,15 @@ def encoded_padded(spark, sf_dir):
                      T.array_text("known").alias("known"), "label_step")
 
 
+@register("examples_repeated_keys")
+def examples_repeated_keys(spark, sf_dir):
+    """P09, P14 under a key that is no key: one example a row all the same."""
+    d = _repeated_keys(TB.table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    ex = EX.build_examples(d, doc_vocab(spark, sf_dir), key="source_key", label=None)
+    return ex.select("source_key", "n_tokens", "truncated", T.array_text("features").alias("features"),
+                     T.array_text("known").alias("known"), "label_step")
+
+
 def _quality_examples(spark, sf_dir):
     lab = TB.labelled_flag(spark, sf_dir, "quality")
     return EX.build_examples(lab, doc_vocab(spark, sf_dir))
@@ -399,13 +422,13 @@ def generated_text(spark, sf_dir):
 
 @register("generated_samples")
 def generated_samples(spark, sf_dir):
-    """R04 with a prefix of several characters and several samples a prefix: the
-    first ten characters of each conversation's first turn, 40 characters on."""
-    c = TB.table(spark, sf_dir, "conversations").where("turn = 0")
-    prefix = F.substring(CH.keep_charset("text"), 1, 10)
-    seeds = R.sample_seeds(c.select("conv_id", prefix.alias("prefix")).where("length(prefix) > 0"), CHARS.samples)
-    key = F.concat_ws("/", F.col("conv_id").cast("string"), F.col("sample").cast("string"))
-    return R.generate(seeds, _transitions(spark, sf_dir), 40, CHARS.seed, key=key, start="prefix")
+    """R04 with prefixes of any length and several samples a prefix: the kept
+    characters of every turn of every conversation, extended."""
+    c = TB.table(spark, sf_dir, "conversations")
+    seeds = c.select("conv_id", "turn", CH.keep_charset("text").alias("prefix")).where("length(prefix) > 0")
+    seeds = R.sample_seeds(seeds, CHARS.samples)
+    key = F.concat_ws("/", *[F.col(c).cast("string") for c in ("conv_id", "turn", "sample")])
+    return R.generate(seeds, _transitions(spark, sf_dir), CHARS.steps, CHARS.seed, key=key, start="prefix")
 
 
 # ---------------------------------------------------------------- step 6 ---
