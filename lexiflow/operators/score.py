@@ -148,6 +148,12 @@ def confusion(predictions: DataFrame, label: str = "label_id", pred: str = "clas
                        .agg(F.count(F.lit(1)).alias("n")))
 
 
+def segment_words(segmented: DataFrame, segments: str = "segments", out: str = "words") -> DataFrame:
+    """The chosen dictionary words of ``dictionary.segment``'s rows, for ``score_words``."""
+    chosen = F.filter(segments, lambda s: s["known"] & ~s["inner"])
+    return segmented.withColumn(out, F.transform(chosen, lambda s: s["word"]))
+
+
 def score_segments(matches: DataFrame, model: DataFrame, num_classes: int,
                    key: str = "doc_id", reduction: str = "mean",
                    classes: Sequence[str] | None = None) -> DataFrame:

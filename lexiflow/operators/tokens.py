@@ -1,4 +1,4 @@
-"""Tokenising and word-level projections."""
+"""Tokenising and word-level projections (P01-P08, W04; P20 is in ``dictionary``)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..conf import TextConf
 from ..functions import text as T
-from ..session import stored
+from .dictionary import match_dictionary  # noqa: F401
 
 
 def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens",
@@ -85,50 +85,3 @@ def ngrams(df: DataFrame, n: int, tokens: str = "tokens", key: str = "doc_id") -
 def join_tokens(df: DataFrame, tokens: str = "tokens", out: str = "joined") -> DataFrame:
     """Tokens joined with one blank."""
     return df.withColumn(out, T.join_words(tokens))
-
-
-# Characters of the window that is read at every start offset.
-WINDOW = 24
-
-
-def match_dictionary(docs: DataFrame, dictionary: DataFrame, text: str = "text", key: str = "doc_id",
-                     word: str = "word", window: int = WINDOW) -> DataFrame:
-    """P20: every dictionary word found in a text, with its start offset.
-
-    Re-aim of index-mode segmentation, ``(key, start, word)``, for words of any
-    length.  Texts are scanned once: each start offset gives a window of at most
-    ``window`` characters.  Its first one and two characters are looked up among
-    the dictionary's beginnings, which name the lengths that such words have;
-    only these substrings are made and looked up.  A word longer than a window
-    is found by its first ``window`` characters and then compared in full with
-    the texts that have them.  Words with a blank never match; nulls neither.
-    Characters are code points.  The dictionary is stored first.
-    """
-    blank = r"[ \t\n\f\r]"
-    dic = (dictionary.select(F.col(word).alias("word")).where(F.length("word") > 0)
-           .where(~F.col("word").rlike(blank)).distinct())
-    dic = stored(dic, "dictionary")
-    n = F.length("word")
-    begin = (dic.select(F.substring("word", 1, 2).alias("begin"), F.least(n, F.lit(window)).alias("n"))
-             .groupBy("begin").agg(F.collect_set("n").alias("lengths")))
-    begin = stored(begin, "beginnings")
-    t = F.col(text)
-    # A zero-width lookahead matches at every offset, one native regex pass; texts
-    # with characters of two UTF-16 units are cut from their code points.
-    fast = F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{1,{window}}}))"), 1)
-    slow = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.substring(t, i, F.lit(window)))
-    windows = F.when(t.rlike(r"[\x{10000}-\x{10FFFF}]"), slow).otherwise(fast)
-    at = docs.select(key, F.posexplode(windows).alias("start", "window"))
-    first, two = F.substring("window", 1, 1), F.substring("window", 1, 2)
-    starts = F.when(F.length("window") > 1, F.array(first, two)).otherwise(F.array(first))
-    at = at.where(~first.rlike(blank)).select(key, F.col("start").cast("int").alias("start"), "window",
-                                              F.explode(starts).alias("begin"))
-    cand = (at.join(begin, "begin").select(key, "start", F.length("window").alias("_have"), "window",
-                                           F.explode("lengths").alias("_n")).where("_n <= _have")
-            .select(key, "start", F.substring(F.col("window"), F.lit(1), F.col("_n")).alias("word")))
-    short = cand.join(dic.where(n <= window), "word", "left_semi").select(key, "start", "word")
-    long = dic.where(n > window).select(F.col("word").alias("_w"), F.substring("word", 1, window).alias("word"))
-    found = cand.where(n == window).join(long, "word").select(key, "start", "_w")
-    whole = found.join(docs.select(key, t.alias("_t")).distinct(), key)
-    whole = whole.where(F.substring(F.col("_t"), F.col("start") + 1, F.length("_w")) == F.col("_w"))
-    return short.unionByName(whole.select(key, "start", F.col("_w").alias("word")))

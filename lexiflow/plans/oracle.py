@@ -357,6 +357,50 @@ hm AS (SELECT doc_id, [{', '.join(f"round(sum((n{c} + 1)::DOUBLE / (n_word + 4))
        FROM hs GROUP BY doc_id)
 SELECT doc_id, CAST(list_position(m, list_max(m)) - 1 AS INTEGER) AS class_id, list_max(m) AS mean_score,
        ['de', 'en', 'es', 'fr'][list_position(m, list_max(m))] AS label FROM hm""")
+# The lattice of all words in a text, then the least sum to each position, one more a
+# step (of the last 63 positions, more than any word has); the way back from the end.
+_STRIPPED = f"regexp_replace(lower(regexp_replace(text, {STRIP}, '', 'g')), {BLANKS}, '', 'g')"
+_SEGMENTS = f"""dtok AS ({doc_tok_sql()}),
+counts AS (SELECT word, count(*) AS n, sum(count(*)) OVER () AS total FROM dtok GROUP BY word),
+dict AS (SELECT word, CAST(round(1000 * ln(total::DOUBLE / n)) AS BIGINT) AS cost FROM counts),
+unseen AS (SELECT CAST(round(1000 * ln(max(total)::DOUBLE)) AS BIGINT) + 5000 AS late FROM counts),
+lens AS (SELECT DISTINCT length(word) AS l FROM dict),
+txt AS MATERIALIZED (SELECT row_number() OVER () AS id, conv_id, turn, {_STRIPPED} AS s FROM conversations),
+places AS (SELECT id, s, unnest(range(length(s))) AS start FROM txt),
+hits AS MATERIALIZED (SELECT p.id, CAST(p.start AS INTEGER) AS start, CAST(p.start + l AS INTEGER) AS stop, d.word, d.cost
+  FROM places p JOIN lens ON p.start + l <= length(p.s) JOIN dict d ON d.word = substr(p.s, p.start + 1, l)),
+cand AS MATERIALIZED (SELECT id, stop, list({{'start': start, 'cost': cost}}) AS ways FROM hits GROUP BY id, stop),
+dp(id, i, best, start, known) AS (
+  SELECT id, 0, [{{'c': 0::BIGINT, 'w': 0::BIGINT}}], NULL::INTEGER, NULL::BOOLEAN FROM txt
+  UNION ALL
+  SELECT id, i, list_append(best, {{'c': way.c, 'w': way.w}})[-63:], way.s, way.known FROM (
+    SELECT id, i, best, list_min(list_append(
+      list_transform(coalesce(ways, []), lambda x: {{'c': best[len(best) - (i - 1 - x.start)].c + x.cost,
+        'w': best[len(best) - (i - 1 - x.start)].w + 1, 's': x.start, 'known': true}}),
+      {{'c': best[-1].c + late, 'w': best[-1].w + 1, 's': i - 1, 'known': false}})) AS way
+    FROM (SELECT d.id, d.i + 1 AS i, d.best, c.ways, (SELECT late FROM unseen) AS late
+          FROM dp d JOIN txt t ON d.id = t.id AND d.i < length(t.s) LEFT JOIN cand c ON c.id = d.id AND c.stop = d.i + 1))),
+laid AS MATERIALIZED (SELECT id, i, start, known FROM dp WHERE i > 0),
+path(id, stop, start, known) AS (
+  SELECT s.id, s.i, s.start, s.known FROM laid s JOIN txt t ON s.id = t.id AND s.i = length(t.s)
+  UNION ALL
+  SELECT s.id, s.i, s.start, s.known FROM path p JOIN laid s ON s.id = p.id AND s.i = p.start),
+chosen AS MATERIALIZED (SELECT t.conv_id, t.turn, p.*, substr(t.s, p.start + 1, p.stop - p.start) AS word
+  FROM path p JOIN txt t ON p.id = t.id)"""
+register("segmented_words", f"""WITH RECURSIVE {_SEGMENTS}
+SELECT conv_id, turn, start, word, known, false AS inner FROM chosen
+UNION ALL
+SELECT c.conv_id, c.turn, h.start, h.word, true, true
+FROM chosen c JOIN hits h ON h.id = c.id AND h.start >= c.start AND h.stop <= c.stop
+WHERE length(h.word) > 1 AND h.stop - h.start < c.stop - c.start""")
+register("score_segmented", f"""WITH RECURSIVE {counted_sql('lang')}, {_SEGMENTS},
+hs AS (SELECT h.conv_id, h.turn, h.id, coalesce(m.n0, 0) AS n0, coalesce(m.n1, 0) AS n1, coalesce(m.n2, 0) AS n2,
+              coalesce(m.n3, 0) AS n3, coalesce(m.n_word, 0) AS n_word
+       FROM chosen h LEFT JOIN model m ON h.word = m.word WHERE h.known),
+hm AS (SELECT conv_id, turn, [{', '.join(f"round(sum((n{c} + 1)::DOUBLE / (n_word + 4)) / count(*), 6)" for c in range(4))}] AS m
+       FROM hs GROUP BY conv_id, turn, id)
+SELECT conv_id, turn, CAST(list_position(m, list_max(m)) - 1 AS INTEGER) AS class_id, list_max(m) AS mean_score,
+       ['de', 'en', 'es', 'fr'][list_position(m, list_max(m))] AS label FROM hm""")
 register("hash_split", f"SELECT doc_id, {split_sql('text')} AS is_train FROM documents")
 register("split_check", f"""WITH a AS (SELECT doc_id, text, lang FROM documents),
 tr AS (SELECT * FROM a WHERE {split_sql('text')}),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..conf import CharConf, TextConf, TrainConf
 from ..functions import text as T
 from ..operators import chars as CH
+from ..operators import dictionary as D
 from ..operators import examples as EX
 from ..operators import sampling as R
 from ..operators import score as S
@@ -454,6 +455,32 @@ def score_unspaced(spark, sf_dir):
     return S.score_segments(_matches(spark, sf_dir), model, len(TB.LANGS), classes=TB.LANGS)
 
 
+def _unspaced(spark, sf_dir, inner=False):
+    """The turns of all conversations, cleaned and without blanks, cut into words
+    by the frequencies that these have in the documents."""
+    clean = F.lower(F.regexp_replace("text", T.STRIP_CHARS, ""))
+    turns = TB.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.regexp_replace(clean, T.BLANKS, "").alias("text"))
+    known = D.compile_dictionary(V.word_counts(doc_tokens(spark, sf_dir)), freq="freq")
+    return D.segment(turns, known, inner=inner)
+
+
+@register("segmented_words")
+def segmented_words(spark, sf_dir):
+    """P20: the words of unspaced text by the best path, and the words inside them."""
+    found = _unspaced(spark, sf_dir, inner=True).select("conv_id", "turn", F.explode_outer("segments").alias("s"))
+    return found.where("s is not null").select("conv_id", "turn", "s.start", "s.word", "s.known", "s.inner")
+
+
+@register("score_segmented")
+def score_segmented(spark, sf_dir):
+    """P20 -> J06 -> A06 -> W02 -> P05: unspaced texts scored by the words they are cut into."""
+    train, _ = _lang_split(spark, sf_dir)
+    model = stored(TR.train_counted(train, len(TB.LANGS)), "model")
+    return S.score_words(S.segment_words(_unspaced(spark, sf_dir)), model, len(TB.LANGS), "conv_id", ("turn",),
+                         classes=TB.LANGS)
+
+
 @register("hash_split")
 def hash_split(spark, sf_dir):
     d = TB.table(spark, sf_dir, "documents")
