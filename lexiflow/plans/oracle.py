@@ -243,6 +243,26 @@ register("first_match_conflicts", f"""SELECT word, CAST(pos AS DOUBLE) AS index
   SELECT *, row_number() OVER (PARTITION BY word ORDER BY doc_id, pos) AS rn FROM ({doc_tok_sql()})) WHERE rn = 1""")
 register("lines_roundtrip", """
 SELECT text, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS text FROM documents) GROUP BY text""")
+register("numbered_lines", """
+SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS line_id, text
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS i
+      FROM documents WHERE text IS NOT NULL)""")
+register("tsv_checked", """
+WITH lines AS (SELECT unnest(string_split(concat_ws(chr(9), lang, text), chr(10))) AS line FROM documents),
+f AS (SELECT line, string_split(line, chr(9)) AS f, CASE WHEN line = '' THEN 'empty' WHEN instr(line, chr(9)) = 0 THEN 'one_field'
+        WHEN line[1] = chr(9) THEN 'no_label' END AS reason FROM lines)
+SELECT CASE WHEN reason IS NULL THEN f[1] END AS label, CASE WHEN reason IS NULL THEN f[2] ELSE line END AS text, reason FROM f""")
+register("token_json_checked", f"""WITH {VOCAB_CTE},
+flags AS (SELECT CAST(quality AS VARCHAR) AS q FROM labels),
+turns AS (SELECT unnest(string_split(text, chr(10))) AS line FROM conversations),
+rows AS (
+  SELECT word AS value, '' AS reason FROM dtok
+  UNION ALL SELECT line, 'no_json' FROM turns
+  UNION ALL SELECT '{{"index":' || q || '}}', 'no_word' FROM flags
+  UNION ALL SELECT q, 'bad_item' FROM flags
+  UNION ALL SELECT 'word', 'bad_item' FROM flags
+  UNION ALL SELECT '[]', 'no_item' FROM flags)
+SELECT value, reason, count(*) AS n FROM rows GROUP BY value, reason""")
 register("tsv_roundtrip", f"""
 SELECT lang AS label, joined AS text
 FROM (SELECT lang, array_to_string({tokens_sql('text')}, ' ') AS joined FROM documents) WHERE length(joined) > 0""")
@@ -445,6 +465,16 @@ register("score_stream", "WITH " + counted_sql("lang").replace(
     'test_tok AS (SELECT doc_id, label_id, pos, word FROM tok WHERE NOT is_train)',
     'test_tok AS (SELECT doc_id, label_id, pos, word FROM tok)') + " SELECT * FROM pred")
 
+_LINE = "regexp_replace(string_split(coalesce(text, ''), chr(10))[1], '[a-zA-Z]', '', 'g')"
+register("score_stream_rejects", f"""WITH {counted_sql('lang')},
+asked AS (SELECT doc_id, {tokens_sql(_LINE)} AS toks FROM documents),
+words AS (SELECT doc_id, unnest(toks) AS word FROM asked),
+hs AS (SELECT w.doc_id, {', '.join(f"round(sum((coalesce(m.n{c}, 0) + 1)::DOUBLE / (coalesce(m.n_word, 0) + 4)) / count(*), 6) AS m{c}" for c in range(4))}
+       FROM words w LEFT JOIN model m ON w.word = m.word GROUP BY w.doc_id),
+hm AS (SELECT doc_id, [m0, m1, m2, m3] AS m FROM hs)
+SELECT a.doc_id, ['de', 'en', 'es', 'fr'][list_position(m, list_max(m))] AS label,
+       CASE WHEN len(a.toks) = 0 THEN 'empty' END AS reason
+FROM asked a LEFT JOIN hm ON a.doc_id = hm.doc_id""")
 register("mean_scores", "WITH " + counted_sql("quality") + """
 SELECT doc_id, class_id, score AS mean_score FROM longf""")
 register("token_class_model", "WITH " + counted_sql("lang") + """

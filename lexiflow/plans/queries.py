@@ -309,6 +309,46 @@ def tsv_roundtrip(spark, sf_dir):
     return FS.read_labelled_tsv(spark, path)
 
 
+@register("numbered_lines")
+def numbered_lines(spark, sf_dir):
+    """The lines of all documents, written in order to many files, with their numbers over all files."""
+    path = scratch_path(spark, "lines")
+    d = TB.table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
+    d.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(path)
+    return FS.read_numbered_lines(spark, path).select("line_id", "text")
+
+
+@register("tsv_checked")
+def tsv_checked(spark, sf_dir):
+    """Label and raw text of every document as lines; a text of several lines
+    leaves some without a label.  All lines, with the reason if rejected."""
+    path = scratch_path(spark, "tsv")
+    TB.table(spark, sf_dir, "documents").select(F.concat_ws("\t", "lang", "text").alias("line")).write.text(path)
+    good, rejected = FS.read_tsv_checked(spark, path)
+    none = F.lit(None).cast("string")
+    return good.select("label", "text", none.alias("reason")).unionByName(
+        rejected.select(none.alias("label"), F.col("raw").alias("text"), "reason"))
+
+
+@register("token_json_checked")
+def token_json_checked(spark, sf_dir):
+    """Token lines of all documents among lines of other kinds: the turns of
+    conversations as they are, and items made from labels, which have no word.
+    All items and rejected lines, with the reason, counted by word or raw text."""
+    path = scratch_path(spark, "token-json")
+    tokens = FS.token_json_lines(_doc_token_ids(spark, sf_dir)).select(F.col("json").alias("line"))
+    turns = TB.table(spark, sf_dir, "conversations").select(F.col("text").alias("line"))
+    flag = F.col("quality").cast("string")
+    item = F.concat(F.lit('{"index":'), flag, F.lit("}"))
+    labels = TB.table(spark, sf_dir, "labels").select(F.to_json(F.array(item, flag, F.lit("word"))).alias("line"))
+    none = TB.table(spark, sf_dir, "labels").select(F.lit("[]").alias("line"))
+    tokens.unionByName(turns).unionByName(labels).unionByName(none).write.text(path)
+    good, rejected = FS.read_token_json_checked(spark, path)
+    rows = good.select(F.col("word").alias("value"), F.lit("").alias("reason")).unionByName(
+        rejected.select(F.col("raw").alias("value"), "reason"))
+    return rows.groupBy("value", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("examples_roundtrip")
 def examples_roundtrip(spark, sf_dir):
     """Encoded examples stored and loaded; ids and mask as sums."""
@@ -527,15 +567,36 @@ def train_embedded(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 8 ---
 
+def _document_stream(spark, sf_dir):
+    schema = TB.table(spark, sf_dir, "documents").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                 .option("maxFilesPerTrigger", 64).parquet(f"{sf_dir.rstrip('/')}/documents.parquet*"))
+
+
+@register("score_stream_rejects")
+def score_stream_rejects(spark, sf_dir):
+    """Every arriving row has a prediction or a reason.  The rows' text is the
+    first line without its ASCII letters, which leaves many of them no word."""
+    train, _ = _lang_split(spark, sf_dir)
+    model = stored(TR.train_counted(train, len(TB.LANGS)), "model")
+    out, rejected = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
+    line = F.regexp_replace(F.substring_index("text", "\n", 1), "[a-zA-Z]", "")
+    q = _score_stream(_document_stream(spark, sf_dir), model, len(TB.LANGS), out, scratch_path(spark, "stream-ckpt"),
+                      keep=(), prepare=lambda df: df.select("doc_id", line.alias("text")), classes=TB.LANGS,
+                      rejected_path=rejected)
+    q.awaitTermination()
+    none = F.lit(None).cast("string")
+    return spark.read.parquet(out).select("doc_id", "label", none.alias("reason")).unionByName(
+        spark.read.parquet(rejected).select("doc_id", none.alias("label"), "reason"))
+
+
 @register("score_stream")
 def score_stream(spark, sf_dir):
     """Documents arrive as a file stream and are scored per micro-batch
     by the counted model trained on the train side of ``lang``."""
     train, _ = _lang_split(spark, sf_dir)
     model = stored(TR.train_counted(train, len(TB.LANGS)), "model")      # every batch looks it up
-    schema = TB.table(spark, sf_dir, "documents").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-                   .option("maxFilesPerTrigger", 64).parquet(f"{sf_dir.rstrip('/')}/documents.parquet*"))
+    stream = _document_stream(spark, sf_dir)
     out = scratch_path(spark, "scored")
     prep = lambda df: df.select("doc_id", "text", T.label_id("lang", TB.LANGS).alias("label_id"))
     q = _score_stream(stream, model, len(TB.LANGS), out, scratch_path(spark, "stream-ckpt"), prepare=prep,

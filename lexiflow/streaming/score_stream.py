@@ -14,20 +14,28 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import examples as EX
 from ..operators import score as S
 
 
 def score_stream(stream: DataFrame, model: DataFrame, num_classes: int, out_path: str,
                  checkpoint: str, key: str = "doc_id", keep: Sequence[str] = ("label_id",),
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 available_now: bool = True, classes: Sequence[str] | None = None) -> StreamingQuery:
+                 available_now: bool = True, classes: Sequence[str] | None = None,
+                 rejected_path: str | None = None) -> StreamingQuery:
     """Start the scoring stream; with ``available_now`` it stops when the input
-    present at start has been processed.  ``classes`` adds the label."""
+    present at start has been processed.  ``classes`` adds the label.
+
+    Rows without a token have no prediction; with ``rejected_path`` each batch
+    writes ``(key, reason)`` of these there, so that predictions and rejects are
+    all rows of the stream."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = prepare(df) if prepare else df
         preds = S.score(rows, model, num_classes, key=key, keep=keep, classes=classes)
         preds.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        if rejected_path:
+            EX.rejects(rows, key=key).write.mode("overwrite").parquet(f"{rejected_path.rstrip('/')}/batch={batch_id}")
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -1,0 +1,92 @@
+"""Line numbers that do not depend on the layout; lines and rows that are rejected."""
+
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lexiflow.operators import train as TR
+from lexiflow.operators import vocab as V
+from lexiflow.sources import files as FS
+from lexiflow.sources.files import rows
+from lexiflow.streaming.score_stream import score_stream
+
+
+def write(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8", newline="") as f:
+        f.write("".join(line + "\n" for line in lines))
+
+
+@pytest.mark.parametrize("size", [64, 1000, 128 << 20])
+def test_numbers_under_any_split_size(spark, tmp_out, size):
+    rng = random.Random(1)
+    files = {f"{c}.txt": [f"{c}{i} " + "ü" * rng.randrange(40) for i in range(n)] for c, n in (
+        ("a", 3), ("b", 400), ("c", 0), ("d", 57), ("e", 1))}
+    for name, lines in files.items():
+        write(tmp_out, name, lines)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = FS.read_numbered_lines(spark, tmp_out).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [(f, i, t) for f, lines in files.items() for i, t in enumerate(lines)]
+    assert sorted((os.path.basename(r.file), r.line_no, r.text) for r in got) == sorted(want)
+    assert [r.text for r in sorted(got, key=lambda r: r.line_id)] == [t for _, _, t in want]
+    assert sorted(r.line_id for r in got) == list(range(len(want)))
+
+
+def line_of(*words):
+    return json.dumps([json.dumps({"word": w, "index": i}) for i, w in words])
+
+
+def test_the_first_match_is_in_the_first_file(spark, tmp_out):
+    write(tmp_out, "a.txt", [line_of((7, "x"))])
+    write(tmp_out, "b.txt", [line_of((1, "y"), (2, "x"))] * 300)
+    first = {r.word: r["index"] for r in V.first_match(FS.read_token_json(spark, tmp_out)).collect()}
+    assert first == {"x": 7.0, "y": 1.0}
+
+
+def test_lines_and_items_that_are_none(spark, tmp_out):
+    lines = [line_of((0, "a"), (1, "b")), "", "no json", "[1, 2", '{"word":"x"}', "[]", "null", '["x", null, "{\\"index\\":3}"]',
+             '  ["{\\"word\\":\\"c\\"}", "[]", "{\\"word\\":"]', line_of((5, "d")) + " tail", '"text"']
+    write(tmp_out, "a.txt", lines)
+    good, rejected = FS.read_token_json_checked(spark, tmp_out)
+    assert sorted((r.line_no, r.item_no, r.word, r["index"]) for r in good.collect() if r.line_no != 9) == [
+        (0, 0, "a", 0.0), (0, 1, "b", 1.0), (8, 0, "c", None)]
+    got = sorted((r.line_no, -1 if r.item_no is None else r.item_no, r.reason) for r in rejected.collect() if r.line_no != 9)
+    assert got == [(1, -1, "no_json"), (2, -1, "no_json"), (3, -1, "no_json"), (4, -1, "no_json"), (5, -1, "no_item"),
+                   (6, -1, "no_json"), (7, 0, "bad_item"), (7, 1, "bad_item"), (7, 2, "no_word"), (8, 1, "bad_item"),
+                   (8, 2, "bad_item"), (10, -1, "no_json")]
+    seen = good.select("line_no").unionByName(rejected.select(F.col("line_id").alias("line_no"))).distinct().count()
+    assert seen == len(lines)
+    assert {r.raw for r in rejected.where("reason = 'no_json'").collect()} >= {"", "no json", "[1, 2"}
+
+
+def test_tsv_lines_that_are_none(spark, tmp_out):
+    lines = ["a\tx", "b\ty\tz", "alone", "", "\tno label", "c\t", 'd\t"q']
+    write(tmp_out, "a.tsv", lines)
+    good, rejected = FS.read_tsv_checked(spark, tmp_out)
+    assert sorted((r.line_id, r.label, r.text) for r in good.collect()) == [(0, "a", "x"), (1, "b", "y"), (5, "c", ""), (6, "d", '"q')]
+    assert sorted((r.line_no, r.reason, r.raw) for r in rejected.collect()) == [
+        (2, "one_field", "alone"), (3, "empty", ""), (4, "no_label", "\tno label")]
+    empty = os.path.join(tmp_out, "none")
+    write(empty, "a.tsv", [])
+    assert [df.count() for df in FS.read_tsv_checked(spark, empty)] == [0, 0]
+
+
+def test_every_streamed_row_is_scored_or_rejected(spark, tmp_out):
+    model = TR.train_counted(rows(spark, [(0, "a b", 0), (1, "c", 1)], "doc_id long, text string, label_id int"), 2)
+    FS.save_model(model, f"{tmp_out}/model")
+    data = [(None, "a b"), (None, "c"), (1, ""), (1, None), (1, "..."), (1, "a"), (1, "a")]
+    rows(spark, data, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_out}/in")
+    stream = spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_out}/in")
+    score_stream(stream, FS.load_model(spark, f"{tmp_out}/model"), 2, f"{tmp_out}/out", f"{tmp_out}/ckpt", keep=(),
+                 rejected_path=f"{tmp_out}/rejected").awaitTermination()
+    assert spark.read.parquet(f"{tmp_out}/out").count() == 4
+    assert [(r.doc_id, r.reason) for r in spark.read.parquet(f"{tmp_out}/rejected").collect()] == [(1, "empty")] * 3
