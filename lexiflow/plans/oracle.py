@@ -320,6 +320,21 @@ rq AS (SELECT q.*, CAST({hash_sql('q.req_id', 12345, 1 << 40)} % t.total AS BIGI
        FROM req q LEFT JOIN (SELECT DISTINCT ch, total FROM cdf) t ON q.ch = t.ch)
 SELECT rq.doc_id, rq.chunk, rq.req_id, rq.ch, rq.r, c.next_ch AS drawn
 FROM rq LEFT JOIN cdf2 c ON c.ch = rq.ch AND rq.r >= c.prev AND rq.r < c.cum""")
+_WORD_CDF = f"""wpairs AS (
+  SELECT unnest(toks[:-2]) AS word, unnest(toks[2:]) AS next_word FROM (SELECT {tokens_sql('text')} AS toks FROM documents)
+  WHERE len(toks) > 1),
+wtrans AS (SELECT word, next_word, count(*) AS n FROM wpairs GROUP BY word, next_word),
+wcdf AS (SELECT word, next_word, n,
+                CAST(sum(n) OVER (PARTITION BY word ORDER BY next_word ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum,
+                CAST(sum(n) OVER (PARTITION BY word) AS BIGINT) AS total FROM wtrans)"""
+register("word_cdf", f"WITH {_WORD_CDF} SELECT * FROM wcdf")
+_WORD_KEY = "CAST(q.conv_id AS VARCHAR) || ':' || CAST(q.turn AS VARCHAR) || ':' || CAST(q.pos AS VARCHAR)"
+register("word_draws", f"""WITH {_WORD_CDF}, ctok AS ({CONV_TOK}),
+req AS (SELECT q.*, {_WORD_KEY} AS req_id FROM ctok q),
+rq AS (SELECT q.*, CAST({hash_sql('q.req_id', 12345, 1 << 40)} % t.total AS BIGINT) AS r
+       FROM req q LEFT JOIN (SELECT DISTINCT word, total FROM wcdf) t ON q.word = t.word)
+SELECT rq.conv_id, rq.turn, rq.pos, rq.word, rq.req_id, rq.r, c.next_word AS drawn
+FROM rq LEFT JOIN wcdf c ON c.word = rq.word AND rq.r >= c.cum - c.n AND rq.r < c.cum""")
 _SEEDS = f"""seeds AS (SELECT doc_id, CAST({hash_sql('doc_id', 12345, 77)} AS INTEGER) AS char_id FROM documents),
 seeds2 AS (SELECT doc_id, char_id, {_CHARSET_LIST}[char_id + 1] AS seed_ch FROM seeds)"""
 register("seed_chars", f"WITH {_SEEDS} SELECT doc_id, char_id, seed_ch FROM seeds2")

@@ -21,6 +21,7 @@ from ..operators import score as S
 from ..operators import tokens as TK
 from ..operators import train as TR
 from ..operators import vocab as V
+from ..operators import wide as W
 from ..session import scratch_path, stored
 from ..sources import files as FS
 from ..sources import tables as TB
@@ -450,6 +451,29 @@ def draws(spark, sf_dir):
     return R.draw(req, _transitions(spark, sf_dir), key="req_id")
 
 
+def _word_transitions(spark, sf_dir):
+    """A10 over words: how often one follows another in a document."""
+    d = TK.with_tokens(TB.table(spark, sf_dir, "documents")).select("tokens")
+    a, k = F.col("tokens"), F.greatest(F.lit(0), F.size("tokens") - 1)
+    pairs = d.select(F.arrays_zip(F.slice(a, 1, k).alias("ch"), F.slice(a, 2, k).alias("next_ch")).alias("p"))
+    pairs = pairs.select(F.explode_outer("p").alias("p")).where("p is not null")
+    return CH.transitions(pairs.select(F.col("p.ch").alias("word"), F.col("p.next_ch").alias("next_word")), "word", "next_word")
+
+
+@register("word_cdf")
+def word_cdf(spark, sf_dir):
+    """W03 with words for contexts: any number of choices each."""
+    return W.cumulate_wide(_word_transitions(spark, sf_dir), "word", "next_word")
+
+
+@register("word_draws")
+def word_draws(spark, sf_dir):
+    """R02 + J07 with words for contexts: a word drawn to follow every word of every conversation."""
+    req = _conversation_tokens(spark, sf_dir)
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("conv_id", "turn", "pos")])
+    return W.draw_wide(req.withColumn("req_id", key), _word_transitions(spark, sf_dir), ctx="word", choice="next_word")
+
+
 @register("seed_chars")
 def seed_chars(spark, sf_dir):
     return R.seed_rows(TB.table(spark, sf_dir, "documents").select("doc_id"))
