@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..conf import TextConf
+from ..conf import SEQ_LEN, TextConf
 from ..functions import text as T
 from . import tokens as TK
 from . import vocab as V
@@ -124,3 +124,63 @@ def to_cells(examples: DataFrame, key: str = "doc_id", label: str = "label_id")
     ends = examples.select(key, F.inline(F.array(cell("labels", F.col(label), step, F.lit(1.0)),
                                                  cell("label_mask", 0, step, F.lit(1.0)))))
     return step_cells.unionByName(ends)
+
+
+# ------------------------------------------------------- dense tensors (P13) ---
+
+TENSORS = ("features", "labels", "feature_mask", "label_mask")
+
+
+def to_tensors(examples: DataFrame, num_classes: int, key: str = "doc_id", label: str = "label_id",
+               seq_len: int = SEQ_LEN) -> DataFrame:
+    """An example's four tensors as dense ``array<array<double>>``.
+
+    ``features`` (1 x steps) ids, ``labels`` (classes x steps) with a one for the
+    class at the last step, ``feature_mask`` (1 x steps) and ``label_mask`` (1 x
+    steps) with a one at the last step.  Built inside the row: one result a row,
+    no shuffle.  A label outside the classes has an empty label matrix of zeros.
+    """
+    steps = F.sequence(F.lit(0), F.lit(seq_len - 1))
+    at = F.transform(steps, lambda i: (i == F.col("label_step")).cast("double"))
+    none = F.array_repeat(F.lit(0.0), seq_len)
+    labels = F.transform(F.sequence(F.lit(0), F.lit(num_classes - 1)),
+                         lambda c: F.when(c == F.col(label), at).otherwise(none))
+    return examples.select(key, F.array(F.col("features").cast("array<double>")).alias("features"), labels.alias("labels"),
+                           F.array(F.col("feature_mask").cast("array<double>")).alias("feature_mask"),
+                           F.array(at).alias("label_mask"))
+
+
+def tensor_cells(tensors: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The way back: ``(key, tensor, i, j, value)``, zeros omitted, as ``to_cells``."""
+    each = F.array(*[F.struct(F.lit(t).alias("tensor"), F.col(t).alias("rows")) for t in TENSORS])
+    rows = tensors.select(key, F.inline(each)).select(key, "tensor", F.posexplode("rows").alias("i", "row"))
+    cells = rows.select(key, "tensor", F.col("i").cast("int").alias("i"), F.posexplode("row").alias("j", "value"))
+    return cells.select(key, "tensor", "i", F.col("j").cast("int").alias("j"), "value").where("value <> 0")
+
+
+def tensors_of_cells(cells: DataFrame, num_classes: int, key: str = "doc_id", seq_len: int = SEQ_LEN) -> DataFrame:
+    """Dense tensors from sparse cells, as ``to_tensors``; cells of one place are
+    added up, cells outside the tensors fail the job.  Cells are grouped by the
+    key, at most (2 classes + 2) x steps of them are there for one."""
+    height = F.when(F.col("tensor") == "labels", F.lit(num_classes)).otherwise(F.lit(1))
+    inside = F.col("tensor").isin(*TENSORS) & F.col("i").between(0, height - 1) & F.col("j").between(0, seq_len - 1)
+    ok = cells.where(F.assert_true(inside, F.lit("cell outside the tensors")).isNull())
+    flat = (F.col("i") * seq_len + F.col("j")).alias("at")
+    summed = ok.groupBy(key, "tensor", flat).agg(F.sum("value").alias("value"))
+    maps = summed.groupBy(key).agg(*[F.map_from_entries(F.collect_list(F.when(
+        F.col("tensor") == t, F.struct("at", "value")))).alias(t) for t in TENSORS])
+
+    def dense(t: str, rows: int):
+        return F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.transform(
+            F.sequence(F.lit(0), F.lit(seq_len - 1)),
+            lambda j: F.coalesce(F.try_element_at(F.col(t), (i * seq_len + j).cast("int")), F.lit(0.0)))).alias(t)
+
+    return maps.select(key, *[dense(t, num_classes if t == "labels" else 1) for t in TENSORS])
+
+
+def tensor_vectors(tensors: DataFrame, key: str = "doc_id") -> DataFrame:
+    """P13 for ``pyspark.ml``: ``(key, tensor, i, vector)``, each row of each tensor as a vector."""
+    from pyspark.ml.functions import array_to_vector
+    each = F.array(*[F.struct(F.lit(t).alias("tensor"), F.col(t).alias("rows")) for t in TENSORS])
+    rows = tensors.select(key, F.inline(each)).select(key, "tensor", F.posexplode("rows").alias("i", "row"))
+    return rows.select(key, "tensor", F.col("i").cast("int").alias("i"), array_to_vector("row").alias("vector"))

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..conf import TrainConf
 from ..functions import text as T
+from ..sources.files import kept
 
 
 def fit_token_class(tokens: DataFrame, num_classes: int, word: str = "word",
@@ -58,39 +60,50 @@ def _hashed_words(num_features: int, text: str = "text") -> list:
             HashingTF(inputCol="tokens", outputCol="counts", numFeatures=num_features)]
 
 
-def train_linear(labelled: DataFrame, num_classes: int, conf: TrainConf = TrainConf(),
-                 label: str = "label_id", num_features: int = 2 ** 18):
+def _fit_on_kept(labelled: DataFrame, num_classes: int, label: str, stages: list, solver, level: StorageLevel):
+    """``stages`` (which learn nothing) and the fitted ``solver`` as one pipeline.
+
+    Their output, without the text, is kept while the solver passes over it, so a
+    text is tokenised once however many passes there are.
+    """
+    from pyspark.ml import PipelineModel
+    rows = known_labels(labelled, num_classes, label)
+    for stage in stages:
+        rows = stage.transform(rows.withColumn(label, F.col(label).cast("double")))
+    with kept(rows.select(label, solver.getFeaturesCol()), level) as prepared:
+        return PipelineModel([*stages, solver.fit(prepared)])
+
+
+def train_linear(labelled: DataFrame, num_classes: int, conf: TrainConf = TrainConf(), label: str = "label_id",
+                 num_features: int = 2 ** 18, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_2):
     """Hashed term counts -> multinomial logistic regression (L2 ``conf.l2``,
     ``conf.epochs`` iterations) over the rows with a known label.  Returns a
     ``PipelineModel``."""
-    from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    stages = [*_hashed_words(num_features),
-              LogisticRegression(featuresCol="counts", labelCol=label, regParam=conf.l2,
-                                 maxIter=conf.epochs, family="multinomial")]
-    rows = known_labels(labelled, num_classes, label)
-    return Pipeline(stages=stages).fit(rows.withColumn(label, F.col(label).cast("double")))
+    solver = LogisticRegression(featuresCol="counts", labelCol=label, regParam=conf.l2,
+                                maxIter=conf.epochs, family="multinomial")
+    return _fit_on_kept(labelled, num_classes, label, _hashed_words(num_features), solver, level)
 
 
 def train_embedded(labelled: DataFrame, num_classes: int, conf: TrainConf = TrainConf(),
-                   label: str = "label_id", num_features: int | None = None):
+                   label: str = "label_id", num_features: int | None = None,
+                   level: StorageLevel = StorageLevel.MEMORY_AND_DISK_2):
     """A document vector -> one hidden layer -> softmax.
 
     The vector has a fixed number of hashed word slots (four times
     ``conf.hidden``), scaled to unit length, in place of learned word vectors:
     those would need the whole vocabulary on the driver.  Word order is lost.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
     from pyspark.ml.feature import Normalizer
     width = num_features or 4 * conf.hidden
-    stages = [*_hashed_words(width), Normalizer(inputCol="counts", outputCol="vector"),
-              MultilayerPerceptronClassifier(featuresCol="vector", labelCol=label,
-                                             layers=[width, conf.hidden, num_classes],
-                                             seed=conf.net_seed, maxIter=conf.epochs * conf.averaging,
-                                             blockSize=conf.batch_size)]
-    rows = known_labels(labelled, num_classes, label)
-    return Pipeline(stages=stages).fit(rows.withColumn(label, F.col(label).cast("double")))
+    stages = [*_hashed_words(width), Normalizer(inputCol="counts", outputCol="vector")]
+    return _fit_on_kept(labelled, num_classes, label, stages, _hidden_layer("vector", label, width, num_classes, conf), level)
+
+
+def _hidden_layer(vector: str, label: str, width: int, num_classes: int, conf: TrainConf):
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    return MultilayerPerceptronClassifier(featuresCol=vector, labelCol=label, layers=[width, conf.hidden, num_classes],
+                                          seed=conf.net_seed, maxIter=conf.epochs * conf.averaging, blockSize=conf.batch_size)
 
 
 def predict_pipeline(model, docs: DataFrame, keep: Sequence[str] = ("doc_id", "label_id")) -> DataFrame:

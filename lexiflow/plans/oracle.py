@@ -139,6 +139,11 @@ register("min_count_words",
          f"SELECT word, count(*) AS freq FROM ({doc_tok_sql()}) GROUP BY word HAVING count(*) >= 2")
 register("token_total", f"SELECT count(*) AS token_total FROM ({doc_tok_sql()})")
 register("vocab_size", f"SELECT count(DISTINCT word) AS vocab_size FROM ({doc_tok_sql()})")
+_LANG_TOK = doc_tok_sql("documents", "doc_id", "lang, source")
+register("vocab_sizes_approx", " UNION ALL ".join(f"""
+SELECT '{by}' AS level, {'lang' if 'lang' in by else 'NULL::VARCHAR'} AS lang, {'source' if 'source' in by else 'NULL::VARCHAR'} AS source,
+       count(DISTINCT word) AS vocab_size, count(*) AS n_tokens, true AS near
+FROM ({_LANG_TOK}) {'GROUP BY ' + by if by else ''}""" for by in ("lang, source", "lang", "source", "")))
 register("vocab_index", f"WITH {VOCAB_CTE} SELECT word, freq, idx FROM vocab")
 _stop = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 register("stop_words_removed", f"""
@@ -227,7 +232,18 @@ UNION ALL
 SELECT doc_id, 'labels', label_id, label_step, 1.0 FROM e
 UNION ALL
 SELECT doc_id, 'label_mask', 0, label_step, 1.0 FROM e""")
+register("example_tensors", f"""WITH {examples_sql(_QSRC, True)},
+e AS (SELECT *, CAST(least(n_tokens, {SEQ_LEN}) - 1 AS INTEGER) AS label_step FROM ex),
+rows AS (
+  SELECT doc_id, 'features' AS tensor, 0 AS i, list_concat(ids, CAST(repeat([0], {SEQ_LEN} - len(ids)) AS BIGINT[])) AS row FROM e
+  UNION ALL SELECT doc_id, 'feature_mask', 0, {_mask_sql()} FROM e
+  UNION ALL SELECT doc_id, 'label_mask', 0, list_transform(range({SEQ_LEN}), lambda j: CAST(j = label_step AS BIGINT)) FROM e
+  UNION ALL SELECT doc_id, 'labels', CAST(c AS INTEGER),
+                   list_transform(range({SEQ_LEN}), lambda j: CAST(j = label_step AND c = label_id AS BIGINT))
+            FROM e, unnest(range(2)) AS u(c))
+SELECT doc_id, tensor, i, array_to_string(row, ',') AS row FROM rows""")
 ORACLE["example_cells"] = f"SELECT * FROM ({ORACLE['example_cells']}) WHERE value <> 0"
+ORACLE["tensors_roundtrip"] = ORACLE["example_cells"]
 
 
 # ---------------------------------------------------------------- step 4 ---

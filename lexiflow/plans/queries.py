@@ -6,6 +6,7 @@ matching DuckDB SQL is in ``oracle.py`` under the same name.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..operators import dictionary as D
 from ..operators import examples as EX
 from ..operators import sampling as R
 from ..operators import score as S
+from ..operators import sketches as SK
 from ..operators import tokens as TK
 from ..operators import train as TR
 from ..operators import vocab as V
@@ -154,6 +156,25 @@ def vocab_size(spark, sf_dir):
     return V.vocab_size(doc_tokens(spark, sf_dir))
 
 
+@register("vocab_sizes_approx")
+def vocab_sizes_approx(spark, sf_dir):
+    """A04 by sketches: one a source and language, stored; united by language, by
+    source and over all without the texts.  Each estimate beside the exact count."""
+    toks = TK.tokenize(TB.table(spark, sf_dir, "documents"), keep=("lang", "source"))
+    sketches = stored(SK.vocab_sketches(toks, ["lang", "source"]), "sketches")
+    levels = {"lang, source": ("lang", "source"), "lang": ("lang",), "source": ("source",), "": ()}
+    found = []
+    for name, by in levels.items():
+        exact = toks.select(*by, "word").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("vocab_size"))
+        about = SK.estimated(SK.united(sketches, by)).withColumnRenamed("vocab_size", "about")
+        on = [F.lit(0).alias("_one")] if not by else []
+        both = exact.select("*", *on).join(about.select("*", *on), list(by) or "_one")
+        near = F.abs(F.col("about") - F.col("vocab_size")) <= F.col("vocab_size") * SK.error_bound()
+        lang, source = (F.col(c) if c in by else F.lit(None).cast("string").alias(c) for c in ("lang", "source"))
+        found.append(both.select(F.lit(name).alias("level"), lang, source, "vocab_size", "n_tokens", near.alias("near")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @register("vocab_index")
 def vocab_index(spark, sf_dir):
     return V.build_vocab(doc_tokens(spark, sf_dir))
@@ -256,6 +277,22 @@ def label_steps(spark, sf_dir):
                                                    "label_step", "truncated")
 
 
+@register("example_tensors")
+def example_tensors(spark, sf_dir):
+    """Dense tensors of every example, a row of each as text."""
+    d = EX.to_tensors(_quality_examples(spark, sf_dir), len(TB.BINARY))
+    each = F.array(*[F.struct(F.lit(t).alias("tensor"), F.col(t).alias("rows")) for t in EX.TENSORS])
+    rows = d.select("doc_id", F.inline(each)).select("doc_id", "tensor", F.posexplode("rows").alias("i", "row"))
+    return rows.select("doc_id", "tensor", F.col("i").cast("int").alias("i"), T.array_text(F.col("row").cast("array<bigint>")).alias("row"))
+
+
+@register("tensors_roundtrip")
+def tensors_roundtrip(spark, sf_dir):
+    """Cells -> dense tensors -> cells."""
+    cells = EX.to_cells(_quality_examples(spark, sf_dir))
+    return EX.tensor_cells(EX.tensors_of_cells(cells, len(TB.BINARY)))
+
+
 @register("example_cells")
 def example_cells(spark, sf_dir):
     return EX.to_cells(_quality_examples(spark, sf_dir))
