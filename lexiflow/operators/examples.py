@@ -165,17 +165,22 @@ def tensors_of_cells(cells: DataFrame, num_classes: int, key: str = "doc_id", se
     height = F.when(F.col("tensor") == "labels", F.lit(num_classes)).otherwise(F.lit(1))
     inside = F.col("tensor").isin(*TENSORS) & F.col("i").between(0, height - 1) & F.col("j").between(0, seq_len - 1)
     ok = cells.where(F.assert_true(inside, F.lit("cell outside the tensors")).isNull())
-    flat = (F.col("i") * seq_len + F.col("j")).alias("at")
-    summed = ok.groupBy(key, "tensor", flat).agg(F.sum("value").alias("value"))
-    maps = summed.groupBy(key).agg(*[F.map_from_entries(F.collect_list(F.when(
-        F.col("tensor") == t, F.struct("at", "value")))).alias(t) for t in TENSORS])
-
-    def dense(t: str, rows: int):
-        return F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda i: F.transform(
-            F.sequence(F.lit(0), F.lit(seq_len - 1)),
-            lambda j: F.coalesce(F.try_element_at(F.col(t), (i * seq_len + j).cast("int")), F.lit(0.0)))).alias(t)
-
-    return maps.select(key, *[dense(t, num_classes if t == "labels" else 1) for t in TENSORS])
+    summed = ok.groupBy(key, "tensor", "i", "j").agg(F.sum("value").alias("value"))
+    # A row's cells in order, each behind the zeros since the one before.
+    rows = summed.groupBy(key, "tensor", "i").agg(F.sort_array(F.collect_list(F.struct("j", "value"))).alias("c"))
+    js = F.transform("c", lambda x: x["j"])
+    before = F.concat(F.array(F.lit(-1)), F.slice(js, F.lit(1), F.size("c") - 1))
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    dense = F.flatten(F.zip_with("c", before, lambda x, p: F.concat(zeros(x["j"] - p - 1), F.array(x["value"]))))
+    dense = F.concat(dense, zeros(F.lit(seq_len - 1) - F.element_at(js, -1)))
+    place = F.concat_ws("/", "tensor", F.col("i").cast("string"))
+    found = rows.select(key, place.alias("at"), dense.alias("row")).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("at", "row"))).alias("_rows"))
+
+    def tensor(t: str, height: int):
+        return F.array(*[F.coalesce(F.try_element_at("_rows", F.lit(f"{t}/{i}")), zeros(seq_len)) for i in range(height)]).alias(t)
+
+    return found.select(key, *[tensor(t, num_classes if t == "labels" else 1) for t in TENSORS])
 
 
 def tensor_vectors(tensors: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -73,10 +73,11 @@ def draw_wide(requests: DataFrame, transitions: DataFrame, seed: int = 12345, ke
     block's 64.  Requests of a context spread over its cells.  A request whose
     context is unknown or null-keyed keeps its row, with nulls.
     """
-    blocks = stored(choice_blocks(transitions, ctx, choice, n), "choice-blocks")
+    blocks = choice_blocks(transitions, ctx, choice, n).withColumn("_cums", _running())
+    blocks = stored(blocks.withColumn("_choices", F.transform("_choices", lambda c: c["choice"])), "choice-blocks")
     size = F.ceil(F.col("total") / F.col("_blocks")).cast("long")
     first, last = F.floor(F.col("_before") / size), F.floor((F.col("_before") + F.col("_sum") - 1) / size)
-    cells = blocks.select(F.col(ctx).alias("_bctx"), "_before", "_sum", "_choices",
+    cells = blocks.select(F.col(ctx).alias("_bctx"), "_before", "_sum", "_choices", "_cums",
                           F.explode(F.sequence(first, last)).alias("_bcell"))
     totals = blocks.groupBy(F.col(ctx).alias("_tctx")).agg(F.max("total").alias("_total"), F.max("_blocks").alias("_n"))
     asked = requests.join(totals, F.col(ctx) == F.col("_tctx"), "left")
@@ -85,6 +86,6 @@ def draw_wide(requests: DataFrame, transitions: DataFrame, seed: int = 12345, ke
     asked = asked.withColumn("_cell", cell)
     holds = (F.col("_before") <= F.col("r")) & (F.col("r") < F.col("_before") + F.col("_sum"))
     found = asked.join(cells, (F.col(ctx) == F.col("_bctx")) & (F.col("_cell") == F.col("_bcell")) & holds, "left")
-    at = F.size(F.filter(_running(), lambda c: c <= F.col("r")))
-    drawn = F.when(F.col("r").isNotNull(), F.get(F.col("_choices"), at)["choice"])
+    at = F.size(F.filter("_cums", lambda c: c <= F.col("r")))
+    drawn = F.when(F.col("r").isNotNull(), F.get(F.col("_choices"), at))
     return found.select(*[F.col(f"`{c}`") for c in requests.columns], "r", drawn.alias("drawn"))

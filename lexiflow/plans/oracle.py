@@ -471,6 +471,17 @@ per AS (SELECT label_id, count(*) AS n FROM lab GROUP BY label_id)
 SELECT CAST(sum(n) AS BIGINT) AS n_test, max(n) AS n_majority, true AS beats_majority FROM per"""
 register("train_linear", _BEATS)
 register("train_embedded", _BEATS)
+# Every held-out text of the fixtures has a word that is frequent enough for a vector.
+register("train_word_vectors", _BEATS)
+register("near_words", f"""WITH {VOCAB_CTE},
+v AS (SELECT word, idx FROM vocab WHERE freq >= 5),
+ids AS (SELECT t.doc_id, t.pos, v.idx FROM dtok t JOIN v ON t.word = v.word),
+one AS (SELECT a.idx AS x, b.idx AS y FROM ids a JOIN ids b ON a.doc_id = b.doc_id AND b.pos - a.pos BETWEEN 1 AND 2),
+pairs AS (SELECT word_id, other_id, count(*) AS n FROM (
+            SELECT x AS word_id, y AS other_id FROM one UNION ALL SELECT y, x FROM one) GROUP BY ALL),
+m AS (SELECT *, sum(n) OVER (PARTITION BY word_id) AS nw, sum(n) OVER (PARTITION BY other_id) AS nc, sum(n) OVER () AS total FROM pairs),
+w AS (SELECT word_id, other_id, log2(n * total::DOUBLE / (nw::DOUBLE * nc)) AS weight FROM m)
+SELECT word_id, other_id, round(weight, 6) AS weight FROM w WHERE weight > 0""")
 
 _JOB = f"""WITH src AS (SELECT doc_id, text, len({tokens_sql("coalesce(text, '')")}) AS n, {label_id_sql('lang', LINE_CLASSES)} AS label_id
   FROM documents),

@@ -16,6 +16,7 @@ from ..conf import CharConf, TextConf, TrainConf
 from ..functions import text as T
 from ..operators import chars as CH
 from ..operators import dictionary as D
+from ..operators import embed as EM
 from ..operators import examples as EX
 from ..operators import sampling as R
 from ..operators import score as S
@@ -626,6 +627,25 @@ def train_embedded(spark, sf_dir):
     return _against_majority(TR.predict_pipeline(model, test))
 
 
+@register("train_word_vectors")
+def train_word_vectors(spark, sf_dir):
+    """T03 with a learned embedding: word vectors from all documents' texts, the
+    classifier from the train side's labels."""
+    train, test = _lang_split(spark, sf_dir)
+    vectors = EM.train_word_vectors(TB.table(spark, sf_dir, "documents"))
+    model = EM.train_on_vectors(train, vectors, len(TB.LANGS), TrainConf(classes=TB.LANGS))
+    return _against_majority(model.predict(test))
+
+
+@register("near_words")
+def near_words(spark, sf_dir):
+    """The weights that are factorised: positive mutual information of words near each other."""
+    d = TB.table(spark, sf_dir, "documents")
+    vocab = stored(V.build_vocab(doc_tokens(spark, sf_dir), EM.MIN_COUNT), "vocab")
+    found = EM.mutual_information(EM.near_pairs(d, vocab))
+    return found.select("word_id", "other_id", F.round("weight", 6).alias("weight"))
+
+
 # ---------------------------------------------------------------- step 8 ---
 
 def _document_stream(spark, sf_dir):
