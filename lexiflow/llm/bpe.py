@@ -8,6 +8,7 @@ each round every word merges its pair of lowest rank, all words together.
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 import re
 import unicodedata
@@ -38,6 +39,10 @@ def byte_letters() -> list[str]:
 GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# Bytes of a word above which it is merged by itself.
+LONG = 256
+
+
 class Bpe:
     """``path``: a tokenizers .json with a BPE model over bytes."""
 
@@ -107,6 +112,75 @@ class Bpe:
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of non-empty words -> (all ids in a row, the count of each word).
 
+        Words above ``LONG`` bytes, which need many rounds, are merged each by
+        itself (``merge_long``); the others together (``merge_all``).
+        """
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self.merge_all(words)
+        apart = set(long)
+        ids, n = self.merge_all([w for i, w in enumerate(words) if i not in apart])
+        rest = iter(np.split(ids, np.cumsum(n)[:-1]) if len(n) else [])
+        parts = [self.merge_long(w) if i in apart else next(rest) for i, w in enumerate(words)]
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long word, rank by rank: the places of each rank's pairs wait in
+        a list of their own, and only the neighbours of merged pairs get new ranks."""
+        none = np.int64(1 << 40)
+        flat = np.frombuffer(word, np.uint8)
+        ids = self.first[flat]
+        ids[-1] = self.last[flat[-1]]
+        n = len(ids)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)         # n: behind the last
+        rank = np.append(self.ranks(ids[:-1], ids[1:]), none)              # of the pair that begins here
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            at = at[rank[at] < none]
+            order = np.argsort(rank[at], kind="stable")
+            at = at[order]
+            cut = np.flatnonzero(np.diff(rank[at])) + 1
+            for part in np.split(at, cut) if len(at) else ():
+                r = int(rank[part[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(part)
+
+        wait(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            parts = waiting.pop(r)
+            at = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+            at = at[rank[at] == r]                        # those that nothing has changed since
+            if not len(at):
+                continue
+            touch = np.concatenate(([False], after[at[:-1]] == at[1:]))    # x x x: the third waits
+            if touch.any():
+                run = np.flatnonzero(~touch)
+                nth = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
+                at = at[nth % 2 == 0]
+            gone = after[at]
+            ids[at] = self.new[r]
+            rank[gone] = -1
+            after[at] = after[gone]
+            inside = after[at] < n
+            before[after[at[inside]]] = at[inside]
+            near = np.concatenate((at, before[at]))
+            near = np.unique(near[near >= 0])
+            near = near[rank[near] != -1]
+            has = after[near] < n
+            rank[near[~has]] = none
+            near = near[has]
+            rank[near] = self.ranks(ids[near], ids[after[near]])
+            wait(near)
+        return ids[rank != -1]
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of many words at once.
+
         Round by round: the rank of every neighbouring pair, the lowest rank of
         each word, and that pair merged wherever the word has it, from the left
         and without overlap.  Words with no pair left leave the ragged array.

@@ -35,15 +35,19 @@ class Page:
         self.own = [0]
         self.events: list[tuple[int, str] | None] = []
         self._stack = [0]
+        # Where on the stack each tag is open, and elements that bound a search: all of
+        # these, and without cells.  So the nearest of a tag is found without a walk.
+        self._places: dict[str, list[int]] = {}
+        self._bounds: dict[bool, list[int]] = {True: [], False: []}
         self._parse(html)
 
     def _open(self, tag: str, raw: str) -> None:
         stack = self._stack
         if tag not in QUIET and tag not in VOID:    # a block ends an open paragraph, with what is in it
-            self._end("p", SCOPES)
+            self._end("p", True)
         if tag in ITEMS:
             for name in ITEMS[tag]:
-                self._end(name, SCOPES - {"td", "th"})
+                self._end(name, False)
         words, given = [], ""
         for name, value in _ATTRIBUTE.findall(raw) if raw else ():
             name = name.lower()
@@ -62,20 +66,30 @@ class Page:
         if tag == "br":
             self.events.append((stack[-1], " "))
         if tag not in VOID and not raw.endswith("/"):
+            self._places.setdefault(tag, []).append(len(stack))
+            if tag in SCOPES:
+                self._bounds[True].append(len(stack))
+                if tag not in ("td", "th"):
+                    self._bounds[False].append(len(stack))
             stack.append(len(self.tag) - 1)
 
-    def _end(self, tag: str, scopes: set[str]) -> None:
-        """Close the nearest open ``tag``, unless an element of ``scopes`` is in between."""
-        stack = self._stack
-        for i in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[i]]
-            if name == tag:
-                if any(self.tag[s] not in QUIET for s in stack[i:]):
-                    self.events.append(None)
-                del stack[i:]
-                return
-            if name in scopes:
-                return
+    def _end(self, tag: str, cells: bool | None) -> None:
+        """Close the nearest open ``tag``, unless an element of SCOPES is in between
+        (without ``cells``: other than td and th; None: whatever is in between)."""
+        places = self._places.get(tag)
+        if not places:
+            return
+        at, stack = places[-1], self._stack
+        if cells is not None and self._bounds[cells] and self._bounds[cells][-1] > at:
+            return
+        if any(self.tag[s] not in QUIET for s in stack[at:]):
+            self.events.append(None)
+        for s in stack[at:]:
+            self._places[self.tag[s]].pop()
+        for bounds in self._bounds.values():
+            while bounds and bounds[-1] >= at:
+                bounds.pop()
+        del stack[at:]
 
     def _text(self, text: str) -> None:
         text = unescape(text)
@@ -98,7 +112,7 @@ class Page:
                 continue
             tag = name.lower()
             if m[1] or m[4]:
-                self._end(tag, {"#page"} if tag in SCOPES else SCOPES)
+                self._end(tag, None if tag in SCOPES else True)
                 continue
             raw = (m[3] if m[2] else m[6]) or ""
             self._open(tag, raw)

@@ -27,6 +27,8 @@ from .trees import Boosted
 # Pages learned from at most, and variants made of each.
 PAGES, VARIANTS = 300, 5
 BUCKETS = 192
+# Elements whose features are there at a time.
+ELEMENTS = 1 << 16
 
 # Names that tell the parts of pages, for the labels to learn from.
 OUTSIDE_TAGS = "nav header footer aside form".split()
@@ -47,6 +49,17 @@ def _levels(depth: np.ndarray) -> list[np.ndarray]:
 
 def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(features, parent, depth)`` of all elements of all pages in a row."""
+    held, parent, depth = _held(pages)
+    return _spread(held, slice(None)), parent, depth
+
+
+def _spread(held: tuple[np.ndarray, ...], part: slice) -> np.ndarray:
+    numbers, marks, above = (h[part] for h in held)
+    return np.concatenate([numbers, np.unpackbits(marks, axis=1), np.unpackbits(above, axis=1)], 1)
+
+
+def _held(pages: list[Page]) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """``features`` with the hashed words as rows of bits."""
     sizes = np.array([len(p.tag) for p in pages])
     base = np.repeat(np.cumsum(sizes) - sizes, sizes)
     n = int(sizes.sum())
@@ -59,16 +72,14 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     link = np.array([t == "a" for t in tags])
     inline = np.array([t in INLINE for t in tags])
     slots: dict[str, int] = {}
-    marks = np.zeros((n, BUCKETS), np.uint8)
-    rows, cols = [], []
+    marks = np.zeros((n, BUCKETS // 8), np.uint8)
     for i, (tag, words) in enumerate(zip(tags, (w for p in pages for w in p.words), strict=True)):
         for word in (f"<{tag}", *words):
             if word not in slots:
                 slots[word] = zlib.crc32(word.encode("utf-8")) % BUCKETS
-            rows.append(i)
-            cols.append(slots[word])
-    marks[rows, cols] = 1
-    above = np.zeros((n, BUCKETS), np.uint8)
+            slot = slots[word]
+            marks[i, slot >> 3] |= 128 >> (slot & 7)
+    above = np.zeros_like(marks)
     words = [w for p in pages for w in p.words]
     named = np.stack([                               # how the element names itself, then those above it
         [t in OUTSIDE_TAGS for t in tags], [not _OUTSIDE.isdisjoint(w) for w in words],
@@ -102,7 +113,7 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         depth, np.log2(own + 1), np.log2(text + 1), np.log2(nodes), text / nodes / 16, 16 * links / (text + 1),
         np.log2(anchors + 1), children, rank, children[parent] - rank, 4 * np.log2((text + 1) / (around + 1)) + 16,
         16 * text / whole, 16 * place, inline, 16 * links[parent] / (text[parent] + 1), np.log2(text[parent] + 1)], 1)
-    return np.concatenate([np.clip(numbers, 0, 31).astype(np.uint8), named, marks, above], 1), parent, depth
+    return (np.concatenate([np.clip(numbers, 0, 31).astype(np.uint8), named], 1), marks, above), parent, depth
 
 
 def decode(odds: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.ndarray:
@@ -240,17 +251,26 @@ def train(pages: DataFrame, html: str = "html", rows: int = PAGES) -> bytes:
 
 
 def main_texts(htmls: list[str], model: Boosted | None) -> list[str]:
-    """Without a model, elements are judged by their names alone."""
-    pages = [Page(h) for h in htmls]
-    if not pages:
-        return []
-    x, parent, depth = features(pages)
+    """Without a model, elements are judged by their names alone.  Pages are taken
+    together up to ``ELEMENTS`` elements; a larger one by itself, scored in slices."""
+    out, held, size = [], [], 0
+    for html in htmls:
+        held.append(Page(html))
+        size += len(held[-1].tag)
+        if size >= ELEMENTS:
+            out += _texts(held, model)
+            held, size = [], 0
+    return out + (_texts(held, model) if held else [])
+
+
+def _texts(pages: list[Page], model: Boosted | None) -> list[str]:
+    x, parent, depth = _held(pages)
     tags = [t for p in pages for t in p.tag]
     if model is None:
         odds = np.array([-3.0 if t in OUTSIDE_TAGS or not set(w).isdisjoint(OUTSIDE_NAMES) else 3.0
                          for t, w in zip(tags, (w for p in pages for w in p.words), strict=True)])
     else:
-        odds = model.predict(x)
+        odds = np.concatenate([model.predict(_spread(x, slice(i, i + ELEMENTS))) for i in range(0, len(tags), ELEMENTS)])
     odds[[t in UNSEEN for t in tags]] = -1e6         # never shown as text
     kept = decode(odds, parent, depth)
     out, start = [], 0

@@ -96,8 +96,8 @@ def best_fit(lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 def pack(pieces: DataFrame, width: int = 2048, length: str = "length", group: int = GROUP) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` (gapless from 0) to rows of ``length``.
 
-    Rows are dealt by a hash of all their columns into ceil(rows / group)
-    groups, each packed by one task; so the waste against one packing of all is
+    Rows are dealt by a hash of their columns and their place in the checkpoint
+    (so that repeated rows part) into ceil(rows / group) groups, each packed by one task; so the waste against one packing of all is
     about one sequence a group.  The input is checkpointed, since the number of
     groups is read from it.  Lengths must be 1..width (others fail the job); a
     null length is no piece: its row has null ids.  Repeated rows are packed
@@ -106,7 +106,7 @@ def pack(pieces: DataFrame, width: int = 2048, length: str = "length", group: in
     """
     rows = cut_lineage(pieces.drop("sequence_id", "offset"))
     groups = max(1, -(-rows.count() // group))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(groups))
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in rows.columns]), F.lit(groups))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(key: tuple[int], part: pd.DataFrame) -> pd.DataFrame:

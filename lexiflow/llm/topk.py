@@ -60,10 +60,11 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, key: str = "ve
     keys.  Both vectors must have the same dimension to meet.  Integer vectors
     give exact long scores as long as these fit into a long; others doubles.
     Rows whose key is null, or whose vector is null, empty or holds null or
-    non-finite components, take no part.  A row repeated whole counts once;
-    different vectors of one key are queries (and candidates) of their own, so
-    such a query has its ranks more than once.  A query without candidates has
-    no rows; empty tables give an empty result; further columns are not read.
+    non-finite components, take no part.  A candidate repeated whole is an answer
+    as often as it is there; a query repeated whole is asked once; different
+    vectors of one key are queries (and candidates) of their own, so such a query
+    has its ranks more than once.  A query without candidates has no rows; empty
+    tables give an empty result; further columns are not read.
 
     Every block of queries meets every block of candidates in one task, which
     keeps at most k rows a query; both numbers of blocks grow with the tables.
@@ -76,15 +77,18 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, key: str = "ve
         out = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(cast).alias("v"))
         fine = (lambda x: x.isNotNull()) if whole else (
             lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        return out.where(F.col("id").isNotNull() & (F.size("v") > 0) & F.forall("v", fine)).distinct()
+        return out.where(F.col("id").isNotNull() & (F.size("v") > 0) & F.forall("v", fine))
 
-    q, c = cut_lineage(usable(queries)), cut_lineage(usable(candidates))
+    # No more than k copies of a candidate can be among the best.
+    copies = F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k)))).alias("copy")
+    c = usable(candidates).groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")).select("id", "v", copies)
+    q, c = cut_lineage(usable(queries).distinct()), cut_lineage(c)
     nq, nc = (max(1, -(-df.count() // size)) for df, size in ((q, queries_block), (c, candidates_block)))
     block = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
     # The blocks' numbers are few; each side is copied to the other's blocks.
     q = (q.withColumn("uid", F.xxhash64("v")).withColumn("qb", block(nq))
          .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))))
-    c = c.withColumn("cb", block(nc)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    c = c.withColumn("cb", F.pmod(F.xxhash64("id", "v", "copy"), F.lit(nc)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
     score = "bigint" if whole else "double"
     dtype = np.int64 if whole else np.float64
 

@@ -27,6 +27,7 @@ from .encode import as_binary
 
 # Words in the lexicon at most: the bound on what the driver gets and compiles.
 LEXICON = 65_536
+WORD_BYTES = 64
 
 
 def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -152,7 +153,7 @@ def build_lexicon(docs: DataFrame, path: str, text: str = "text", words: int = L
     """
     spark = docs.sparkSession
     bpe = load(path)
-    counts = word_counts(docs, path, text).where(F.length("word") > 0)
+    counts = word_counts(docs, path, text).where((F.length("word") > 0) & (F.octet_length("word") <= WORD_BYTES))
     counts = cut_lineage(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int")))
     least, total = 1 << 30, 0
     for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("class")).collect():
