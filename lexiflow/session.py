@@ -7,6 +7,7 @@ DataFrames out.  The helpers only read settings from the active session.
 from __future__ import annotations
 
 import contextlib
+import urllib.parse
 import uuid
 from collections.abc import Iterator
 
@@ -46,12 +47,17 @@ def build_session(master: str | None = None, app: str = "lexiflow",
     return spark
 
 
+def one_machine(master: str) -> bool:
+    """Whether driver and tasks are one process, so that a local folder is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it).  Where that is
-    unset, a folder inside the warehouse, which all executors share as well;
-    never a machine's own temporary folder.
+    unset, a folder inside the warehouse; on a cluster whose warehouse is a
+    machine's own folder the setting is asked for.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        if not one_machine(sc.master) and urllib.parse.urlsplit(configured).scheme in ("", "file"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -92,5 +100,10 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table or folder that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -138,3 +138,24 @@ def test_session_takes_the_master_from_outside(spark):
     assert build_session().sparkContext.master == "local[4]"
     assert spark.conf.get("spark.checkpoint.dir").removeprefix("file://") in checkpoint_root(spark)
     assert spark.conf.get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as Some
+
+    import pytest
+
+    from lexiflow.session import checkpoint_root
+
+    def session(master, warehouse):
+        kept = []
+        context = Some(master=master, getCheckpointDir=lambda: kept[-1] if kept else None, setCheckpointDir=kept.append)
+        conf = {"spark.sql.warehouse.dir": warehouse}
+        return Some(sparkContext=context, conf=Some(get=lambda k, d=None: conf.get(k, d)))
+
+    for warehouse in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse"):
+        assert checkpoint_root(session("local[8]", warehouse)).endswith("/_checkpoints")
+        for master in ("spark://a:7077", "yarn", "local-cluster[3,2,1000]"):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                checkpoint_root(session(master, warehouse))
+    assert checkpoint_root(session("yarn", "hdfs://a/warehouse/")) == "hdfs://a/warehouse/_checkpoints"
