@@ -2,7 +2,8 @@
 
 Each stage takes all that its predecessor kept.  ``run`` writes every stage's
 rows as Parquet in the shared folder and gives the next stage what it reads
-from there, so that a lost executor costs one stage at most.
+from there, so that a lost executor costs one stage at most; what the stage
+before has written goes once its successor is there.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from lexiflow.llm import quality, simhash
 from lexiflow.llm.common import table
 from lexiflow.llm.line_dedup import dedup_lines
 from lexiflow.llm.queries import packed
-from lexiflow.session import scratch_path
+from lexiflow.session import remove, scratch_path
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +46,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
