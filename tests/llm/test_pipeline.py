@@ -77,7 +77,7 @@ def test_clean_documents_stay(spark):
 def test_registration():
     names = entry.queries()
     numbers = {int(m[1]) for m in map(re.compile(r"op(\d+)_").match, names) if m}
-    assert numbers == set(range(1, 11)) and "pipeline" in names
+    assert numbers == set(range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_filter", "line_dedup", "simhash_dedup", "best_fit_packing"]
 
