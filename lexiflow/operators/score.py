@@ -93,8 +93,8 @@ def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str
     One result a row, whatever its key: rows of equal or null key are told apart
     by two hashes of their words, and copies of a row are scored once, then
     repeated.  (A running row number would change when a lost task is run again.)
-    For the mean, a document's words are counted first, so the lookup sees one
-    row per distinct word of a document; for the last step it sees one row per
+    For the mean, a document's words are counted first, inside the row, so the
+    lookup sees one row per distinct word of a document; for the last step it sees one row per
     document.  Rows without a word have no result (see ``examples.rejects``).
     """
     keys = [key, *keep]
@@ -105,15 +105,22 @@ def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str
         return steps.select(*keys, F.transform("scores", lambda x: F.round(x, DIGITS)).alias("scores"))
     if reduction != "mean":
         raise ValueError(f"unknown reduction {reduction!r}")
-    rows = docs.select(*keys, words.alias("_w"))
-    # One more word, null, counts the copies of the row.
-    every = F.concat("_w", F.array(F.lit(None).cast("string")))
-    rows = rows.select(*keys, *T.row_hash("_w"), every.alias("_w"))
+    # Words are counted inside the row: sorted, each run from its start to the next.
+    # Every array that a lambda reads by position is a projection of its own.
+    rows = docs.select(*keys, F.sort_array(F.array_compact(words)).alias("_w"))
+    rows = rows.select(*keys, *T.row_hash("_w"), "_w", F.size("_w").alias("_n"))
     keys = [*keys, *T.ROW_HASH]
-    rows = rows.select(*keys, F.explode_outer("_w").alias("word")).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("_here"))
-    none = F.col("word").isNull()
-    rows = rows.withColumn("_copies", F.when(none, F.col("_here"))).withColumn(
-        "_here", F.when(none, F.lit(0)).otherwise(F.col("_here")))
+    places = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
+    rows = rows.select(*keys, "_w", "_n", starts.alias("_s"))
+    rows = rows.select(*keys, "_w", "_s", F.concat(F.slice("_s", F.lit(2), F.greatest(F.size("_s") - 1, F.lit(0))),
+                                                   F.array("_n")).alias("_e"))
+    each = F.zip_with("_s", F.slice("_e", F.lit(1), F.size("_s")), lambda i, j: F.struct(
+        F.get("_w", i).alias("word"), (j - i).cast("long").alias("_here"), F.lit(0).cast("long").alias("_copies")))
+    # One more step, of no word, counts the copies of the row.
+    copy = F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("_here"), F.lit(1).cast("long").alias("_copies"))
+    rows = rows.select(*keys, F.concat(each, F.array(copy)).alias("_each"))
+    rows = rows.select(*keys, F.explode_outer("_each").alias("_step")).select(*keys, "_step.*")
     found = reduce_steps(step_scores(rows, model, num_classes), num_classes, keys, "mean", "_here", "_copies")
     return T.repeated(found.drop(*T.ROW_HASH), "_copies")
 

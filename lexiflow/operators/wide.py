@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, stored
+from ..session import stored
 from . import sampling as R
 
 BLOCK_BITS = 6
@@ -25,9 +25,10 @@ def choice_blocks(transitions: DataFrame, ctx: str = "ch", choice: str = "next_c
     are left out; a context may be null."""
     order = [F.col(ctx), F.col(choice)]
     rows = transitions.where(F.col(n) > 0).groupBy(ctx, choice).agg(F.sum(n).cast("long").alias("n"))
-    rows = cut_lineage(rows.repartitionByRange(*order).sortWithinPartitions(*order))
-    at = F.monotonically_increasing_id()
-    rows = rows.withColumn("_at", at).withColumn("_block", F.shiftright("_at", BLOCK_BITS))
+    # Stored before it is dealt by ranges, which reads its rows twice; and with their places after.
+    rows = stored(rows, "choices").repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), "choices-in-order")
+    rows = rows.withColumn("_block", F.shiftright("_at", BLOCK_BITS))
     one = F.struct("_at", F.col(choice).alias("choice"), "n")
     blocks = rows.groupBy(ctx, "_block").agg(F.sort_array(F.collect_list(one)).alias("_choices"), F.sum("n").alias("_sum"))
     blocks = stored(blocks.withColumn("_part", F.shiftright("_block", _PARTITION_BITS - BLOCK_BITS)), "choice-blocks")
