@@ -168,8 +168,8 @@ def vocab_sizes_approx(spark, sf_dir):
     for name, by in levels.items():
         exact = toks.select(*by, "word").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("vocab_size"))
         about = SK.estimated(SK.united(sketches, by)).withColumnRenamed("vocab_size", "about")
-        on = [F.lit(0).alias("_one")] if not by else []
-        both = exact.select("*", *on).join(about.select("*", *on), list(by) or "_one")
+        both = exact.unionByName(about, allowMissingColumns=True).groupBy(*by).agg(
+            *[F.max(c).alias(c) for c in ("vocab_size", "about", "n_tokens")])
         near = F.abs(F.col("about") - F.col("vocab_size")) <= F.col("vocab_size") * SK.error_bound()
         lang, source = (F.col(c) if c in by else F.lit(None).cast("string").alias(c) for c in ("lang", "source"))
         found.append(both.select(F.lit(name).alias("level"), lang, source, "vocab_size", "n_tokens", near.alias("near")))
