@@ -8,58 +8,106 @@ it compares anything.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
 from . import sampling as R
 
-BLOCK_BITS = 6
-_PARTITION_BITS = 33            # of monotonically_increasing_id, below the partition's number
+BLOCK = 64
+
+
+def _in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the rows ``(ctx, choice, n, part)`` of a partition, which come in order.
+
+    ``inner`` is the sum of the context's counts before the block, in this
+    partition; ``cums`` are the running totals after each choice, likewise.
+    """
+    held: list[pa.RecordBatch] = []
+    last: tuple[object, int, int] | None = None        # context, choices and sum before the held rows
+
+    def blocks(rows: pa.RecordBatch, whole: bool) -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
+        """Blocks of the rows, but for the last one where more rows may follow."""
+        nonlocal last
+        ctx, n = rows.column(0), rows.column(2).to_numpy()
+        code = ctx.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new = np.append(True, code[1:] != code[:-1])
+        run = np.cumsum(new) - 1
+        begin = np.flatnonzero(new)
+        at, cums = np.arange(len(rows)) - begin[run], np.cumsum(n)
+        cums -= (cums - n)[begin][run]
+        if last is not None and last[0] == ctx[0].as_py():
+            at[run == 0] += last[1]
+            cums[run == 0] += last[2]
+        first = np.flatnonzero(new | (at % BLOCK == 0))
+        stop = np.append(first[1:], len(rows))
+        rest = None
+        if not whole:
+            i = int(first[-1])
+            rest, last = rows.slice(i), (ctx[i].as_py(), int(at[i]), int(cums[i] - n[i]))
+            first, stop = first[:-1], stop[:-1]
+        end = int(stop[-1]) if len(stop) else 0
+        edges = pa.array(np.append(first, end).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(edges, v.slice(0, end)) for v in (rows.column(1), rows.column(2), pa.array(cums))]
+        inner = cums[first] - n[first]
+        starts = pa.array(first)
+        return pa.RecordBatch.from_arrays(
+            [ctx.take(starts), rows.column(3).take(starts), pa.array(inner), pa.array(cums[stop - 1] - inner), *lists],
+            names=["ctx", "_part", "_inner", "_sum", "_choices", "_counts", "_cums"]), rest
+
+    for batch in batches:
+        if len(batch):
+            done, rest = blocks(pa.concat_batches([*held, batch]), False)
+            held = [rest]
+            yield done
+    if held:
+        yield blocks(held[0], True)[0]
+
+
+def _dealt(transitions: DataFrame, ctx: str, choice: str, n: str) -> tuple[DataFrame, DataFrame]:
+    """Blocks ``(ctx, _part, _inner, _sum, _choices, _counts, _cums)``, with totals
+    that start at the context's first choice in the partition ``_part``; and
+    places ``(ctx, _part, _pbefore, total, _blocks)``: the sum before that
+    choice, the context's total and how many blocks it has."""
+    rows = transitions.where(F.col(n) > 0).groupBy(F.col(ctx).alias("ctx"), F.col(choice).alias("choice"))
+    rows = rows.agg(F.sum(n).cast("long").alias("n"))
+    rows = rows.repartitionByRange("ctx", "choice").sortWithinPartitions("ctx", "choice")
+    rows = rows.withColumn("part", F.spark_partition_id())
+    kind, one = (rows.schema[c].dataType.simpleString() for c in ("ctx", "choice"))
+    blocks = stored(rows.mapInArrow(_in_blocks, f"ctx {kind}, _part int, _inner bigint, _sum bigint, _choices array<{one}>, "
+                                    "_counts array<bigint>, _cums array<bigint>"), "choice-blocks")
+    parts = blocks.groupBy("ctx", "_part").agg(F.sum("_sum").alias("_psum"), F.count(F.lit(1)).alias("_pn"))
+    whole = Window.partitionBy("ctx")
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks, parts.select("ctx", "_part", F.coalesce(F.sum("_psum").over(earlier), F.lit(0)).alias("_pbefore"),
+                                F.sum("_psum").over(whole).alias("total"), F.sum("_pn").over(whole).alias("_blocks"))
+
+
+def _placed(blocks: DataFrame, places: DataFrame) -> DataFrame:
+    places = places.withColumnsRenamed({"ctx": "_pctx", "_part": "_ppart"})
+    met = blocks.join(places, F.col("ctx").eqNullSafe(F.col("_pctx")) & (F.col("_part") == F.col("_ppart")))
+    return met.select("ctx", (F.col("_pbefore") + F.col("_inner")).alias("_before"), "_sum", "total", "_blocks", "_choices",
+                      "_counts", F.transform("_cums", lambda c: c + F.col("_pbefore")).alias("_cums"))
 
 
 def choice_blocks(transitions: DataFrame, ctx: str = "ch", choice: str = "next_ch", n: str = "n") -> DataFrame:
-    """``(ctx, _block, _before, _sum, total, _blocks, _choices)``: the choices of a
-    context in order, 64 at most a row, with the sum of all before them, the
-    context's total and how many rows it has.  Choices without a positive count
-    are left out; a context may be null."""
-    order = [F.col(ctx), F.col(choice)]
-    rows = transitions.where(F.col(n) > 0).groupBy(ctx, choice).agg(F.sum(n).cast("long").alias("n"))
-    # Stored before it is dealt by ranges, which reads its rows twice; and with their places after.
-    rows = stored(rows, "choices").repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), "choices-in-order")
-    rows = rows.withColumn("_block", F.shiftright("_at", BLOCK_BITS))
-    one = F.struct("_at", F.col(choice).alias("choice"), "n")
-    blocks = rows.groupBy(ctx, "_block").agg(F.sort_array(F.collect_list(one)).alias("_choices"), F.sum("n").alias("_sum"))
-    blocks = stored(blocks.withColumn("_part", F.shiftright("_block", _PARTITION_BITS - BLOCK_BITS)), "choice-blocks")
-    parts = blocks.groupBy(ctx, "_part").agg(F.sum("_sum").alias("_psum"), F.count(F.lit(1)).alias("_pn"))
-    whole = Window.partitionBy(ctx)
-    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(ctx, "_part", F.coalesce(F.sum("_psum").over(earlier(whole.orderBy("_part"))), F.lit(0)).alias("_pbefore"),
-                         F.sum("_psum").over(whole).alias("total"), F.sum("_pn").over(whole).alias("_blocks"))
-    inside = earlier(Window.partitionBy(ctx, "_part").orderBy("_block"))
-    light = blocks.select(ctx, "_part", "_block", F.coalesce(F.sum("_sum").over(inside), F.lit(0)).alias("_inner"))
-    light = light.join(parts.withColumnsRenamed({ctx: "_pctx", "_part": "_ppart"}),
-                       F.col(ctx).eqNullSafe(F.col("_pctx")) & (F.col("_part") == F.col("_ppart")))
-    light = light.select(F.col(ctx).alias("_lctx"), F.col("_block").alias("_lblock"),
-                         (F.col("_pbefore") + F.col("_inner")).alias("_before"), "total", "_blocks")
-    found = blocks.join(light, F.col(ctx).eqNullSafe(F.col("_lctx")) & (F.col("_block") == F.col("_lblock")))
-    return found.select(ctx, "_block", "_before", "_sum", "total", "_blocks", "_choices")
-
-
-def _running(before: str = "_before", choices: str = "_choices"):
-    """Running totals of a block's choices, those before the block included."""
-    counts = F.transform(choices, lambda c: c["n"])
-    return F.transform(F.sequence(F.lit(1), F.size(choices)), lambda i: F.aggregate(
-        F.slice(counts, F.lit(1), i), F.col(before), lambda a, x: a + x))
+    """``(ctx, _before, _sum, total, _blocks, _choices, _counts, _cums)``: the choices
+    of a context in order, 64 at most a row, with their running totals, the sum of
+    all before them, the context's total and how many rows it has.  Choices
+    without a positive count are left out; a context may be null."""
+    return _placed(*_dealt(transitions, ctx, choice, n))
 
 
 def cumulate_wide(transitions: DataFrame, ctx: str = "ch", choice: str = "next_ch", n: str = "n") -> DataFrame:
     """``(ctx, choice, n, cum, total)`` as ``sampling.cumulate`` gives them,
     for contexts of any width (choices that come twice are added up)."""
-    blocks = choice_blocks(transitions, ctx, choice, n).withColumn("_cums", _running())
-    rows = blocks.select(ctx, "total", F.explode(F.arrays_zip("_choices", "_cums")).alias("_c"))
-    return rows.select(ctx, F.col("_c._choices.choice").alias(choice), F.col("_c._choices.n").alias(n),
+    rows = choice_blocks(transitions, ctx, choice, n).withColumn("_c", F.arrays_zip("_choices", "_counts", "_cums"))
+    rows = rows.select("ctx", "total", F.explode_outer("_c").alias("_c"))
+    return rows.select(F.col("ctx").alias(ctx), F.col("_c._choices").alias(choice), F.col("_c._counts").alias(n),
                        F.col("_c._cums").alias("cum"), "total")
 
 
@@ -74,13 +122,13 @@ def draw_wide(requests: DataFrame, transitions: DataFrame, seed: int = 12345, ke
     block's 64.  Requests of a context spread over its cells.  A request whose
     context is unknown or null-keyed keeps its row, with nulls.
     """
-    blocks = choice_blocks(transitions, ctx, choice, n).withColumn("_cums", _running())
-    blocks = stored(blocks.withColumn("_choices", F.transform("_choices", lambda c: c["choice"])), "choice-blocks")
+    blocks, places = _dealt(transitions, ctx, choice, n)
     size = F.ceil(F.col("total") / F.col("_blocks")).cast("long")
     first, last = F.floor(F.col("_before") / size), F.floor((F.col("_before") + F.col("_sum") - 1) / size)
-    cells = blocks.select(F.col(ctx).alias("_bctx"), "_before", "_sum", "_choices", "_cums",
-                          F.explode(F.sequence(first, last)).alias("_bcell"))
-    totals = blocks.groupBy(F.col(ctx).alias("_tctx")).agg(F.max("total").alias("_total"), F.max("_blocks").alias("_n"))
+    cells = _placed(blocks, places).select(
+        F.col("ctx").alias("_bctx"), "_before", "_sum", "_choices", "_cums",
+        F.explode(F.sequence(first, last)).alias("_bcell"))
+    totals = places.groupBy(F.col("ctx").alias("_tctx")).agg(F.max("total").alias("_total"), F.max("_blocks").alias("_n"))
     asked = requests.join(totals, F.col(ctx) == F.col("_tctx"), "left")
     asked = asked.withColumn("r", R.draw_value(key, seed, "_total"))
     cell = F.floor(F.col("r") / F.ceil(F.col("_total") / F.col("_n")).cast("long"))
