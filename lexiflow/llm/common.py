@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-__all__ = ["blocks_of_hot_keys", "bounded_sample", "by_bytes", "cut_lineage", "map_texts", "small_batches", "table"]
+__all__ = ["blocks_of_hot_keys", "bounded_sample", "by_bytes", "cut_lineage", "map_texts", "numbered", "small_batches", "table"]
 
 # Rows of one Arrow batch and bytes of text that a task works on at a time.  A
 # single longer text is still taken whole, by itself.
@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns named by their places, so that no name of its own meets
+    an operator's; ``toDF`` gives the names back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by rows, unless the session already says how many."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

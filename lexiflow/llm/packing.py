@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, map_texts
+from .common import cut_lineage, map_texts, numbered
 from .encode import as_binary, encoder
 
 # Pieces that one task packs; the number of tasks grows with the pieces.
@@ -104,10 +104,12 @@ def pack(pieces: DataFrame, width: int = 2048, length: str = "length", group: in
     each; an empty table gives an empty result; columns named like the new ones
     are replaced.
     """
-    rows = cut_lineage(pieces.drop("sequence_id", "offset"))
+    pieces = pieces.drop("sequence_id", "offset")
+    names, length = pieces.columns, f"c{pieces.columns.index(length)}"
+    rows = cut_lineage(numbered(pieces))
     groups = max(1, -(-rows.count() // group))
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in rows.columns]), F.lit(groups))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *rows.columns), F.lit(groups))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(key: tuple[int], part: pd.DataFrame) -> pd.DataFrame:
         given = part[length].notna().to_numpy()
@@ -123,4 +125,4 @@ def pack(pieces: DataFrame, width: int = 2048, length: str = "length", group: in
         return part
 
     return rows.withColumn("__group", spread).groupBy("__group").applyInPandas(
-        run, f"{schema}, sequence_id bigint, offset bigint")
+        run, f"{schema}, sequence_id bigint, offset bigint").toDF(*names, "sequence_id", "offset")

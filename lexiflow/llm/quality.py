@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_texts
+from .common import bounded_sample, map_texts, numbered
 
 # Slots of the hashed n-grams (a power of two), and labelled rows learned from at most.
 SLOTS, ROWS = 1 << 18, 8192
@@ -94,7 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     The sample is chosen by the keys' hashes, so it does not depend on how the
     tables are dealt.  Rows with a null key, and labels other
     than 0 and 1, are left out; of labels that contradict each other for a key,
-    the smaller counts.  Without labelled rows all weights are zero.
+    the smaller counts; of several texts of a key, the one of the smallest hash.  Without labelled rows all weights are zero.
     """
     spark = docs.sparkSession
     some = (labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y"))
@@ -103,6 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     some = bounded_sample(some, rows, "k")
     given = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     given = given.join(F.broadcast(some), "k")               # at most ``rows`` keys
+    given = given.groupBy("k", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one")).select("k", "y", "one.t")
 
     def make(texts: pa.Array) -> dict[str, object]:
         grams, counts = ngrams(texts, slots)
@@ -155,7 +156,9 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
 def accept(docs: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, with all their columns.
     Nulls, empty tables and repeated rows: as in ``score``."""
-    return _scored(docs, weights, docs.columns, text).where(F.col("__score") >= least).drop("__score")
+    given = numbered(docs)
+    scored = _scored(given, weights, given.columns, f"c{docs.columns.index(text)}")
+    return scored.where(F.col("__score") >= least).drop("__score").toDF(*docs.columns)
 
 
 def _scored(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str) -> DataFrame:

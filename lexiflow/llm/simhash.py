@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import Links, compare_buckets
-from .common import cut_lineage, map_texts
+from .common import cut_lineage, map_texts, numbered
 from .components import components
 
 # Rows of a bucket that one task compares with each other at most, twice.
@@ -162,11 +162,13 @@ def keep_one(docs: DataFrame, shingle: int = 4, tau: int = 4, key: str = "doc_id
     """One row of each component, with all its columns: that of the smallest
     (key, hash of the text), where null keys come first; of rows that repeat
     each other in key and text, one.  Otherwise as ``near_duplicates``."""
-    rows = docs.withColumn("__h", F.xxhash64(F.col(f"`{text}`").cast("string")))
-    ids = rows.select(F.col(f"`{key}`").alias("k"), F.col("__h").alias("h"), F.col(f"`{text}`").alias("t"))
+    given = numbered(docs)
+    at_key, at_text = (f"c{docs.columns.index(c)}" for c in (key, text))
+    rows = given.withColumn("__h", F.xxhash64(F.col(at_text).cast("string")))
+    ids = rows.select(F.col(at_key).alias("k"), F.col("__h").alias("h"), F.col(at_text).alias("t"))
     found = cut_lineage(fingerprints(ids, ["k", "h"], shingle, "t"))
     first = _components(found, tau, F.struct("k", "h")).groupBy("low").agg(F.count(F.lit(1)).alias("n"))
     first = first.select(F.col("low.k").alias("__k"), F.col("low.h").alias("__g"))
-    return (rows.dropDuplicates([key, "__h"])
-            .join(first, F.col(f"`{key}`").eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__g")), "left_semi")
-            .drop("__h"))
+    return (rows.dropDuplicates([at_key, "__h"])
+            .join(first, F.col(at_key).eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__g")), "left_semi")
+            .drop("__h").toDF(*docs.columns))

@@ -1,10 +1,12 @@
 """The quality classifier: held-out accuracy, whole texts, and odd rows."""
 
+import math
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import functions as F
 
 from lexiflow.llm import quality
@@ -79,3 +81,66 @@ def test_edge_rows(spark, edge, nothing):
     none = quality.train(edge, labels.where("1 = 0"))
     assert not none.any() and {r.score for r in quality.score(edge, none).collect()} == {0.5}
     assert quality.score(nothing, w).count() == 0
+
+
+def _plain_grams(text, slots):
+    """Slots of a text's words, pairs and shapes of three, by loops."""
+    words = regex.findall(r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]+", text)
+    mult, full = 0x9E3779B1, (1 << 32) - 1
+    code = [zlib.crc32(w.encode()) for w in words]
+    shape = [quality._shape(w) + (5000 if i and words[i - 1] == w else 0) for i, w in enumerate(words)]
+    out = [c * mult for c in code]
+    out += [((a * mult & full) ^ (b + 1 & full)) * mult for a, b in zip(code, code[1:])]  # noqa: B905
+    out += [((a * mult + b) * mult + c + 2) * mult for a, b, c in zip(shape, shape[1:], shape[2:])]  # noqa: B905
+    return Counter((x & full) >> (33 - slots.bit_length()) for x in out)
+
+
+def _plain_ftrl(rows, epochs=4, alpha=0.3, beta=1.0, l1=0.02, l2=0.1):
+    """Follow-the-regularised-leader one coordinate at a time; rows of (label, {slot: value})."""
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for label, values in rows:
+            w = {i: weight(i) for i in values}
+            p = 1 / (1 + math.exp(-sum(w[i] * x for i, x in values.items())))
+            for i, x in values.items():
+                g = (p - label) * x
+                step = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - step * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_weights_and_scores_equal_a_plain_version(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    docs, slots = docs.where("length(text) < 1500 and doc_id < 300"), quality.SLOTS
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    ids = [i for i in texts if truth.get(i) in (0, 1) and zlib.crc32(str(i).encode()) % 3 != 1]
+    order = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    rows = []
+    for i in sorted(ids, key=order.get):
+        grams = _plain_grams(texts[i], slots)
+        total = max(1, sum(grams.values()))
+        rows.append((truth[i], {**{s: float(np.float32(c * (quality.SCALE / total))) for s, c in grams.items()}, slots: 1.0}))
+    want = _plain_ftrl(rows)
+    w = quality.train(docs, labels)
+    assert len(rows) > 10 and set(np.flatnonzero(w)) == {i for i, x in want.items() if x}
+    assert max(abs(w[i] - x) for i, x in want.items()) < 1e-9
+    for r in quality.score(docs, w).collect():
+        grams = _plain_grams(texts[r.doc_id], slots)
+        mean = sum(w[s] * c for s, c in grams.items()) / max(1, sum(grams.values()))
+        assert abs(r.score - 1 / (1 + math.exp(-(mean * quality.SCALE + w[slots])))) < 1e-9
+
+
+def test_a_repeated_key_teaches_once(spark):
+    docs = spark.createDataFrame([(0, "good words here"), (2, "bad ! ! !")], "doc_id long, text string")
+    more = docs.union(spark.range(500).selectExpr("0L as doc_id", "'good words here' as text"))
+    labels = spark.createDataFrame([(0, 1), (2, 0)], "doc_id long, quality int")
+    once, often = quality.train(docs, labels), quality.train(more, labels)
+    assert once.any() and (once == often).all()
