@@ -2,31 +2,46 @@
 
 from __future__ import annotations
 
-# Chunks of lines that end at local minima of a rolling hash of two lines; the
-# first occurrence of each chunk of two lines or more stays.
+# Chunks of lines that start where a rolling hash of two lines with content says
+# so and reach to the first line of the next; the first occurrence of each chunk
+# stays, and lines that equal those beside it go with the others.
 OP1 = """
-with l as (
-  select doc_id, unnest(string_split(text, chr(10))) as line,
-    generate_subscripts(string_split(text, chr(10)), 1) - 1 as i
-  from documents where text is not null),
-h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as h, count(*) over (partition by doc_id) as n from l),
-r as (select *, (h + 31 * coalesce(lag(h) over w, 0)) % 1000003 as r from h window w as (partition by doc_id order by i)),
+with t as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+l as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) - 1 as i from t),
+g as (
+  select doc_id, i, ('0x' || substr(md5(line), 1, 7))::bigint as h from l
+  where regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+r as (
+  select doc_id, i, (lead(h) over w + 31 * h) % 1000003 % 8 as r, row_number() over w as j
+  from g window w as (partition by doc_id order by i)),
+s as (select doc_id, i as start from r where j > 1 and r <> 0 union all select doc_id, 0 from t),
 e as (
-  select *, i between 1 and n - 3 and r < lag(r) over w and r < lead(r) over w as last_line
-  from r window w as (partition by doc_id order by i)),
+  select doc_id, start, coalesce(lead(start) over w, len(ls) - 1) as stop, coalesce(lag(start) over w, start) as low, ls
+  from s join t using (doc_id) window w as (partition by doc_id order by start)),
 c as (
-  select *, coalesce(sum(last_line::int) over (
-    partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as chunk from e),
-b as (
-  select doc_id, chunk, min(i) as start, count(*) as lines, string_agg(line, chr(10) order by i) as body
-  from c group by doc_id, chunk),
-k as (select *, lines < 2 or row_number() over (partition by body order by doc_id, start) = 1 as stays from b),
-t as (
-  select doc_id, coalesce(string_agg(body, chr(10) order by start) filter (where stays), '') as text,
-    coalesce(sum(lines) filter (where not stays), 0)::int as removed_lines
-  from k group by doc_id)
-select d.doc_id, t.text, d.lang, d.source, length(t.text)::bigint as n_chars, coalesce(t.removed_lines, 0) as removed_lines
-from documents d left join t using (doc_id)
+  select doc_id, start, stop, low, coalesce(lead(stop) over (partition by doc_id order by start), stop) as high,
+    ls[start + 1 : stop + 1] as body from e),
+k as (
+  select *, row_number() over (partition by body order by doc_id, start) as nth from c
+  where len(list_distinct(list_filter(body, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) >= 2),
+f as (
+  select k.body, ls[stop + 2 : high + 1] as after, list_reverse(ls[low + 1 : start]) as before
+  from k join t using (doc_id) where nth = 1),
+m as (
+  select k.doc_id, k.start, k.stop, f.after, f.before, ls[k.stop + 2 : k.stop + 1 + len(f.after)] as own_after,
+    list_reverse(ls[greatest(k.start - len(f.before), 0) + 1 : k.start]) as own_before
+  from k join f using (body) join t using (doc_id) where nth > 1),
+x as (
+  select doc_id,
+    start - len(list_filter(range(1, len(before) + 1), lambda z: before[1 : z] = own_before[1 : z])) as a,
+    stop + len(list_filter(range(1, len(after) + 1), lambda z: after[1 : z] = own_after[1 : z])) as b from m),
+gone as (select distinct doc_id, unnest(range(a, b + 1)) as i from x),
+n as (
+  select l.doc_id, coalesce(string_agg(line, chr(10) order by l.i) filter (where gone.i is null), '') as text,
+    count(gone.i)::int as removed_lines
+  from l left join gone on l.doc_id = gone.doc_id and l.i = gone.i group by l.doc_id)
+select d.doc_id, n.text, d.lang, d.source, length(n.text)::bigint as n_chars, coalesce(n.removed_lines, 0) as removed_lines
+from documents d left join n using (doc_id)
 """
 
 # Cosines of all pairs of a label; components by walking the links.

@@ -49,11 +49,15 @@ def test_chunks_cover_the_text_and_resist_shifts(spark):
     found = chunks(spark, ["\n".join(lines), "\n".join(["new", "lines", *lines]), None, "", "a", "a\nb\nc"])
     for i in (0, 1):
         assert all(c.n >= 2 for c in found[i])
-        assert [c.start for c in found[i]] == np.cumsum([0, *(c.n for c in found[i])])[:-1].tolist()
-    assert "\n".join(c.body for c in found[0]) == "\n".join(lines)
+        # A chunk ends with the first line of the next one.
+        assert [c.start for c in found[i]] == np.cumsum([0, *(c.n - 1 for c in found[i])])[:-1].tolist()
+        assert [c.low for c in found[i]][1:] == [c.start for c in found[i]][:-1]
+        assert [c.high for c in found[i]][:-1] == [c.start + c.n - 1 for c in found[i]][1:]
+    assert "\n".join([found[0][0].body, *(c.body.split("\n", 1)[1] for c in found[0][1:])]) == "\n".join(lines)
     bodies = [{c.body for c in found[i]} for i in (0, 1)]
     assert len(bodies[0] & bodies[1]) >= len(bodies[0]) - 2
-    assert found[2] is None and [c.body for c in found[3]] == [""] and [c.n for c in found[5]] == [3]
+    assert found[2] is None and [c.body for c in found[3]] == [""] and not found[3][0].counts and not found[4][0].counts
+    assert found[5][0].start == 0 and found[5][-1].start + found[5][-1].n == 3
 
 
 def test_a_shared_passage_is_removed_once(docs_of):
@@ -65,10 +69,48 @@ def test_a_shared_passage_is_removed_once(docs_of):
     for i in (2, 3):
         left = out[i].text.split("\n")
         assert [x for x in left if x.startswith("own")] == own[i]
-        assert sum(x in passage for x in left) <= 8
+        assert not any(x in passage for x in left)
         assert out[i].n_chars == len(out[i].text) and out[i].removed_lines + len(left) == 39
 
 
+@pytest.mark.parametrize("size, share", [(2, 0.5), (3, 0.9), (4, 0.95), (6, 0.98), (8, 0.99)])
+def test_short_passages_are_found(docs_of, size, share):
+    """Passages of a few lines, each in two documents of other lines, some of them paragraphs with blank lines between."""
+    docs, gap = [], {0: "\n", 1: "\n\n"}
+    for p in range(100):
+        passage = [f"passage {p} says {i} in some words" for i in range(size)]
+        for d in (2 * p, 2 * p + 1):
+            own = [f"document {d} has {i} of its own" for i in range(10)]
+            docs.append((d, gap[p % 2].join(own[:5] + passage + own[5:])))
+    left = [r.text for r in dedup_lines(docs_of(docs)).collect()]
+    assert all(sum(f"document {d} has {i} of its own" in t for t in left) == 1 for d in (0, 1, 198, 199) for i in range(10))
+    copies = sum(t.count("passage") for t in left) - 100 * size
+    assert 0 <= copies <= (1 - share) * 100 * size
+
+
+def test_line_dedup_equals_a_plain_version(docs_of):
+    from .test_pipeline import plain_line_dedup
+    rng = np.random.default_rng(8)
+    words = ["", " ", "-", *(f"w{i}" for i in range(9))]
+    docs = {i: "\n".join(words[w] for w in rng.integers(0, len(words), rng.integers(1, 40))) for i in range(150)}
+    docs |= {500: None, 501: "", 502: docs[3], 503: "x\nx\nx\nx", 504: "\n\n\n\n", 505: "y\nz\ny\nz\ny\nz"}
+    got = {r.doc_id: r for r in dedup_lines(docs_of(list(docs.items()))).collect()}
+    assert {i: r.text for i, r in got.items()} == plain_line_dedup(docs)
+    assert got[502].text == "" and got[503].text == docs[503] and got[504].removed_lines == 0
+    assert sum(r.removed_lines for r in got.values()) > 500
+
+
+def test_documents_that_repeat_a_passage_a_thousand_times(docs_of, monkeypatch):
+    from lexiflow.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "SHARED", 64)
+    docs = [(i, f"head {i}\nfirst of all\nsecond of all\nthird of all\ntail {i}") for i in range(1000)]
+    docs += [(7, docs[7][1])] * 300
+    left = Counter((r.doc_id, r.text) for r in dedup_lines(docs_of(docs)).collect())
+    want = Counter({(i, f"head {i}\ntail {i}"): 1 for i in range(1000)} | {(7, "head 7\ntail 7"): 301, docs[0]: 1})
+    del want[0, "head 0\ntail 0"]
+    assert left == want
+
+
 def test_line_dedup_of_edge_rows(edge, nothing, docs_of):
     out = dedup_lines(edge).collect()
     assert Counter((r.doc_id, r.text) for r in out) == Counter((i, t) for i, t in EDGE)   # nothing of two lines repeats

@@ -16,26 +16,40 @@ from .test_dups import plain_fingerprint, roots
 from .test_tokens import check_packing
 
 
-def plain_line_dedup(docs):
-    """docs: {doc_id: text}; chunks by the rule, the first occurrence stays."""
+def plain_chunks(lines):
+    """(start, stop) of the chunks of a text, stop included."""
     import hashlib
-    seen, out = set(), {}
+    at = [i for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+    h = [int(hashlib.md5(lines[i].encode()).hexdigest()[:7], 16) for i in at]
+    starts = [0] + [at[j] for j in range(1, len(at) - 1) if (h[j + 1] + 31 * h[j]) % 1_000_003 % 8 != 0]
+    return list(zip(starts, [*starts[1:], len(lines) - 1], strict=True))
+
+
+def plain_line_dedup(docs):
+    """docs: {doc_id: text}; chunks by the rule, the first occurrence stays, lines equal beside both go too."""
+    first, out = {}, {}
+    split = {i: t.split("\n") for i, t in docs.items() if t is not None}
+    chunks = {i: plain_chunks(x) for i, x in split.items()}
     for i in sorted(docs):
         if docs[i] is None:
             out[i] = None
             continue
-        lines = docs[i].split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-        r = [(b + 31 * a) % 1_000_003 for a, b in zip([0, *h], h)]  # noqa: B905
-        ends = [j for j in range(1, len(lines) - 2) if r[j] < r[j - 1] and r[j] < r[j + 1]]
-        kept = []
-        for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(lines) - 1], strict=True):
-            body = "\n".join(lines[a:b + 1])
-            if b == a or body not in seen:
-                kept.append(body)
-            if b > a:
-                seen.add(body)
-        out[i] = "\n".join(kept)
+        lines, gone = split[i], set()
+        for k, (a, b) in enumerate(chunks[i]):
+            body = lines[a:b + 1]
+            if len({x for x in body if re.search(r"[^\x20\x09-\x0D]", x)}) < 2:
+                continue
+            j, m = first.setdefault(tuple(body), (i, k))
+            if (j, m) == (i, k):
+                continue
+            other, (c, d) = split[j], chunks[j][m]
+            low, high = chunks[j][max(m - 1, 0)][0], chunks[j][min(m + 1, len(chunks[j]) - 1)][1]
+            while c > low and a > 0 and other[c - 1] == lines[a - 1]:
+                a, c = a - 1, c - 1
+            while d < high and b + 1 < len(lines) and other[d + 1] == lines[b + 1]:
+                b, d = b + 1, d + 1
+            gone.update(range(a, b + 1))
+        out[i] = "\n".join(x for n, x in enumerate(lines) if n not in gone)
     return out
 
 
