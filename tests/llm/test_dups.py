@@ -100,6 +100,19 @@ def test_line_dedup_equals_a_plain_version(docs_of):
     assert sum(r.removed_lines for r in got.values()) > 500
 
 
+def test_documents_are_shuffled_once(spark):
+    """Both joins with whole documents read the same exchange."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dedup_lines(spark.read.parquet(f"{SF01}/documents.parquet"))
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in plan
+
+
 def test_documents_that_repeat_a_passage_a_thousand_times(docs_of, monkeypatch):
     from lexiflow.llm import line_dedup
     monkeypatch.setattr(line_dedup, "SHARED", 64)
