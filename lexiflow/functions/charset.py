@@ -24,6 +24,14 @@ def charset_table(spark: SparkSession) -> DataFrame:
                                  "ch string, char_id int")
 
 
+def char_id(ch: str | Column) -> Column:
+    """P17 in the row: the id of a character of the set, null for any other string."""
+    c = F.col(ch) if isinstance(ch, str) else ch
+    place = {ord(x): i for i, x in enumerate(CHARSET)}
+    ids = F.array(*[F.lit(place.get(code)).cast("int") for code in range(128)])
+    return F.when(F.octet_length(c) == 1, F.get(ids, F.ascii(c)))
+
+
 def keep_charset(text: str | Column) -> Column:
     """Drop every character outside the set."""
     c = F.col(text) if isinstance(text, str) else text
@@ -31,6 +39,6 @@ def keep_charset(text: str | Column) -> Column:
 
 
 def chars_of(text: str | Column) -> Column:
-    """Code-point array of a string (surrogate pairs stay whole)."""
+    """Code-point array of a string (surrogate pairs stay whole): the split at nothing, which runs no regex."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(c, F.lit("(?s)."), 0)
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, ""))

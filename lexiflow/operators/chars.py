@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..conf import CHUNK_LEN
-from ..functions.charset import charset_table, chars_of, keep_charset
+from ..functions.charset import char_id, charset_table, chars_of, keep_charset
 
 
 def filter_charset(df: DataFrame, text: str = "text", out: str = "text") -> DataFrame:
@@ -71,12 +71,10 @@ def one_hot_chars(pairs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> Data
     """Sparse one-hot cells ``keys + (tensor, char_id, pos, value)``.
 
     ``features`` marks the input character at each step, ``labels`` the
-    target character; zeros are not stored.
+    target character; zeros are not stored.  The ids are looked up in the row;
+    a pair with a character outside the set has no cells.
     """
-    table = charset_table(pairs.sparkSession)
-    a = table.select(F.col("ch"), F.col("char_id").alias("in_id"))
-    b = table.select(F.col("ch").alias("next_ch"), F.col("char_id").alias("out_id"))
-    j = pairs.join(F.broadcast(a), "ch").join(F.broadcast(b), "next_ch")
+    j = pairs.withColumns({"in_id": char_id("ch"), "out_id": char_id("next_ch")}).where("in_id is not null and out_id is not null")
     cells = F.array(
         F.struct(F.lit("features").alias("tensor"), F.col("in_id").alias("char_id")),
         F.struct(F.lit("labels").alias("tensor"), F.col("out_id").alias("char_id")))

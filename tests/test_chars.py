@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexiflow.conf import CharConf
-from lexiflow.functions.charset import CHARSET
+from lexiflow.functions.charset import CHARSET, char_id, chars_of
 from lexiflow.operators import chars as CH
 from lexiflow.operators import sampling as R
 from lexiflow.sources.files import rows
@@ -104,3 +104,17 @@ def test_generation_refuses_other_characters(spark):
     t = rows(spark, [("a", "é", 1)], "ch string, next_ch string, n long")
     with pytest.raises(Exception, match="character set"):
         R.generate(rows(spark, [(0, "a")], "doc_id long, seed_ch string"), t, 3).collect()
+
+
+def test_characters_without_a_regex_and_ids_without_a_join(spark):
+    texts = ["a\U0001F600b\n", "", None, "x", "\r\né\0z"]
+    df = rows(spark, list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.a for r in df.select("doc_id", chars_of("text").alias("a")).collect()}
+    assert got == {i: None if t is None else list(t) for i, t in enumerate(texts)}
+    cells = CH.one_hot_chars(CH.char_pairs(df))
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "Join" not in plan
+    # Only "b\n" has both characters in the set.
+    assert sorted((r.doc_id, r.pos, r.tensor, r.char_id) for r in cells.collect()) == [(0, 2, "features", 1), (0, 2, "labels", 75)]
+    assert [r.id for r in rows(spark, [(c,) for c in [*CHARSET, "é", "#", "", "ab", None]], "ch string").select(
+        char_id("ch").alias("id")).collect()] == [*range(77), None, None, None, None, None]
