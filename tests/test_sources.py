@@ -159,3 +159,16 @@ def test_a_cluster_needs_a_shared_folder():
             with pytest.raises(ValueError, match="spark.checkpoint.dir"):
                 checkpoint_root(session(master, warehouse))
     assert checkpoint_root(session("yarn", "hdfs://a/warehouse/")) == "hdfs://a/warehouse/_checkpoints"
+
+
+def test_token_json_is_parsed_once(spark, tmp_out):
+    lines = ['["{\\"word\\":\\"a\\",\\"index\\":1.0}","x"]', "no json", "[]", "[null]"]
+    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(f"{tmp_out}/one")
+    items = FS.read_token_json_items(spark, f"{tmp_out}/one")
+    got = sorted((r.line_id, r.item_no, r.reason, r.word) for r in items.where("line_id < 1").collect())
+    assert got == [(0, 0, None, "a"), (0, 1, "bad_item", None)]
+    assert sorted((r.line_id, r.reason, r.raw) for r in items.where("line_id > 0").collect()) == [
+        (1, "no_json", "no json"), (2, "no_item", "[]"), (3, "bad_item", None)]
+    for part in (*FS.read_token_json_checked(spark, f"{tmp_out}/one"), FS.read_token_json(spark, f"{tmp_out}/one")):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(ArrayType") <= 1 and plan.count("from_json(Struct") <= 1
