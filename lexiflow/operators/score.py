@@ -167,9 +167,11 @@ def score_segments(matches: DataFrame, model: DataFrame, num_classes: int,
     """T05 for unspaced text: the dictionary matches of P20 ``(key, start,
     word)`` are the steps (in start order; of matches that start together, the
     longest is the last), then J06 -> A06 -> W02 (-> P05) as for blank-separated
-    text.  Texts without any match get no prediction."""
+    text.  Texts without any match get no prediction.  For the mean, counts of
+    matches ``(key, word, n_here)`` (``dictionary.count_matches``) serve as well."""
     if reduction == "mean":
-        words = matches.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n_here"))
+        here = F.sum("n_here") if "n_here" in matches.columns else F.count(F.lit(1))
+        words = matches.groupBy(key, "word").agg(here.alias("n_here"))
         reduced = reduce_steps(step_scores(words, model, num_classes), num_classes, [key], reduction, "n_here")
     else:
         steps = matches.select(key, F.struct("start", F.length("word").alias("n")).alias("pos"), "word")
