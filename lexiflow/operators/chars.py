@@ -7,6 +7,10 @@ is per-row array work (no shuffle) until the counts; the only join is with the
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,3 +89,36 @@ def one_hot_chars(pairs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> Data
 def transitions(pairs: DataFrame, ch: str = "ch", next_ch: str = "next_ch") -> DataFrame:
     """A10: ``(ch, next_ch, n)`` counts; partial aggregation map-side."""
     return pairs.groupBy(ch, next_ch).agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_pairs(texts: DataFrame, text: str = "text", keep_tail: bool = True) -> DataFrame:
+    """P18 + A10: ``(ch, next_ch, n)`` as ``transitions(char_pairs(...))`` gives them.
+
+    Pairs are counted where the texts are read, so a batch has one row for each
+    different pair and no row for a single one."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, counts = [], []
+            for t in batch.column(0).to_pylist():
+                code = np.frombuffer((t or "").encode("utf-32-le"), np.uint32).astype(np.int64)
+                code = code if keep_tail else code[:-1]
+                if len(code) < 2:
+                    continue
+                if code.max() < 128:
+                    n = np.bincount((code[:-1] << 7) | code[1:])
+                    key = np.flatnonzero(n)
+                    keys.append((key >> 7 << 21) | (key & 127))
+                    counts.append(n[key])
+                else:
+                    key, n = np.unique((code[:-1] << 21) | code[1:], return_counts=True)
+                    keys.append(key)
+                    counts.append(n)
+            if keys:
+                key, place = np.unique(np.concatenate(keys), return_inverse=True)
+                n = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([chr(k >> 21) for k in key.tolist()], pa.string()),
+                                                  pa.array([chr(k & 0x1FFFFF) for k in key.tolist()], pa.string()),
+                                                  pa.array(n)], names=["ch", "next_ch", "n"])
+
+    found = texts.select(text).mapInArrow(run, "ch string, next_ch string, n bigint")
+    return found.groupBy("ch", "next_ch").agg(F.sum("n").alias("n"))

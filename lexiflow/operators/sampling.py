@@ -6,8 +6,14 @@ partitioning, task order or retries.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..conf import GEN_STEPS, SPLIT_FRACTION, SPLIT_SEED
 from ..functions import text as T
@@ -15,6 +21,8 @@ from ..functions.charset import CHARSET
 from ..session import cut_lineage
 
 SPLIT_BUCKETS = 100
+# Characters that a task generates at a time.
+GENERATED = 1 << 21
 
 
 def split_flag(key: str | Column, fraction: float = SPLIT_FRACTION,
@@ -137,51 +145,56 @@ def generate(seeds: DataFrame, transitions: DataFrame, steps: int = GEN_STEPS,
     it.  The text may be of any length: it goes on from its last character, and
     stops early at a character with no recorded successor.
 
-    The counts fold into one row, an array by context, which a join on a
-    constant key attaches to the seeds; ``transitions`` must be over the fixed
-    character set (at most 77 x 77 rows), else the job fails.  The loop is an
-    ``aggregate`` over the steps' hashes in the JVM, with no Python worker and
-    no per-step shuffle: a context's entry is found by its character's id, the
-    choice by a filter of its at most 77 running totals.
+    ``transitions`` must be over the fixed character set, else the job fails: their
+    running totals, at most 77 x 77 rows whatever the data, go to the tasks.  There
+    all rows of a batch take each step together.  A null text stays null, a null
+    key is an empty one.
     """
     chars = F.array(*[F.lit(c) for c in CHARSET])
     known = transitions.where(F.assert_true(
         F.array_contains(chars, F.col("ch")) & F.array_contains(chars, F.col("next_ch")),
         F.lit("transitions must be over the character set")).isNull())
-    cdf = cdf_table(known).select(F.array_position(chars, F.col("ch")).cast("int").alias("id"), "total", "choices")
-    entry = F.struct("total", F.transform("choices", lambda x: x["cum"]).alias("cums"),
-                     F.transform("choices", lambda x: x["next_ch"]).alias("nexts"))
-    # One row of a fixed size (at most 77 x 77 choices).  The join's key is 0
-    # everywhere, but not a literal, so that it stays an equi join.
-    model = cdf.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("id", entry))).alias("_of"),
-                              F.least(F.min("total"), F.lit(0)).cast("int").alias("_zero"))
-    ids = F.sequence(F.lit(1), F.lit(len(CHARSET)))
-    model = model.select("_zero", F.transform(ids, lambda i: F.try_element_at("_of", i)).alias("_m"))
-    zero = F.least(F.length(F.coalesce(start, F.lit(""))), F.lit(0))
-    base = seeds.withColumn("_zero", zero).join(F.broadcast(model), "_zero")
+    place = {c: i for i, c in enumerate(CHARSET)}
+    cums: list[list[tuple[int, int]]] = [[] for _ in CHARSET]
+    for r in cumulate(known).collect():
+        cums[place[r.ch]].append((r.cum, place[r.next_ch]))
+    cums = [sorted(c) for c in cums]
+    # The contexts' running totals one behind the other, as one.
+    total = np.array([c[-1][0] if c else 0 for c in cums], np.int64)
+    before = np.cumsum(total) - total
+    ends = np.array([before[i] + cum for i, c in enumerate(cums) for cum, _ in c], np.int64)
+    choice = np.array([n for c in cums for _, n in c], np.int64)
+    letters = np.frombuffer("".join(CHARSET).encode("ascii"), np.uint8)
+    at = seeds.columns.index(start)
+    suffix = [str(i + 1).encode() for i in range(steps)]
+
+    def extended(keys: list[str], texts: list[str | None]) -> list[str | None]:
+        last = np.array([place.get(t[-1], -1) if t else -1 for t in texts], np.int64)
+        grown = np.full((len(texts), steps), -1, np.int64)
+        on = np.flatnonzero((last >= 0) & (total[last] > 0))
+        last = last[on]
+        raw = b"".join([hashlib.md5(b"%d:%s:%s" % (seed, k, i)).digest()[:4]
+                        for k in [keys[i].encode() for i in on.tolist()] for i in suffix])
+        drawn = np.frombuffer(raw, ">u4").reshape(len(on), steps).astype(np.int64)
+        for i in range(steps):
+            last = choice[np.searchsorted(ends, before[last] + drawn[:, i] % total[last], "right")]
+            grown[on, i] = last
+            more = total[last] > 0
+            if not more.all():
+                on, last, drawn = on[more], last[more], drawn[more]
+        size = (grown >= 0).sum(axis=1).tolist()
+        return [None if t is None else t + letters[g[:n]].tobytes().decode("ascii")
+                for t, g, n in zip(texts, grown, size, strict=True)]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(1, GENERATED // max(1, steps))
+        for batch in batches:
+            for begin in range(0, len(batch), rows):
+                part = batch.slice(begin, rows)
+                found = extended(part.column(len(part.columns) - 1).to_pylist(), part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.string())],
+                                                 names=[*part.schema.names[:-1], "generated"])
+
     of = F.col(key) if isinstance(key, str) else key
-    prefix = F.concat(F.lit(f"{seed}:"), F.coalesce(of.cast("string"), F.lit("")), F.lit(":"))
-    # The hash of every step is computed once per row, up front.
-    hashes = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.conv(
-        F.substring(F.md5(F.concat(prefix, i.cast("string"))), 1, 8), 16, 10).cast("long"))
-    base = base.withColumn("_h", hashes)
-
-    def let(value, body):
-        """Evaluate ``value`` once and pass it to ``body`` (single-element transform)."""
-        return F.transform(F.array(value), body)[0]
-
-    def step(acc, h):
-        def choose(e):
-            def pick(r):
-                at = F.size(F.filter(e["cums"], lambda c: c <= r))
-                return F.get(e["nexts"], at)
-            return let(F.pmod(h, e["total"]), pick)
-        def grow(nxt):
-            return F.struct(F.concat(acc["text"], F.coalesce(nxt, F.lit(""))).alias("text"),
-                            F.coalesce(nxt, acc["last"]).alias("last"))
-        place = F.array_position(chars, acc["last"]).cast("int")
-        return let(let(F.get(F.col("_m"), place - 1), choose), grow)
-
-    init = F.struct(F.col(start).alias("text"), F.substring(F.col(start), -1, 1).alias("last"))
-    out = F.aggregate("_h", init, step)
-    return base.select(*seeds.columns, out["text"].alias("generated"))
+    asked = seeds.withColumn("_key", F.coalesce(of.cast("string"), F.lit("")))
+    return asked.mapInArrow(run, ST.StructType([*seeds.schema.fields, ST.StructField("generated", ST.StringType())]))

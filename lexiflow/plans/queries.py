@@ -440,7 +440,7 @@ def _pairs(spark, sf_dir):
 
 
 def _transitions(spark, sf_dir):
-    return CH.transitions(_pairs(spark, sf_dir))
+    return CH.count_pairs(_filtered(spark, sf_dir), keep_tail=CHARS.keep_tail)
 
 
 @register("charset_filtered")

@@ -1,5 +1,7 @@
 """Character chunks, pairs, transitions, draws and generation."""
 
+import hashlib
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -118,3 +120,25 @@ def test_characters_without_a_regex_and_ids_without_a_join(spark):
     assert sorted((r.doc_id, r.pos, r.tensor, r.char_id) for r in cells.collect()) == [(0, 2, "features", 1), (0, 2, "labels", 75)]
     assert [r.id for r in rows(spark, [(c,) for c in [*CHARSET, "é", "#", "", "ab", None]], "ch string").select(
         char_id("ch").alias("id")).collect()] == [*range(77), None, None, None, None, None]
+
+
+def test_counted_pairs_are_the_exploded_ones(spark):
+    texts = rows(spark, [(1, "abab é中😀"), (1, "ab"), (2, "a"), (3, ""), (None, None), (4, "aab" * 50)], "doc_id long, text string")
+    for tail in (True, False):
+        want = sorted(map(tuple, CH.transitions(CH.char_pairs(texts, keep_tail=tail)).collect()))
+        assert sorted(map(tuple, CH.count_pairs(texts, keep_tail=tail).collect())) == want
+
+
+def test_generation_sends_no_model_with_its_rows(spark):
+    """The totals are no column of the rows; nulls and dead ends as they are."""
+    t = rows(spark, [("a", "b", 2), ("a", "c", 1), ("b", "a", 3)], "ch string, next_ch string, n long")
+    seeds = rows(spark, [(1, "xa"), (None, "a"), (2, None), (3, ""), (4, "é"), (5, "c")], "doc_id long, seed_ch string")
+    made = R.generate(seeds, t, 9)
+    assert "aggregate(" not in made._jdf.queryExecution().executedPlan().toString()
+    got = {r.doc_id: r.generated for r in made.collect()}
+    for key, text in ((1, "xa"), (None, "a")):
+        for i in range(1, 10):
+            h = int(hashlib.md5(f"12345:{'' if key is None else key}:{i}".encode()).hexdigest()[:8], 16)
+            text += {"a": "bbc"[h % 3], "b": "a", "c": ""}[text[-1]]
+        assert got[key] == text
+    assert [got[k] for k in (2, 3, 4, 5)] == [None, "", "é", "c"]
