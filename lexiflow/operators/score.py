@@ -11,10 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..functions import text as T
+from .blocks import block_words, in_blocks, lists_of, with_looked
 
 DIGITS = 6   # scores are rounded before ranking or comparing
 
@@ -87,15 +91,13 @@ def predict(reduced: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
 
 def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
                    keep: Sequence[str] = ("label_id",), words: str | Column = "words",
-                   reduction: str = "mean") -> DataFrame:
+                   reduction: str = "mean", at: str | None = None) -> DataFrame:
     """J06 + A06/W05 of an array of words: ``key + keep + [scores]``.
 
-    One result a row, whatever its key: rows of equal or null key are told apart
-    by two hashes of their words, and copies of a row are scored once, then
-    repeated.  (A running row number would change when a lost task is run again.)
-    For the mean, a document's words are counted first, inside the row, so the
-    lookup sees one row per distinct word of a document; for the last step it sees one row per
-    document.  Rows without a word have no result (see ``examples.rejects``).
+    One result a row, whatever its key.  For the mean, documents are looked up in
+    blocks (``blocks.in_blocks``, written to ``at``), so the lookup sees one row per
+    distinct word of a block; for the last step it sees one row per document.  Rows
+    without a word have no result (see ``examples.rejects``).
     """
     keys = [key, *keep]
     words = F.col(words) if isinstance(words, str) else words
@@ -105,40 +107,33 @@ def reduced_scores(docs: DataFrame, model: DataFrame, num_classes: int, key: str
         return steps.select(*keys, F.transform("scores", lambda x: F.round(x, DIGITS)).alias("scores"))
     if reduction != "mean":
         raise ValueError(f"unknown reduction {reduction!r}")
-    # Words are counted inside the row: sorted, each run from its start to the next.
-    # Every array that a lambda reads by position is a projection of its own.
-    rows = docs.select(*keys, F.sort_array(F.array_compact(words)).alias("_w"))
-    rows = rows.select(*keys, *T.row_hash("_w"), "_w", F.size("_w").alias("_n"))
-    keys = [*keys, *T.ROW_HASH]
-    places = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(places, lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
-    rows = rows.select(*keys, "_w", "_n", starts.alias("_s"))
-    rows = rows.select(*keys, "_w", "_s", F.concat(F.slice("_s", F.lit(2), F.greatest(F.size("_s") - 1, F.lit(0))),
-                                                   F.array("_n")).alias("_e"))
-    each = F.zip_with("_s", F.slice("_e", F.lit(1), F.size("_s")), lambda i, j: F.struct(
-        F.get("_w", i).alias("word"), (j - i).cast("long").alias("_here"), F.lit(0).cast("long").alias("_copies")))
-    # One more step, of no word, counts the copies of the row.
-    copy = F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("_here"), F.lit(1).cast("long").alias("_copies"))
-    rows = rows.select(*keys, F.concat(each, F.array(copy)).alias("_each"))
-    rows = rows.select(*keys, F.explode_outer("_each").alias("_step")).select(*keys, "_step.*")
-    found = reduce_steps(step_scores(rows, model, num_classes), num_classes, keys, "mean", "_here", "_copies")
-    return T.repeated(found.drop(*T.ROW_HASH), "_copies")
+    rows = in_blocks(docs.select(*keys, F.array_compact(words).alias("_w")), "_w", at)
+    steps = step_scores(block_words(rows), model, num_classes).select("_block", "_place", "scores")
+
+    def summed(docs, begin, ids, found, row):
+        each = found.column("scores").combine_chunks().flatten().to_numpy().reshape(-1, num_classes)
+        sums = np.add.reduceat(each[row[ids]], begin[:-1], axis=0)
+        return [lists_of(sums.ravel(), np.arange(len(sums) + 1) * num_classes), pa.array(np.diff(begin))]
+
+    found = with_looked(rows, steps, summed, [ST.StructField("_sums", ST.ArrayType(ST.DoubleType())), ST.StructField("_n", ST.LongType())])
+    means = F.array(*[F.round(F.col("_sums")[c] / F.col("_n"), DIGITS) for c in range(num_classes)])
+    return found.select(*keys, means.alias("scores"))
 
 
 def score_words(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
                 keep: Sequence[str] = ("label_id",), words: str | Column = "words",
-                reduction: str = "mean", classes: Sequence[str] | None = None) -> DataFrame:
+                reduction: str = "mean", classes: Sequence[str] | None = None, at: str | None = None) -> DataFrame:
     """T05 on an array of words: look up -> reduce over steps -> argmax.  With
     ``classes`` the winning class's label is added (P05)."""
-    found = predict(reduced_scores(docs, model, num_classes, key, keep, words, reduction), [key, *keep])
+    found = predict(reduced_scores(docs, model, num_classes, key, keep, words, reduction, at), [key, *keep])
     return found if classes is None else found.withColumn("label", T.id_label("class_id", classes))
 
 
 def score(docs: DataFrame, model: DataFrame, num_classes: int, key: str = "doc_id",
           keep: Sequence[str] = ("label_id",), text: str = "text", normalize: bool = True,
-          reduction: str = "mean", classes: Sequence[str] | None = None) -> DataFrame:
+          reduction: str = "mean", classes: Sequence[str] | None = None, at: str | None = None) -> DataFrame:
     """Every token of every text, as ``score_words``."""
-    return score_words(docs, model, num_classes, key, keep, T.tokens_of(text, normalize), reduction, classes)
+    return score_words(docs, model, num_classes, key, keep, T.tokens_of(text, normalize), reduction, classes, at)
 
 
 def accuracy(predictions: DataFrame, label: str = "label_id", pred: str = "class_id") -> DataFrame:

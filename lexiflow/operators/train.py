@@ -45,8 +45,8 @@ def known_labels(labelled: DataFrame, num_classes: int, label: str = "label_id")
 def train_counted(labelled: DataFrame, num_classes: int, text: str = "text",
                   label: str = "label_id", normalize: bool = True) -> DataFrame:
     """Counted model from every token of the rows with a known label."""
-    steps = known_labels(labelled, num_classes, label).select(
-        F.col(label).alias("label_id"), F.explode(T.tokens_of(text, normalize)).alias("word"))
+    words = known_labels(labelled, num_classes, label).select(F.col(label).alias("label_id"), T.tokens_of(text, normalize).alias("_w"))
+    steps = words.select("label_id", F.explode_outer("_w").alias("word")).where("word is not null")
     return fit_token_class(steps, num_classes)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import examples as EX
 from ..operators import score as S
+from ..session import scratch
 
 
 def score_stream(stream: DataFrame, model: DataFrame, num_classes: int, out_path: str,
@@ -32,8 +33,9 @@ def score_stream(stream: DataFrame, model: DataFrame, num_classes: int, out_path
 
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = prepare(df) if prepare else df
-        preds = S.score(rows, model, num_classes, key=key, keep=keep, classes=classes)
-        preds.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        with scratch(df.sparkSession, "blocks") as at:
+            preds = S.score(rows, model, num_classes, key=key, keep=keep, classes=classes, at=at)
+            preds.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
         if rejected_path:
             EX.rejects(rows, key=key).write.mode("overwrite").parquet(f"{rejected_path.rstrip('/')}/batch={batch_id}")
 
