@@ -5,22 +5,25 @@ P09-P14, A05.  One ``examples`` row per document:
     doc_id, n_tokens int, truncated boolean, features array<long>,
     feature_mask array<int>, known array<int>, label_id int, label_step int
 
-Tokens are cut to the first ``seq_len`` positions inside the row before they
-are exploded, so the lookup join and the regroup by document only ever move
-``seq_len`` rows per document, whatever the document length.
+Tokens are cut to the first ``seq_len`` positions inside the row before they are
+looked up in blocks of documents, so only ``seq_len`` numbers per document are
+ever moved, whatever the document length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..conf import SEQ_LEN, TextConf
 from ..functions import text as T
 from . import tokens as TK
 from . import vocab as V
+from .blocks import block_words, in_blocks, lists_of, with_looked
 
 
 def gather(looked: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -50,41 +53,40 @@ def build_vocab(docs: DataFrame, conf: TextConf = TextConf(), text: str = "text"
 
 def build_examples(docs: DataFrame, vocab: DataFrame, conf: TextConf = TextConf(),
                    key: str = "doc_id", label: str | None = "label_id", text: str = "text") -> DataFrame:
-    """P01/P02 -> J02 -> A05 -> P09-P12 in one select after one groupBy.
+    """P01/P02 -> J02 -> A05 -> P09-P12 in one select after one lookup by blocks.
 
     ``n_tokens`` counts the words before unknown ones are dropped (which they
     are with ``conf.use_unknown`` off).  Documents without a word, or whose first
     ``conf.seq_len`` words are all unknown and dropped, produce no example (see
-    ``rejects``).  One example a row, whatever its key: rows of equal or null key
-    are told apart by two hashes of their words, copies encoded once and repeated.
+    ``rejects``).  One example a row, whatever its key.
     """
     seq_len, unknown_id = conf.seq_len, conf.unknown_id
-    keys = [key, "n_tokens", *T.ROW_HASH] + ([label] if label else [])
-    # Token array and its size are computed once per document, in a projection
-    # below the explode; exploded rows carry neither the text nor the array.
+    # Token array and its size are computed once per document, in a projection of their own.
     lab = [F.col(label)] if label else []
-    arr = TK.with_words(docs, conf, text, "_toks").select(key, *lab, "_toks")
-    arr = arr.select(key, *lab, F.size("_toks").cast("int").alias("n_tokens"),
-                     F.slice("_toks", 1, seq_len).alias("_head"))
-    arr = arr.select("*", *T.row_hash("_head"))
-    exploded = arr.select(*keys, F.posexplode_outer("_head").alias("pos", "word")).where("word is not null")
+    arr = TK.with_words(docs, conf, text, "_toks").select(F.col(key).alias("_key"), *lab, "_toks")
+    arr = arr.select("_key", *lab, F.size("_toks").cast("int").alias("n_tokens"), F.slice("_toks", 1, seq_len).alias("_head"))
+    rows = in_blocks(arr, "_head")
+    looked = V.lookup_or_default(block_words(rows), vocab, unknown_id).select("_block", "_place", "idx", "known")
+
+    def encoded(docs, begin, ids, found, row):
+        idx, known = (found.column(c).to_numpy()[row[ids]] for c in ("idx", "known"))
+        if not conf.use_unknown:
+            begin = np.append(0, np.cumsum(known, dtype=np.int64))[begin]
+            idx, known = idx[known > 0], known[known > 0]
+        return [lists_of(idx, begin), lists_of(known, begin)]
+
+    enc = with_looked(rows, looked, encoded, [ST.StructField("ids", ST.ArrayType(ST.LongType())),
+                                              ST.StructField("known", ST.ArrayType(ST.IntegerType()))])
     if not conf.use_unknown:
-        exploded = exploded.join(vocab.select("word"), "word", "left_semi")
-    looked = V.lookup_or_default(exploded, vocab, unknown_id)
-    # Each position is there once for every copy of the row.
-    seq = F.sort_array(F.collect_set(F.struct("pos", "idx", "known")))
-    enc = looked.groupBy(*keys).agg(seq.alias("_seq"), F.count(F.lit(1)).alias("_copies"))
-    enc = enc.withColumn("_copies", (F.col("_copies") / F.size("_seq")).cast("long")).withColumns({
-        "ids": F.transform("_seq", lambda x: x["idx"]), "known": F.transform("_seq", lambda x: x["known"])})
+        enc = enc.where(F.size("ids") > 0)
     n = F.col("n_tokens") if conf.use_unknown else F.size("ids")
-    out = enc.select(
-        key, F.col("n_tokens"), (F.col("n_tokens") > seq_len).alias("truncated"),
+    return enc.select(
+        F.col("_key").alias(key), F.col("n_tokens"), (F.col("n_tokens") > seq_len).alias("truncated"),
         T.pad_ids("ids", seq_len, unknown_id).alias("features"),
         T.step_mask(n, seq_len).alias("feature_mask"),
         F.concat(F.col("known"), F.array_repeat(F.lit(0), F.lit(seq_len) - F.size("known"))).alias("known"),
         *([F.col(label)] if label else []),
-        T.last_step(n, seq_len).alias("label_step"), "_copies")
-    return T.repeated(out, "_copies")
+        T.last_step(n, seq_len).alias("label_step"))
 
 
 def rejects(docs: DataFrame, classes: Sequence[str] | None = None, key: str = "doc_id",
@@ -108,22 +110,20 @@ def to_cells(examples: DataFrame, key: str = "doc_id", label: str = "label_id")
     ``feature_mask`` (0, step, 1), ``labels`` (class, label step, 1) and
     ``label_mask`` (0, label step, 1).  Steps come from a native ``posexplode``
     of the feature array (each step yields its feature and mask cell, zeros
-    dropped by a filter); the two label cells are one small ``inline`` per row.
+    dropped by a filter); the first step yields the two label cells too.
     """
     def cell(t, i, j, v):
         return F.struct(F.lit(t).alias("tensor"), F.lit(i).cast("int").alias("i") if isinstance(i, int)
                         else i.cast("int").alias("i"), j.cast("int").alias("j"),
                         v.cast("double").alias("value"))
 
-    steps = examples.select(key, F.posexplode(F.arrays_zip("features", "feature_mask")).alias("_j", "_s"))
-    step_cells = (steps.select(key, F.inline(F.array(
-                      cell("features", 0, F.col("_j"), F.col("_s.features")),
-                      cell("feature_mask", 0, F.col("_j"), F.col("_s.feature_mask")))))
-                  .where(F.col("value") != 0))
-    step = F.col("label_step")
-    ends = examples.select(key, F.inline(F.array(cell("labels", F.col(label), step, F.lit(1.0)),
-                                                 cell("label_mask", 0, step, F.lit(1.0)))))
-    return step_cells.unionByName(ends)
+    j, step, none = F.col("_j"), F.col("label_step"), F.lit(0.0)
+    steps = examples.select(key, F.col(label).alias("_label"), "label_step",
+                            F.posexplode_outer(F.arrays_zip("features", "feature_mask")).alias("_j", "_s"))
+    once = F.when(F.coalesce(j, F.lit(0)) == 0, F.lit(1.0)).otherwise(none)
+    return steps.select(key, F.inline(F.array(
+        cell("features", 0, j, F.col("_s.features")), cell("feature_mask", 0, j, F.col("_s.feature_mask")),
+        cell("labels", F.col("_label"), step, once), cell("label_mask", 0, step, once)))).where(F.col("value") != 0)
 
 
 # ------------------------------------------------------- dense tensors (P13) ---
