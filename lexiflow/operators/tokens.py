@@ -33,11 +33,12 @@ def tokenize(df: DataFrame, text: str = "text", key: str = "doc_id",
              normalize: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Long form ``(key, pos int, word)``.
 
-    The array is filtered before ``posexplode`` so positions are dense.
+    The array is filtered before it is exploded so positions are dense.  It is exploded
+    in the outer form: for the other, Spark infers a filter that computes it again.
     """
-    toks = T.tokens_of(text, normalize)
-    return (df.select(key, *keep, F.posexplode(toks).alias("pos", "word"))
-              .withColumn("pos", F.col("pos").cast("int")))
+    toks = df.select(key, *keep, T.tokens_of(text, normalize).alias("_toks"))
+    return (toks.select(key, *keep, F.posexplode_outer("_toks").alias("pos", "word")).where("word is not null")
+                .withColumn("pos", F.col("pos").cast("int")))
 
 
 def split_label(df: DataFrame, classes: Sequence[str], line: str = "line",
