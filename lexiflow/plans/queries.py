@@ -493,10 +493,7 @@ def draws(spark, sf_dir):
 def _word_transitions(spark, sf_dir):
     """A10 over words: how often one follows another in a document."""
     d = TK.with_tokens(TB.table(spark, sf_dir, "documents")).select("tokens")
-    a, k = F.col("tokens"), F.greatest(F.lit(0), F.size("tokens") - 1)
-    pairs = d.select(F.arrays_zip(F.slice(a, 1, k).alias("ch"), F.slice(a, 2, k).alias("next_ch")).alias("p"))
-    pairs = pairs.select(F.explode_outer("p").alias("p")).where("p is not null")
-    return CH.transitions(pairs.select(F.col("p.ch").alias("word"), F.col("p.next_ch").alias("next_word")), "word", "next_word")
+    return W.count_followers(d, "tokens")
 
 
 @register("word_cdf")
