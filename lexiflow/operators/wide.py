@@ -190,7 +190,7 @@ def _in_blocks(runs: pa.Table) -> pa.Table:
 
     ``inner`` is the sum of the context's counts before the block, in this part,
     ``psum`` that of all its counts there and ``pn`` its blocks; ``cums`` are the running
-    totals after each choice, likewise.  ``edge``: the part's first or last context.
+    totals after each choice, from the block's start.  ``edge``: the part's first or last context.
     """
     pairs, _ = _pairs(runs.combine_chunks().to_batches()[0])
     new = np.diff(pairs.ctx, prepend=-1) != 0
@@ -199,22 +199,23 @@ def _in_blocks(runs: pa.Table) -> pa.Table:
     cums -= (cums - pairs.n)[begin][run]
     first = np.flatnonzero((np.arange(len(run)) - begin[run]) % BLOCK == 0)
     stop = np.append(first[1:], len(run))
+    inner, of = cums[first] - pairs.n[first], run[first]
+    psum = cums[np.append(begin[1:], len(run)) - 1][of]
+    cums -= np.repeat(inner, stop - first)
     edges = pa.array(np.append(first, len(run)).astype(np.int32))
     lists = [pa.ListArray.from_arrays(edges, pa.array(v) if isinstance(v, np.ndarray) else v)
              for v in (pairs.choices.take(pa.array(pairs.choice)), pairs.n, cums)]
-    inner, of = cums[first] - pairs.n[first], run[first]
-    psum = cums[np.append(begin[1:], len(run)) - 1][of]
     return pa.Table.from_arrays(
         [pairs.ctxs.take(pa.array(pairs.ctx[first])), pa.array(np.full(len(first), runs.column(0)[0].as_py(), np.int32)),
-         pa.array(inner), pa.array(cums[stop - 1] - inner), pa.array(psum), pa.array(np.bincount(of)[of]),
+         pa.array(inner), pa.array(cums[stop - 1]), pa.array(psum), pa.array(np.bincount(of)[of]),
          pa.array((of == 0) | (of == run[-1])), *lists],
         names=["ctx", "_part", "_inner", "_sum", "_psum", "_pn", "_edge", "_choices", "_counts", "_cums"])
 
 
 def choice_blocks(transitions: DataFrame, ctx: str = "ch", choice: str = "next_ch", n: str = "n") -> DataFrame:
     """``(ctx, _before, _sum, total, _blocks, _choices, _counts, _cums)``: the choices
-    of a context in order, 64 at most a row, with their running totals, the sum of
-    all before them, the context's total and how many rows it has.  Choices
+    of a context in order, 64 at most a row, with their running totals from the row's
+    start, the sum of all before them, the context's total and how many rows it has.  Choices
     without a positive count are left out; a context may be null.
 
     Only the first and last context of a part can go on in others, so only theirs are
@@ -234,19 +235,18 @@ def choice_blocks(transitions: DataFrame, ctx: str = "ch", choice: str = "next_c
     places = edges.select("_pctx", "_ppart", F.coalesce(F.sum("_psum").over(earlier), F.lit(0)).alias("_pbefore"),
                           F.sum("_psum").over(whole).alias("_ptotal"), F.sum("_pn").over(whole).alias("_pblocks"))
     met = blocks.join(F.broadcast(places), (F.col("_part") == F.col("_ppart")) & F.col("ctx").eqNullSafe(F.col("_pctx")), "left")
-    before = F.coalesce("_pbefore", F.lit(0))
-    return met.select("ctx", (before + F.col("_inner")).alias("_before"), "_sum", F.coalesce("_ptotal", "_psum").alias("total"),
-                      F.coalesce("_pblocks", "_pn").alias("_blocks"), "_choices", "_counts",
-                      F.when(before > 0, F.transform("_cums", lambda c: c + before)).otherwise(F.col("_cums")).alias("_cums"))
+    return met.select("ctx", (F.coalesce("_pbefore", F.lit(0)) + F.col("_inner")).alias("_before"), "_sum",
+                      F.coalesce("_ptotal", "_psum").alias("total"), F.coalesce("_pblocks", "_pn").alias("_blocks"),
+                      "_choices", "_counts", "_cums")
 
 
 def cumulate_wide(transitions: DataFrame, ctx: str = "ch", choice: str = "next_ch", n: str = "n") -> DataFrame:
     """``(ctx, choice, n, cum, total)`` as ``sampling.cumulate`` gives them,
     for contexts of any width (choices that come twice are added up)."""
     rows = choice_blocks(transitions, ctx, choice, n).withColumn("_c", F.arrays_zip("_choices", "_counts", "_cums"))
-    rows = rows.select("ctx", "total", F.explode_outer("_c").alias("_c"))
+    rows = rows.select("ctx", "_before", "total", F.explode_outer("_c").alias("_c"))
     return rows.select(F.col("ctx").alias(ctx), F.col("_c._choices").alias(choice), F.col("_c._counts").alias(n),
-                       F.col("_c._cums").alias("cum"), "total")
+                       (F.col("_before") + F.col("_c._cums")).alias("cum"), "total")
 
 
 def draw_wide(requests: DataFrame, transitions: DataFrame, seed: int = 12345, key: str = "req_id",
@@ -273,6 +273,6 @@ def draw_wide(requests: DataFrame, transitions: DataFrame, seed: int = 12345, ke
     asked = asked.withColumn("_cell", cell)
     holds = (F.col("_before") <= F.col("r")) & (F.col("r") < F.col("_before") + F.col("_sum"))
     found = asked.join(cells, (F.col(ctx) == F.col("_bctx")) & (F.col("_cell") == F.col("_bcell")) & holds, "left")
-    at = F.size(F.filter("_cums", lambda c: c <= F.col("r")))
+    at = F.size(F.filter("_cums", lambda c: c <= F.col("r") - F.col("_before")))
     drawn = F.when(F.col("r").isNotNull(), F.get(F.col("_choices"), at))
     return found.select(*[F.col(f"`{c}`") for c in requests.columns], "r", drawn.alias("drawn"))
