@@ -22,6 +22,9 @@ from ..session import stored
 # A block has at most so many words (or one longer document) and documents.
 BLOCK_WORDS = 1 << 18
 BLOCK_DOCS = 1 << 14
+# Rows of counted words that are encoded together, and how often before they make a block.
+BLOCK_ROWS = 1 << 18
+BLOCK_CHUNKS = 8
 
 
 def in_blocks(docs: DataFrame, words: str, at: str | None = None) -> DataFrame:
@@ -60,6 +63,96 @@ def in_blocks(docs: DataFrame, words: str, at: str | None = None) -> DataFrame:
     return stored(docs.select(*cols, words).mapInArrow(run, kind), "blocks", at)
 
 
+def counted_blocks(rows: DataFrame, key: str, word: str, times: str | None = None, at: str | None = None) -> DataFrame:
+    """Rows of a key and a word (``times`` times, if that column is given) in blocks, one
+    row each: its keys ``_keys``, its different words ``_words``, and ``_counts``, the
+    numbers of the words that each key has there and how often (``_packed``).  A key may
+    be null and may be in several blocks; a word that is null has a number as well."""
+    kind = ST.StructType([ST.StructField("_block", ST.LongType()), ST.StructField("_keys", ST.ArrayType(rows.schema[key].dataType)),
+                          ST.StructField("_counts", ST.BinaryType()), ST.StructField("_words", ST.ArrayType(ST.StringType()))])
+
+    def encoded(held: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        keys, words, n = (c.combine_chunks() for c in pa.Table.from_batches(held).columns)
+        if not pa.types.is_nested(keys.type):              # others cannot be told apart here
+            keys = keys.dictionary_encode(null_encoding="encode")
+        return keys, words.dictionary_encode(null_encoding="encode"), n.fill_null(0).to_numpy()
+
+    def cut(chunks: list[tuple[pa.Array, pa.Array, np.ndarray]], block: int) -> pa.RecordBatch:
+        keys, words = (pa.chunked_array([c[i] for c in chunks]) for i in (0, 1))
+        words, n = words.unify_dictionaries().combine_chunks(), np.concatenate([c[2] for c in chunks])
+        if pa.types.is_nested(keys.type):
+            keys, code = keys.combine_chunks(), np.arange(len(n))
+        else:
+            keys = keys.unify_dictionaries().combine_chunks()
+            keys, code = keys.dictionary, keys.indices.to_numpy()
+        both = code.astype(np.int64) * len(words.dictionary) + words.indices.to_numpy()
+        order = np.argsort(both, kind="stable")
+        both, n = both[order], n[order]
+        first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        both, n = both[first], np.add.reduceat(n, first)
+        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), whole(keys), pa.array([_packed(np.diff(both, prepend=0), n)], pa.binary()),
+                                           whole(words.dictionary)], names=kind.names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, chunks, held, size = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= BLOCK_ROWS:
+                chunks.append(encoded(held))
+                held, size = [], 0
+                if len(chunks) == BLOCK_CHUNKS:
+                    yield cut(chunks, block)
+                    block, chunks = block + 1, []
+        if size:
+            chunks.append(encoded(held))
+        if chunks:
+            yield cut(chunks, block)
+
+    n = F.col(times).cast("long") if times else F.lit(1).cast("long")
+    return stored(rows.select(key, word, n.alias("_n")).mapInArrow(run, kind), "blocks", at)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Whole numbers, as many in each column, their bytes laid out by weight and compressed."""
+    raw = b"".join(np.ascontiguousarray(c, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd"), np.uint8)
+    return [np.ascontiguousarray(x.T).view(np.int64).ravel() for x in raw.reshape(columns, 8, -1)]
+
+
+def counted_means(blocks: DataFrame, looked: DataFrame, key: str, value: str, default: Sequence[float]) -> DataFrame:
+    """``(key, value, _n)``: for each key of each of the ``counted_blocks`` the mean of the
+    arrays ``value`` that were looked up for its words (``block_words`` with that column),
+    ``default`` for words without, and how many words it is the mean of."""
+    kind = ST.StructType([ST.StructField(key, blocks.schema["_keys"].dataType.elementType),
+                          ST.StructField(value, ST.ArrayType(ST.DoubleType())), ST.StructField("_n", ST.LongType())])
+
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return pa.Table.from_arrays([pa.array([], f.type) for f in target], schema=target)
+        gaps, n = _unpacked(docs.column("_counts")[0].as_py(), 2)
+        code, ids = np.divmod(np.cumsum(gaps), docs.column("_size")[0].as_py())
+        each = np.tile(np.array(default, float), (int(ids.max()) + 1, 1))
+        places = found.column("_place").to_numpy()
+        each[places] = found.column(value).combine_chunks().flatten().to_numpy().reshape(-1, len(default))
+        keys = docs.column("_keys").combine_chunks().flatten()
+        count = np.bincount(code, n, len(keys))
+        means = np.stack([np.bincount(code, each[ids, c] * n, len(keys)) / count for c in range(len(default))], axis=1)
+        return pa.Table.from_arrays([keys, lists_of(means.ravel(), np.arange(len(keys) + 1) * len(default)),
+                                     pa.array(count.astype(np.int64))], names=kind.names)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    target = to_arrow_schema(kind)
+    docs = blocks.select(F.col("_block").alias("_of"), "_keys", "_counts", F.size("_words").cast("long").alias("_size"))
+    looked = looked.select(F.col("_block").alias("_in"), "_place", value)
+    return docs.groupBy("_of").cogroup(looked.groupBy("_in")).applyInArrow(run, kind)
+
+
 def block_words(blocks: DataFrame) -> DataFrame:
     """``(_block, _place, word)``: each different word of a block, for a lookup."""
     words = blocks.where("_words is not null").select("_block", F.posexplode_outer("_words").alias("_place", "word"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from ..functions import text as T
-from .blocks import block_words, in_blocks, lists_of, with_looked
+from .blocks import block_words, counted_blocks, counted_means, in_blocks, lists_of, with_looked
 
 DIGITS = 6   # scores are rounded before ranking or comparing
 
@@ -163,11 +163,13 @@ def score_segments(matches: DataFrame, model: DataFrame, num_classes: int,
     word)`` are the steps (in start order; of matches that start together, the
     longest is the last), then J06 -> A06 -> W02 (-> P05) as for blank-separated
     text.  Texts without any match get no prediction.  For the mean, counts of
-    matches ``(key, word, n_here)`` (``dictionary.count_matches``) serve as well."""
+    matches ``(key, word, n_here)`` (``dictionary.count_matches``) serve as well, and
+    they are looked up in blocks: what is shuffled are a block's words and numbers."""
     if reduction == "mean":
-        here = F.sum("n_here") if "n_here" in matches.columns else F.count(F.lit(1))
-        words = matches.groupBy(key, "word").agg(here.alias("n_here"))
-        reduced = reduce_steps(step_scores(words, model, num_classes), num_classes, [key], reduction, "n_here")
+        rows = counted_blocks(matches, key, "word", "n_here" if "n_here" in matches.columns else None)
+        steps = step_scores(block_words(rows), model, num_classes)
+        means = counted_means(rows, steps, key, "scores", [1 / num_classes] * num_classes)
+        reduced = reduce_steps(means, num_classes, [key], reduction, "_n")
     else:
         steps = matches.select(key, F.struct("start", F.length("word").alias("n")).alias("pos"), "word")
         reduced = reduce_steps(step_scores(steps, model, num_classes), num_classes, [key], reduction)
