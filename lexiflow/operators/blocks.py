@@ -103,25 +103,29 @@ def counted_blocks(rows: DataFrame, key: str, word: str, times: str | None = Non
     def encoded(held: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array, np.ndarray]:
         keys, words, n = (c.combine_chunks() for c in pa.Table.from_batches(held).columns)
         if not pa.types.is_nested(keys.type):              # others cannot be told apart here
-            keys = keys.dictionary_encode(null_encoding="encode")
-        return keys, words.dictionary_encode(null_encoding="encode"), n.fill_null(0).to_numpy()
+            keys = keys.dictionary_encode()
+        return keys, words.dictionary_encode(), n.fill_null(0).to_numpy()
+
+    def numbered(values: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+        """Different values, the last one null if there is any, and the number of each."""
+        whole = values.unify_dictionaries().combine_chunks()
+        code, own = whole.indices.cast(pa.int64()), whole.dictionary
+        if code.null_count:
+            code, own = code.fill_null(len(own)), pa.concat_arrays([own, pa.nulls(1, own.type)])
+        return own, code.to_numpy()
 
     def cut(chunks: list[tuple[pa.Array, pa.Array, np.ndarray]], block: int) -> pa.RecordBatch:
         keys, words = (pa.chunked_array([c[i] for c in chunks]) for i in (0, 1))
-        words, n = words.unify_dictionaries().combine_chunks(), np.concatenate([c[2] for c in chunks])
-        if pa.types.is_nested(keys.type):
-            keys, code = keys.combine_chunks(), np.arange(len(n))
-        else:
-            keys = keys.unify_dictionaries().combine_chunks()
-            keys, code = keys.dictionary, keys.indices.to_numpy()
-        both = code.astype(np.int64) * len(words.dictionary) + words.indices.to_numpy()
+        (words, ids), n = numbered(words), np.concatenate([c[2] for c in chunks])
+        keys, code = (keys.combine_chunks(), np.arange(len(n))) if pa.types.is_nested(keys.type) else numbered(keys)
+        both = code * len(words) + ids
         order = np.argsort(both, kind="stable")
         both, n = both[order], n[order]
         first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
         both, n = both[first], np.add.reduceat(n, first)
         whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), whole(keys), pa.array([_packed(np.diff(both, prepend=0), n)], pa.binary()),
-                                           whole(words.dictionary)], names=kind.names)
+                                           whole(words)], names=kind.names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, chunks, held, size = TaskContext.get().partitionId() << 32, [], [], 0

@@ -169,3 +169,17 @@ def test_counted_blocks_keep_every_row(spark):
     code, ids = divmod(gaps.cumsum(), len(blocks[0]["_words"]))
     got = {(blocks[0]["_keys"][c], blocks[0]["_words"][i]): m for c, i, m in zip(code.tolist(), ids.tolist(), n.tolist(), strict=True)}
     assert got == {("a", "x"): 5, ("a", None): 1, (None, "x"): 5, ("b", "y"): 1 << 40}
+
+
+def test_null_keys_and_words_in_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_ROWS", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        data = [(None, "x"), (1, None), (2, "y"), (None, "z"), (None, None), (3, "x"), (None, "x")]
+        blocks = B.counted_blocks(rows(spark, data, "k long, w string").coalesce(1), "k", "w").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    gaps, n = B._unpacked(blocks[0]["_counts"], 2)
+    code, ids = divmod(gaps.cumsum(), len(blocks[0]["_words"]))
+    got = {(blocks[0]["_keys"][c], blocks[0]["_words"][i]): m for c, i, m in zip(code.tolist(), ids.tolist(), n.tolist(), strict=True)}
+    assert len(blocks) == 1 and got == {(None, "x"): 2, (1, None): 1, (2, "y"): 1, (None, "z"): 1, (None, None): 1, (3, "x"): 1}
